@@ -104,3 +104,185 @@ def m5_dim_foods(spark, sf):
 @query("m7_meal_nutrients")
 def m7_meal_nutrients(spark, sf):
     return M.as_double(orders_wh(spark, sf).fct_meal_log_nutrients)
+
+
+# ----------------------------------------------------------- more staging
+@query("b4_stg_meal_logs")
+def b4_stg_meal_logs(spark, sf):
+    """Staged nested logs, flattened to per-meal item counts for comparison."""
+    s = events_wh(spark, sf).stg_meal_logs
+    return s.select("user_id", "logged_at", F.size("breakfast").alias("n_breakfast"),
+                    F.size("lunch").alias("n_lunch"), F.size("dinner").alias("n_dinner"))
+
+
+@query("m1_dim_date")
+def m1_dim_date(spark, sf):
+    """Date dimension spanning the long item history (bounds are scalar subqueries)."""
+    items = orders_wh(spark, sf).items
+    lo = items.select(F.min("logged_date")).scalar()
+    hi = items.select(F.max("logged_date")).scalar()
+    return M.dim_date(spark, lo, hi, end_inclusive=True)
+
+
+# ----------------------------------------------------------------- reports
+from . import dashboard as D  # noqa: E402
+from . import reports as R  # noqa: E402
+
+
+def _range(w: Warehouse):
+    """Dashboard date range: from a week after the first logged day to the last."""
+    items = w.fct_meal_logs
+    return (F.date_add(items.select(F.min("logged_date")).scalar(), 7),
+            items.select(F.max("logged_date")).scalar())
+
+
+@query("r1_daily")
+def r1_daily(spark, sf):
+    w = orders_wh(spark, sf)
+    return R.daily_intake_report(w.fct_meal_log_nutrients, w.dim_nutrients)
+
+
+@query("r2_weekly")
+def r2_weekly(spark, sf):
+    w = orders_wh(spark, sf)
+    return R.weekly_average_report(w.fct_meal_log_nutrients, w.dim_nutrients)
+
+
+@query("r3_mom")
+def r3_mom(spark, sf):
+    w = orders_wh(spark, sf)
+    return R.monthly_mom_report(w.fct_meal_log_nutrients, w.dim_nutrients)
+
+
+@query("r4_rolling")
+def r4_rolling(spark, sf):
+    w = events_wh(spark, sf)
+    return R.rolling_report(w.fct_meal_log_nutrients, w.dim_nutrients, w.dim_date)
+
+
+@query("r5_latest")
+def r5_latest(spark, sf):
+    w = events_wh(spark, sf)
+    return R.latest_segments_report(w.fct_user_segments, w.dim_nutrients)
+
+
+@query("r6_windowed_report")
+def r6_windowed_report(spark, sf):
+    w = events_wh(spark, sf)
+    return R.windowed_report(w.fct_user_segments_windowed, w.dim_nutrients)
+
+
+@query("r7_segment_pivot")
+def r7_segment_pivot(spark, sf):
+    return R.segment_pivot_report(events_wh(spark, sf).fct_user_segments)
+
+
+@query("r8_food_log")
+def r8_food_log(spark, sf):
+    w = events_wh(spark, sf)
+    return R.daily_food_log_report(w.fct_meal_logs, w.dim_foods, w.dim_meals)
+
+
+@query("r9_weekly_food")
+def r9_weekly_food(spark, sf):
+    w = orders_wh(spark, sf)
+    return R.weekly_food_log_report(w.fct_meal_logs, w.dim_foods, w.dim_meals)
+
+
+@query("r10_bmi")
+def r10_bmi(spark, sf):
+    w = events_wh(spark, sf)
+    return R.bmi_evolution_report(w.fct_bmi_evolution, w.dim_date)
+
+
+# --------------------------------------------------------------- dashboard
+@query("d1_max_date")
+def d1_max_date(spark, sf):
+    return D.max_logged_date(orders_wh(spark, sf).fct_meal_logs)
+
+
+@query("d2_users")
+def d2_users(spark, sf):
+    return D.user_list(events_wh(spark, sf).dim_users)
+
+
+@query("d3_overview")
+def d3_overview(spark, sf):
+    w = events_wh(spark, sf)
+    return D.user_overview(w.dim_users, w.dim_date)
+
+
+@query("d4_rolling_user")
+def d4_rolling_user(spark, sf):
+    w = events_wh(spark, sf)
+    s, e = _range(w)
+    return D.nutrient_rolling(w.fct_meal_log_nutrients, w.dim_nutrients, start=s, end=e)
+
+
+@query("d5_weekly_user")
+def d5_weekly_user(spark, sf):
+    w = orders_wh(spark, sf)
+    s, e = _range(w)
+    return D.weekly_user(w.fct_meal_log_nutrients, w.dim_nutrients, start=s, end=e)
+
+
+@query("d6_monthly_user")
+def d6_monthly_user(spark, sf):
+    w = orders_wh(spark, sf)
+    s, e = _range(w)
+    return D.monthly_user(w.fct_meal_log_nutrients, w.dim_nutrients, start=s, end=e)
+
+
+@query("d7_food_range")
+def d7_food_range(spark, sf):
+    w = events_wh(spark, sf)
+    s, e = _range(w)
+    return D.food_log_range(w.fct_meal_logs, w.dim_foods, w.dim_meals, start=s, end=e)
+
+
+@query("d8_bmi_range")
+def d8_bmi_range(spark, sf):
+    w = events_wh(spark, sf)
+    s, e = _range(w)
+    return D.bmi_range(w.fct_bmi_evolution, w.dim_date, start=s, end=e)
+
+
+@query("d9_windowed_user")
+def d9_windowed_user(spark, sf):
+    w = events_wh(spark, sf)
+    return D.windowed_user(w.fct_user_segments_windowed, w.dim_nutrients)
+
+
+@query("d10_flagged_counts")
+def d10_flagged_counts(spark, sf):
+    w = events_wh(spark, sf)
+    s, e = _range(w)
+    return D.flagged_counts(w.fct_user_segments, w.dim_nutrients, start=s, end=e)
+
+
+@query("d11_first_last")
+def d11_first_last(spark, sf):
+    w = events_wh(spark, sf)
+    s, e = _range(w)
+    return D.first_last_delta(w.fct_bmi_evolution, w.dim_date, start=s, end=e)
+
+
+@query("d12_week_labels")
+def d12_week_labels(spark, sf):
+    w = orders_wh(spark, sf)
+    s, e = _range(w)
+    return D.with_week_label(D.weekly_user(w.fct_meal_log_nutrients, w.dim_nutrients, start=s, end=e))
+
+
+@query("d12_month_labels")
+def d12_month_labels(spark, sf):
+    w = orders_wh(spark, sf)
+    s, e = _range(w)
+    return D.with_month_label(D.monthly_user(w.fct_meal_log_nutrients, w.dim_nutrients, start=s, end=e))
+
+
+@query("d13_day_meals")
+def d13_day_meals(spark, sf):
+    w = events_wh(spark, sf)
+    s, e = _range(w)
+    return D.day_meal_split(w.fct_meal_logs, w.dim_meals, start=s, end=e)

@@ -200,3 +200,140 @@ ORACLE["m2_dim_users"] = build(
 ORACLE["m7_meal_nutrients"] = build(
     "SELECT user_id, meal_id, nutrient_id, logged_date, logged_date_id, CAST(value_g AS DOUBLE) AS value_g "
     "FROM fx_mln_o", "fx_mln_o")
+
+# ------------------------------------------------------------- dimensions
+cte("dim_date", f"""SELECT {_did('full_date')} AS date_id, full_date, CAST(year(full_date) AS INTEGER) AS year,
+  CAST(quarter(full_date) AS INTEGER) AS quarter, CAST(month(full_date) AS INTEGER) AS month,
+  monthname(full_date) AS month_name, CAST(week(full_date) AS INTEGER) AS week_of_year,
+  CAST(day(full_date) AS INTEGER) AS day_of_month, CAST(dayofweek(full_date) AS INTEGER) AS day_of_week,
+  dayname(full_date) AS day_name, dayofweek(full_date) IN (0, 6) AS is_weekend
+FROM (SELECT CAST(d AS DATE) AS full_date FROM range(DATE '2019-01-01', DATE '2027-12-31', INTERVAL 1 DAY) t(d)) s""")
+
+ORACLE["b4_stg_meal_logs"] = build("""SELECT user_id, CAST(day AS TIMESTAMP) + INTERVAL 12 HOUR AS logged_at,
+  CAST(count(*) FILTER (WHERE event_type = 'view') AS INTEGER) AS n_breakfast,
+  CAST(count(*) FILTER (WHERE event_type = 'click') AS INTEGER) AS n_lunch,
+  CAST(count(*) FILTER (WHERE event_type = 'purchase') AS INTEGER) AS n_dinner
+FROM (SELECT CAST(user_id AS BIGINT) AS user_id, CAST(ts AS DATE) AS day, event_type,
+             event_id % 4 AS part FROM events) e
+GROUP BY user_id, day, part""")
+
+ORACLE["m1_dim_date"] = build(f"""SELECT {_did('full_date')} AS date_id, full_date, CAST(year(full_date) AS INTEGER) AS year,
+  CAST(quarter(full_date) AS INTEGER) AS quarter, CAST(month(full_date) AS INTEGER) AS month,
+  monthname(full_date) AS month_name, CAST(week(full_date) AS INTEGER) AS week_of_year,
+  CAST(day(full_date) AS INTEGER) AS day_of_month, CAST(dayofweek(full_date) AS INTEGER) AS day_of_week,
+  dayname(full_date) AS day_name, dayofweek(full_date) IN (0, 6) AS is_weekend
+FROM (SELECT CAST(d AS DATE) AS full_date FROM range((SELECT min(logged_date) FROM fx_items_o),
+      (SELECT max(logged_date) FROM fx_items_o) + INTERVAL 1 DAY, INTERVAL 1 DAY) t(d)) s""", "fx_items_o")
+
+for h in ("e", "o"):
+    cte(f"fx_dn_{h}", f"""SELECT f.user_id, f.nutrient_id, n.nutrient_name, f.logged_date, sum(f.value_g) AS dv
+FROM fx_mln_{h} f JOIN s_nutrients n ON f.nutrient_id = n.nutrient_id
+GROUP BY f.user_id, f.nutrient_id, n.nutrient_name, f.logged_date""", [f"fx_mln_{h}", "s_nutrients"])
+    cte(f"fx_range_{h}", f"""SELECT CAST(min(logged_date) + INTERVAL 7 DAY AS DATE) AS s, max(logged_date) AS e
+FROM fx_items_{h}""", [f"fx_items_{h}"])
+    cte(f"fx_dnr_{h}", f"""SELECT f.user_id, f.nutrient_id, n.nutrient_name, f.logged_date, sum(f.value_g) AS dv
+FROM fx_mln_{h} f JOIN s_nutrients n ON f.nutrient_id = n.nutrient_id
+WHERE f.logged_date BETWEEN (SELECT s FROM fx_range_{h}) AND (SELECT e FROM fx_range_{h})
+GROUP BY f.user_id, f.nutrient_id, n.nutrient_name, f.logged_date""", [f"fx_mln_{h}", "s_nutrients", f"fx_range_{h}"])
+    cte(f"fx_foodlog_{h}", f"""SELECT i.user_id, i.meal_id, i.fdc_id, i.grams, i.logged_date, m.meal_name,
+  f.description AS food_name
+FROM fx_items_{h} i JOIN fx_foods f ON i.fdc_id = f.fdc_id JOIN s_meals m ON i.meal_id = m.meal_id""",
+        [f"fx_items_{h}", "fx_foods", "s_meals"])
+
+AVG2 = "round(CAST(sum({0}) AS DOUBLE) / count({0}), 2)"
+
+ORACLE["r1_daily"] = build("""SELECT f.user_id, n.nutrient_name, f.logged_date, CAST(sum(f.value_g) AS DOUBLE) AS daily_value_g
+FROM fx_mln_o f JOIN s_nutrients n ON f.nutrient_id = n.nutrient_id GROUP BY f.user_id, n.nutrient_name, f.logged_date""",
+                           "fx_mln_o", "s_nutrients")
+ORACLE["r2_weekly"] = build(f"""SELECT user_id, nutrient_name, CAST(date_trunc('week', logged_date) AS DATE) AS week_start,
+  {AVG2.format('dv')} AS weekly_avg_g
+FROM fx_dn_o GROUP BY user_id, nutrient_id, nutrient_name, date_trunc('week', logged_date)""", "fx_dn_o")
+ORACLE["r3_mom"] = build(f"""SELECT user_id, nutrient_name, month_start, monthly_avg_g,
+  lag(monthly_avg_g) OVER (PARTITION BY user_id, nutrient_id ORDER BY month_start) AS prev_month_avg_g,
+  round(monthly_avg_g - lag(monthly_avg_g) OVER (PARTITION BY user_id, nutrient_id ORDER BY month_start), 2) AS mom_delta_g
+FROM (SELECT user_id, nutrient_id, nutrient_name, CAST(date_trunc('month', logged_date) AS DATE) AS month_start,
+        {AVG2.format('dv')} AS monthly_avg_g
+      FROM fx_dn_o GROUP BY user_id, nutrient_id, nutrient_name, date_trunc('month', logged_date)) m""", "fx_dn_o")
+ORACLE["r4_rolling"] = build("""SELECT user_id, nutrient_name, logged_date, week_of_year, month_name,
+  CAST(dv AS DOUBLE) AS daily_value_g,
+  round(CAST(sum(dv) OVER w AS DOUBLE) / count(dv) OVER w, 2) AS rolling_7d_avg_g
+FROM (SELECT f.user_id, f.nutrient_id, n.nutrient_name, f.logged_date, dd.week_of_year, dd.month_name, sum(f.value_g) AS dv
+      FROM fx_mln_e f JOIN s_nutrients n ON f.nutrient_id = n.nutrient_id JOIN dim_date dd ON f.logged_date_id = dd.date_id
+      GROUP BY f.user_id, f.nutrient_id, n.nutrient_name, f.logged_date, dd.week_of_year, dd.month_name) x
+WINDOW w AS (PARTITION BY user_id, nutrient_id ORDER BY logged_date ROWS BETWEEN 6 PRECEDING AND CURRENT ROW)""",
+                             "fx_mln_e", "s_nutrients", "dim_date")
+ORACLE["r5_latest"] = build("""SELECT s.user_id, n.nutrient_name, s.logged_date, s.daily_value_g, s.threshold_g,
+  s.threshold_type, s.segment_label, s.is_flagged
+FROM fx_seg_e s JOIN s_nutrients n ON s.nutrient_id = n.nutrient_id
+WHERE s.logged_date = (SELECT max(logged_date) FROM fx_seg_e)""", "fx_seg_e", "s_nutrients")
+ORACLE["r6_windowed_report"] = build("""SELECT w.user_id, n.nutrient_name, w.segment_label, w.threshold_g, w.threshold_type,
+  w.last_day_g, w.last_7d_avg_g, w.last_30d_avg_g, w.is_flagged_last_day, w.is_flagged_last_7d, w.is_flagged_last_30d
+FROM fx_win_e w JOIN s_nutrients n ON w.nutrient_id = n.nutrient_id""", "fx_win_e", "s_nutrients")
+ORACLE["r7_segment_pivot"] = build("SELECT user_id, " + ", ".join(
+    f"max(CASE WHEN segment_label = '{lb}' AND is_flagged THEN true ELSE false END) AS {lb}"
+    for lb in ["low_protein", "high_fat", "low_fiber", "high_sugar"]) + """
+FROM fx_seg_e WHERE logged_date = (SELECT max(logged_date) FROM fx_seg_e) GROUP BY user_id""", "fx_seg_e")
+ORACLE["r8_food_log"] = build("""SELECT user_id, logged_date, meal_name, food_name, grams FROM fx_foodlog_e
+WHERE logged_date = (SELECT max(logged_date) FROM fx_items_e)""", "fx_foodlog_e", "fx_items_e")
+ORACLE["r9_weekly_food"] = build("""SELECT user_id, CAST(date_trunc('week', logged_date) AS DATE) AS week_start, meal_name,
+  food_name, count(*) AS times_logged,
+  round(CAST(sum(CAST(grams AS DECIMAL(12,4))) AS DOUBLE) / count(grams), 1) AS avg_grams
+FROM fx_foodlog_o GROUP BY user_id, date_trunc('week', logged_date), meal_name, food_name""", "fx_foodlog_o")
+ORACLE["r10_bmi"] = build("""SELECT b.user_id, d.full_date AS recorded_date, b.weight_kg, b.height_cm, b.bmi
+FROM fx_bmi_hist b JOIN dim_date d ON b.recorded_date_id = d.date_id""", "fx_bmi_hist", "dim_date")
+
+ORACLE["d1_max_date"] = build("SELECT max(logged_date) AS max_date FROM fx_items_o", "fx_items_o")
+ORACLE["d2_users"] = build("SELECT user_id FROM fx_users_bmi", "fx_users_bmi")
+ORACLE["d3_overview"] = build("""SELECT u.user_id, u.country, u.birth_date, u.weight_kg, u.height_cm, u.bmi, u.bmi_category,
+  round(u.weight_kg * 0.8, 1) AS recommended_protein_g, d.full_date AS registered_date
+FROM fx_users_bmi u JOIN dim_date d ON u.registered_date_id = d.date_id""", "fx_users_bmi", "dim_date")
+ORACLE["d4_rolling_user"] = build("""SELECT user_id, nutrient_name, logged_date, CAST(dv AS DOUBLE) AS daily_value_g,
+  round(CAST(sum(dv) OVER w AS DOUBLE) / count(dv) OVER w, 2) AS rolling_7d_avg_g
+FROM fx_dnr_e WINDOW w AS (PARTITION BY user_id, nutrient_id ORDER BY logged_date ROWS BETWEEN 6 PRECEDING AND CURRENT ROW)""",
+                                  "fx_dnr_e")
+D5 = f"""SELECT user_id, nutrient_name, CAST(date_trunc('week', logged_date) AS DATE) AS week_start,
+  {AVG2.format('dv')} AS weekly_avg_g
+FROM fx_dnr_o GROUP BY user_id, nutrient_id, nutrient_name, date_trunc('week', logged_date)"""
+ORACLE["d5_weekly_user"] = build(D5, "fx_dnr_o")
+D6 = f"""SELECT user_id, nutrient_name, month_start, monthly_avg_g,
+  round(monthly_avg_g - lag(monthly_avg_g) OVER (PARTITION BY user_id, nutrient_id ORDER BY month_start), 2) AS mom_delta_g
+FROM (SELECT user_id, nutrient_id, nutrient_name, CAST(date_trunc('month', logged_date) AS DATE) AS month_start,
+        {AVG2.format('dv')} AS monthly_avg_g
+      FROM fx_dnr_o GROUP BY user_id, nutrient_id, nutrient_name, date_trunc('month', logged_date)) m"""
+ORACLE["d6_monthly_user"] = build(D6, "fx_dnr_o")
+ORACLE["d7_food_range"] = build("""SELECT user_id, logged_date, meal_name, food_name AS description, grams FROM fx_foodlog_e
+WHERE logged_date BETWEEN (SELECT s FROM fx_range_e) AND (SELECT e FROM fx_range_e)""", "fx_foodlog_e", "fx_range_e")
+ORACLE["d8_bmi_range"] = build("""SELECT b.user_id, d.full_date AS recorded_date, b.weight_kg, b.bmi
+FROM fx_bmi_hist b JOIN dim_date d ON b.recorded_date_id = d.date_id
+WHERE d.full_date BETWEEN (SELECT s FROM fx_range_e) AND (SELECT e FROM fx_range_e)""", "fx_bmi_hist", "dim_date", "fx_range_e")
+ORACLE["d9_windowed_user"] = build("""SELECT w.user_id, n.nutrient_name, w.last_day_g, w.last_7d_avg_g, w.last_30d_avg_g,
+  w.threshold_g, w.segment_label, w.is_flagged_last_day, w.is_flagged_last_7d, w.is_flagged_last_30d
+FROM fx_win_e w JOIN s_nutrients n ON w.nutrient_id = n.nutrient_id""", "fx_win_e", "s_nutrients")
+ORACLE["d10_flagged_counts"] = build("""SELECT n.nutrient_name, s.logged_date, count(*) AS total_users,
+  CAST(sum(CASE WHEN s.is_flagged THEN 1 ELSE 0 END) AS BIGINT) AS flagged_users
+FROM fx_seg_e s JOIN s_nutrients n ON s.nutrient_id = n.nutrient_id
+WHERE s.logged_date BETWEEN (SELECT s FROM fx_range_e) AND (SELECT e FROM fx_range_e)
+GROUP BY s.nutrient_id, n.nutrient_name, s.logged_date""", "fx_seg_e", "s_nutrients", "fx_range_e")
+ORACLE["d11_first_last"] = build("""SELECT user_id,
+  max(CASE WHEN rd = 1 THEN weight_kg END) AS current_weight_kg,
+  round(max(CASE WHEN rd = 1 THEN weight_kg END) - max(CASE WHEN ra = 1 THEN weight_kg END), 1) AS weight_delta_kg,
+  max(CASE WHEN rd = 1 THEN bmi END) AS current_bmi,
+  round(max(CASE WHEN rd = 1 THEN bmi END) - max(CASE WHEN ra = 1 THEN bmi END), 1) AS bmi_delta
+FROM (SELECT b.user_id, b.weight_kg, b.bmi,
+        row_number() OVER (PARTITION BY b.user_id ORDER BY d.full_date DESC, b.weight_log_id DESC) AS rd,
+        row_number() OVER (PARTITION BY b.user_id ORDER BY d.full_date, b.weight_log_id) AS ra
+      FROM fx_bmi_hist b JOIN dim_date d ON b.recorded_date_id = d.date_id
+      WHERE d.full_date BETWEEN (SELECT s FROM fx_range_e) AND (SELECT e FROM fx_range_e)) x
+GROUP BY user_id""", "fx_bmi_hist", "dim_date", "fx_range_e")
+ORACLE["d12_week_labels"] = build(f"SELECT *, strftime(week_start, '%Y-W%W') AS week_label FROM ({D5}) q", "fx_dnr_o")
+ORACLE["d12_month_labels"] = build(f"SELECT *, strftime(month_start, '%b %Y') AS month_label FROM ({D6}) q", "fx_dnr_o")
+ORACLE["d13_day_meals"] = build("""SELECT i.user_id, i.logged_date,
+  count(*) FILTER (WHERE m.meal_name = 'breakfast') AS breakfast_items,
+  CAST(sum(CASE WHEN m.meal_name = 'breakfast' THEN CAST(i.grams AS DECIMAL(12,4)) END) AS DOUBLE) AS breakfast_grams,
+  count(*) FILTER (WHERE m.meal_name = 'lunch') AS lunch_items,
+  CAST(sum(CASE WHEN m.meal_name = 'lunch' THEN CAST(i.grams AS DECIMAL(12,4)) END) AS DOUBLE) AS lunch_grams,
+  count(*) FILTER (WHERE m.meal_name = 'dinner') AS dinner_items,
+  CAST(sum(CASE WHEN m.meal_name = 'dinner' THEN CAST(i.grams AS DECIMAL(12,4)) END) AS DOUBLE) AS dinner_grams
+FROM fx_items_e i JOIN s_meals m ON i.meal_id = m.meal_id
+WHERE i.logged_date BETWEEN (SELECT s FROM fx_range_e) AND (SELECT e FROM fx_range_e)
+GROUP BY i.user_id, i.logged_date""", "fx_items_e", "s_meals", "fx_range_e")

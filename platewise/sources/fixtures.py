@@ -167,7 +167,7 @@ def raw_meal_logs(spark: SparkSession, sf_dir: str, splits: int = DEFAULT_LOG_SP
     with only other events give rows with no meal (caught by Q6). Empty
     breakfast lists are stored as NULL, empty lunch/dinner lists as [] (both
     occur in the raw feed). A user-day is spread over at most ``splits`` rows
-    by a hash of the event id, so a hot user-day never lands in one group.
+    by the event id residue, so a hot user-day never lands in one group.
     """
     e = table(spark, sf_dir, "events")
     d = F.to_date(F.col("ts"))
@@ -176,7 +176,7 @@ def raw_meal_logs(spark: SparkSession, sf_dir: str, splits: int = DEFAULT_LOG_SP
         (F.lit(80) + F.get_json_object("props", "$.k").cast("double")).alias("grams"),
     )
     meal = _event_meal_id()
-    salt = F.pmod(F.xxhash64("event_id"), F.lit(splits))
+    salt = F.pmod(F.col("event_id"), F.lit(splits))
 
     def items(mid: int) -> Column:
         return F.collect_list(F.when(meal == mid, item))
