@@ -286,3 +286,147 @@ def d13_day_meals(spark, sf):
     w = events_wh(spark, sf)
     s, e = _range(w)
     return D.day_meal_split(w.fct_meal_logs, w.dim_meals, start=s, end=e)
+
+
+# ----------------------------------------------------------------- quality
+from ..operators import quality as Q  # noqa: E402
+from ..operators import staging as S  # noqa: E402
+from ..operators import transforms as T  # noqa: E402
+from ..operators import writes as W  # noqa: E402
+from ..session import storage_root  # noqa: E402
+from ..sources import fixtures, seeds  # noqa: E402
+from .reports import SEGMENT_LABELS  # noqa: E402
+
+FRESHNESS_AS_OF = "2024-02-01 06:00:00"
+
+
+def _two_loads(spark, sf):
+    """raw_foods after two monthly loads (append-only table)."""
+    return fixtures.raw_foods(spark, sf).unionByName(
+        fixtures.raw_foods(spark, sf, fixtures.REFETCH_LOADED_AT, refetch=True))
+
+
+@query("q1_not_null")
+def q1_not_null(spark, sf):
+    return Q.null_counts(fixtures.raw_meal_logs(spark, sf), ["user_id", "breakfast", "lunch", "dinner", "logged_at"])
+
+
+@query("q2_unique")
+def q2_unique(spark, sf):
+    return Q.unique(S.stg_foods(_two_loads(spark, sf)), "fdc_id")
+
+
+@query("q3_accepted_values")
+def q3_accepted_values(spark, sf):
+    return Q.accepted_values(events_wh(spark, sf).fct_user_segments, "segment_label", SEGMENT_LABELS)
+
+
+@query("q4_relationships")
+def q4_relationships(spark, sf):
+    w = orders_wh(spark, sf)
+    return Q.relationships(w.fct_meal_logs, "fdc_id", w.dim_foods, "fdc_id")
+
+
+@query("q5_range")
+def q5_range(spark, sf):
+    w = orders_wh(spark, sf)
+    foods = Q.range_violations(w.dim_foods, {n: (0, 100) for n in T.NUTRIENTS}).withColumn(
+        "table_name", F.lit("dim_foods"))
+    logs = Q.range_violations(w.fct_meal_logs, {"grams": (0, 1000)}).withColumn("table_name", F.lit("fct_meal_logs"))
+    return foods.unionByName(logs)
+
+
+@query("q6_one_meal")
+def q6_one_meal(spark, sf):
+    return Q.no_meal_logged(events_wh(spark, sf).stg_meal_logs)
+
+
+@query("q7_freshness")
+def q7_freshness(spark, sf):
+    w = events_wh(spark, sf)
+    logs = Q.freshness(w.stg_meal_logs, "logged_at", FRESHNESS_AS_OF, *seeds.FRESHNESS_MEAL_LOGS_H,
+                       source_name="app_events.raw_meal_logs")
+    foods = Q.freshness(w.stg_foods, "loaded_at", FRESHNESS_AS_OF, *seeds.FRESHNESS_FOODS_H,
+                        source_name="usda.raw_foods")
+    return logs.unionByName(foods)
+
+
+@query("q8_grain")
+def q8_grain(spark, sf):
+    return Q.unique(orders_wh(spark, sf).fct_meal_logs, ["user_id", "meal_id", "fdc_id", "logged_date"])
+
+
+# ----------------------------------------------------------------- writes
+FACT_KEY = ["user_id", "meal_id", "fdc_id", "logged_date"]
+FACT_COLS = {"user_id": "long", "meal_id": "int", "fdc_id": "long", "grams": "double",
+             "logged_date": "date", "logged_date_id": "int"}
+
+
+def _run_dir(spark, name: str) -> str:
+    import uuid
+    return f"{storage_root(spark)}/platewise/{name}/{uuid.uuid4().hex}"
+
+
+def _fact(df):
+    return df.select(*[F.col(c).cast(t).alias(c) for c, t in FACT_COLS.items()])
+
+
+def _day(items, offset: int):
+    return F.date_add(items.select(F.min("logged_date")).scalar(), offset)
+
+
+@query("i1_high_water")
+def i1_high_water(spark, sf):
+    """Two incremental runs of fct_meal_logs: first build, then an
+    overlapping batch filtered above the high-water mark."""
+    items = events_wh(spark, sf).fct_meal_logs
+    path = _run_dir(spark, "i1") + "/fct_meal_logs"
+    W.incremental_append(items.where(F.col("logged_date") <= _day(items, 14)), path, "logged_date",
+                         FACT_KEY, ["logged_date"])
+    W.incremental_append(items.where(F.col("logged_date") >= _day(items, 10)), path, "logged_date",
+                         FACT_KEY, ["logged_date"])
+    return _fact(spark.read.parquet(path))
+
+
+@query("i2_replace")
+def i2_replace(spark, sf):
+    """Reprocess mode: a corrected batch replaces matching keys in touched days."""
+    items = events_wh(spark, sf).fct_meal_logs
+    path = _run_dir(spark, "i2") + "/fct_meal_logs"
+    W.merge_by_key(items.where(F.col("logged_date") <= _day(items, 14)), path, FACT_KEY, ["logged_date"])
+    fix = items.where(F.col("logged_date").between(_day(items, 10), _day(items, 20))).withColumn(
+        "grams", F.col("grams") + F.lit(1.0))
+    W.merge_by_key(fix, path, FACT_KEY, ["logged_date"])
+    return _fact(spark.read.parquet(path))
+
+
+def _snapshot(spark, sf) -> str:
+    path = _run_dir(spark, "i4") + "/dim_foods_snapshot"
+    first = M.dim_foods(T.food_nutrients(S.stg_foods(fixtures.raw_foods(spark, sf))))
+    W.snapshot_check(first, path, "fdc_id", T.NUTRIENTS, fixtures.DEFAULT_LOADED_AT)
+    second = M.dim_foods(T.food_nutrients(S.stg_foods(_two_loads(spark, sf)), latest_only=True))
+    W.snapshot_check(second, path, "fdc_id", T.NUTRIENTS, fixtures.REFETCH_LOADED_AT)
+    return path
+
+
+@query("i4_scd2")
+def i4_scd2(spark, sf):
+    return M.as_double(spark.read.parquet(_snapshot(spark, sf)))
+
+
+@query("i5_point_in_time")
+def i5_point_in_time(spark, sf):
+    snap = spark.read.parquet(_snapshot(spark, sf))
+    return M.as_double(W.as_of(snap, fixtures.REFETCH_LOADED_AT))
+
+
+# ----------------------------------------------------------------- landing
+@query("a1_land_foods")
+def a1_land_foods(spark, sf):
+    """API pages of 200 foods -> raw_foods rows; checked on what the JSON says."""
+    landed = W.land_food_pages(fixtures.food_pages(spark, sf), fixtures.DEFAULT_LOADED_AT)
+    j = F.col("raw_json")
+    return landed.select(
+        "fdc_id", F.col("loaded_at").cast("timestamp_ntz").alias("loaded_at"),
+        F.get_json_object(j, "$.description").alias("description"),
+        F.json_array_length(F.get_json_object(j, "$.foodNutrients")).alias("n_nutrients"))

@@ -337,3 +337,87 @@ ORACLE["d13_day_meals"] = build("""SELECT i.user_id, i.logged_date,
 FROM fx_items_e i JOIN s_meals m ON i.meal_id = m.meal_id
 WHERE i.logged_date BETWEEN (SELECT s FROM fx_range_e) AND (SELECT e FROM fx_range_e)
 GROUP BY i.user_id, i.logged_date""", "fx_items_e", "s_meals", "fx_range_e")
+
+# ----------------------------------------------------------------- quality
+cte("fx_logs_e", """SELECT CAST(user_id AS BIGINT) AS user_id, CAST(ts AS DATE) AS day, event_id % 4 AS part,
+  count(*) FILTER (WHERE event_type = 'view') AS nb, count(*) FILTER (WHERE event_type = 'click') AS nl,
+  count(*) FILTER (WHERE event_type = 'purchase') AS nd
+FROM events GROUP BY CAST(user_id AS BIGINT), CAST(ts AS DATE), event_id % 4""")
+
+ORACLE["q1_not_null"] = build("""SELECT 'user_id' AS column_name, count(*) FILTER (WHERE user_id IS NULL) AS failures FROM fx_logs_e
+UNION ALL SELECT 'breakfast', count(*) FILTER (WHERE nb = 0) FROM fx_logs_e
+UNION ALL SELECT 'lunch', CAST(0 AS BIGINT) UNION ALL SELECT 'dinner', CAST(0 AS BIGINT)
+UNION ALL SELECT 'logged_at', count(*) FILTER (WHERE day IS NULL) FROM fx_logs_e""", "fx_logs_e")
+ORACLE["q2_unique"] = "SELECT CAST(p_partkey AS BIGINT) AS fdc_id, CAST(2 AS BIGINT) AS n_records FROM part WHERE p_size > 40"
+ORACLE["q3_accepted_values"] = build("""SELECT segment_label AS value_field, count(*) AS n_records FROM fx_seg_e
+WHERE segment_label NOT IN ('low_protein', 'high_fat', 'low_fiber', 'high_sugar') GROUP BY segment_label""", "fx_seg_e")
+ORACLE["q4_relationships"] = build("""SELECT i.fdc_id AS from_field FROM fx_items_o i
+WHERE NOT EXISTS (SELECT 1 FROM fx_foods f WHERE f.fdc_id = i.fdc_id)""", "fx_items_o", "fx_foods")
+ORACLE["q5_range"] = build(" UNION ALL ".join(
+    f"SELECT '{n}' AS column_name, count(*) FILTER (WHERE NOT ({n} >= 0 AND {n} <= 100)) AS failures, "
+    f"'dim_foods' AS table_name FROM fx_foods" for n in NUTS) +
+    " UNION ALL SELECT 'grams', count(*) FILTER (WHERE NOT (grams >= 0 AND grams <= 1000)), 'fct_meal_logs' FROM fx_items_o",
+    "fx_foods", "fx_items_o")
+ORACLE["q6_one_meal"] = build("""SELECT user_id, CAST(day AS TIMESTAMP) + INTERVAL 12 HOUR AS logged_at FROM fx_logs_e
+WHERE nb = 0 AND nl = 0 AND nd = 0""", "fx_logs_e")
+_AS_OF = "TIMESTAMP '2024-02-01 06:00:00'"
+ORACLE["q7_freshness"] = build(f"""SELECT source_name, max_loaded_at, age_hours,
+  CASE WHEN max_loaded_at IS NULL THEN 'error' WHEN age_hours > err THEN 'error' WHEN age_hours > warn THEN 'warn'
+       ELSE 'pass' END AS status
+FROM (SELECT 'app_events.raw_meal_logs' AS source_name, max(CAST(day AS TIMESTAMP) + INTERVAL 12 HOUR) AS max_loaded_at,
+        12.0 AS warn, 25.0 AS err FROM fx_logs_e
+      UNION ALL SELECT 'usda.raw_foods', TIMESTAMP '2024-02-01 00:00:00', 720.0, 1440.0) s,
+LATERAL (SELECT CAST(date_diff('second', s.max_loaded_at, {_AS_OF}) AS DOUBLE) / 3600.0 AS age_hours) a""", "fx_logs_e")
+ORACLE["q8_grain"] = build("""SELECT user_id, meal_id, fdc_id, logged_date, count(*) AS n_records FROM fx_items_o
+GROUP BY user_id, meal_id, fdc_id, logged_date HAVING count(*) > 1""", "fx_items_o")
+
+# ------------------------------------------------------------------ writes
+cte("fx_b1_e", """SELECT * FROM fx_items_e WHERE logged_date <= (SELECT min(logged_date) FROM fx_items_e) + INTERVAL 14 DAY""",
+    ["fx_items_e"])
+ORACLE["i1_high_water"] = build("""SELECT * FROM fx_b1_e UNION ALL
+SELECT * FROM fx_items_e WHERE logged_date >= (SELECT min(logged_date) FROM fx_items_e) + INTERVAL 10 DAY
+  AND logged_date > (SELECT max(logged_date) FROM fx_b1_e)""", "fx_b1_e", "fx_items_e")
+cte("fx_b2_e", """SELECT user_id, meal_id, fdc_id, grams + 1.0 AS grams, logged_date, logged_date_id FROM fx_items_e
+WHERE logged_date BETWEEN (SELECT min(logged_date) FROM fx_items_e) + INTERVAL 10 DAY
+                      AND (SELECT min(logged_date) FROM fx_items_e) + INTERVAL 20 DAY""", ["fx_items_e"])
+ORACLE["i2_replace"] = build("""SELECT * FROM fx_b1_e b WHERE NOT EXISTS (SELECT 1 FROM fx_b2_e x WHERE x.user_id = b.user_id
+  AND x.meal_id = b.meal_id AND x.fdc_id = b.fdc_id AND x.logged_date = b.logged_date)
+UNION ALL SELECT * FROM fx_b2_e""", "fx_b1_e", "fx_b2_e")
+
+cte("fx_foods2", f"""SELECT CAST(p_partkey AS BIGINT) AS fdc_id,
+  CASE WHEN p_partkey % 89 = 0 THEN 'Unknown' ELSE p_name || ' #' || CAST(p_partkey AS VARCHAR) END AS description,
+  {_did("DATE '2019-04-01' + CAST(p_partkey % 1000 AS INTEGER)")} AS publication_date_id,
+  20240301 AS loaded_date_id,
+  {_amt('(p_partkey * 13 + 7) % 1000')} AS protein_g,
+  {_amt('(p_partkey * 17) % 1000')} AS fat_g,
+  {_amt('(p_partkey * 19) % 1000')} AS carbohydrate_g,
+  CASE WHEN p_partkey % 5 = 0 THEN CAST(0 AS DECIMAL(12,4)) ELSE {_amt('(p_partkey * 23) % 300')} END AS fiber_g,
+  CASE WHEN p_partkey % 7 = 0 THEN CAST(0 AS DECIMAL(12,4)) ELSE {_amt('(p_partkey * 29) % 1000')} END AS total_sugar_g
+FROM part WHERE p_size > 40""")
+cte("fx_foods1", f"""SELECT fdc_id, description, {_did('publication_date')} AS publication_date_id, 20240201 AS loaded_date_id,
+  {', '.join(NUTS)} FROM fx_foods""", ["fx_foods"])
+_T1, _T2 = "TIMESTAMP '2024-02-01 00:00:00'", "TIMESTAMP '2024-03-01 00:00:00'"
+_SCD = ", ".join(["fdc_id", "description", "publication_date_id", "loaded_date_id"] + [f"CAST({n} AS DOUBLE) AS {n}" for n in NUTS])
+
+
+def _scd_row(src: str, frm: str, to: str, where: str) -> str:
+    return (f"SELECT {_SCD}, md5(concat_ws('-', CAST(fdc_id AS VARCHAR), CAST({frm} AS VARCHAR))) AS dbt_scd_id, "
+            f"{frm} AS dbt_updated_at, {frm} AS dbt_valid_from, {to} AS dbt_valid_to FROM {src} {where}")
+
+
+cte("fx_snap", " UNION ALL ".join([
+    _scd_row("fx_foods1", _T1, "CAST(NULL AS TIMESTAMP)",
+             "WHERE fdc_id NOT IN (SELECT fdc_id FROM fx_foods2)"),
+    _scd_row("fx_foods1", _T1, _T2, "WHERE fdc_id IN (SELECT fdc_id FROM fx_foods2)"),
+    _scd_row("fx_foods2", _T2, "CAST(NULL AS TIMESTAMP)", ""),
+]), ["fx_foods1", "fx_foods2"])
+ORACLE["i4_scd2"] = build("SELECT * FROM fx_snap", "fx_snap")
+ORACLE["i5_point_in_time"] = build(f"""SELECT * FROM fx_snap WHERE dbt_valid_from <= {_T2}
+  AND (dbt_valid_to IS NULL OR {_T2} < dbt_valid_to)""", "fx_snap")
+
+ORACLE["a1_land_foods"] = """SELECT CAST(p_partkey AS BIGINT) AS fdc_id, TIMESTAMP '2024-02-01 00:00:00' AS loaded_at,
+  CASE WHEN p_partkey % 89 = 0 THEN NULL ELSE p_name || ' #' || CAST(p_partkey AS VARCHAR) END AS description,
+  CAST(CASE WHEN p_partkey % 97 = 0 THEN 0
+       ELSE 5 + (CASE WHEN p_partkey % 5 <> 0 THEN 1 ELSE 0 END) + (CASE WHEN p_partkey % 13 = 0 THEN 1 ELSE 0 END) END
+       AS INTEGER) AS n_nutrients
+FROM part"""

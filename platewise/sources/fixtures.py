@@ -16,6 +16,7 @@ from .. import schemas
 from ..functions import date_id
 
 DEFAULT_LOADED_AT = "2024-02-01 00:00:00"
+REFETCH_LOADED_AT = "2024-03-01 00:00:00"
 # Raw meal-log rows of one user-day are split over at most this many rows so
 # that no single nested row (and no single collect task) holds a hot
 # user-day whole.
@@ -73,16 +74,26 @@ def food_values(part: DataFrame) -> DataFrame:
     )
 
 
-def raw_foods(spark: SparkSession, sf_dir: str, loaded_at: str = DEFAULT_LOADED_AT) -> DataFrame:
+def raw_foods(spark: SparkSession, sf_dir: str, loaded_at: str = DEFAULT_LOADED_AT,
+              refetch: bool = False) -> DataFrame:
     """part -> raw_foods rows (fdc_id, loaded_at, raw_json) as the API returns them.
 
     Edge rows by rule: fiber element absent when key % 5 = 0; sugar amount
     "n/a" when key % 7 = 0; a duplicate, smaller protein element when
     key % 13 = 0; an irrelevant nutrient 301 always; description missing when
     key % 89 = 0; empty nutrient list when key % 97 = 0.
+
+    ``refetch=True`` models a later monthly load: only parts with
+    p_size > 40 are fetched again, their protein value changed, and foods
+    that had no nutrients before now have them.
     """
-    v = food_values(table(spark, sf_dir, "part"))
+    part = table(spark, sf_dir, "part")
+    if refetch:
+        part = part.where(F.col("p_size") > 40)
+    v = food_values(part)
     k = F.col("fdc_id")
+    if refetch:
+        v = v.withColumn("protein", _dec1((k * 13 + 7) % 1000))
 
     def elem(number: str, amount: Column) -> Column:
         return F.struct(F.lit(number).alias("number"), amount.cast("string").alias("amount"))
@@ -96,8 +107,9 @@ def raw_foods(spark: SparkSession, sf_dir: str, loaded_at: str = DEFAULT_LOADED_
         elem("301", F.lit("1.5")),
         F.when(k % 13 == 0, elem("203", (F.col("protein") / 2).cast("decimal(9,2)"))),
     )
-    nutrients = F.when(k % 97 == 0, F.array().cast(schemas.FOOD_NUTRIENTS_JSON)).otherwise(
-        F.filter(elems, lambda x: x.isNotNull()))
+    present = F.filter(elems, lambda x: x.isNotNull())
+    nutrients = present if refetch else F.when(
+        k % 97 == 0, F.array().cast(schemas.FOOD_NUTRIENTS_JSON)).otherwise(present)
     doc = F.struct(
         k.alias("fdcId"),
         F.when(k % 89 != 0, F.concat(F.col("p_name"), F.lit(" #"), k.cast("string"))).alias("description"),
