@@ -60,6 +60,11 @@ def scaled_amount(amount_per_100g: str | Column, grams: str | Column) -> Column:
     return col(amount_per_100g).cast(AMOUNT_TYPE) * col(grams).cast(GRAMS_TYPE) * F.lit(Decimal("0.01"))
 
 
+def per_gram(amount_per_100g: str | Column) -> Column:
+    """Exact nutrient grams per gram of food: ``amount / 100`` as DECIMAL."""
+    return col(amount_per_100g).cast(AMOUNT_TYPE) * F.lit(Decimal("0.01"))
+
+
 def exact_avg(c: str | Column) -> Column:
     """Average of an exact column as DOUBLE: ``double(sum) / count`` (nulls skipped)."""
     c = col(c)
@@ -127,7 +132,7 @@ def threshold_flag(threshold_type: str | Column, value: Column, threshold: Colum
 
 __all__ = [
     "AMOUNT_TYPE", "GRAMS_TYPE", "SURROGATE_NULL", "date_id", "round_half_away", "round_exact",
-    "bmi", "scaled_amount", "exact_avg", "avg_round2", "surrogate_key", "naive_to_utc",
+    "bmi", "scaled_amount", "per_gram", "exact_avg", "avg_round2", "surrogate_key", "naive_to_utc",
     "instant_to_utc", "to_utc", "week_start", "month_start", "week_label", "month_label",
     "threshold_flag",
 ]

@@ -42,7 +42,7 @@ def dim_date(spark: SparkSession, start: Column | str = DIM_DATE_START, end: Col
     """
     s, e = _as_date(start), _as_date(end)
     last = e if end_inclusive else F.date_sub(e, 1)
-    spine = spark.range(1).select(F.explode(F.sequence(s, last)).alias("date_day")).where(
+    spine = spark.range(0, 1, 1, 1).select(F.explode(F.sequence(s, last)).alias("date_day")).where(
         F.col("date_day").isNotNull())
     d = F.col("date_day")
     dow = (F.dayofweek(d) - 1).cast("int")

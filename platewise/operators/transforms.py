@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 
 from .. import schemas
 from ..functions import (
-    AMOUNT_TYPE, avg_round2, date_id, round_exact, round_half_away, scaled_amount, threshold_flag,
+    AMOUNT_TYPE, GRAMS_TYPE, avg_round2, date_id, per_gram, round_exact, round_half_away, threshold_flag,
 )
 from ..sources import seeds
 
@@ -102,11 +102,13 @@ def scaled_nutrients(items: DataFrame, foods: DataFrame) -> DataFrame:
 
     Unknown foods drop the item (inner join).
     """
-    f = foods.select("fdc_id", *NUTRIENTS)
+    # Per-gram factors are computed once per food (the small side), so each
+    # item costs one exact multiply per nutrient.
+    f = foods.select("fdc_id", *[per_gram(n).alias(n) for n in NUTRIENTS])
     i = items.select("user_id", "meal_id", "fdc_id", "grams", "logged_date", "logged_date_id")
     return i.join(f, "fdc_id", "inner").select(
         "user_id", "meal_id", "logged_date", "logged_date_id",
-        *[scaled_amount(n, "grams").alias(n) for n in NUTRIENTS],
+        *[(F.col(n) * F.col("grams").cast(GRAMS_TYPE)).alias(n) for n in NUTRIENTS],
     )
 
 

@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from .. import schemas
 
@@ -56,20 +57,43 @@ FRESHNESS_FOODS_H = (30 * 24, 60 * 24)
 NUTRIENT_VALUE_COLUMNS = [c for _, c in NUTRIENT_COLUMNS]
 
 
+def literal_frame(spark: SparkSession, rows: list[tuple], schema: StructType) -> DataFrame:
+    """A small literal table built JVM-side (folded to a LocalRelation by the
+    optimizer): no Python worker is needed to read it, and its exact size is
+    known to the planner."""
+    values = ", ".join("(" + ", ".join(_sql_literal(v) for v in row) + ")" for row in rows)
+    names = [f"c{i}" for i in range(len(schema.fields))]
+    cols = ", ".join(f"CAST({n} AS {f.dataType.simpleString()}) AS {f.name}" for n, f in zip(names, schema.fields))
+    return spark.sql(f"SELECT {cols} FROM VALUES {values} AS t({', '.join(names)})")
+
+
+def _sql_literal(v) -> str:
+    if v is None:
+        return "NULL"
+    if isinstance(v, bool):
+        return "TRUE" if v else "FALSE"
+    if isinstance(v, int):
+        return str(v)
+    if isinstance(v, float):
+        return repr(v) + "D"
+    s = str(v).replace("\\", "\\\\").replace("'", "\\'")
+    return f"'{s}'"
+
+
 def meals(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(MEALS, schemas.MEALS)
+    return literal_frame(spark, MEALS, schemas.MEALS)
 
 
 def nutrients(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(NUTRIENTS, schemas.NUTRIENTS)
+    return literal_frame(spark, NUTRIENTS, schemas.NUTRIENTS)
 
 
 def bmi_categories(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(BMI_CATEGORIES, schemas.BMI_CATEGORIES)
+    return literal_frame(spark, BMI_CATEGORIES, schemas.BMI_CATEGORIES)
 
 
 def nutrient_daily_targets(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(NUTRIENT_DAILY_TARGETS, schemas.NUTRIENT_DAILY_TARGETS)
+    return literal_frame(spark, NUTRIENT_DAILY_TARGETS, schemas.NUTRIENT_DAILY_TARGETS)
 
 
 def read_seed_csv(spark: SparkSession, path: str, name: str) -> DataFrame:
