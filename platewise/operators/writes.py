@@ -42,7 +42,7 @@ def stage(df: DataFrame, path: str, partition_by: list[str] | None = None) -> Da
     """Materialise ``df`` beside ``path`` and return a frame reading it back."""
     tmp = _stage_path(path)
     _writer(df, "overwrite", partition_by).parquet(tmp)
-    return df.sparkSession.read.parquet(tmp)
+    return df.sparkSession.read.schema(df.schema).parquet(tmp)
 
 
 # ------------------------------------------------------------ A1 - A3, A8

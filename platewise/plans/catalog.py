@@ -430,3 +430,19 @@ def a1_land_foods(spark, sf):
         "fdc_id", F.col("loaded_at").cast("timestamp_ntz").alias("loaded_at"),
         F.get_json_object(j, "$.description").alias("description"),
         F.json_array_length(F.get_json_object(j, "$.foodNutrients")).alias("n_nutrients"))
+
+
+# --------------------------------------------------------------- streaming
+@query("x1_stream_daily")
+def x1_stream_daily(spark, sf):
+    """Land the raw meal-log feed as files, run the streaming daily-intake job
+    to completion (availableNow) and read its sink."""
+    from ..streaming.meal_stream import run_daily_intake_stream
+    root = _run_dir(spark, "x1")
+    fixtures.raw_meal_logs(spark, sf).write.parquet(f"{root}/landing")
+    foods = events_wh(spark, sf).dim_foods
+    run_daily_intake_stream(spark, f"{root}/landing", foods, f"{root}/daily", f"{root}/_checkpoint")
+    out = spark.read.parquet(f"{root}/daily")
+    return out.select(F.col("user_id").cast("long"), F.col("nutrient_id").cast("int"),
+                      F.col("logged_date").cast("date"), F.col("logged_date_id").cast("int"),
+                      F.col("daily_value_g").cast("double"))

@@ -421,3 +421,9 @@ ORACLE["a1_land_foods"] = """SELECT CAST(p_partkey AS BIGINT) AS fdc_id, TIMESTA
        ELSE 5 + (CASE WHEN p_partkey % 5 <> 0 THEN 1 ELSE 0 END) + (CASE WHEN p_partkey % 13 = 0 THEN 1 ELSE 0 END) END
        AS INTEGER) AS n_nutrients
 FROM part"""
+
+ORACLE["x1_stream_daily"] = build("""SELECT user_id, nutrient_id, logged_date, logged_date_id, CAST(sum(v) AS DOUBLE) AS daily_value_g
+FROM (""" + "\n  UNION ALL ".join(
+    f"SELECT user_id, logged_date, logged_date_id, {k + 1} AS nutrient_id, {n} AS v FROM fx_scaled_e"
+    for k, n in enumerate(NUTS)) + """) lf
+GROUP BY user_id, nutrient_id, logged_date, logged_date_id""", "fx_scaled_e")
