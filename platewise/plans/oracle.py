@@ -214,7 +214,7 @@ ORACLE["b4_stg_meal_logs"] = build("""SELECT user_id, CAST(day AS TIMESTAMP) + I
   CAST(count(*) FILTER (WHERE event_type = 'click') AS INTEGER) AS n_lunch,
   CAST(count(*) FILTER (WHERE event_type = 'purchase') AS INTEGER) AS n_dinner
 FROM (SELECT CAST(user_id AS BIGINT) AS user_id, CAST(ts AS DATE) AS day, event_type,
-             event_id % 4 AS part FROM events) e
+             event_id // 1024 AS part FROM events) e
 GROUP BY user_id, day, part""")
 
 ORACLE["m1_dim_date"] = build(f"""SELECT {_did('full_date')} AS date_id, full_date, CAST(year(full_date) AS INTEGER) AS year,
@@ -339,10 +339,10 @@ WHERE i.logged_date BETWEEN (SELECT s FROM fx_range_e) AND (SELECT e FROM fx_ran
 GROUP BY i.user_id, i.logged_date""", "fx_items_e", "s_meals", "fx_range_e")
 
 # ----------------------------------------------------------------- quality
-cte("fx_logs_e", """SELECT CAST(user_id AS BIGINT) AS user_id, CAST(ts AS DATE) AS day, event_id % 4 AS part,
+cte("fx_logs_e", """SELECT CAST(user_id AS BIGINT) AS user_id, CAST(ts AS DATE) AS day, event_id // 1024 AS part,
   count(*) FILTER (WHERE event_type = 'view') AS nb, count(*) FILTER (WHERE event_type = 'click') AS nl,
   count(*) FILTER (WHERE event_type = 'purchase') AS nd
-FROM events GROUP BY CAST(user_id AS BIGINT), CAST(ts AS DATE), event_id % 4""")
+FROM events GROUP BY CAST(user_id AS BIGINT), CAST(ts AS DATE), event_id // 1024""")
 
 ORACLE["q1_not_null"] = build("""SELECT 'user_id' AS column_name, count(*) FILTER (WHERE user_id IS NULL) AS failures FROM fx_logs_e
 UNION ALL SELECT 'breakfast', count(*) FILTER (WHERE nb = 0) FROM fx_logs_e

@@ -17,10 +17,10 @@ from ..functions import date_id
 
 DEFAULT_LOADED_AT = "2024-02-01 00:00:00"
 REFETCH_LOADED_AT = "2024-03-01 00:00:00"
-# Raw meal-log rows of one user-day are split over at most this many rows so
-# that no single nested row (and no single collect task) holds a hot
-# user-day whole.
-DEFAULT_LOG_SPLITS = 4
+# A raw meal-log row holds the events of one user-day inside one block of
+# this many consecutive event ids, so a nested row (and the collect that
+# builds it) never holds more than this many events, however hot the user-day.
+DEFAULT_LOG_CHUNK = 1024
 
 
 # Declared schemas of the driver's tables (FIXTURES.md §D): reading with a
@@ -191,15 +191,16 @@ def items_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
             ))
 
 
-def raw_meal_logs(spark: SparkSession, sf_dir: str, splits: int = DEFAULT_LOG_SPLITS,
+def raw_meal_logs(spark: SparkSession, sf_dir: str, chunk: int = DEFAULT_LOG_CHUNK,
                   hour: int = 12) -> DataFrame:
     """Nested daily meal logs from *all* events of a user-day.
 
     breakfast/lunch/dinner come from view/click/purchase events; user-days
     with only other events give rows with no meal (caught by Q6). Empty
     breakfast lists are stored as NULL, empty lunch/dinner lists as [] (both
-    occur in the raw feed). A user-day is spread over at most ``splits`` rows
-    by the event id residue, so a hot user-day never lands in one group.
+    occur in the raw feed). A user-day's events are grouped per block of
+    ``chunk`` consecutive event ids, so every group is bounded by ``chunk``
+    events and a hot user-day is spread over many rows and tasks.
     """
     e = table(spark, sf_dir, "events")
     d = F.to_date(F.col("ts"))
@@ -208,12 +209,12 @@ def raw_meal_logs(spark: SparkSession, sf_dir: str, splits: int = DEFAULT_LOG_SP
         (F.lit(80) + F.get_json_object("props", "$.k").cast("double")).alias("grams"),
     )
     meal = _event_meal_id()
-    salt = F.pmod(F.col("event_id"), F.lit(splits))
+    block = F.floor(F.col("event_id") / F.lit(chunk))
 
     def items(mid: int) -> Column:
         return F.collect_list(F.when(meal == mid, item))
 
-    g = (e.groupBy(F.col("user_id").cast("long").alias("user_id"), d.alias("day"), salt.alias("part"))
+    g = (e.groupBy(F.col("user_id").cast("long").alias("user_id"), d.alias("day"), block.alias("part"))
          .agg(items(1).alias("b"), items(2).alias("l"), items(3).alias("d")))
     return g.select(
         "user_id",
