@@ -30,6 +30,7 @@ class Warehouse:
     items_override: DataFrame | None = None
     tz: str = "UTC"
     as_of_value: Column | str | None = None
+    feed_dates: DataFrame | None = None
     latest_food_load: bool = False
     windowed_from_fact: bool = False
     personal_targets: dict[int, float] = field(default_factory=lambda: dict(seeds.PERSONAL_TARGETS))
@@ -39,8 +40,11 @@ class Warehouse:
     def from_testdata(cls, spark: SparkSession, sf_dir: str, history: str = "events", **kw) -> "Warehouse":
         """history='events': nested daily logs from events (dense 30 days);
         history='orders': item facts from lineitem ⋈ orders (long history)."""
+        src = "events" if history == "events" else "orders"
+        ts = "ts" if history == "events" else "o_orderdate"
         base = dict(
             spark=spark,
+            feed_dates=fixtures.table(spark, sf_dir, src).select(F.to_date(ts).alias("day")),
             raw_foods=fixtures.raw_foods(spark, sf_dir),
             raw_users=fixtures.raw_users(spark, sf_dir),
             raw_weights=fixtures.raw_weight_logs(spark, sf_dir),
@@ -107,11 +111,20 @@ class Warehouse:
 
     @property
     def as_of(self) -> Column:
+        """The run date: explicit, else the latest day of the raw feed (a
+        scalar subquery over one pruned column), else the latest item day."""
         if self.as_of_value is not None:
             v = self.as_of_value
             return F.lit(v).cast("date") if isinstance(v, str) else v
+        if self.feed_dates is not None:
+            return self.feed_dates.select(F.max("day")).scalar()
         return self.items.select(F.max("logged_date")).scalar()
 
+    def feed_span(self) -> tuple[Column, Column]:
+        """(first, last) day of the raw feed as scalar subqueries."""
+        src = self.feed_dates if self.feed_dates is not None else self.items.select(F.col("logged_date").alias("day"))
+        return src.select(F.min("day")).scalar(), src.select(F.max("day")).scalar()
+
     @cached_property
     def daily_intake(self) -> DataFrame:
         return T.daily_intake(self.scaled, self.as_of)

@@ -118,9 +118,7 @@ def b4_stg_meal_logs(spark, sf):
 @query("m1_dim_date")
 def m1_dim_date(spark, sf):
     """Date dimension spanning the long item history (bounds are scalar subqueries)."""
-    items = orders_wh(spark, sf).items
-    lo = items.select(F.min("logged_date")).scalar()
-    hi = items.select(F.max("logged_date")).scalar()
+    lo, hi = orders_wh(spark, sf).feed_span()
     return M.dim_date(spark, lo, hi, end_inclusive=True)
 
 
@@ -130,10 +128,9 @@ from . import reports as R  # noqa: E402
 
 
 def _range(w: Warehouse):
-    """Dashboard date range: from a week after the first logged day to the last."""
-    items = w.fct_meal_logs
-    return (F.date_add(items.select(F.min("logged_date")).scalar(), 7),
-            items.select(F.max("logged_date")).scalar())
+    """Dashboard date range: from a week after the feed's first day to its last day."""
+    lo, hi = w.feed_span()
+    return F.date_add(lo, 7), hi
 
 
 @query("r1_daily")
@@ -180,7 +177,7 @@ def r7_segment_pivot(spark, sf):
 @query("r8_food_log")
 def r8_food_log(spark, sf):
     w = events_wh(spark, sf)
-    return R.daily_food_log_report(w.fct_meal_logs, w.dim_foods, w.dim_meals)
+    return R.daily_food_log_report(w.fct_meal_logs, w.dim_foods, w.dim_meals, report_date=w.as_of)
 
 
 @query("r9_weekly_food")
@@ -371,19 +368,20 @@ def _fact(df):
     return df.select(*[F.col(c).cast(t).alias(c) for c, t in FACT_COLS.items()])
 
 
-def _day(items, offset: int):
-    return F.date_add(items.select(F.min("logged_date")).scalar(), offset)
+def _day(w: Warehouse, offset: int):
+    return F.date_add(w.feed_span()[0], offset)
 
 
 @query("i1_high_water")
 def i1_high_water(spark, sf):
     """Two incremental runs of fct_meal_logs: first build, then an
     overlapping batch filtered above the high-water mark."""
-    items = events_wh(spark, sf).fct_meal_logs
+    w = events_wh(spark, sf)
+    items = w.fct_meal_logs
     path = _run_dir(spark, "i1") + "/fct_meal_logs"
-    W.incremental_append(items.where(F.col("logged_date") <= _day(items, 14)), path, "logged_date",
+    W.incremental_append(items.where(F.col("logged_date") <= _day(w, 14)), path, "logged_date",
                          FACT_KEY, ["logged_date"])
-    W.incremental_append(items.where(F.col("logged_date") >= _day(items, 10)), path, "logged_date",
+    W.incremental_append(items.where(F.col("logged_date") >= _day(w, 10)), path, "logged_date",
                          FACT_KEY, ["logged_date"])
     return _fact(spark.read.parquet(path))
 
@@ -391,10 +389,11 @@ def i1_high_water(spark, sf):
 @query("i2_replace")
 def i2_replace(spark, sf):
     """Reprocess mode: a corrected batch replaces matching keys in touched days."""
-    items = events_wh(spark, sf).fct_meal_logs
+    w = events_wh(spark, sf)
+    items = w.fct_meal_logs
     path = _run_dir(spark, "i2") + "/fct_meal_logs"
-    W.merge_by_key(items.where(F.col("logged_date") <= _day(items, 14)), path, FACT_KEY, ["logged_date"])
-    fix = items.where(F.col("logged_date").between(_day(items, 10), _day(items, 20))).withColumn(
+    W.merge_by_key(items.where(F.col("logged_date") <= _day(w, 14)), path, FACT_KEY, ["logged_date"])
+    fix = items.where(F.col("logged_date").between(_day(w, 10), _day(w, 20))).withColumn(
         "grams", F.col("grams") + F.lit(1.0))
     W.merge_by_key(fix, path, FACT_KEY, ["logged_date"])
     return _fact(spark.read.parquet(path))

@@ -96,13 +96,15 @@ cte("fx_items_o", f"""SELECT CAST(o.o_custkey AS BIGINT) AS user_id, CAST(l.l_li
 FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey""")
 
 NUTS = ["protein_g", "fat_g", "carbohydrate_g", "fiber_g", "total_sugar_g"]
+# raw feed behind each history: (table, timestamp column); its days anchor as_of and ranges
+FEED = {"e": ("events", "ts"), "o": ("orders", "o_orderdate")}
 
 for h in ("e", "o"):
     cols = ",\n  ".join(f"CAST(f.{n} AS DECIMAL(12,4)) * CAST(i.grams AS DECIMAL(12,4)) * 0.01 AS {n}" for n in NUTS)
     cte(f"fx_scaled_{h}", f"""SELECT i.user_id, i.meal_id, i.logged_date, i.logged_date_id,
   {cols}
 FROM fx_items_{h} i JOIN fx_foods f ON i.fdc_id = f.fdc_id""", [f"fx_items_{h}", "fx_foods"])
-    cte(f"fx_asof_{h}", f"SELECT max(logged_date) AS as_of FROM fx_items_{h}", [f"fx_items_{h}"])
+    cte(f"fx_asof_{h}", f"SELECT max(CAST({FEED[h][1]} AS DATE)) AS as_of FROM {FEED[h][0]}")
     union = "\n  UNION ALL ".join(
         f"SELECT user_id, logged_date, logged_date_id, {k + 1} AS nutrient_id, {n} AS v FROM fx_scaled_{h}"
         for k, n in enumerate(NUTS))
@@ -222,15 +224,15 @@ ORACLE["m1_dim_date"] = build(f"""SELECT {_did('full_date')} AS date_id, full_da
   monthname(full_date) AS month_name, CAST(week(full_date) AS INTEGER) AS week_of_year,
   CAST(day(full_date) AS INTEGER) AS day_of_month, CAST(dayofweek(full_date) AS INTEGER) AS day_of_week,
   dayname(full_date) AS day_name, dayofweek(full_date) IN (0, 6) AS is_weekend
-FROM (SELECT CAST(d AS DATE) AS full_date FROM range((SELECT min(logged_date) FROM fx_items_o),
-      (SELECT max(logged_date) FROM fx_items_o) + INTERVAL 1 DAY, INTERVAL 1 DAY) t(d)) s""", "fx_items_o")
+FROM (SELECT CAST(d AS DATE) AS full_date FROM range((SELECT min(CAST(o_orderdate AS DATE)) FROM orders),
+      (SELECT max(CAST(o_orderdate AS DATE)) FROM orders) + INTERVAL 1 DAY, INTERVAL 1 DAY) t(d)) s""")
 
 for h in ("e", "o"):
     cte(f"fx_dn_{h}", f"""SELECT f.user_id, f.nutrient_id, n.nutrient_name, f.logged_date, sum(f.value_g) AS dv
 FROM fx_mln_{h} f JOIN s_nutrients n ON f.nutrient_id = n.nutrient_id
 GROUP BY f.user_id, f.nutrient_id, n.nutrient_name, f.logged_date""", [f"fx_mln_{h}", "s_nutrients"])
-    cte(f"fx_range_{h}", f"""SELECT CAST(min(logged_date) + INTERVAL 7 DAY AS DATE) AS s, max(logged_date) AS e
-FROM fx_items_{h}""", [f"fx_items_{h}"])
+    cte(f"fx_range_{h}", f"""SELECT CAST(min(CAST({FEED[h][1]} AS DATE)) + INTERVAL 7 DAY AS DATE) AS s,
+  max(CAST({FEED[h][1]} AS DATE)) AS e FROM {FEED[h][0]}""")
     cte(f"fx_dnr_{h}", f"""SELECT f.user_id, f.nutrient_id, n.nutrient_name, f.logged_date, sum(f.value_g) AS dv
 FROM fx_mln_{h} f JOIN s_nutrients n ON f.nutrient_id = n.nutrient_id
 WHERE f.logged_date BETWEEN (SELECT s FROM fx_range_{h}) AND (SELECT e FROM fx_range_{h})
@@ -274,7 +276,7 @@ ORACLE["r7_segment_pivot"] = build("SELECT user_id, " + ", ".join(
     for lb in ["low_protein", "high_fat", "low_fiber", "high_sugar"]) + """
 FROM fx_seg_e WHERE logged_date = (SELECT max(logged_date) FROM fx_seg_e) GROUP BY user_id""", "fx_seg_e")
 ORACLE["r8_food_log"] = build("""SELECT user_id, logged_date, meal_name, food_name, grams FROM fx_foodlog_e
-WHERE logged_date = (SELECT max(logged_date) FROM fx_items_e)""", "fx_foodlog_e", "fx_items_e")
+WHERE logged_date = (SELECT as_of FROM fx_asof_e)""", "fx_foodlog_e", "fx_asof_e")
 ORACLE["r9_weekly_food"] = build("""SELECT user_id, CAST(date_trunc('week', logged_date) AS DATE) AS week_start, meal_name,
   food_name, count(*) AS times_logged,
   round(CAST(sum(CAST(grams AS DECIMAL(12,4))) AS DOUBLE) / count(grams), 1) AS avg_grams
@@ -372,14 +374,15 @@ ORACLE["q8_grain"] = build("""SELECT user_id, meal_id, fdc_id, logged_date, coun
 GROUP BY user_id, meal_id, fdc_id, logged_date HAVING count(*) > 1""", "fx_items_o")
 
 # ------------------------------------------------------------------ writes
-cte("fx_b1_e", """SELECT * FROM fx_items_e WHERE logged_date <= (SELECT min(logged_date) FROM fx_items_e) + INTERVAL 14 DAY""",
-    ["fx_items_e"])
+cte("fx_feed0_e", "SELECT min(CAST(ts AS DATE)) AS d0 FROM events")
+cte("fx_b1_e", """SELECT * FROM fx_items_e WHERE logged_date <= (SELECT d0 FROM fx_feed0_e) + INTERVAL 14 DAY""",
+    ["fx_items_e", "fx_feed0_e"])
 ORACLE["i1_high_water"] = build("""SELECT * FROM fx_b1_e UNION ALL
-SELECT * FROM fx_items_e WHERE logged_date >= (SELECT min(logged_date) FROM fx_items_e) + INTERVAL 10 DAY
-  AND logged_date > (SELECT max(logged_date) FROM fx_b1_e)""", "fx_b1_e", "fx_items_e")
+SELECT * FROM fx_items_e WHERE logged_date >= (SELECT d0 FROM fx_feed0_e) + INTERVAL 10 DAY
+  AND logged_date > (SELECT max(logged_date) FROM fx_b1_e)""", "fx_b1_e", "fx_items_e", "fx_feed0_e")
 cte("fx_b2_e", """SELECT user_id, meal_id, fdc_id, grams + 1.0 AS grams, logged_date, logged_date_id FROM fx_items_e
-WHERE logged_date BETWEEN (SELECT min(logged_date) FROM fx_items_e) + INTERVAL 10 DAY
-                      AND (SELECT min(logged_date) FROM fx_items_e) + INTERVAL 20 DAY""", ["fx_items_e"])
+WHERE logged_date BETWEEN (SELECT d0 FROM fx_feed0_e) + INTERVAL 10 DAY
+                      AND (SELECT d0 FROM fx_feed0_e) + INTERVAL 20 DAY""", ["fx_items_e", "fx_feed0_e"])
 ORACLE["i2_replace"] = build("""SELECT * FROM fx_b1_e b WHERE NOT EXISTS (SELECT 1 FROM fx_b2_e x WHERE x.user_id = b.user_id
   AND x.meal_id = b.meal_id AND x.fdc_id = b.fdc_id AND x.logged_date = b.logged_date)
 UNION ALL SELECT * FROM fx_b2_e""", "fx_b1_e", "fx_b2_e")
