@@ -129,6 +129,11 @@ class Warehouse:
     def daily_intake(self) -> DataFrame:
         return T.daily_intake(self.scaled, self.as_of)
 
+    @cached_property
+    def daily_totals(self) -> DataFrame:
+        """All-history daily totals (the reports' first level), from scaled items."""
+        return T.daily_totals(self.scaled)
+
     @cached_property
     def users_bmi(self) -> DataFrame:
         return T.users_with_bmi(self.stg_users, self.stg_weights, self.bmi_categories)

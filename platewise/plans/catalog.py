@@ -136,25 +136,25 @@ def _range(w: Warehouse):
 @query("r1_daily")
 def r1_daily(spark, sf):
     w = orders_wh(spark, sf)
-    return R.daily_intake_report(w.fct_meal_log_nutrients, w.dim_nutrients)
+    return R.daily_intake_report(None, w.dim_nutrients, daily=w.daily_totals)
 
 
 @query("r2_weekly")
 def r2_weekly(spark, sf):
     w = orders_wh(spark, sf)
-    return R.weekly_average_report(w.fct_meal_log_nutrients, w.dim_nutrients)
+    return R.weekly_average_report(None, w.dim_nutrients, daily=w.daily_totals)
 
 
 @query("r3_mom")
 def r3_mom(spark, sf):
     w = orders_wh(spark, sf)
-    return R.monthly_mom_report(w.fct_meal_log_nutrients, w.dim_nutrients)
+    return R.monthly_mom_report(None, w.dim_nutrients, daily=w.daily_totals)
 
 
 @query("r4_rolling")
 def r4_rolling(spark, sf):
     w = events_wh(spark, sf)
-    return R.rolling_report(w.fct_meal_log_nutrients, w.dim_nutrients, w.dim_date)
+    return R.rolling_report(None, w.dim_nutrients, w.dim_date, daily=w.daily_totals)
 
 
 @query("r5_latest")
@@ -213,21 +213,21 @@ def d3_overview(spark, sf):
 def d4_rolling_user(spark, sf):
     w = events_wh(spark, sf)
     s, e = _range(w)
-    return D.nutrient_rolling(w.fct_meal_log_nutrients, w.dim_nutrients, start=s, end=e)
+    return D.nutrient_rolling(None, w.dim_nutrients, start=s, end=e, daily=w.daily_totals)
 
 
 @query("d5_weekly_user")
 def d5_weekly_user(spark, sf):
     w = orders_wh(spark, sf)
     s, e = _range(w)
-    return D.weekly_user(w.fct_meal_log_nutrients, w.dim_nutrients, start=s, end=e)
+    return D.weekly_user(None, w.dim_nutrients, start=s, end=e, daily=w.daily_totals)
 
 
 @query("d6_monthly_user")
 def d6_monthly_user(spark, sf):
     w = orders_wh(spark, sf)
     s, e = _range(w)
-    return D.monthly_user(w.fct_meal_log_nutrients, w.dim_nutrients, start=s, end=e)
+    return D.monthly_user(None, w.dim_nutrients, start=s, end=e, daily=w.daily_totals)
 
 
 @query("d7_food_range")
@@ -268,14 +268,14 @@ def d11_first_last(spark, sf):
 def d12_week_labels(spark, sf):
     w = orders_wh(spark, sf)
     s, e = _range(w)
-    return D.with_week_label(D.weekly_user(w.fct_meal_log_nutrients, w.dim_nutrients, start=s, end=e))
+    return D.with_week_label(D.weekly_user(None, w.dim_nutrients, start=s, end=e, daily=w.daily_totals))
 
 
 @query("d12_month_labels")
 def d12_month_labels(spark, sf):
     w = orders_wh(spark, sf)
     s, e = _range(w)
-    return D.with_month_label(D.monthly_user(w.fct_meal_log_nutrients, w.dim_nutrients, start=s, end=e))
+    return D.with_month_label(D.monthly_user(None, w.dim_nutrients, start=s, end=e, daily=w.daily_totals))
 
 
 @query("d13_day_meals")

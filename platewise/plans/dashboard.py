@@ -57,34 +57,41 @@ def user_overview(dim_users: DataFrame, dim_date: DataFrame, users: list[int] |
         "recommended_protein_g", "registered_date")
 
 
-def _daily_named(fct_mln: DataFrame, dim_nutrients: DataFrame, users, start, end) -> DataFrame:
-    f = _filter(fct_mln, users, "logged_date", start, end)
-    return f.join(lookup(dim_nutrients.select("nutrient_id", "nutrient_name")), "nutrient_id").groupBy(
-        "user_id", "nutrient_id", "nutrient_name", "logged_date").agg(F.sum("value_g").alias("dv"))
-
-
-def nutrient_rolling(fct_mln: DataFrame, dim_nutrients: DataFrame, users=None, start: DateArg = None,
-                     end: DateArg = None) -> DataFrame:
+def _daily_named(fct_mln: DataFrame | None, dim_nutrients: DataFrame, users, start, end,
+                 daily: DataFrame | None = None) -> DataFrame:
+    """Daily totals in the range with nutrient names; filters run first (on the
+    fact, or on precomputed daily totals: the date is a grouping key)."""
+    if daily is None:
+        f = _filter(fct_mln, users, "logged_date", start, end)
+        daily = f.groupBy("user_id", "nutrient_id", "logged_date").agg(F.sum("value_g").alias("daily_value_g"))
+    else:
+        daily = _filter(daily, users, "logged_date", start, end)
+    return daily.join(lookup(dim_nutrients.select("nutrient_id", "nutrient_name")), "nutrient_id").select(
+        "user_id", "nutrient_id", "nutrient_name", "logged_date", F.col("daily_value_g").alias("dv"))
+
+
+def nutrient_rolling(fct_mln: DataFrame | None, dim_nutrients: DataFrame, users=None, start: DateArg = None,
+                     end: DateArg = None, daily: DataFrame | None = None) -> DataFrame:
     """Daily intake and 7-row rolling average inside the date range."""
-    d = _daily_named(fct_mln, dim_nutrients, users, start, end)
+    d = _daily_named(fct_mln, dim_nutrients, users, start, end, daily)
     return d.select("user_id", "nutrient_name", "logged_date", F.col("dv").cast("double").alias("daily_value_g"),
                     rolling_average("dv", ["user_id", "nutrient_id"], "logged_date").alias("rolling_7d_avg_g")
                     ).orderBy("user_id", "nutrient_name", "logged_date")
 
 
-def weekly_user(fct_mln: DataFrame, dim_nutrients: DataFrame, users=None, start: DateArg = None,
-                end: DateArg = None) -> DataFrame:
+def weekly_user(fct_mln: DataFrame | None, dim_nutrients: DataFrame, users=None, start: DateArg = None,
+                end: DateArg = None, daily: DataFrame | None = None) -> DataFrame:
     """Weekly average daily intake inside the range."""
-    d = _daily_named(fct_mln, dim_nutrients, users, start, end)
+    d = _daily_named(fct_mln, dim_nutrients, users, start, end, daily)
     return d.groupBy("user_id", "nutrient_id", "nutrient_name", week_start("logged_date").alias("week_start")).agg(
         avg_round2("dv").alias("weekly_avg_g")).select(
         "user_id", "nutrient_name", "week_start", "weekly_avg_g").orderBy("user_id", "nutrient_name", "week_start")
 
 
-def monthly_user(fct_mln: DataFrame, dim_nutrients: DataFrame, users=None, start: DateArg = None,
-                 end: DateArg = None) -> DataFrame:
+def monthly_user(fct_mln: DataFrame | None, dim_nutrients: DataFrame, users=None, start: DateArg = None,
+                 end: DateArg = None, daily: DataFrame | None = None) -> DataFrame:
     """Monthly average and month-over-month delta inside the range."""
-    d = _daily_named(fct_mln, dim_nutrients, users, start, end)
+    d = _daily_named(fct_mln, dim_nutrients, users, start, end, daily)
     m = d.groupBy("user_id", "nutrient_id", "nutrient_name", month_start("logged_date").alias("month_start")).agg(
         avg_round2("dv").alias("monthly_avg_g"))
     prev = F.lag("monthly_avg_g").over(Window.partitionBy("user_id", "nutrient_id").orderBy("month_start"))

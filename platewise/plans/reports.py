@@ -20,22 +20,33 @@ def _sorted(df: DataFrame, ordered: bool, *cols) -> DataFrame:
     return df.orderBy(*cols) if ordered else df
 
 
-def _daily(fct_mln: DataFrame) -> DataFrame:
-    """Daily totals per user and nutrient (exact)."""
-    return fct_mln.groupBy("user_id", "nutrient_id", "logged_date").agg(F.sum("value_g").alias("daily_value_g"))
+def daily_totals(fct_mln: DataFrame | None, daily: DataFrame | None = None) -> DataFrame:
+    """Daily totals per user and nutrient (exact): the first level of every
+    intake report. Pass ``daily`` when it is already at hand (e.g. computed
+    from scaled items, one shuffle less than re-aggregating the meal fact)."""
+    if daily is not None:
+        return daily
+    return fct_mln.groupBy("user_id", "nutrient_id", "logged_date", "logged_date_id").agg(
+        F.sum("value_g").alias("daily_value_g"))
 
 
-def daily_intake_report(fct_mln: DataFrame, dim_nutrients: DataFrame, ordered: bool = True) -> DataFrame:
+def _names(dim_nutrients: DataFrame) -> DataFrame:
+    """Nutrient names (unique per nutrient_id in the dimension), broadcast."""
+    return lookup(dim_nutrients.select("nutrient_id", "nutrient_name"))
+
+
+def daily_intake_report(fct_mln: DataFrame | None, dim_nutrients: DataFrame, ordered: bool = True,
+                        daily: DataFrame | None = None) -> DataFrame:
     """Grams per nutrient per user per day, summed across meals."""
-    j = fct_mln.join(lookup(dim_nutrients.select("nutrient_id", "nutrient_name")), "nutrient_id", "inner")
-    out = j.groupBy("user_id", "nutrient_name", "logged_date").agg(
-        F.sum("value_g").cast("double").alias("daily_value_g"))
+    out = daily_totals(fct_mln, daily).join(_names(dim_nutrients), "nutrient_id", "inner").select(
+        "user_id", "nutrient_name", "logged_date", F.col("daily_value_g").cast("double").alias("daily_value_g"))
     return _sorted(out, ordered, "logged_date", "user_id", "nutrient_name")
 
 
-def weekly_average_report(fct_mln: DataFrame, dim_nutrients: DataFrame, ordered: bool = True) -> DataFrame:
+def weekly_average_report(fct_mln: DataFrame | None, dim_nutrients: DataFrame, ordered: bool = True,
+                          daily: DataFrame | None = None) -> DataFrame:
     """R2: average daily intake per ISO week (Monday start)."""
-    d = _daily(fct_mln).join(lookup(dim_nutrients.select("nutrient_id", "nutrient_name")), "nutrient_id")
+    d = daily_totals(fct_mln, daily).join(_names(dim_nutrients), "nutrient_id")
     out = d.groupBy("user_id", "nutrient_id", "nutrient_name", week_start("logged_date").alias("week_start")).agg(
         avg_round2("daily_value_g").alias("weekly_avg_g")).select(
         "user_id", "nutrient_name", "week_start", "weekly_avg_g")
@@ -47,9 +58,10 @@ def monthly_rollup(daily: DataFrame, keys: list[str]) -> DataFrame:
         avg_round2("daily_value_g").alias("monthly_avg_g"))
 
 
-def monthly_mom_report(fct_mln: DataFrame, dim_nutrients: DataFrame, ordered: bool = True) -> DataFrame:
+def monthly_mom_report(fct_mln: DataFrame | None, dim_nutrients: DataFrame, ordered: bool = True,
+                       daily: DataFrame | None = None) -> DataFrame:
     """Monthly average, previous month's average and the delta (of rounded values)."""
-    d = _daily(fct_mln).join(lookup(dim_nutrients.select("nutrient_id", "nutrient_name")), "nutrient_id")
+    d = daily_totals(fct_mln, daily).join(_names(dim_nutrients), "nutrient_id")
     m = monthly_rollup(d, ["user_id", "nutrient_id", "nutrient_name"])
     prev = F.lag("monthly_avg_g").over(Window.partitionBy("user_id", "nutrient_id").orderBy("month_start"))
     out = m.select("user_id", "nutrient_name", "month_start", "monthly_avg_g",
@@ -65,15 +77,16 @@ def rolling_average(value: str, partition: list[str], order: str, rows: int = 7)
                                         F.count(value).over(w).cast("double")), 2)
 
 
-def rolling_report(fct_mln: DataFrame, dim_nutrients: DataFrame, dim_date: DataFrame,
-                   ordered: bool = True) -> DataFrame:
-    """Daily series with calendar attributes and a 7-row rolling average."""
+def rolling_report(fct_mln: DataFrame | None, dim_nutrients: DataFrame, dim_date: DataFrame,
+                   ordered: bool = True, daily: DataFrame | None = None) -> DataFrame:
+    """Daily series with calendar attributes and a 7-row rolling average.
+
+    Days outside the date dimension drop out (inner join), as in the report.
+    """
     dd = dim_date.select(F.col("date_id").alias("logged_date_id"), "week_of_year", "month_name")
-    j = (fct_mln.join(lookup(dim_nutrients.select("nutrient_id", "nutrient_name")), "nutrient_id")
-         .join(dd, "logged_date_id", "inner"))
-    daily = j.groupBy("user_id", "nutrient_id", "nutrient_name", "logged_date", "week_of_year", "month_name").agg(
-        F.sum("value_g").alias("dv"))
-    out = daily.select(
+    d = (daily_totals(fct_mln, daily).join(_names(dim_nutrients), "nutrient_id")
+         .join(dd, "logged_date_id", "inner").withColumnRenamed("daily_value_g", "dv"))
+    out = d.select(
         "user_id", "nutrient_name", "logged_date", "week_of_year", "month_name",
         F.col("dv").cast("double").alias("daily_value_g"),
         rolling_average("dv", ["user_id", "nutrient_id"], "logged_date").alias("rolling_7d_avg_g"))
