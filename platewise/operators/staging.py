@@ -24,10 +24,13 @@ def stg_foods(raw_foods: DataFrame, tz: str = "UTC") -> DataFrame:
     the warehouse (ANSI mode).
     """
     j = F.col("raw_json")
+    # one parse of the document for both fields (string fields keep the raw
+    # text of scalars, like the ->> operator)
+    doc = F.from_json(j, "struct<description:string,publicationDate:string>")
     return raw_foods.select(
         F.col("fdc_id"),
-        F.coalesce(F.get_json_object(j, "$.description"), F.lit("Unknown")).alias("description"),
-        F.get_json_object(j, "$.publicationDate").cast("date").alias("publication_date"),
+        F.coalesce(doc["description"], F.lit("Unknown")).alias("description"),
+        doc["publicationDate"].cast("date").alias("publication_date"),
         j.alias("raw_json"),
         to_utc("loaded_at", _dtype(raw_foods, "loaded_at"), tz).alias("loaded_at"),
     )

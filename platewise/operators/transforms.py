@@ -50,7 +50,7 @@ def food_nutrients(stg_foods: DataFrame, latest_only: bool = False) -> DataFrame
     foods = stg_foods
     if latest_only:
         foods = latest_load(foods)
-    items = F.from_json(F.get_json_object("raw_json", "$.foodNutrients"), schemas.FOOD_NUTRIENTS_JSON)
+    items = F.from_json("raw_json", f"struct<foodNutrients:{schemas.FOOD_NUTRIENTS_JSON}>")["foodNutrients"]
     with_items = foods.select("fdc_id", "description", "publication_date", "loaded_at", items.alias("_n"))
     return with_items.where(F.size("_n") > 0).select(
         "fdc_id",

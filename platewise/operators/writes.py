@@ -111,6 +111,11 @@ def merge_by_key(batch: DataFrame, path: str, unique_key: list[str], partition_b
     if not table_exists(spark, path):
         replace_table(batch, path, partition_by)
         return
+    # the batch is used three times below: materialise it once (shared storage,
+    # survives executor loss, cuts the batch's lineage)
+    batch = stage(batch, path)
+    if batch.isEmpty():
+        return
     target = spark.read.parquet(path)
     if partition_by:
         touched = batch.select(*partition_by).distinct()

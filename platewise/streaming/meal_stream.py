@@ -45,8 +45,6 @@ def daily_window_sums(items_stream: DataFrame, foods: DataFrame, lateness: str =
 
 def _upsert_daily(sink: str):
     def write_batch(batch: DataFrame, batch_id: int) -> None:  # noqa: ARG001 - idempotent by key
-        if batch.isEmpty():
-            return
         wide = batch.select("user_id", "logged_date", "logged_date_id", *T.NUTRIENTS)
         long = T.to_long(wide, ["user_id", "logged_date", "logged_date_id"], "daily_value_g").select(
             "user_id", "nutrient_id", "logged_date", "logged_date_id", "daily_value_g")
