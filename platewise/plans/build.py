@@ -200,3 +200,24 @@ class Warehouse:
     @cached_property
     def fct_user_segments_windowed(self) -> DataFrame:
         return M.fct_user_segments_windowed(self.windowed)
+
+    # ---------------------------------------------------------------- views
+    MODEL_VIEWS = (
+        "stg_foods", "stg_users", "stg_weights", "food_nutrients", "items", "scaled", "daily_intake",
+        "users_bmi", "bmi_history", "segments", "windowed", "dim_date", "dim_users", "dim_meals",
+        "dim_nutrients", "dim_foods", "fct_meal_logs", "fct_meal_log_nutrients", "fct_bmi_evolution",
+        "fct_user_segments", "fct_user_segments_windowed",
+    )
+
+    def register_views(self, prefix: str = "") -> list[str]:
+        """Expose every model as a temporary view for SQL users (lazy: a
+        view is a named logical plan, nothing is computed here)."""
+        names = []
+        for m in self.MODEL_VIEWS:
+            getattr(self, m).createOrReplaceTempView(prefix + m)
+            names.append(prefix + m)
+        if self.raw_meal_logs is not None:
+            self.stg_meal_logs.createOrReplaceTempView(prefix + "stg_meal_logs")
+            names.append(prefix + "stg_meal_logs")
+        return names
+

@@ -290,6 +290,7 @@ from ..operators import quality as Q  # noqa: E402
 from ..operators import staging as S  # noqa: E402
 from ..operators import transforms as T  # noqa: E402
 from ..operators import writes as W  # noqa: E402
+from ..functions import instant_to_utc  # noqa: E402
 from ..session import storage_root  # noqa: E402
 from ..sources import fixtures, seeds  # noqa: E402
 from .reports import SEGMENT_LABELS  # noqa: E402
@@ -423,10 +424,10 @@ def i5_point_in_time(spark, sf):
 @query("a1_land_foods")
 def a1_land_foods(spark, sf):
     """API pages of 200 foods -> raw_foods rows; checked on what the JSON says."""
-    landed = W.land_food_pages(fixtures.food_pages(spark, sf), fixtures.DEFAULT_LOADED_AT)
+    landed = W.land_food_pages(fixtures.food_pages(spark, sf), fixtures.DEFAULT_LOADED_AT + "+00:00")
     j = F.col("raw_json")
     return landed.select(
-        "fdc_id", F.col("loaded_at").cast("timestamp_ntz").alias("loaded_at"),
+        "fdc_id", instant_to_utc("loaded_at").alias("loaded_at"),
         F.get_json_object(j, "$.description").alias("description"),
         F.json_array_length(F.get_json_object(j, "$.foodNutrients")).alias("n_nutrients"))
 
@@ -445,3 +446,10 @@ def x1_stream_daily(spark, sf):
     return out.select(F.col("user_id").cast("long"), F.col("nutrient_id").cast("int"),
                       F.col("logged_date").cast("date"), F.col("logged_date_id").cast("int"),
                       F.col("daily_value_g").cast("double"))
+
+
+@query("a6_food_ids")
+def a6_food_ids(spark, sf):
+    """Valid food keys of the raw table after two monthly loads."""
+    from ..sources.raw import food_ids
+    return food_ids(_two_loads(spark, sf))

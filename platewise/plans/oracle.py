@@ -430,3 +430,5 @@ FROM (""" + "\n  UNION ALL ".join(
     f"SELECT user_id, logged_date, logged_date_id, {k + 1} AS nutrient_id, {n} AS v FROM fx_scaled_e"
     for k, n in enumerate(NUTS)) + """) lf
 GROUP BY user_id, nutrient_id, logged_date, logged_date_id""", "fx_scaled_e")
+
+ORACLE["a6_food_ids"] = "SELECT DISTINCT CAST(p_partkey AS BIGINT) AS fdc_id FROM part"

@@ -139,13 +139,14 @@ def raw_foods(spark: SparkSession, sf_dir: str, loaded_at: str = DEFAULT_LOADED_
     )
     return v.select(
         k.alias("fdc_id"),
-        F.to_timestamp(F.lit(loaded_at)).alias("loaded_at"),
+        F.to_timestamp(F.lit(loaded_at + "+00:00")).alias("loaded_at"),  # an instant, whatever the session zone
         F.to_json(doc).alias("raw_json"),
     )
 
 
 def food_pages(spark: SparkSession, sf_dir: str, page_size: int = 200) -> DataFrame:
-    """Group food documents into API-style pages: one JSON array text per page."""
+    """Group food documents into API-style pages: one JSON array text per page
+    (at most ``page_size`` consecutive ids per page, so every group is bounded)."""
     docs = raw_foods(spark, sf_dir).select("fdc_id", "raw_json")
     return (docs.groupBy(F.floor(F.col("fdc_id") / page_size).alias("page_no"))
             .agg(F.concat(F.lit("["), F.array_join(F.collect_list("raw_json"), ","), F.lit("]"))
