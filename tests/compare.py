@@ -55,6 +55,32 @@ def _rows(cols, records, tol):
     return sorted(out, key=lambda t: tuple((x is None, str(type(x)), x if x is not None else 0) for x in t))
 
 
+def _kind_spark(t: str) -> str:
+    t = t.lower()
+    if t in ("tinyint", "smallint", "int", "bigint"):
+        return "int"
+    if t in ("float", "double"):
+        return "float"
+    if t.startswith("decimal"):
+        return "decimal"
+    if t.startswith("timestamp"):
+        return "timestamp"
+    return {"string": "string", "date": "date", "boolean": "bool"}.get(t, t)
+
+
+def _kind_duck(t: str) -> str:
+    t = t.upper()
+    if t in ("TINYINT", "SMALLINT", "INTEGER", "BIGINT", "HUGEINT", "NUMBER"):
+        return "int"
+    if t in ("FLOAT", "DOUBLE"):
+        return "float"
+    if t.startswith("DECIMAL"):
+        return "decimal"
+    if t.startswith("TIMESTAMP"):
+        return "timestamp"
+    return {"VARCHAR": "string", "STRING": "string", "DATE": "date", "BOOLEAN": "bool"}.get(t, t.lower())
+
+
 def compare(spark, sf_dir: str, key: str, con=None) -> dict:
     sys.path.insert(0, ROOT)
     import __spark_entry__ as E
@@ -71,10 +97,15 @@ def compare(spark, sf_dir: str, key: str, con=None) -> dict:
         return res
     cur = con.execute(sql)
     d_cols = [c[0] for c in cur.description]
+    d_types = [str(c[1]) for c in cur.description]
     d_rec = cur.fetchall()
     res["duck_sec"] = round(time.time() - t1, 2)
     res["duck_rows"] = len(d_rec)
     res["cols_match"] = sorted(s_cols) == sorted(d_cols)
+    s_kinds = {f.name: _kind_spark(f.dataType.simpleString()) for f in sdf.schema.fields}
+    d_kinds = {c: _kind_duck(t) for c, t in zip(d_cols, d_types)}
+    res["type_mismatch"] = {c: (s_kinds[c], d_kinds.get(c)) for c in s_kinds
+                            if c in d_kinds and s_kinds[c] != d_kinds[c]}
     if not res["cols_match"]:
         res["spark_cols"], res["duck_cols"] = sorted(s_cols), sorted(d_cols)
         return res
@@ -84,7 +115,7 @@ def compare(spark, sf_dir: str, key: str, con=None) -> dict:
         res["exact_diff" if not tol else "tol_diff"] = diff
         if diff and not tol:
             res["example"] = next(((x, y) for x, y in zip(a, b) if x != y), None)
-    res["ok"] = res["spark_rows"] == res["duck_rows"] and res["tol_diff"] == 0
+    res["ok"] = res["spark_rows"] == res["duck_rows"] and res["tol_diff"] == 0 and not res["type_mismatch"]
     return res
 
 

@@ -25,6 +25,7 @@ def test_query_matches_oracle(spark, con, key):
     assert r["cols_match"], r
     assert r["spark_rows"] == r["duck_rows"], r
     assert r["exact_diff"] == 0, r
+    assert not r["type_mismatch"], r
 
 
 def test_entry_smoke(spark):
