@@ -60,6 +60,35 @@ def scaled_amount(amount_per_100g: str | Column, grams: str | Column) -> Column:
     return col(amount_per_100g).cast(AMOUNT_TYPE) * col(grams).cast(GRAMS_TYPE) * F.lit(Decimal("0.01"))
 
 
+# Exact fixed-point form of per-item nutrient grams: an integer number of
+# 1e-10 g (= amount in 1e-4 g per 100 g  x  grams in 1e-4 g), carried as an
+# integer-valued DOUBLE. Products and sums stay on primitive arithmetic inside
+# whole-stage codegen; sums of integers below 2^53 (900 kg of a nutrient in
+# one group) are exact in any order. Aggregates convert their sums once to
+# DECIMAL(38,10) grams with ``units_to_grams``.
+UNIT_SCALE = Decimal("1E-10")
+
+
+def amount_units(amount_per_100g: str | Column) -> Column:
+    """Nutrient per 100 g in whole 1e-4 g (exact from the DECIMAL amount)."""
+    return (col(amount_per_100g).cast(AMOUNT_TYPE) * F.lit(10000)).cast("long")
+
+
+def grams_units(grams: str | Column) -> Column:
+    """Serving grams in whole 1e-4 g (half-up, like a DECIMAL(12,4) cast)."""
+    return F.floor(col(grams).cast("double") * F.lit(1e4) + F.lit(0.5)).cast("long")
+
+
+def nutrient_units(amount_u: str | Column, grams_u: str | Column) -> Column:
+    """Scaled nutrient of one item in 1e-10 g: ``amount * grams / 100``, exact."""
+    return (col(amount_u) * col(grams_u)).cast("double")
+
+
+def units_to_grams(units: str | Column) -> Column:
+    """Exact grams (DECIMAL(38,10)) from a (summed) unit count."""
+    return col(units).cast("decimal(27,0)") * F.lit(UNIT_SCALE)
+
+
 def per_gram(amount_per_100g: str | Column) -> Column:
     """Exact nutrient grams per gram of food: ``amount / 100`` as DECIMAL."""
     return col(amount_per_100g).cast(AMOUNT_TYPE) * F.lit(Decimal("0.01"))
@@ -134,5 +163,6 @@ __all__ = [
     "AMOUNT_TYPE", "GRAMS_TYPE", "SURROGATE_NULL", "date_id", "round_half_away", "round_exact",
     "bmi", "scaled_amount", "per_gram", "exact_avg", "avg_round2", "surrogate_key", "naive_to_utc",
     "instant_to_utc", "to_utc", "week_start", "month_start", "week_label", "month_label",
+    "amount_units", "grams_units", "nutrient_units", "units_to_grams",
     "threshold_flag",
 ]

@@ -94,14 +94,14 @@ def fct_meal_logs(items: DataFrame) -> DataFrame:
 
 
 # ------------------------------------------------------------------------ M7
-def fct_meal_log_nutrients(scaled: DataFrame) -> DataFrame:
+def fct_meal_log_nutrients(scaled_u: DataFrame) -> DataFrame:
     """M7: per user, meal and day, each nutrient's grams, in long form.
 
-    Five sums are aggregated first, then one Generate emits the five rows.
+    Takes the unit form of C3. Five sums are aggregated first, then one
+    Generate emits the five rows.
     """
     keys = ["user_id", "meal_id", "logged_date", "logged_date_id"]
-    wide = scaled.groupBy(*keys).agg(*[F.sum(n).alias(n) for n in T.NUTRIENTS])
-    return T.to_long(wide, keys, "value_g").select(
+    return T.to_long(T.grouped_grams(scaled_u, keys), keys, "value_g").select(
         "user_id", "meal_id", "nutrient_id", "logged_date", "logged_date_id", "value_g")
 
 

@@ -26,7 +26,8 @@ from pyspark.sql import functions as F
 
 from .. import schemas
 from ..functions import (
-    AMOUNT_TYPE, GRAMS_TYPE, avg_round2, date_id, per_gram, round_exact, round_half_away, threshold_flag,
+    AMOUNT_TYPE, amount_units, avg_round2, date_id, grams_units, nutrient_units, round_exact, round_half_away,
+    threshold_flag, units_to_grams,
 )
 from ..sources import seeds
 
@@ -97,21 +98,35 @@ def meal_items(stg_meal_logs: DataFrame, meals: DataFrame | None = None) -> Data
 
 
 # ------------------------------------------------------------------------ C3
-def scaled_nutrients(items: DataFrame, foods: DataFrame) -> DataFrame:
-    """Item ⋈ food, each nutrient scaled by grams/100 (exact DECIMAL).
-
-    Unknown foods drop the item (inner join).
+def scaled_units(items: DataFrame, foods: DataFrame) -> DataFrame:
+    """C3, exact fixed-point form: item ⋈ food, each nutrient scaled by grams/100,
+    in whole 1e-10 g (integer-valued DOUBLE, see ``functions.nutrient_units``).
+
+    This is what the aggregating operators consume: one long multiply per
+    nutrient inside codegen instead of a DECIMAL multiply. Unknown foods drop
+    the item (inner join). Unit factors are computed once per food (the small
+    side of the join).
     """
-    # Per-gram factors are computed once per food (the small side), so each
-    # item costs one exact multiply per nutrient.
-    f = foods.select("fdc_id", *[per_gram(n).alias(n) for n in NUTRIENTS])
-    i = items.select("user_id", "meal_id", "fdc_id", "grams", "logged_date", "logged_date_id")
+    f = foods.select("fdc_id", *[amount_units(n).alias(n) for n in NUTRIENTS])
+    i = items.select("user_id", "meal_id", "fdc_id", grams_units("grams").alias("_gu"), "logged_date",
+                     "logged_date_id")
     return i.join(f, "fdc_id", "inner").select(
         "user_id", "meal_id", "logged_date", "logged_date_id",
-        *[(F.col(n) * F.col("grams").cast(GRAMS_TYPE)).alias(n) for n in NUTRIENTS],
+        *[nutrient_units(n, "_gu").alias(n) for n in NUTRIENTS],
     )
 
 
+def scaled_nutrients(items: DataFrame, foods: DataFrame) -> DataFrame:
+    """Item ⋈ food, each nutrient scaled by grams/100, as exact DECIMAL grams."""
+    return units_in_grams(scaled_units(items, foods))
+
+
+def units_in_grams(df: DataFrame) -> DataFrame:
+    """Replace the nutrient unit columns of ``df`` by exact DECIMAL grams."""
+    return df.select(*[units_to_grams(c).alias(c) if c in NUTRIENTS else F.col(c) for c in df.columns])
+
+
+
 # ------------------------------------------------------------------------ C4
 def to_long(df: DataFrame, keys: list[str], value_name: str) -> DataFrame:
     """Wide five-nutrient row -> five (nutrient_id, value) rows, in one Generate."""
@@ -120,17 +135,28 @@ def to_long(df: DataFrame, keys: list[str], value_name: str) -> DataFrame:
     return df.select(*keys, F.inline(F.array(*pairs)))
 
 
-def daily_intake(scaled: DataFrame, as_of: Column | str, history_days: int = 365) -> DataFrame:
+def daily_intake(scaled_u: DataFrame, as_of: Column | str, history_days: int = 365) -> DataFrame:
     """C4: per user, nutrient and day: total grams, over the trailing window.
 
-    ``as_of`` replaces the warehouse's ``current_date``: a date literal, or a
-    Column such as a scalar subquery over the data.
+    Takes the unit form of C3 (``scaled_units``). ``as_of`` replaces the
+    warehouse's ``current_date``: a date literal, or a Column such as a scalar
+    subquery over the data.
     """
     as_of_col = F.lit(as_of).cast("date") if isinstance(as_of, str) else as_of
-    return daily_totals(scaled.where(F.col("logged_date") >= F.date_sub(as_of_col, history_days)))
+    return daily_totals(scaled_u.where(F.col("logged_date") >= F.date_sub(as_of_col, history_days)))
+
+
+def grouped_grams(scaled_u: DataFrame, keys: list[str]) -> DataFrame:
+    """Per-group exact grams of the five nutrients (wide), from unit rows.
+
+    The sums are map-side combined on primitive doubles; the conversion to
+    DECIMAL grams runs once per group after the exchange.
+    """
+    wide = scaled_u.groupBy(*keys).agg(*[F.sum(n).alias(n) for n in NUTRIENTS])
+    return units_in_grams(wide)
 
 
-def daily_totals(scaled: DataFrame) -> DataFrame:
+def daily_totals(scaled_u: DataFrame) -> DataFrame:
     """Exact daily grams per user and nutrient, straight from scaled items.
 
     Five sums per user-day are aggregated (map-side combined) before one
@@ -138,8 +164,7 @@ def daily_totals(scaled: DataFrame) -> DataFrame:
     meals, with one shuffle less.
     """
     keys = ["user_id", "logged_date", "logged_date_id"]
-    wide = scaled.groupBy(*keys).agg(*[F.sum(n).alias(n) for n in NUTRIENTS])
-    return to_long(wide, keys, "daily_value_g").select(
+    return to_long(grouped_grams(scaled_u, keys), keys, "daily_value_g").select(
         "user_id", "nutrient_id", "logged_date", "logged_date_id", "daily_value_g")
 
 

@@ -107,7 +107,13 @@ class Warehouse:
 
     @cached_property
     def scaled(self) -> DataFrame:
-        return T.scaled_nutrients(self.items, self.food_nutrients)
+        """C3 in exact fixed-point units (what the aggregates consume)."""
+        return T.scaled_units(self.items, self.food_nutrients)
+
+    @cached_property
+    def scaled_grams(self) -> DataFrame:
+        """C3 as exact DECIMAL grams (presentation form)."""
+        return T.units_in_grams(self.scaled)
 
     @property
     def as_of(self) -> Column:
@@ -203,7 +209,7 @@ class Warehouse:
 
     # ---------------------------------------------------------------- views
     MODEL_VIEWS = (
-        "stg_foods", "stg_users", "stg_weights", "food_nutrients", "items", "scaled", "daily_intake",
+        "stg_foods", "stg_users", "stg_weights", "food_nutrients", "items", "scaled_grams", "daily_intake",
         "users_bmi", "bmi_history", "segments", "windowed", "dim_date", "dim_users", "dim_meals",
         "dim_nutrients", "dim_foods", "fct_meal_logs", "fct_meal_log_nutrients", "fct_bmi_evolution",
         "fct_user_segments", "fct_user_segments_windowed",

@@ -62,7 +62,7 @@ def c2_meal_unpivot(spark, sf):
 
 @query("c3_scaled")
 def c3_scaled(spark, sf):
-    return M.as_double(orders_wh(spark, sf).scaled)
+    return M.as_double(orders_wh(spark, sf).scaled_grams)
 
 
 @query("c4_daily_intake")

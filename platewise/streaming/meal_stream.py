@@ -35,7 +35,7 @@ def daily_window_sums(items_stream: DataFrame, foods: DataFrame, lateness: str =
     The event-time window only drives the watermark (state eviction); rows
     are keyed by their own ``logged_date``, so session time zones cannot
     shift a row to another day."""
-    scaled = T.scaled_nutrients(items_stream, foods)
+    scaled = T.scaled_units(items_stream, foods)
     ts = F.col("logged_date").cast("timestamp")
     return (scaled.withColumn("event_time", ts)
             .withWatermark("event_time", lateness)
@@ -45,7 +45,7 @@ def daily_window_sums(items_stream: DataFrame, foods: DataFrame, lateness: str =
 
 def _upsert_daily(sink: str):
     def write_batch(batch: DataFrame, batch_id: int) -> None:  # noqa: ARG001 - idempotent by key
-        wide = batch.select("user_id", "logged_date", "logged_date_id", *T.NUTRIENTS)
+        wide = T.units_in_grams(batch.select("user_id", "logged_date", "logged_date_id", *T.NUTRIENTS))
         long = T.to_long(wide, ["user_id", "logged_date", "logged_date_id"], "daily_value_g").select(
             "user_id", "nutrient_id", "logged_date", "logged_date_id", "daily_value_g")
         W.merge_by_key(long, sink, DAILY_KEY, ["logged_date"])

@@ -101,8 +101,10 @@ def test_c3_c4_scaling_unknown_food_and_window(spark):
         (1, 2, 99, 50.0, D(2024, 1, 10), 20240110),      # unknown food: dropped
         (1, 1, 10, 100.0, D(2022, 1, 10), 20220110),     # older than 365 days: outside C4
     ], "user_id long, meal_id int, fdc_id long, grams double, logged_date date, logged_date_id int")
-    sc = T.scaled_nutrients(items, foods)
+    sc = T.scaled_units(items, foods)
     assert sc.count() == 3
+    grams = sorted(r.protein_g for r in T.scaled_nutrients(items, foods).collect())
+    assert grams == [Decimal("5"), Decimal("10"), Decimal("15")]
     daily = {(r.nutrient_id, r.logged_date): r.daily_value_g
              for r in T.daily_intake(sc, "2024-01-10").collect()}
     assert daily[(1, D(2024, 1, 10))] == Decimal("20")   # 10 g/100 g * 200 g
