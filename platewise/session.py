@@ -35,18 +35,20 @@ def build_session(master: str = "local[8]", shuffle_partitions: int = 8, app: st
 
 
 def storage_root(spark: SparkSession) -> str:
-    """The shared folder for written tables and checkpoints.
+    """The shared folder for written tables, staged merges and checkpoints.
 
-    Read from ``spark.checkpoint.dir`` (the cluster's shared storage). Only
-    when the session has none (local tests) a private folder is created and
-    registered, so later calls in the same session agree.
+    Read from ``spark.checkpoint.dir`` (the cluster's shared storage). Only a
+    local-mode session without that setting (tests, a laptop) gets a private
+    folder, which is then recorded in the session so later calls agree. A
+    cluster session without it is an error: a driver-local folder would not
+    be visible to executors.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        jdir = spark.sparkContext._jsc.sc().getCheckpointDir()
-        root = jdir.get() if jdir.isDefined() else None
-    if not root:
-        root = tempfile.mkdtemp(prefix="platewise-", dir=os.environ.get("PLATEWISE_LOCAL_DIR", "/tmp"))
-        spark.conf.set("spark.checkpoint.dir", root)
-        spark.sparkContext.setCheckpointDir(root)
-    return root.rstrip("/")
+    if root:
+        return root.rstrip("/")
+    if not spark.sparkContext.master.startswith("local"):
+        raise RuntimeError("set spark.checkpoint.dir to a shared folder (e.g. an object-store path)")
+    root = tempfile.mkdtemp(prefix="platewise-", dir=os.environ.get("PLATEWISE_LOCAL_DIR", "/tmp"))
+    spark.conf.set("spark.checkpoint.dir", root)
+    spark.sparkContext.setCheckpointDir(root)
+    return root
