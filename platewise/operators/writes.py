@@ -30,8 +30,11 @@ def table_exists(spark: SparkSession, path: str) -> bool:
 
 
 def _writer(df: DataFrame, mode: str, partition_by: list[str] | None):
-    w = df.write.mode(mode)
-    return w.partitionBy(*partition_by) if partition_by else w
+    if not partition_by:
+        return df.write.mode(mode)
+    # REBALANCE: AQE clusters rows by the partition columns (few files per
+    # partition) but splits a hot partition value over several tasks
+    return df.hint("rebalance", *partition_by).write.mode(mode).partitionBy(*partition_by)
 
 
 def _stage_path(path: str) -> str:

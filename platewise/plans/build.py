@@ -207,6 +207,20 @@ class Warehouse:
     def fct_user_segments_windowed(self) -> DataFrame:
         return M.fct_user_segments_windowed(self.windowed)
 
+    # ------------------------------------------------------- materialising
+    def materialize(self, *names: str) -> "Warehouse":
+        """Compute the named models once and keep them in the shared
+        checkpoint folder (``DataFrame.checkpoint``: reliable, lineage cut).
+
+        Models derived later read the checkpoint instead of recomputing the
+        chain from raw; call this before touching their dependants.
+        """
+        from ..session import storage_root
+        storage_root(self.spark)  # make sure a checkpoint folder is set
+        for n in names:
+            self.__dict__[n] = getattr(self, n).checkpoint(eager=True)
+        return self
+
     # ---------------------------------------------------------------- views
     MODEL_VIEWS = (
         "stg_foods", "stg_users", "stg_weights", "food_nutrients", "items", "scaled_grams", "daily_intake",

@@ -453,3 +453,27 @@ def a6_food_ids(spark, sf):
     """Valid food keys of the raw table after two monthly loads."""
     from ..sources.raw import food_ids
     return food_ids(_two_loads(spark, sf))
+
+
+# ------------------------------------------------------------- daily build
+SEG_COLS = {"user_id": "long", "nutrient_id": "int", "logged_date": "date", "logged_date_id": "int",
+            "daily_value_g": "double", "threshold_g": "double", "threshold_type": "string",
+            "segment_label": "string", "is_flagged": "boolean"}
+
+
+@query("a9_incremental_segments")
+def a9_incremental_segments(spark, sf):
+    """Two daily builds of the whole star schema: first with the feed up to its
+    15th day, then with the full feed. The incrementally grown segment fact
+    equals a full refresh (no late data in this feed)."""
+    from .jobs import build_marts
+    root = _run_dir(spark, "a9")
+    full = events_wh(spark, sf)
+    cut = _day(full, 14)
+    first_logs = full.raw_meal_logs.where(F.to_date("logged_at") <= cut)
+    first = events_wh(spark, sf, raw_meal_logs=first_logs,
+                      feed_dates=full.feed_dates.where(F.col("day") <= cut))
+    build_marts(first, root, "2024-01-15 06:00:00", select=["fct_user_segments"])
+    build_marts(full, root, "2024-01-31 06:00:00", select=["fct_user_segments"])
+    seg = spark.read.parquet(f"{root}/fct_user_segments")
+    return seg.select(*[F.col(c).cast(t).alias(c) for c, t in SEG_COLS.items()])

@@ -432,3 +432,4 @@ FROM (""" + "\n  UNION ALL ".join(
 GROUP BY user_id, nutrient_id, logged_date, logged_date_id""", "fx_scaled_e")
 
 ORACLE["a6_food_ids"] = "SELECT DISTINCT CAST(p_partkey AS BIGINT) AS fdc_id FROM part"
+ORACLE["a9_incremental_segments"] = ORACLE["c7_segments"]
