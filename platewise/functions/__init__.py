@@ -89,6 +89,12 @@ def units_to_grams(units: str | Column) -> Column:
     return col(units).cast("decimal(27,0)") * F.lit(UNIT_SCALE)
 
 
+def units_to_double(units: str | Column) -> Column:
+    """Grams as DOUBLE from a unit count: the correctly rounded value, equal to
+    casting the exact DECIMAL grams to DOUBLE, without building the DECIMAL."""
+    return col(units) / F.lit(1e10)
+
+
 def per_gram(amount_per_100g: str | Column) -> Column:
     """Exact nutrient grams per gram of food: ``amount / 100`` as DECIMAL."""
     return col(amount_per_100g).cast(AMOUNT_TYPE) * F.lit(Decimal("0.01"))
@@ -163,6 +169,6 @@ __all__ = [
     "AMOUNT_TYPE", "GRAMS_TYPE", "SURROGATE_NULL", "date_id", "round_half_away", "round_exact",
     "bmi", "scaled_amount", "per_gram", "exact_avg", "avg_round2", "surrogate_key", "naive_to_utc",
     "instant_to_utc", "to_utc", "week_start", "month_start", "week_label", "month_label",
-    "amount_units", "grams_units", "nutrient_units", "units_to_grams",
+    "amount_units", "grams_units", "nutrient_units", "units_to_grams", "units_to_double",
     "threshold_flag",
 ]

@@ -62,7 +62,8 @@ def c2_meal_unpivot(spark, sf):
 
 @query("c3_scaled")
 def c3_scaled(spark, sf):
-    return M.as_double(orders_wh(spark, sf).scaled_grams)
+    s = orders_wh(spark, sf).scaled
+    return s.select(*[units_to_double(c).alias(c) if c in T.NUTRIENTS else F.col(c) for c in s.columns])
 
 
 @query("c4_daily_intake")
@@ -290,7 +291,7 @@ from ..operators import quality as Q  # noqa: E402
 from ..operators import staging as S  # noqa: E402
 from ..operators import transforms as T  # noqa: E402
 from ..operators import writes as W  # noqa: E402
-from ..functions import instant_to_utc  # noqa: E402
+from ..functions import instant_to_utc, units_to_double  # noqa: E402
 from ..session import storage_root  # noqa: E402
 from ..sources import fixtures, seeds  # noqa: E402
 from .reports import SEGMENT_LABELS  # noqa: E402
