@@ -111,3 +111,130 @@ def summary(checks: dict[str, DataFrame]) -> DataFrame:
     for p in parts[1:]:
         out = out.unionByName(p)
     return out
+
+
+# ---- Fixed values: the data tests declared on the marts (model, test, column, argument) ----
+MART_TESTS = [
+    ("dim_users", "unique", "user_id", None),
+    ("dim_users", "not_null", "user_id", None),
+    ("dim_users", "relationships", "registered_date_id", ("dim_date", "date_id")),
+    ("dim_meals", "unique", "meal_id", None),
+    ("dim_meals", "not_null", "meal_id", None),
+    ("dim_meals", "not_null", "meal_name", None),
+    ("dim_meals", "accepted_values", "meal_name", ["breakfast", "lunch", "dinner"]),
+    ("dim_date", "unique", "date_id", None),
+    ("dim_date", "not_null", "date_id", None),
+    ("dim_date", "unique", "full_date", None),
+    ("dim_date", "not_null", "full_date", None),
+    ("dim_nutrients", "unique", "nutrient_id", None),
+    ("dim_nutrients", "not_null", "nutrient_id", None),
+    ("dim_nutrients", "unique", "usda_nutrient_id", None),
+    ("dim_nutrients", "not_null", "usda_nutrient_id", None),
+    ("dim_nutrients", "not_null", "nutrient_name", None),
+    ("dim_nutrients", "not_null", "unit", None),
+    ("fct_user_segments_windowed", "not_null", "user_id", None),
+    ("fct_user_segments_windowed", "relationships", "user_id", ("dim_users", "user_id")),
+    ("fct_user_segments_windowed", "not_null", "nutrient_id", None),
+    ("fct_user_segments_windowed", "relationships", "nutrient_id", ("dim_nutrients", "nutrient_id")),
+    ("fct_user_segments_windowed", "not_null", "reference_date", None),
+    ("fct_user_segments_windowed", "accepted_values", "threshold_type", ["min", "max"]),
+    ("fct_user_segments", "not_null", "user_id", None),
+    ("fct_user_segments", "relationships", "user_id", ("dim_users", "user_id")),
+    ("fct_user_segments", "not_null", "nutrient_id", None),
+    ("fct_user_segments", "relationships", "nutrient_id", ("dim_nutrients", "nutrient_id")),
+    ("fct_user_segments", "not_null", "logged_date", None),
+    ("fct_user_segments", "not_null", "logged_date_id", None),
+    ("fct_user_segments", "relationships", "logged_date_id", ("dim_date", "date_id")),
+    ("fct_user_segments", "accepted_values", "threshold_type", ["min", "max"]),
+    ("fct_bmi_evolution", "unique", "weight_log_id", None),
+    ("fct_bmi_evolution", "not_null", "weight_log_id", None),
+    ("fct_bmi_evolution", "not_null", "user_id", None),
+    ("fct_bmi_evolution", "relationships", "user_id", ("dim_users", "user_id")),
+    ("fct_bmi_evolution", "not_null", "weight_kg", None),
+    ("fct_bmi_evolution", "not_null", "height_cm", None),
+    ("fct_bmi_evolution", "not_null", "bmi", None),
+    ("fct_bmi_evolution", "not_null", "recorded_date_id", None),
+    ("fct_bmi_evolution", "relationships", "recorded_date_id", ("dim_date", "date_id")),
+    ("dim_foods", "unique", "fdc_id", None),
+    ("dim_foods", "not_null", "fdc_id", None),
+    ("dim_foods", "not_null", "description", None),
+    ("dim_foods", "relationships", "publication_date_id", ("dim_date", "date_id")),
+    ("dim_foods", "accepted_range", "protein_g", (0, 100)),
+    ("dim_foods", "accepted_range", "fat_g", (0, 100)),
+    ("dim_foods", "accepted_range", "carbohydrate_g", (0, 100)),
+    ("dim_foods", "accepted_range", "fiber_g", (0, 100)),
+    ("dim_foods", "accepted_range", "total_sugar_g", (0, 100)),
+    ("dim_foods", "relationships", "loaded_date_id", ("dim_date", "date_id")),
+    ("fct_meal_logs", "not_null", "user_id", None),
+    ("fct_meal_logs", "relationships", "user_id", ("dim_users", "user_id")),
+    ("fct_meal_logs", "not_null", "meal_id", None),
+    ("fct_meal_logs", "relationships", "meal_id", ("dim_meals", "meal_id")),
+    ("fct_meal_logs", "not_null", "fdc_id", None),
+    ("fct_meal_logs", "relationships", "fdc_id", ("dim_foods", "fdc_id")),
+    ("fct_meal_logs", "not_null", "grams", None),
+    ("fct_meal_logs", "accepted_range", "grams", (0, 1000)),
+    ("fct_meal_logs", "not_null", "logged_date", None),
+    ("fct_meal_logs", "not_null", "logged_date_id", None),
+    ("fct_meal_logs", "relationships", "logged_date_id", ("dim_date", "date_id")),
+    ("fct_meal_log_nutrients", "not_null", "user_id", None),
+    ("fct_meal_log_nutrients", "relationships", "user_id", ("dim_users", "user_id")),
+    ("fct_meal_log_nutrients", "not_null", "meal_id", None),
+    ("fct_meal_log_nutrients", "relationships", "meal_id", ("dim_meals", "meal_id")),
+    ("fct_meal_log_nutrients", "not_null", "nutrient_id", None),
+    ("fct_meal_log_nutrients", "relationships", "nutrient_id", ("dim_nutrients", "nutrient_id")),
+    ("fct_meal_log_nutrients", "not_null", "logged_date", None),
+    ("fct_meal_log_nutrients", "not_null", "logged_date_id", None),
+    ("fct_meal_log_nutrients", "relationships", "logged_date_id", ("dim_date", "date_id")),
+]
+# -----------------------------------------------------------------------------------------------
+
+
+def test_name(model: str, test: str, column: str) -> str:
+    return f"{test}__{model}__{column}"
+
+
+def mart_tests(marts: dict[str, DataFrame], tests: list[tuple] | None = None) -> DataFrame:
+    """Run declared data tests over (materialised) marts: (test_name, failures).
+
+    failures = failing rows for not_null / relationships / accepted_range, and
+    failing key values (groups) for unique / accepted_values, as the generic
+    tests report them. Per model, all row-level and relationship tests are
+    counted in one pass (the model left-joined to the distinct keys of each
+    referenced parent); unique / accepted_values are one grouping each.
+    """
+    tests = tests or MART_TESTS
+    per_model: dict[str, list[tuple]] = {}
+    for t in tests:
+        per_model.setdefault(t[0], []).append(t)
+    parts = []
+    for model, ts in per_model.items():
+        df = marts[model]
+        conds = []
+        for i, (_, test, column, arg) in enumerate(ts):
+            c = F.col(column)
+            if test == "not_null":
+                conds.append((test_name(model, test, column), c.isNull()))
+            elif test == "accepted_range":
+                conds.append((test_name(model, test, column), ~((c >= arg[0]) & (c <= arg[1]))))
+            elif test == "relationships":
+                key = f"_parent{i}"
+                parent = marts[arg[0]].select(F.col(arg[1]).alias(key)).where(F.col(key).isNotNull()).distinct()
+                df = df.join(parent, c == F.col(key), "left")
+                conds.append((test_name(model, test, column), c.isNotNull() & F.col(key).isNull()))
+            elif test == "unique":
+                parts.append(unique(marts[model], column).agg(F.count(F.lit(1)).alias("failures"))
+                             .select(F.lit(test_name(model, test, column)).alias("check_name"), "failures"))
+            elif test == "accepted_values":
+                parts.append(accepted_values(marts[model], column, arg).agg(F.count(F.lit(1)).alias("failures"))
+                             .select(F.lit(test_name(model, test, column)).alias("check_name"), "failures"))
+            else:
+                raise ValueError(test)
+        if conds:
+            counts = df.agg(*[F.count_if(cond).alias(f"c{j}") for j, (_, cond) in enumerate(conds)])
+            parts.append(counts.select(F.inline(F.array(*[
+                F.struct(F.lit(name).alias("check_name"), F.col(f"c{j}").alias("failures"))
+                for j, (name, _) in enumerate(conds)]))))
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out.select(F.col("check_name").alias("test_name"), "failures")

@@ -478,3 +478,16 @@ def a9_incremental_segments(spark, sf):
     build_marts(full, root, "2024-01-31 06:00:00", select=["fct_user_segments"])
     seg = spark.read.parquet(f"{root}/fct_user_segments")
     return seg.select(*[F.col(c).cast(t).alias(c) for c, t in SEG_COLS.items()])
+
+
+MATERIALIZE_FOR_TESTS: tuple[str, ...] = ()
+
+
+@query("q9_mart_tests")
+def q9_mart_tests(spark, sf):
+    """Every declared data test of the marts, after materialising them once."""
+    w = events_wh(spark, sf)
+    names = sorted({m for m, *_ in Q.MART_TESTS} | {a[0] for *_, a in Q.MART_TESTS if isinstance(a, tuple)
+                                                     and isinstance(a[0], str)})
+    w.materialize(*MATERIALIZE_FOR_TESTS)
+    return Q.mart_tests({n: getattr(w, n) for n in names})

@@ -433,3 +433,33 @@ GROUP BY user_id, nutrient_id, logged_date, logged_date_id""", "fx_scaled_e")
 
 ORACLE["a6_food_ids"] = "SELECT DISTINCT CAST(p_partkey AS BIGINT) AS fdc_id FROM part"
 ORACLE["a9_incremental_segments"] = ORACLE["c7_segments"]
+
+# -------------------------------------------------------------- mart tests
+def _mart_tests_sql() -> str:
+    from ..operators.quality import MART_TESTS, test_name
+    src = {"dim_users": "(SELECT *, round(weight_kg * 0.8, 1) AS recommended_protein_g FROM fx_users_bmi)",
+           "dim_meals": "s_meals", "dim_date": "dim_date", "dim_nutrients": "s_nutrients",
+           "fct_user_segments_windowed": "fx_win_e", "fct_user_segments": "fx_seg_e",
+           "fct_bmi_evolution": "fx_bmi_hist", "dim_foods": "fx_foods1", "fct_meal_logs": "fx_items_e",
+           "fct_meal_log_nutrients": "fx_mln_e"}
+    parts = []
+    for model, test, c, arg in MART_TESTS:
+        t = src[model]
+        if test == "not_null":
+            q = f"SELECT count(*) FROM {t} x WHERE x.{c} IS NULL"
+        elif test == "unique":
+            q = f"SELECT count(*) FROM (SELECT {c} FROM {t} x WHERE {c} IS NOT NULL GROUP BY {c} HAVING count(*) > 1) g"
+        elif test == "accepted_values":
+            vals = ", ".join(f"'{v}'" for v in arg)
+            q = f"SELECT count(*) FROM (SELECT {c} FROM {t} x WHERE {c} IS NOT NULL AND {c} NOT IN ({vals}) GROUP BY {c}) g"
+        elif test == "relationships":
+            q = (f"SELECT count(*) FROM {t} x WHERE x.{c} IS NOT NULL AND NOT EXISTS "
+                 f"(SELECT 1 FROM {src[arg[0]]} p WHERE p.{arg[1]} = x.{c})")
+        else:
+            q = f"SELECT count(*) FROM {t} x WHERE NOT (x.{c} >= {arg[0]} AND x.{c} <= {arg[1]})"
+        parts.append(f"SELECT '{test_name(model, test, c)}' AS test_name, ({q}) AS failures")
+    return build("\nUNION ALL ".join(parts), "fx_users_bmi", "s_meals", "dim_date", "s_nutrients", "fx_win_e",
+                 "fx_seg_e", "fx_bmi_hist", "fx_foods1", "fx_items_e", "fx_mln_e")
+
+
+ORACLE["q9_mart_tests"] = _mart_tests_sql()
