@@ -73,6 +73,8 @@ def _amt(expr: str) -> str:
     return f"CAST(CAST(CAST({expr} AS DECIMAL(9,0)) * 0.1 AS DECIMAL(9,1)) AS DECIMAL(12,4))"
 
 
+# fixture rule: a food whose nutrient list is empty (p_partkey % 97 = 0) is dropped by the pivot
+cte("fx_food_src", """SELECT *, CASE WHEN p_partkey % 97 = 0 THEN 0 ELSE 1 END AS n_nutrient_lists FROM part""")
 cte("fx_foods", f"""SELECT CAST(p_partkey AS BIGINT) AS fdc_id,
   CASE WHEN p_partkey % 89 = 0 THEN 'Unknown' ELSE p_name || ' #' || CAST(p_partkey AS VARCHAR) END AS description,
   DATE '2019-04-01' + CAST(p_partkey % 1000 AS INTEGER) AS publication_date,
@@ -81,7 +83,7 @@ cte("fx_foods", f"""SELECT CAST(p_partkey AS BIGINT) AS fdc_id,
   {_amt('(p_partkey * 19) % 1000')} AS carbohydrate_g,
   CASE WHEN p_partkey % 5 = 0 THEN CAST(0 AS DECIMAL(12,4)) ELSE {_amt('(p_partkey * 23) % 300')} END AS fiber_g,
   CASE WHEN p_partkey % 7 = 0 THEN CAST(0 AS DECIMAL(12,4)) ELSE {_amt('(p_partkey * 29) % 1000')} END AS total_sugar_g
-FROM part WHERE p_partkey % 97 <> 0""")
+FROM fx_food_src WHERE n_nutrient_lists > 0""", ["fx_food_src"])
 
 cte("fx_items_e", f"""SELECT * FROM (SELECT CAST(user_id AS BIGINT) AS user_id,
   CASE event_type WHEN 'view' THEN 1 WHEN 'click' THEN 2 ELSE 3 END AS meal_id,

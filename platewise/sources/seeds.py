@@ -1,7 +1,7 @@
 """Seed lookups (A4): literal frames and a CSV reader with declared schemas.
 
-The literal frames are tiny and fixed (3, 5, 4 and 5 rows), so joining them
-with ``broadcast`` has a proven size bound.
+The literal frames are tiny and fixed (3, 5, 4 and 5 rows). ``lookup`` hints a
+broadcast only after checking a lookup table's size.
 """
 
 from __future__ import annotations
@@ -110,6 +110,16 @@ def read_seed_csv(spark: SparkSession, path: str, name: str) -> DataFrame:
             .csv(path))
 
 
-def lookup(df: DataFrame) -> DataFrame:
-    """Mark a literal seed frame as a broadcast side (bounded by construction)."""
-    return F.broadcast(df)
+LOOKUP_MAX_ROWS = 100_000
+
+
+def lookup(df: DataFrame, max_rows: int = LOOKUP_MAX_ROWS) -> DataFrame:
+    """Broadcast a lookup side only behind a size check.
+
+    A bounded count (it reads at most ``max_rows + 1`` rows; a literal seed is
+    counted on the driver) proves the bound; a larger table is returned as
+    is, so the planner picks a shuffle join for it.
+    """
+    if df.limit(max_rows + 1).count() <= max_rows:
+        return F.broadcast(df)
+    return df
