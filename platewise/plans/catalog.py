@@ -272,6 +272,13 @@ def d12_week_labels(spark, sf):
     return D.with_week_label(D.weekly_user(None, w.dim_nutrients, start=s, end=e, daily=w.daily_totals))
 
 
+@query("d12_labels")
+def d12_labels(spark, sf):
+    w = orders_wh(spark, sf)
+    s, e = _range(w)
+    return D.date_labels(w.fct_meal_logs, start=s, end=e)
+
+
 @query("d12_month_labels")
 def d12_month_labels(spark, sf):
     w = orders_wh(spark, sf)

@@ -184,3 +184,13 @@ def day_meal_split(fct_meal_logs: DataFrame, dim_meals: DataFrame, users=None, s
         aggs.append(F.count_if(hit).alias(f"{m}_items"))
         aggs.append(F.sum(F.when(hit, F.col("grams").cast("decimal(12,4)"))).cast("double").alias(f"{m}_grams"))
     return f.groupBy("user_id", "logged_date").agg(*aggs).orderBy("user_id", F.col("logged_date").desc())
+
+
+def date_labels(daily: DataFrame, start: DateArg = None, end: DateArg = None) -> DataFrame:
+    """Every logged day in the range with its week/month starts and chart labels."""
+    d = _filter(daily, None, "logged_date", start, end).select("logged_date").distinct()
+    return d.select("logged_date", week_start("logged_date").alias("week_start"),
+                    week_label("logged_date").alias("week_label"),
+                    month_start("logged_date").alias("month_start"),
+                    month_label("logged_date").alias("month_label")).orderBy("logged_date")
+

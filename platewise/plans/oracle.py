@@ -465,3 +465,9 @@ def _mart_tests_sql() -> str:
 
 
 ORACLE["q9_mart_tests"] = _mart_tests_sql()
+
+ORACLE["d12_labels"] = build("""SELECT DISTINCT logged_date, CAST(date_trunc('week', logged_date) AS DATE) AS week_start,
+  strftime(logged_date, '%Y-W%W') AS week_label, CAST(date_trunc('month', logged_date) AS DATE) AS month_start,
+  strftime(logged_date, '%b %Y') AS month_label
+FROM fx_items_o WHERE logged_date BETWEEN (SELECT s FROM fx_range_o) AND (SELECT e FROM fx_range_o)""",
+                              "fx_items_o", "fx_range_o")
