@@ -37,9 +37,10 @@ def unique(df: DataFrame, cols: str | list[str]) -> DataFrame:
     Aggregation is map-side combined, so a hot key costs one row per task.
     """
     cols = [cols] if isinstance(cols, str) else list(cols)
-    keyed = df.where(F.greatest(*[F.col(c).isNull() for c in cols]) == F.lit(False)) if len(cols) > 1 \
-        else df.where(F.col(cols[0]).isNotNull())
-    return keyed.groupBy(*cols).agg(F.count(F.lit(1)).alias("n_records")).where(F.col("n_records") > 1)
+    cond = F.col(cols[0]).isNotNull()
+    for c in cols[1:]:
+        cond = cond & F.col(c).isNotNull()
+    return df.where(cond).groupBy(*cols).agg(F.count(F.lit(1)).alias("n_records")).where(F.col("n_records") > 1)
 
 
 def accepted_values(df: DataFrame, col: str, values: list) -> DataFrame:

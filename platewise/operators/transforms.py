@@ -66,8 +66,9 @@ def food_nutrients(stg_foods: DataFrame, latest_only: bool = False) -> DataFrame
 def latest_load(stg_foods: DataFrame) -> DataFrame:
     """Keep the newest ``loaded_at`` row per fdc_id (partial aggregate, skew safe)."""
     cols = [c for c in stg_foods.columns if c != "fdc_id"]
+    order = F.struct("loaded_at", "raw_json") if "raw_json" in cols else F.col("loaded_at")  # deterministic ties
     latest = (stg_foods.groupBy("fdc_id")
-              .agg(F.max_by(F.struct(*cols), F.col("loaded_at")).alias("_r")))
+              .agg(F.max_by(F.struct(*cols), order).alias("_r")))
     return latest.select("fdc_id", *[F.col("_r")[c].alias(c) for c in cols])
 
 

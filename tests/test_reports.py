@@ -33,3 +33,9 @@ def test_user_filter_is_a_predicate(wh):
     n = wh.dim_nutrients
     one = D.weekly_user(wh.fct_meal_log_nutrients, n, users=[1, 2]).collect()
     assert {r.user_id for r in one} <= {1, 2}
+
+
+def test_windowed_from_fact_equals_default_on_a_full_feed(spark):
+    a = Warehouse.from_testdata(spark, SF_SMALL, "events").fct_user_segments_windowed
+    b = Warehouse.from_testdata(spark, SF_SMALL, "events", windowed_from_fact=True).fct_user_segments_windowed
+    same(a, b)
