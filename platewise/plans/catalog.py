@@ -11,8 +11,18 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from . import dashboard as D
+from . import reports as R
+from ..functions import instant_to_utc, units_to_double
 from ..operators import marts as M
+from ..operators import quality as Q
+from ..operators import staging as S
+from ..operators import transforms as T
+from ..operators import writes as W
+from ..session import storage_root
+from ..sources import fixtures, seeds
 from .build import Warehouse
+from .reports import SEGMENT_LABELS
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, QueryFn] = {}
@@ -124,8 +134,6 @@ def m1_dim_date(spark, sf):
 
 
 # ----------------------------------------------------------------- reports
-from . import dashboard as D  # noqa: E402
-from . import reports as R  # noqa: E402
 
 
 def _range(w: Warehouse):
@@ -294,14 +302,6 @@ def d13_day_meals(spark, sf):
 
 
 # ----------------------------------------------------------------- quality
-from ..operators import quality as Q  # noqa: E402
-from ..operators import staging as S  # noqa: E402
-from ..operators import transforms as T  # noqa: E402
-from ..operators import writes as W  # noqa: E402
-from ..functions import instant_to_utc, units_to_double  # noqa: E402
-from ..session import storage_root  # noqa: E402
-from ..sources import fixtures, seeds  # noqa: E402
-from .reports import SEGMENT_LABELS  # noqa: E402
 
 FRESHNESS_AS_OF = "2024-02-01 06:00:00"
 
