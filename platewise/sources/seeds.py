@@ -34,8 +34,7 @@ BMI_CATEGORIES = [
 NUTRIENT_DAILY_TARGETS = [
     (1, 50.0, "min", "low_protein", "FDA", "Based on 2000 calorie diet - overridden per user by weight x 0.8"),
     (2, 78.0, "max", "high_fat", "FDA", "Based on 2000 calorie diet"),
-    (3, 275.0, "max", None, "FDA", "Based on 2000 calorie diet - treated as max (not a true target range) "
-                                   "for simplicity, since no carb segment is defined"),
+    (3, 275.0, "max", None, "FDA", "Based on 2000 calorie diet - treated as max (not a true target range) for simplicity, since no carb segment is defined"),  # noqa: E501
     (4, 28.0, "min", "low_fiber", "FDA", "Based on 2000 calorie diet"),
     (5, 50.0, "max", "high_sugar", "WHO", "Less than 10% of daily energy intake"),
 ]
