@@ -20,6 +20,38 @@ RECOMMENDED_CONF = {
 }
 
 
+def shuffle_partitions_for(shuffle_bytes: float, target_bytes: float = 256 * 2**20, cores: int = 1) -> int:
+    """Initial shuffle width so that each reducer gets ~``target_bytes``
+    (never fewer than the cores); AQE then coalesces small partitions."""
+    return max(int(cores), int(-(-shuffle_bytes // target_bytes)))
+
+
+def cluster_conf(input_bytes: float = 100 * 2**40, executors: int = 1000, cores_per_executor: int = 8,
+                 shuffle_fraction: float = 0.3) -> dict[str, str]:
+    """Settings for a large cluster run, sized from the input volume.
+
+    The biggest shuffles here are the pre-aggregated daily rows and the
+    item -> food join; ``shuffle_fraction`` is the share of the input they
+    move. Partitions target ~256 MB so each fits an executor core's share of
+    memory without spilling much; AQE coalesces the rest and splits skew.
+    """
+    cores = executors * cores_per_executor
+    width = shuffle_partitions_for(input_bytes * shuffle_fraction, cores=cores)
+    return {
+        **RECOMMENDED_CONF,
+        "spark.sql.shuffle.partitions": str(width),
+        "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(width),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "4",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "512m",
+        "spark.sql.files.maxPartitionBytes": "256m",
+        "spark.sql.autoBroadcastJoinThreshold": "64m",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "64m",
+        "spark.sql.parquet.compression.codec": "zstd",
+        "spark.sql.execution.arrow.pyspark.enabled": "true",
+    }
+
+
 def build_session(master: str = "local[8]", shuffle_partitions: int = 8, app: str = "platewise",
                   extra: dict[str, str] | None = None) -> SparkSession:
     b = SparkSession.builder.master(master).appName(app)
