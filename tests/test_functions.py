@@ -88,3 +88,18 @@ def test_fixed_point_units_are_exact(spark):
     assert one(spark, PF.round_exact(PF.units_to_grams(u), 2)) == Decimal("13.02")
     # grams are taken to 1e-4 g, half up, like a DECIMAL(12,4) cast
     assert one(spark, PF.grams_units(F.lit(123.45))) == 1234500
+
+
+def test_window_idioms_and_dedup(spark):
+    from platewise.functions import windows as WF
+    df = spark.createDataFrame([(1, 1, 5.0), (1, 2, 7.0), (1, 3, 1.0), (2, 1, 4.0), (2, 1, 9.0)],
+                               "k long, d int, v double")
+    got = df.select("k", "d", "v",
+                    WF.running_total("v", ["k"], ["d", "v"]).alias("run"),
+                    WF.next_value("v", ["k"], ["d", "v"]).alias("nxt"),
+                    WF.previous_value("v", ["k"], ["d", "v"]).alias("prv"),
+                    WF.first_value("v", ["k"], ["d", "v"]).alias("fst")).where("k = 1").orderBy("d").collect()
+    assert [(r.run, r.nxt, r.prv, r.fst) for r in got] == [(5.0, 7.0, None, 5.0), (12.0, 1.0, 5.0, 5.0),
+                                                           (13.0, None, 7.0, 5.0)]
+    dd = {r.k: (r.d, r.v) for r in WF.dedup_latest(df, ["k"], ["d", "v"]).collect()}
+    assert dd == {1: (3, 1.0), 2: (1, 9.0)}
