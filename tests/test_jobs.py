@@ -1,5 +1,7 @@
 """The daily build: two incremental runs of every mart equal one full refresh."""
 
+import re
+
 from conftest import SF_SMALL
 from pyspark.sql import functions as F
 
@@ -29,3 +31,17 @@ def test_two_daily_builds_equal_full_refresh(spark, scratch):
     snap = a["dim_foods_snapshot"]
     assert snap.where("dbt_valid_to IS NOT NULL").count() == 0
     assert snap.count() == b["dim_foods"].count()
+
+
+def test_reports_on_persisted_marts_prune_partitions(spark, scratch):
+    from platewise.plans import reports as R
+    w = Warehouse.from_testdata(spark, SF_SMALL, "events")
+    root = f"{scratch}/marts"
+    build_marts(w, root, "2024-01-31 06:00:00", select=["fct_user_segments", "dim_nutrients"])
+    m = read_marts(spark, root)
+    rep = R.latest_segments_report(m["fct_user_segments"], m["dim_nutrients"], ordered=False)
+    plan = rep._jdf.queryExecution().executedPlan().toString()
+    assert re.search(r"PartitionFilters: \[isnotnull\(logged_date#\d+\), \(logged_date#\d+ = Subquery", plan), plan
+    lazy = R.latest_segments_report(Warehouse.from_testdata(spark, SF_SMALL, "events").fct_user_segments,
+                                    w.dim_nutrients, ordered=False)
+    assert rows(rep) == rows(lazy)
