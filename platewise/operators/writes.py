@@ -14,6 +14,7 @@ from __future__ import annotations
 
 import uuid
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -21,12 +22,23 @@ from ..functions import surrogate_key
 
 
 # ------------------------------------------------------------------ helpers
+ABSENT_CONDITIONS = {"PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"}
+
+
 def table_exists(spark: SparkSession, path: str) -> bool:
+    """True when ``path`` holds a readable parquet table.
+
+    Only "no such path" and "no data files" count as absent; any other error
+    (permissions, a flaky store) is raised, so an incremental run can never
+    mistake an unreadable target for a first build and overwrite it.
+    """
     try:
         spark.read.parquet(path).schema  # noqa: B018 - metadata only
         return True
-    except Exception:  # AnalysisException: path does not exist / no files
-        return False
+    except AnalysisException as e:
+        if (e.getCondition() or "") in ABSENT_CONDITIONS:
+            return False
+        raise
 
 
 def _writer(df: DataFrame, mode: str, partition_by: list[str] | None):
