@@ -3,11 +3,13 @@ SCD2 snapshots (I4) and point-in-time reads (I5).
 
 Tables are parquet folders under the shared storage root (see
 ``platewise.session.storage_root``). A write never overwrites a path that
-the same plan reads: merges are staged to a sibling folder first and then
-copied over with *dynamic* partition overwrite, so only the touched
-partitions are replaced and a failed job leaves the target readable. Each
-step is a plain Spark write, so lost executors are handled by task retry;
-the staged folder also cuts the lineage of long incremental chains.
+the same plan reads: merges and snapshots are first written complete to a
+sibling staging folder, then copied over; partitioned targets use *dynamic*
+partition overwrite, so only the touched partitions are replaced. Each step
+is a plain Spark write, so lost executors are handled by task retry, and the
+staged folder cuts the lineage of long incremental chains. Plain parquet
+folders have no atomic swap: if the final copy itself fails, the staged copy
+(kept under ``<table>__staging/``) is the complete new version to copy back.
 """
 
 from __future__ import annotations
