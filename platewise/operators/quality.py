@@ -190,6 +190,73 @@ MART_TESTS = [
 # -----------------------------------------------------------------------------------------------
 
 
+# ---- Fixed values: the data tests declared on the sources, staging and intermediate models ----
+# (model names are this library's Warehouse attributes)
+MODEL_TESTS = [
+    ("raw_foods", "unique", "fdc_id", None),
+    ("raw_foods", "not_null", "fdc_id", None),
+    ("raw_foods", "not_null", "loaded_at", None),
+    ("raw_meal_logs", "not_null", "user_id", None),
+    ("raw_meal_logs", "not_null", "logged_at", None),
+    ("stg_users", "unique", "user_id", None),
+    ("stg_users", "not_null", "user_id", None),
+    ("stg_users", "not_null", "country", None),
+    ("stg_users", "accepted_values", "country", ["Spain"]),
+    ("stg_users", "not_null", "birth_date", None),
+    ("stg_users", "not_null", "height_cm", None),
+    ("stg_users", "not_null", "registered_at", None),
+    ("stg_weights", "unique", "weight_log_id", None),
+    ("stg_weights", "not_null", "weight_log_id", None),
+    ("stg_weights", "not_null", "user_id", None),
+    ("stg_weights", "not_null", "weight_kg", None),
+    ("stg_weights", "not_null", "recorded_at", None),
+    ("stg_meal_logs", "not_null", "user_id", None),
+    ("stg_meal_logs", "not_null", "logged_at", None),
+    ("stg_foods", "unique", "fdc_id", None),
+    ("stg_foods", "not_null", "fdc_id", None),
+    ("stg_foods", "unique", "description", None),
+    ("stg_foods", "not_null", "description", None),
+    ("stg_foods", "not_null", "publication_date", None),
+    ("stg_foods", "not_null", "raw_json", None),
+    ("stg_foods", "not_null", "loaded_at", None),
+    ("users_bmi", "unique", "user_id", None),
+    ("users_bmi", "not_null", "user_id", None),
+    ("segments", "not_null", "user_id", None),
+    ("segments", "not_null", "nutrient_id", None),
+    ("segments", "not_null", "logged_date", None),
+    ("segments", "not_null", "logged_date_id", None),
+    ("windowed", "not_null", "user_id", None),
+    ("windowed", "not_null", "nutrient_id", None),
+    ("windowed", "not_null", "reference_date", None),
+    ("food_nutrients", "unique", "fdc_id", None),
+    ("food_nutrients", "not_null", "fdc_id", None),
+    ("daily_intake", "not_null", "user_id", None),
+    ("daily_intake", "not_null", "nutrient_id", None),
+    ("daily_intake", "not_null", "logged_date", None),
+    ("daily_intake", "not_null", "logged_date_id", None),
+    ("scaled", "not_null", "user_id", None),
+    ("scaled", "not_null", "meal_id", None),
+    ("scaled", "not_null", "logged_date", None),
+    ("scaled", "not_null", "logged_date_id", None),
+    ("bmi_history", "unique", "weight_log_id", None),
+    ("bmi_history", "not_null", "weight_log_id", None),
+    ("bmi_history", "not_null", "user_id", None),
+    ("bmi_history", "not_null", "weight_kg", None),
+    ("bmi_history", "not_null", "height_cm", None),
+    ("bmi_history", "not_null", "bmi", None),
+    ("bmi_history", "not_null", "recorded_date_id", None),
+    ("items", "not_null", "user_id", None),
+    ("items", "not_null", "meal_id", None),
+    ("items", "accepted_values", "meal_id", [1, 2, 3]),
+    ("items", "not_null", "fdc_id", None),
+    ("items", "not_null", "grams", None),
+    ("items", "accepted_range", "grams", (0, 1000)),
+    ("items", "not_null", "logged_date", None),
+    ("items", "not_null", "logged_date_id", None),
+]
+# ----------------------------------------------------------------------------------------
+
+
 def test_name(model: str, test: str, column: str) -> str:
     return f"{test}__{model}__{column}"
 

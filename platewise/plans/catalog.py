@@ -498,3 +498,15 @@ def q9_mart_tests(spark, sf):
                                                      and isinstance(a[0], str)})
     w.materialize(*MATERIALIZE_FOR_TESTS)
     return Q.mart_tests({n: getattr(w, n) for n in names})
+
+
+
+@query("q10_model_tests")
+def q10_model_tests(spark, sf):
+    """Every declared data test of the staging and intermediate models."""
+    w = events_wh(spark, sf)
+    w.materialize("items", "food_nutrients", "stg_users", "stg_weights")
+    w.materialize("scaled", "users_bmi")
+    w.materialize("daily_intake")
+    names = sorted({m for m, *_ in Q.MODEL_TESTS})
+    return Q.mart_tests({n: getattr(w, n) for n in names}, Q.MODEL_TESTS)

@@ -437,6 +437,27 @@ ORACLE["a6_food_ids"] = "SELECT DISTINCT CAST(p_partkey AS BIGINT) AS fdc_id FRO
 ORACLE["a9_incremental_segments"] = ORACLE["c7_segments"]
 
 # -------------------------------------------------------------- mart tests
+def _tests_sql(tests, src: dict[str, str], ctes: list[str]) -> str:
+    from ..operators.quality import test_name
+    parts = []
+    for model, test, c, arg in tests:
+        t = src[model]
+        if test == "not_null":
+            q = f"SELECT count(*) FROM {t} x WHERE x.{c} IS NULL"
+        elif test == "unique":
+            q = f"SELECT count(*) FROM (SELECT {c} FROM {t} x WHERE {c} IS NOT NULL GROUP BY {c} HAVING count(*) > 1) g"
+        elif test == "accepted_values":
+            vals = ", ".join(repr(v) for v in arg)
+            q = f"SELECT count(*) FROM (SELECT {c} FROM {t} x WHERE {c} IS NOT NULL AND {c} NOT IN ({vals}) GROUP BY {c}) g"
+        elif test == "relationships":
+            q = (f"SELECT count(*) FROM {t} x WHERE x.{c} IS NOT NULL AND NOT EXISTS "
+                 f"(SELECT 1 FROM {src[arg[0]]} p WHERE p.{arg[1]} = x.{c})")
+        else:
+            q = f"SELECT count(*) FROM {t} x WHERE NOT (x.{c} >= {arg[0]} AND x.{c} <= {arg[1]})"
+        parts.append(f"SELECT '{test_name(model, test, c)}' AS test_name, ({q}) AS failures")
+    return build("\nUNION ALL ".join(parts), *ctes)
+
+
 def _mart_tests_sql() -> str:
     from ..operators.quality import MART_TESTS, test_name
     src = {"dim_users": "(SELECT *, round(weight_kg * 0.8, 1) AS recommended_protein_g FROM fx_users_bmi)",
@@ -471,3 +492,25 @@ ORACLE["d12_labels"] = build("""SELECT DISTINCT logged_date, CAST(date_trunc('we
   strftime(logged_date, '%b %Y') AS month_label
 FROM fx_items_o WHERE logged_date BETWEEN (SELECT s FROM fx_range_o) AND (SELECT e FROM fx_range_o)""",
                               "fx_items_o", "fx_range_o")
+
+
+cte("fx_stg_foods", """SELECT CAST(p_partkey AS BIGINT) AS fdc_id,
+  CASE WHEN p_partkey % 89 = 0 THEN 'Unknown' ELSE p_name || ' #' || CAST(p_partkey AS VARCHAR) END AS description,
+  DATE '2019-04-01' + CAST(p_partkey % 1000 AS INTEGER) AS publication_date, 'json' AS raw_json,
+  TIMESTAMP '2024-02-01 00:00:00' AS loaded_at FROM part""")
+cte("fx_stg_logs", "SELECT user_id, CAST(day AS TIMESTAMP) + INTERVAL 12 HOUR AS logged_at FROM fx_logs_e", ["fx_logs_e"])
+
+
+def _model_tests_sql() -> str:
+    from ..operators.quality import MODEL_TESTS
+    src = {"raw_foods": "fx_stg_foods", "raw_meal_logs": "fx_stg_logs",
+           "stg_users": "fx_users", "stg_weights": "fx_weights", "stg_meal_logs": "fx_stg_logs",
+           "stg_foods": "fx_stg_foods", "users_bmi": "fx_users_bmi", "segments": "fx_seg_e", "windowed": "fx_win_e",
+           "food_nutrients": "fx_foods", "daily_intake": "fx_daily_e", "scaled": "fx_scaled_e",
+           "bmi_history": "fx_bmi_hist", "items": "fx_items_e"}
+    return _tests_sql(MODEL_TESTS, src, ["fx_users", "fx_weights", "fx_stg_logs", "fx_stg_foods", "fx_users_bmi",
+                                         "fx_seg_e", "fx_win_e", "fx_foods", "fx_daily_e", "fx_scaled_e",
+                                         "fx_bmi_hist", "fx_items_e"])
+
+
+ORACLE["q10_model_tests"] = _model_tests_sql()
