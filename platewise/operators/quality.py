@@ -198,6 +198,18 @@ MODEL_TESTS = [
     ("raw_foods", "not_null", "loaded_at", None),
     ("raw_meal_logs", "not_null", "user_id", None),
     ("raw_meal_logs", "not_null", "logged_at", None),
+    ("raw_users", "unique", "user_id", None),
+    ("raw_users", "not_null", "user_id", None),
+    ("raw_users", "not_null", "user_name", None),
+    ("raw_users", "not_null", "country", None),
+    ("raw_users", "not_null", "birth_date", None),
+    ("raw_users", "not_null", "height_cm", None),
+    ("raw_users", "not_null", "registered_at", None),
+    ("raw_weights", "not_null", "user_id", None),
+    ("raw_weights", "relationships", "user_id", ("raw_users", "user_id")),
+    ("raw_weights", "not_null", "weight_kg", None),
+    ("raw_weights", "accepted_range", "weight_kg", (30, 500)),
+    ("raw_weights", "not_null", "recorded_at", None),
     ("stg_users", "unique", "user_id", None),
     ("stg_users", "not_null", "user_id", None),
     ("stg_users", "not_null", "country", None),
@@ -257,6 +269,41 @@ MODEL_TESTS = [
 # ----------------------------------------------------------------------------------------
 
 
+# ---- Fixed values: the data tests declared on the literal lookup seeds ----
+SEED_TESTS = [
+    ("meals", "unique", "meal_id", None),
+    ("meals", "not_null", "meal_id", None),
+    ("meals", "unique", "meal_name", None),
+    ("meals", "not_null", "meal_name", None),
+    ("meals", "accepted_values", "meal_name", ["breakfast", "lunch", "dinner"]),
+    ("bmi_categories", "unique", "bmi_category_id", None),
+    ("bmi_categories", "not_null", "bmi_category_id", None),
+    ("bmi_categories", "not_null", "category", None),
+    ("nutrient_daily_targets", "unique", "nutrient_id", None),
+    ("nutrient_daily_targets", "not_null", "nutrient_id", None),
+    ("nutrient_daily_targets", "not_null", "recommended_daily_g", None),
+    ("nutrient_daily_targets", "not_null", "threshold_type", None),
+    ("nutrient_daily_targets", "accepted_values", "threshold_type", ["min", "max", "target"]),
+    ("nutrients", "unique", "nutrient_id", None),
+    ("nutrients", "not_null", "nutrient_id", None),
+    ("nutrients", "unique", "usda_nutrient_id", None),
+    ("nutrients", "not_null", "usda_nutrient_id", None),
+    ("nutrients", "not_null", "nutrient_name", None),
+    ("nutrients", "not_null", "unit", None),
+]
+# ----------------------------------------------------------------------------
+
+
+# ---- Fixed values: the data tests declared on the SCD2 snapshot ----
+SNAPSHOT_TESTS = [
+    ("dim_foods_snapshot", "unique", "dbt_scd_id", None),
+    ("dim_foods_snapshot", "not_null", "dbt_scd_id", None),
+    ("dim_foods_snapshot", "not_null", "fdc_id", None),
+    ("dim_foods_snapshot", "not_null", "dbt_valid_from", None),
+]
+# ---------------------------------------------------------------------
+
+
 def test_name(model: str, test: str, column: str) -> str:
     return f"{test}__{model}__{column}"
 

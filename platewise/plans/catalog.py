@@ -510,3 +510,11 @@ def q10_model_tests(spark, sf):
     w.materialize("daily_intake")
     names = sorted({m for m, *_ in Q.MODEL_TESTS})
     return Q.mart_tests({n: getattr(w, n) for n in names}, Q.MODEL_TESTS)
+
+
+
+@query("q11_snapshot_tests")
+def q11_snapshot_tests(spark, sf):
+    """The declared tests of the SCD2 food snapshot, after two snapshot runs."""
+    snap = spark.read.parquet(_snapshot(spark, sf))
+    return Q.mart_tests({"dim_foods_snapshot": snap}, Q.SNAPSHOT_TESTS)

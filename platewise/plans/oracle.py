@@ -498,19 +498,30 @@ cte("fx_stg_foods", """SELECT CAST(p_partkey AS BIGINT) AS fdc_id,
   CASE WHEN p_partkey % 89 = 0 THEN 'Unknown' ELSE p_name || ' #' || CAST(p_partkey AS VARCHAR) END AS description,
   DATE '2019-04-01' + CAST(p_partkey % 1000 AS INTEGER) AS publication_date, 'json' AS raw_json,
   TIMESTAMP '2024-02-01 00:00:00' AS loaded_at FROM part""")
+cte("fx_raw_users", """SELECT u.*, c.c_name AS user_name FROM fx_users u JOIN customer c ON u.user_id = c.c_custkey""",
+    ["fx_users"])
 cte("fx_stg_logs", "SELECT user_id, CAST(day AS TIMESTAMP) + INTERVAL 12 HOUR AS logged_at FROM fx_logs_e", ["fx_logs_e"])
 
 
 def _model_tests_sql() -> str:
     from ..operators.quality import MODEL_TESTS
-    src = {"raw_foods": "fx_stg_foods", "raw_meal_logs": "fx_stg_logs",
+    src = {"raw_foods": "fx_stg_foods", "raw_meal_logs": "fx_stg_logs", "raw_users": "fx_raw_users",
+           "raw_weights": "fx_weights",
            "stg_users": "fx_users", "stg_weights": "fx_weights", "stg_meal_logs": "fx_stg_logs",
            "stg_foods": "fx_stg_foods", "users_bmi": "fx_users_bmi", "segments": "fx_seg_e", "windowed": "fx_win_e",
            "food_nutrients": "fx_foods", "daily_intake": "fx_daily_e", "scaled": "fx_scaled_e",
            "bmi_history": "fx_bmi_hist", "items": "fx_items_e"}
-    return _tests_sql(MODEL_TESTS, src, ["fx_users", "fx_weights", "fx_stg_logs", "fx_stg_foods", "fx_users_bmi",
+    return _tests_sql(MODEL_TESTS, src, ["fx_raw_users", "fx_users", "fx_weights", "fx_stg_logs", "fx_stg_foods", "fx_users_bmi",
                                          "fx_seg_e", "fx_win_e", "fx_foods", "fx_daily_e", "fx_scaled_e",
                                          "fx_bmi_hist", "fx_items_e"])
 
 
 ORACLE["q10_model_tests"] = _model_tests_sql()
+
+
+def _snapshot_tests_sql() -> str:
+    from ..operators.quality import SNAPSHOT_TESTS
+    return _tests_sql(SNAPSHOT_TESTS, {"dim_foods_snapshot": "fx_snap"}, ["fx_snap"])
+
+
+ORACLE["q11_snapshot_tests"] = _snapshot_tests_sql()
