@@ -12,11 +12,8 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql.types import DecimalType
 
-# Exact arithmetic types. Per-100 g nutrient amounts and serving grams are
-# carried as decimals so that sums are exact and do not depend on the order
-# in which executors add partial results.
+# Per-100 g nutrient amounts are parsed as exact decimals.
 AMOUNT_TYPE = DecimalType(12, 4)
-GRAMS_TYPE = DecimalType(12, 4)
 
 # Fixed value: the null placeholder used by the public surrogate-key macro,
 # so that keys built here equal keys built by the warehouse.
@@ -55,11 +52,6 @@ def bmi(weight_kg: str | Column, height_cm: str | Column) -> Column:
     return round_half_away(F.try_divide(col(weight_kg).cast("double"), F.pow(h, F.lit(2.0))), 1)
 
 
-def scaled_amount(amount_per_100g: str | Column, grams: str | Column) -> Column:
-    """Exact ``amount * grams / 100`` as a DECIMAL."""
-    return col(amount_per_100g).cast(AMOUNT_TYPE) * col(grams).cast(GRAMS_TYPE) * F.lit(Decimal("0.01"))
-
-
 # Exact fixed-point form of per-item nutrient grams: an integer number of
 # 1e-10 g (= amount in 1e-4 g per 100 g  x  grams in 1e-4 g), carried as an
 # integer-valued DOUBLE. Products and sums stay on primitive arithmetic inside
@@ -95,11 +87,6 @@ def units_to_double(units: str | Column) -> Column:
     return col(units) / F.lit(1e10)
 
 
-def per_gram(amount_per_100g: str | Column) -> Column:
-    """Exact nutrient grams per gram of food: ``amount / 100`` as DECIMAL."""
-    return col(amount_per_100g).cast(AMOUNT_TYPE) * F.lit(Decimal("0.01"))
-
-
 def exact_avg(c: str | Column) -> Column:
     """Average of an exact column as DOUBLE: ``double(sum) / count`` (nulls skipped)."""
     c = col(c)
@@ -166,8 +153,8 @@ def threshold_flag(threshold_type: str | Column, value: Column, threshold: Colum
 
 
 __all__ = [
-    "AMOUNT_TYPE", "GRAMS_TYPE", "SURROGATE_NULL", "date_id", "round_half_away", "round_exact",
-    "bmi", "scaled_amount", "per_gram", "exact_avg", "avg_round2", "surrogate_key", "naive_to_utc",
+    "AMOUNT_TYPE", "SURROGATE_NULL", "date_id", "round_half_away", "round_exact",
+    "bmi", "exact_avg", "avg_round2", "surrogate_key", "naive_to_utc",
     "instant_to_utc", "to_utc", "week_start", "month_start", "week_label", "month_label",
     "amount_units", "grams_units", "nutrient_units", "units_to_grams", "units_to_double",
     "threshold_flag",

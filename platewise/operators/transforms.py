@@ -127,7 +127,6 @@ def units_in_grams(df: DataFrame) -> DataFrame:
     return df.select(*[units_to_grams(c).alias(c) if c in NUTRIENTS else F.col(c) for c in df.columns])
 
 
-
 # ------------------------------------------------------------------------ C4
 def to_long(df: DataFrame, keys: list[str], value_name: str) -> DataFrame:
     """Wide five-nutrient row -> five (nutrient_id, value) rows, in one Generate."""
