@@ -72,8 +72,12 @@ def grams_units(grams: str | Column) -> Column:
 
 
 def nutrient_units(amount_u: str | Column, grams_u: str | Column) -> Column:
-    """Scaled nutrient of one item in 1e-10 g: ``amount * grams / 100``, exact."""
-    return (col(amount_u) * col(grams_u)).cast("double")
+    """Scaled nutrient of one item in 1e-10 g: ``amount * grams / 100``.
+
+    The two integer unit counts are multiplied as doubles: exact whenever the
+    product is below 2^53 (100 g per 100 g x 9,000 kg), and never wrapping
+    around like a long product would in a non-ANSI session."""
+    return col(amount_u).cast("double") * col(grams_u).cast("double")
 
 
 def units_to_grams(units: str | Column) -> Column:
