@@ -26,3 +26,15 @@ def test_same_answer_in_another_time_zone(spark, key):
         spark.conf.set("spark.sql.session.timeZone", old_tz)
         spark.conf.set("spark.sql.shuffle.partitions", old_sp)
     assert other == base
+
+
+@pytest.mark.parametrize("key", ["c1_food_pivot", "c3_scaled", "c7_segments", "r3_mom", "q9_mart_tests"])
+def test_same_answer_without_ansi_mode(spark, key):
+    base = rows(spark, key)
+    old = spark.conf.get("spark.sql.ansi.enabled")
+    try:
+        spark.conf.set("spark.sql.ansi.enabled", "false")
+        other = rows(spark, key)
+    finally:
+        spark.conf.set("spark.sql.ansi.enabled", old)
+    assert other == base
