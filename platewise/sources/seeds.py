@@ -112,13 +112,24 @@ def read_seed_csv(spark: SparkSession, path: str, name: str) -> DataFrame:
 LOOKUP_MAX_ROWS = 100_000
 
 
+# size proofs of lookup frames built from literals only (no input files):
+# their content cannot change, so one bounded count per distinct plan suffices
+_PROVEN: dict[tuple[int, int], bool] = {}
+
+
 def lookup(df: DataFrame, max_rows: int = LOOKUP_MAX_ROWS) -> DataFrame:
     """Broadcast a lookup side only behind a size check.
 
-    A bounded count (it reads at most ``max_rows + 1`` rows; a literal seed is
-    counted on the driver) proves the bound; a larger table is returned as
-    is, so the planner picks a shuffle join for it.
+    A bounded count (it reads at most ``max_rows + 1`` rows) proves the bound;
+    a larger table is returned as is, so the planner picks a shuffle join for
+    it. Frames that read no files (literal seeds) are counted once per
+    distinct plan; file-backed lookups are counted on every call.
     """
-    if df.limit(max_rows + 1).count() <= max_rows:
-        return F.broadcast(df)
-    return df
+    if df.inputFiles():
+        small = df.limit(max_rows + 1).count() <= max_rows
+    else:
+        key = (df.semanticHash(), max_rows)
+        if key not in _PROVEN:
+            _PROVEN[key] = df.limit(max_rows + 1).count() <= max_rows
+        small = _PROVEN[key]
+    return F.broadcast(df) if small else df
