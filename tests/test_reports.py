@@ -39,3 +39,20 @@ def test_windowed_from_fact_equals_default_on_a_full_feed(spark):
     a = Warehouse.from_testdata(spark, SF_SMALL, "events").fct_user_segments_windowed
     b = Warehouse.from_testdata(spark, SF_SMALL, "events", windowed_from_fact=True).fct_user_segments_windowed
     same(a, b)
+
+
+def test_null_flags_count_as_not_flagged(spark):
+    import datetime as dt
+    from platewise.plans import dashboard as D
+    from platewise.sources import seeds
+    seg = spark.createDataFrame([
+        (1, 1, dt.date(2024, 1, 2), 20240102, 10.0, 50.0, "min", "low_protein", True),
+        (2, 1, dt.date(2024, 1, 2), 20240102, 60.0, 50.0, "target", "low_protein", None),
+        (2, 2, dt.date(2024, 1, 1), 20240101, 90.0, 78.0, "max", "high_fat", True),
+    ], "user_id long, nutrient_id int, logged_date date, logged_date_id int, daily_value_g double, "
+       "threshold_g double, threshold_type string, segment_label string, is_flagged boolean")
+    piv = {r.user_id: (r.low_protein, r.high_fat) for r in R.segment_pivot_report(seg).collect()}
+    assert piv == {1: (True, False), 2: (False, False)}          # latest day only; NULL -> false
+    counts = {(r.nutrient_name, r.logged_date): (r.total_users, r.flagged_users)
+              for r in D.flagged_counts(seg, seeds.nutrients(spark)).collect()}
+    assert counts[("Protein", dt.date(2024, 1, 2))] == (2, 1)
