@@ -2,8 +2,18 @@
 
 ``Warehouse`` wires the operators the way the model graph does. Each
 property returns a DataFrame (a logical plan); nothing runs until an action
-or a write. ``as_of`` defaults to a scalar subquery over the meal data (the
-latest logged day), never the wall clock.
+or a write. ``as_of`` defaults to the latest day of the raw feed (a scalar
+subquery over one pruned column), never the wall clock.
+
+Model -> inventory ID:
+  stg_foods B1, stg_users B2, stg_weights B3, stg_meal_logs B4,
+  food_nutrients C1, items C2, scaled C3 (fixed-point units; scaled_grams in grams),
+  daily_intake C4, users_bmi C5, bmi_history C6, segments C7, windowed C8,
+  dim_date M1, dim_users M2, dim_meals M3, dim_nutrients M4, dim_foods M5,
+  fct_meal_logs M6, fct_meal_log_nutrients M7, fct_bmi_evolution M8,
+  fct_user_segments M9, fct_user_segments_windowed M10,
+  daily_totals: the reports' first level (R1-R4, D4-D6), register_views A7,
+  materialize: checkpoint shared models (used by plans.jobs, A9).
 """
 
 from __future__ import annotations
