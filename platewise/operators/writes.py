@@ -148,6 +148,24 @@ def merge_by_key(batch: DataFrame, path: str, unique_key: list[str], partition_b
         staged.write.mode("overwrite").parquet(path)
 
 
+def replace_partitions(batch: DataFrame, path: str, partition_by: list[str]) -> None:
+    """Reprocess mode by date: the partitions present in ``batch`` are replaced
+    whole (staged first, then dynamic partition overwrite); others untouched.
+
+    Recomputing given days from raw this way also recovers rows that the
+    strict high-water mark dropped as late.
+    """
+    spark = batch.sparkSession
+    if not table_exists(spark, path):
+        replace_table(batch, path, partition_by)
+        return
+    staged = stage(batch, path, partition_by)
+    if staged.isEmpty():
+        return
+    (staged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy(*partition_by).parquet(path))
+
+
 # ------------------------------------------------------------------ I4 / I5
 SCD_COLS = ["dbt_scd_id", "dbt_updated_at", "dbt_valid_from", "dbt_valid_to"]
 

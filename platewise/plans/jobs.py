@@ -13,6 +13,7 @@ what the high-water marks already hold.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ..operators import writes as W
 from ..operators.transforms import NUTRIENTS
@@ -33,12 +34,21 @@ REBUILT = ["fct_user_segments_windowed"]
 ALL_MARTS = DIMENSIONS + REBUILT + list(FACTS) + ["dim_foods_snapshot"]
 
 
+def _on_days(df: DataFrame, column: str, days: list[str]) -> DataFrame:
+    """Rows of the given ISO days; ``*_date_id`` columns hold YYYYMMDD integers."""
+    if column.endswith("_id"):
+        return df.where(F.col(column).isin([int(d.replace("-", "")) for d in days]))
+    return df.where(F.col(column).isin([F.lit(d).cast("date") for d in days]))
+
+
 def build_marts(w: Warehouse, root: str, run_ts: str, full_refresh: bool = False,
-                select: list[str] | None = None) -> dict[str, str]:
+                select: list[str] | None = None, reprocess_dates: list[str] | None = None) -> dict[str, str]:
     """Run one build of the selected marts (default: all) into ``root``.
 
     Returns {mart: path}. When several marts are built, the upstream models
-    they share are checkpointed once first.
+    they share are checkpointed once first. ``reprocess_dates`` (ISO dates)
+    switches the facts from the high-water-mark append to replacing exactly
+    those days, recomputed from raw (late data recovered).
     """
     root = root.rstrip("/")
     chosen = [m for m in ALL_MARTS if select is None or m in select]
@@ -53,7 +63,9 @@ def build_marts(w: Warehouse, root: str, run_ts: str, full_refresh: bool = False
             W.snapshot_check(w.dim_foods, path, "fdc_id", NUTRIENTS, run_ts)
         elif name in FACTS:
             mark, key, parts = FACTS[name]
-            if full_refresh:
+            if reprocess_dates:
+                W.replace_partitions(_on_days(getattr(w, name), parts[0], reprocess_dates), path, parts)
+            elif full_refresh:
                 W.replace_table(getattr(w, name), path, parts)
             else:
                 W.incremental_append(getattr(w, name), path, mark, key, parts)

@@ -45,3 +45,25 @@ def test_reports_on_persisted_marts_prune_partitions(spark, scratch):
     lazy = R.latest_segments_report(Warehouse.from_testdata(spark, SF_SMALL, "events").fct_user_segments,
                                     w.dim_nutrients, ordered=False)
     assert rows(rep) == rows(lazy)
+
+
+def test_reprocess_dates_recovers_late_rows(spark, scratch):
+    import datetime as dt
+    from platewise import schemas
+    base = Warehouse.from_testdata(spark, SF_SMALL, "events")
+    logs = base.raw_meal_logs
+    late_day = "2024-01-05"
+    extra = spark.createDataFrame([(7, [(1, 100.0)], None, None, dt.datetime(2024, 1, 5, 12))], schemas.RAW_MEAL_LOGS)
+    path = f"{scratch}/m"
+    sel = ["fct_meal_logs"]
+    build_marts(base, path, "2024-01-31 06:00:00", select=sel)
+    with_late = Warehouse.from_testdata(spark, SF_SMALL, "events", raw_meal_logs=logs.unionByName(extra))
+    build_marts(with_late, path, "2024-02-01 06:00:00", select=sel)                 # reference mode: dropped
+    has_late = "user_id = 7 AND fdc_id = 1 AND logged_date = date'2024-01-05' AND grams = 100.0"
+    assert spark.read.parquet(f"{path}/fct_meal_logs").where(has_late).count() == 0
+    with_late = Warehouse.from_testdata(spark, SF_SMALL, "events", raw_meal_logs=logs.unionByName(extra))
+    build_marts(with_late, path, "2024-02-01 07:00:00", select=sel, reprocess_dates=[late_day])
+    got = spark.read.parquet(f"{path}/fct_meal_logs")
+    assert got.where(has_late).count() == 1
+    full = Warehouse.from_testdata(spark, SF_SMALL, "events", raw_meal_logs=logs.unionByName(extra)).fct_meal_logs
+    assert rows(got.select(*full.columns)) == rows(full)
