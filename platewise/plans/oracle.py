@@ -353,8 +353,8 @@ UNION ALL SELECT 'breakfast', count(*) FILTER (WHERE nb = 0) FROM fx_logs_e
 UNION ALL SELECT 'lunch', CAST(0 AS BIGINT) UNION ALL SELECT 'dinner', CAST(0 AS BIGINT)
 UNION ALL SELECT 'logged_at', count(*) FILTER (WHERE day IS NULL) FROM fx_logs_e""", "fx_logs_e")
 ORACLE["q2_unique"] = "SELECT CAST(p_partkey AS BIGINT) AS fdc_id, CAST(2 AS BIGINT) AS n_records FROM part WHERE p_size > 40"
-ORACLE["q3_accepted_values"] = build("""SELECT segment_label AS value_field, count(*) AS n_records FROM fx_seg_e
-WHERE segment_label NOT IN ('low_protein', 'high_fat', 'low_fiber', 'high_sugar') GROUP BY segment_label""", "fx_seg_e")
+ORACLE["q3_accepted_values"] = build("""SELECT country AS value_field, count(*) AS n_records FROM fx_users
+WHERE country NOT IN ('Spain') GROUP BY country""", "fx_users")
 ORACLE["q4_relationships"] = build("""SELECT i.fdc_id AS from_field FROM fx_items_o i
 WHERE NOT EXISTS (SELECT 1 FROM fx_foods f WHERE f.fdc_id = i.fdc_id)""", "fx_items_o", "fx_foods")
 ORACLE["q5_range"] = build(" UNION ALL ".join(
