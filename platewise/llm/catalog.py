@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from platewise.llm import decontaminate as op5
+from platewise.llm import packing as op4
 from platewise.llm.common import pick, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -20,6 +21,11 @@ def query(name: str):
     return add
 
 
+@query("op4_best_fit_packing")
+def op4_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op4.digest(op4.pack_documents(table(spark, sf_dir, "documents")))
+
+
 @query("op5_decontaminate")
 def op5_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = pick(table(spark, sf_dir, "documents"), "doc_id", "text")
