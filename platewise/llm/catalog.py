@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from platewise.llm import decontaminate as op5
 from platewise.llm import packing as op4
+from platewise.llm import simhash as op7
 from platewise.llm.common import pick, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -30,3 +31,8 @@ def op4_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op5_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = pick(table(spark, sf_dir, "documents"), "doc_id", "text")
     return op5.digest(op5.decontaminate(docs, table(spark, sf_dir, "benchmark"), with_spans=False))
+
+
+@query("op7_simhash")
+def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op7.digest(table(spark, sf_dir, "documents"))
