@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from platewise.llm import decontaminate as op5
 from platewise.llm import packing as op4
 from platewise.llm import simhash as op7
+from platewise.llm import toxicity as op8
 from platewise.llm.common import pick, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -36,3 +37,8 @@ def op5_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op7_simhash")
 def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op7.digest(table(spark, sf_dir, "documents"))
+
+
+@query("op8_toxicity")
+def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op8.digest(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
