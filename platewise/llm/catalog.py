@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from platewise.llm import decontaminate as op5
 from platewise.llm import packing as op4
+from platewise.llm import secret_scan as op9
 from platewise.llm import simhash as op7
 from platewise.llm import toxicity as op8
 from platewise.llm.common import pick, table
@@ -42,3 +43,8 @@ def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op8_toxicity")
 def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op8.digest(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query("op9_secret_scan")
+def op9_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op9.scan_documents(table(spark, sf_dir, "documents"))

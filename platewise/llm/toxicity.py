@@ -5,7 +5,8 @@ Kneser-Ney of ``ORDER`` bytes: class counts at the highest order, and below it b
 continuation counts pooled over both classes, so that rare expressions of one class are smoothed by shared counts
 and an inflected or unseen word still counts by its parts. A document's toxic and ordinary log-likelihoods are
 compared per word: over the whole text, and over its most suspicious run of ``RUN`` words, so that a long text
-does not thin out what a passage says. A logistic curve over these length-normalised differences, fitted on
+does not thin out what a passage says. A word counts where it first occurs in its text, so that repetition adds
+nothing. A logistic curve over these length-normalised differences, fitted on
 labelled rows that the models have not seen, makes the score.
 
 Training sample: of the labelled rows that may be learnt from, the ``per_class`` rows of each label with the
@@ -29,8 +30,8 @@ from platewise.llm.common import (
     DOUBLE, INT, LONG, carry, fields, pick, restore, slices, texts_of, word_hashes,
 )
 
-ORDER = 6
-RUN = 32
+ORDER = 5
+RUN = 16
 PER_CLASS = 10_000
 THRESHOLD = 0.3
 FOLDS, HELD_OUT = 4, 2
@@ -122,15 +123,20 @@ def unique_words(texts: list[bytes]) -> tuple[list[bytes], np.ndarray, np.ndarra
 
 
 def features(texts: list[bytes], model: dict, run: int = RUN) -> np.ndarray:
-    """Per text: difference per word over all of it, per word over its highest run, and log of its length."""
+    """Per text: difference per distinct word, per word over the highest run, and the log of its length."""
     words, at, n = unique_words(texts)
     d = differences(model, words)[at] if words else np.zeros(0)
+    doc = np.repeat(np.arange(len(texts)), n)
+    _, new = np.unique(doc * max(1, len(words)) + at, return_index=True)
+    once = np.zeros(len(d))
+    once[new] = 1
+    d, kinds = d * once, np.bincount(doc, once, len(texts))
     out = np.zeros((len(texts), 3))
     has = np.flatnonzero(n)
     if len(has):
         end = np.cumsum(n[has])
         first = end - n[has]
-        out[has, 0] = np.add.reduceat(d, first) / n[has]
+        out[has, 0] = np.add.reduceat(d, first) / kinds[has]
         total = np.concatenate([[0.0], np.cumsum(d)])
         i = np.arange(len(d))
         stop = np.minimum(i + run, np.repeat(end, n[has]))
