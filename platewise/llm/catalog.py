@@ -11,6 +11,8 @@ from platewise.llm import packing as op4
 from platewise.llm import secret_scan as op9
 from platewise.llm import simhash as op7
 from platewise.llm import toxicity as op8
+from platewise.llm import url_filter as op6
+from platewise.llm import warc as op10
 from platewise.llm.common import pick, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -48,3 +50,16 @@ def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op9_secret_scan")
 def op9_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op9.scan_documents(table(spark, sf_dir, "documents"))
+
+
+@query("op6_url_filter")
+def op6_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op6.judged_pages(table(spark, sf_dir, "pages"))
+
+
+ORACLE["op6_url_filter"] = op6.oracle_sql()
+
+
+@query("op10_warc")
+def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op10.round_trip(spark, table(spark, sf_dir, "pages"))
