@@ -12,6 +12,7 @@ from platewise.llm import secret_scan as op9
 from platewise.llm import simhash as op7
 from platewise.llm import toxicity as op8
 from platewise.llm import url_filter as op6
+from platewise.llm import vptree as op3
 from platewise.llm import warc as op10
 from platewise.llm.common import pick, table
 
@@ -63,3 +64,8 @@ ORACLE["op6_url_filter"] = op6.oracle_sql()
 @query("op10_warc")
 def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op10.round_trip(spark, table(spark, sf_dir, "pages"))
+
+
+@query("op3_vantage_point_trees")
+def op3_vantage_point_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op3.nearest(table(spark, sf_dir, "embeddings"))
