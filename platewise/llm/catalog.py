@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from platewise.llm import decontaminate as op5
+from platewise.llm import lm_scoring as op1
 from platewise.llm import packing as op4
 from platewise.llm import secret_scan as op9
 from platewise.llm import simhash as op7
@@ -27,6 +28,11 @@ def query(name: str):
     return add
 
 
+@query("op1_lm_scoring")
+def op1_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op1.score_documents(table(spark, sf_dir, "documents"))
+
+
 @query("op4_best_fit_packing")
 def op4_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op4.digest(op4.pack_documents(table(spark, sf_dir, "documents")))

@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 from platewise.llm.common import BINARY, DOUBLE, INT, LONG, fields, materialise, pick
 
 NEIGHBOURS = 10
-FACTOR = 1.1
+FACTOR = 5.0
 SHARD_ROWS = 8192
 LEAF = 64
 QUERIES_PER_BLOCK = 128
