@@ -12,6 +12,7 @@ from platewise.llm import packing as op4
 from platewise.llm import secret_scan as op9
 from platewise.llm import simhash as op7
 from platewise.llm import toxicity as op8
+from platewise.llm import training_order as op2
 from platewise.llm import url_filter as op6
 from platewise.llm import vptree as op3
 from platewise.llm import warc as op10
@@ -33,6 +34,11 @@ def op1_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op1.score_documents(table(spark, sf_dir, "documents"))
 
 
+@query("op2_training_order")
+def op2_training_order(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op2.materialised(table(spark, sf_dir, "documents"))
+
+
 @query("op4_best_fit_packing")
 def op4_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op4.digest(op4.pack_documents(table(spark, sf_dir, "documents")))
