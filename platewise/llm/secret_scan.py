@@ -123,22 +123,38 @@ def find_secrets(docs: DataFrame, novelty: float = NOVELTY) -> DataFrame:
     return restore(source.mapInArrow(run, schema), docs, "secrets")
 
 
+def masked(text: str | None, spans: list[tuple[int, int]], mark: str) -> str | None:
+    """``text`` with its spans (in order of start; overlapping ones as one) replaced by ``mark``."""
+    out, at, end = [], 0, 0
+    for a, b in spans:
+        if a >= end:
+            out += [text[at:a], mark]
+        end = at = max(end, b)
+    return "".join(out) + text[at:] if spans else text
+
+
 def redact(docs: DataFrame, mark: str = "[SECRET]", novelty: float = NOVELTY) -> DataFrame:
-    """``docs`` with every secret in ``text`` replaced by ``mark`` (overlapping spans by one); other rows unchanged."""
-    found = find_secrets(docs, novelty)
-    text = F.col("text")
-    # from the last span to the first, so that earlier offsets stay right; spans that overlap are joined first
-    joined = F.aggregate(
-        "secrets", F.expr("cast(array() as array<struct<s:bigint,e:bigint>>)"),
-        lambda acc, x: F.when((F.size(acc) > 0) & (F.element_at(acc, -1)["e"] > x["start"]),
-                              F.concat(F.slice(acc, 1, F.size(acc) - 1), F.array(F.struct(
-                                  F.element_at(acc, -1)["s"].alias("s"),
-                                  F.greatest(F.element_at(acc, -1)["e"], x["end"]).alias("e")))))
-        .otherwise(F.concat(acc, F.array(F.struct(x["start"].alias("s"), x["end"].alias("e"))))))
-    clean = F.aggregate(F.reverse(joined), text, lambda t, x: F.concat(
-        F.substring(t, F.lit(1), x["s"].cast("int")), F.lit(mark), F.substring(t, (x["e"] + 1).cast("int"), F.length(t))))
-    masked = found.withColumn("text", F.when(F.size("secrets") > 0, clean).otherwise(text))
-    return masked.drop("secrets")
+    """``docs`` with every secret in ``text`` replaced by ``mark``; ``n_chars``, where there is such a column, is the
+    new length of a changed text. All rows and other columns stay as they are."""
+    source = carry(docs, "text").withColumn("text", F.col("text").cast("string"))
+    schema = T.StructType([source.schema["row"], *fields(text=STRING, changed=LONG).fields])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        scanner = Scanner(novelty)
+        for whole in batches:
+            for batch in slices(whole, "text"):
+                texts = batch.column("text").to_pylist()
+                spans = [[(a, b) for a, _, b, _ in scanner.scan(t or "")] for t in texts]
+                new = [masked(t, s, mark) for t, s in zip(texts, spans)]
+                size = [len(n) if s else None for n, s in zip(new, spans)]
+                yield pa.RecordBatch.from_arrays([batch.column("row"), pa.array(new, pa.string()), pa.array(size, pa.int64())],
+                                                 names=schema.names)
+
+    done = source.mapInArrow(run, schema)
+    return done.select(*[
+        (F.col("text") if k == docs.columns.index("text") else
+         F.coalesce(F.col("changed").cast(f.dataType), F.col(f"row._c{k}")) if f.name == "n_chars" else F.col(f"row._c{k}")).alias(f.name)
+        for k, f in enumerate(docs.schema.fields)])
 
 
 def digest(found: DataFrame) -> DataFrame:

@@ -243,15 +243,16 @@ def links(fps: DataFrame, tau: int = MAX_BITS, sample: int = SAMPLE) -> DataFram
 
 
 def near_duplicates(hashed: DataFrame, tau: int = MAX_BITS, sample: int = SAMPLE) -> DataFrame:
-    """(fp, component_id) of every distinct fingerprint in ``hashed`` (doc_id, fp): the smallest doc_id reachable."""
+    """(fp, label, component_id) of every distinct fingerprint in ``hashed`` (doc_id, fp): the smallest fingerprint and
+    the smallest doc_id reachable."""
     least = materialise(hashed.groupBy("fp").agg(F.min("doc_id").alias("least")), "fingerprints")
     if least.isEmpty():
-        return least.withColumnRenamed("least", "component_id")
+        return least.select("fp", F.col("fp").alias("label"), F.col("least").alias("component_id"))
     labels = components(links(least.select("fp"), tau, sample))
     named = least.join(labels.withColumnRenamed("node", "fp"), "fp", "left") \
         .select("fp", "least", F.coalesce("label", "fp").alias("label"))
     low = named.groupBy("label").agg(F.min("least").alias("component_id"))
-    return materialise(named.join(low, "label").select("fp", "component_id"), "components")
+    return materialise(named.join(low, "label").select("fp", "label", "component_id"), "components")
 
 
 def digest(docs: DataFrame, shingle: int = SHINGLE, tau: int = MAX_BITS) -> DataFrame:
@@ -260,3 +261,15 @@ def digest(docs: DataFrame, shingle: int = SHINGLE, tau: int = MAX_BITS) -> Data
     found = near_duplicates(hashed, tau)
     return hashed.join(found, "fp").select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"),
                                            "component_id")
+
+
+def deduplicate(docs: DataFrame, shingle: int = SHINGLE, tau: int = MAX_BITS) -> DataFrame:
+    """``docs`` with one row of each component: that of its smallest doc_id (null last, then the first of repeated
+    rows as they were read)."""
+    numbered = carry(docs, "doc_id", "text").withColumn("uid", F.monotonically_increasing_id())
+    whole = materialise(with_fingerprint(numbered, shingle).drop("text"), "numbered")
+    found = near_duplicates(whole.select("doc_id", "fp"), tau)
+    # the component's smallest doc_id names it only where it has one: its fingerprints' least label does always
+    first = whole.select("fp", "uid", "doc_id").join(found, "fp").groupBy("label").agg(
+        F.min(F.struct(F.col("doc_id").isNull().alias("n"), "doc_id", "uid")).alias("m")).select(F.col("m.uid").alias("uid"))
+    return restore(whole.join(first, "uid", "left_semi"), docs)
