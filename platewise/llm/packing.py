@@ -4,7 +4,8 @@ Documents become token ids with an end id; only documents longer than ``capacity
 partitions by a hash and packed there by best-fit decreasing. Each partition's number of bins is certified by
 lower bounds from dual feasible functions (volume, the rounding family u(k), the threshold family f(eps)).
 Partitions whose bins exceed their bound keep their full bins, exchange the documents of the others and run
-best-fit decreasing again over fewer, newly mixed partitions, as long as that saves bins.
+best-fit decreasing again over fewer, newly mixed partitions, as long as that saves bins. Certified partitions join
+the exchange with their emptiest bin, what rounding up to whole bins has left over.
 
 Results for special input: a null or empty text is the end id alone; repeated documents are packed each; an empty
 table gives no rows; texts of any length are cut into as many pieces as needed. A null doc_id stays null.
@@ -28,7 +29,7 @@ from platewise.llm.tokens import END_ID, VOCABULARY, FastTokenizer
 CAPACITY = 4096
 PER_PARTITION = 100_000
 ROUNDS = 4
-_PLACED = fields(part=INT, bin=INT, offset=LONG, bins=LONG, bound=LONG, full=BOOL)
+_PLACED = fields(part=INT, bin=INT, offset=LONG, bins=LONG, bound=LONG, open=BOOL)
 
 
 def pieces(docs: DataFrame, capacity: int = CAPACITY, vocabulary: str = VOCABULARY, end_id: int = END_ID,
@@ -122,13 +123,13 @@ def _pack_partitions(pool: DataFrame, parts: int, seed: int, capacity: int) -> D
     def run(got: pa.Table) -> pa.Table:
         sizes = got.column("length").to_numpy()
         where, offset, free = best_fit_decreasing(sizes, capacity)
-        n = got.num_rows
+        n, bound = got.num_rows, lower_bound(sizes, capacity)
+        open_ = free > 0 if len(free) > bound else (np.arange(len(free)) == free.argmax()) & (free > 0)
         out = got.select(kept)
         for name, values in (("part", np.full(n, got.column("part")[0].as_py(), np.int32)),
                              ("bin", where.astype(np.int32)), ("offset", offset),
                              ("bins", np.full(n, len(free), np.int64)),
-                             ("bound", np.full(n, lower_bound(sizes, capacity), np.int64)),
-                             ("full", free[where] == 0)):
+                             ("bound", np.full(n, bound, np.int64)), ("open", open_[where])):
             out = out.append_column(name, pa.array(values))
         return out
 
@@ -160,10 +161,9 @@ def pack(cut: DataFrame, capacity: int = CAPACITY, per_partition: int = PER_PART
             new, last = before[0], True  # the exchange saved nothing: the earlier places stand
         else:
             last = parts == 1 or k == rounds - 1
-        open_ = (F.col("bins") > F.col("bound")) & ~F.col("full")
-        pool = new.where(open_)
+        pool = new.where("open")
         left = 0 if last else pool.count()
-        stay = new if not left else new.where(~open_)
+        stay = new if not left else new.where("not open")
         done = done.unionByName(stay.select(*cut.columns, (
             F.lit(k).cast("long") * (1 << 56) + F.col("part").cast("long") * (1 << 32) + F.col("bin")
         ).alias("sequence_id"), "offset", F.lit(k).alias("round"), "bins", "bound"))

@@ -33,6 +33,8 @@ _DATE = "2024-01-01T00:00:00Z"
 _PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 _MAGIC, _VERSION = b"\x1f\x8b\x08", b"WARC/1."
 _CHUNK = 1 << 16
+#: Header fields that every record has.
+_NEEDED = ("warc-type", "warc-record-id", "warc-date", "content-length")
 
 
 def _member(data: bytes) -> bytes:
@@ -78,9 +80,14 @@ def parse(data, start: int = 0) -> tuple[dict, bytes, int]:
         name, colon, value = line.partition(":")
         if not colon:
             raise Bad("header line without colon")
-        headers[name.strip().lower()] = value.strip()
-    if not headers.get("content-length", "").isdigit():
-        raise Bad("no content length")
+        name = name.strip().lower()
+        if name in headers and name in _NEEDED or value.strip().startswith("WARC/1."):
+            raise Bad("two headers in one")  # a record cut off within its header
+        headers[name] = value.strip()
+    if missing := [h for h in _NEEDED if h not in headers]:
+        raise Bad(f"no {missing[0]}")
+    if not headers["content-length"].isdigit():
+        raise Bad("no valid content length")
     first = end + 4
     last = first + int(headers["content-length"])
     if last > len(data):
