@@ -12,8 +12,12 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql.types import DecimalType
 
-# Per-100 g nutrient amounts are parsed as exact decimals.
-AMOUNT_TYPE = DecimalType(12, 4)
+# Per-100 g nutrient amounts are parsed as exact decimals: ten digits before
+# and ten after the point. Servings have nine and six. Their products fit
+# DECIMAL(38,18) exactly.
+AMOUNT_TYPE = DecimalType(20, 10)
+PER_GRAM_TYPE = DecimalType(22, 12)
+GRAMS_TYPE = DecimalType(15, 6)
 
 # Fixed value: the null placeholder used by the public surrogate-key macro,
 # so that keys built here equal keys built by the warehouse.
@@ -52,43 +56,15 @@ def bmi(weight_kg: str | Column, height_cm: str | Column) -> Column:
     return round_half_away(F.try_divide(col(weight_kg).cast("double"), F.pow(h, F.lit(2.0))), 1)
 
 
-# Exact fixed-point form of per-item nutrient grams: an integer number of
-# 1e-10 g (= amount in 1e-4 g per 100 g  x  grams in 1e-4 g), carried as an
-# integer-valued DOUBLE. Products and sums stay on primitive arithmetic inside
-# whole-stage codegen; sums of integers below 2^53 (900 kg of a nutrient in
-# one group) are exact in any order. Aggregates convert their sums once to
-# DECIMAL(38,10) grams with ``units_to_grams``.
-UNIT_SCALE = Decimal("1E-10")
+def per_gram(amount_per_100g: str | Column) -> Column:
+    """Exact nutrient grams per gram of food."""
+    return (col(amount_per_100g).cast(AMOUNT_TYPE) * F.lit(Decimal("0.01"))).cast(PER_GRAM_TYPE)
 
 
-def amount_units(amount_per_100g: str | Column) -> Column:
-    """Nutrient per 100 g in whole 1e-4 g (exact from the DECIMAL amount)."""
-    return (col(amount_per_100g).cast(AMOUNT_TYPE) * F.lit(10000)).cast("long")
-
-
-def grams_units(grams: str | Column) -> Column:
-    """Serving grams in whole 1e-4 g (half-up, like a DECIMAL(12,4) cast)."""
-    return F.floor(col(grams).cast("double") * F.lit(1e4) + F.lit(0.5)).cast("long")
-
-
-def nutrient_units(amount_u: str | Column, grams_u: str | Column) -> Column:
-    """Scaled nutrient of one item in 1e-10 g: ``amount * grams / 100``.
-
-    The two integer unit counts are multiplied as doubles: exact whenever the
-    product is below 2^53 (100 g per 100 g x 9,000 kg), and never wrapping
-    around like a long product would in a non-ANSI session."""
-    return col(amount_u).cast("double") * col(grams_u).cast("double")
-
-
-def units_to_grams(units: str | Column) -> Column:
-    """Exact grams (DECIMAL(38,10)) from a (summed) unit count."""
-    return col(units).cast("decimal(27,0)") * F.lit(UNIT_SCALE)
-
-
-def units_to_double(units: str | Column) -> Column:
-    """Grams as DOUBLE from a unit count: the correctly rounded value, equal to
-    casting the exact DECIMAL grams to DOUBLE, without building the DECIMAL."""
-    return col(units) / F.lit(1e10)
+def scaled_grams(amount_per_gram: str | Column, grams: str | Column) -> Column:
+    """Exact nutrient grams of one item, DECIMAL(38,18): no digit is lost, and sums of such values do not depend
+    on the order in which executors add them (20 digits before the point)."""
+    return col(amount_per_gram).cast(PER_GRAM_TYPE) * col(grams).cast(GRAMS_TYPE)
 
 
 def exact_avg(c: str | Column) -> Column:
@@ -160,6 +136,6 @@ __all__ = [
     "AMOUNT_TYPE", "SURROGATE_NULL", "date_id", "round_half_away", "round_exact",
     "bmi", "exact_avg", "avg_round2", "surrogate_key", "naive_to_utc",
     "instant_to_utc", "to_utc", "week_start", "month_start", "week_label", "month_label",
-    "amount_units", "grams_units", "nutrient_units", "units_to_grams", "units_to_double",
+    "GRAMS_TYPE", "per_gram", "scaled_grams",
     "threshold_flag",
 ]

@@ -94,14 +94,13 @@ def fct_meal_logs(items: DataFrame) -> DataFrame:
 
 
 # ------------------------------------------------------------------------ M7
-def fct_meal_log_nutrients(scaled_u: DataFrame) -> DataFrame:
+def fct_meal_log_nutrients(scaled: DataFrame) -> DataFrame:
     """M7: per user, meal and day, each nutrient's grams, in long form.
 
-    Takes the unit form of C3. Five sums are aggregated first, then one
-    Generate emits the five rows.
+    Five sums are aggregated first, then one Generate emits the five rows.
     """
     keys = ["user_id", "meal_id", "logged_date", "logged_date_id"]
-    return T.to_long(T.grouped_grams(scaled_u, keys), keys, "value_g").select(
+    return T.to_long(T.grouped_grams(scaled, keys), keys, "value_g").select(
         "user_id", "meal_id", "nutrient_id", "logged_date", "logged_date_id", "value_g")
 
 

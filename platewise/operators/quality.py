@@ -14,6 +14,8 @@ from collections.abc import Iterable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..sources.seeds import lookup
+
 
 def null_counts(df: DataFrame, cols: Iterable[str] | None = None) -> DataFrame:
     """Q1, batched: one pass over ``df`` counting NULLs of every column.
@@ -321,7 +323,7 @@ def mart_tests(marts: dict[str, DataFrame], tests: list[tuple] | None = None) ->
     per_model: dict[str, list[tuple]] = {}
     for t in tests:
         per_model.setdefault(t[0], []).append(t)
-    parts = []
+    parts, parents = [], {}
     for model, ts in per_model.items():
         df = marts[model]
         conds = []
@@ -333,8 +335,10 @@ def mart_tests(marts: dict[str, DataFrame], tests: list[tuple] | None = None) ->
                 conds.append((test_name(model, test, column), ~((c >= arg[0]) & (c <= arg[1]))))
             elif test == "relationships":
                 key = f"_parent{i}"
-                parent = marts[arg[0]].select(F.col(arg[1]).alias(key)).where(F.col(key).isNotNull()).distinct()
-                df = df.join(parent, c == F.col(key), "left")
+                if (arg[0], arg[1]) not in parents:  # distinct keys of a parent, once for all its children
+                    parents[arg[0], arg[1]] = lookup(
+                        marts[arg[0]].select(F.col(arg[1]).alias("_k")).where(F.col("_k").isNotNull()).distinct())
+                df = df.join(parents[arg[0], arg[1]].withColumnRenamed("_k", key), c == F.col(key), "left")
                 conds.append((test_name(model, test, column), c.isNotNull() & F.col(key).isNull()))
             elif test == "unique":
                 parts.append(unique(marts[model], column).agg(F.count(F.lit(1)).alias("failures"))

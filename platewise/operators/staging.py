@@ -17,22 +17,25 @@ def _dtype(df: DataFrame, name: str) -> str:
     return df.schema[name].dataType.typeName()
 
 
-def stg_foods(raw_foods: DataFrame, tz: str = "UTC") -> DataFrame:
+def stg_foods(raw_foods: DataFrame, tz: str = "UTC", with_nutrients: bool = False) -> DataFrame:
     """B1: description/publication date out of the JSON; loaded_at to UTC.
 
     ``publicationDate`` is a hard cast: a malformed date fails the job, as in
-    the warehouse (ANSI mode).
+    the warehouse (ANSI mode). ``with_nutrients`` keeps the parsed nutrient
+    list (``food_nutrients``) as well, so that C1 need not parse again.
     """
     j = F.col("raw_json")
-    # one parse of the document for both fields (string fields keep the raw
+    # one parse of the document for all fields (string fields keep the raw
     # text of scalars, like the ->> operator)
-    doc = F.from_json(j, "struct<description:string,publicationDate:string>")
+    more = f",foodNutrients:{schemas.FOOD_NUTRIENTS_JSON}" if with_nutrients else ""
+    doc = F.from_json(j, f"struct<description:string,publicationDate:string{more}>")
     return raw_foods.select(
         F.col("fdc_id"),
         F.coalesce(doc["description"], F.lit("Unknown")).alias("description"),
         doc["publicationDate"].cast("date").alias("publication_date"),
         j.alias("raw_json"),
         to_utc("loaded_at", _dtype(raw_foods, "loaded_at"), tz).alias("loaded_at"),
+        *([doc["foodNutrients"].alias("food_nutrients")] if with_nutrients else []),
     )
 
 

@@ -2,17 +2,20 @@
 
 Shape of the plans (checked with ``explain``):
 
-* C1 reads each food's nutrient list with higher-order array functions, so
-  the pivot is a narrow projection: no explode, no shuffle.
+* C1 reads each food's nutrient list with higher-order array functions (no
+  explode) and then merges documents of one food and load by a map-side
+  combined ``max`` per nutrient.
 * C2 is a single ``inline`` over the three meal arrays (one Generate, one
   scan) instead of three unnests unioned together.
 * C4 sums the five nutrient columns per user-day first (partial aggregation
   before the exchange), then unpivots the aggregate: 5x fewer rows shuffled.
+  C7 and C8 work on those wide rows up to their last step: the user join, the
+  anchor window and the trailing averages see one row per user-day.
 * C5 picks the latest weight with ``max_by`` (a partial aggregate, safe for a
   user with a huge number of weigh-ins) and joins the 4-row BMI band seed by
   broadcast nested loop.
 * C8 gets each user's anchor date from a window over the already aggregated
-  daily rows (at most 31 days x 5 nutrients per user), avoiding a self-join.
+  daily rows (at most 31 days per user), avoiding a self-join.
 
 Joins against the user and food dimensions are left to the planner: they are
 broadcast when statistics (or AQE at run time) show they fit the broadcast
@@ -26,8 +29,7 @@ from pyspark.sql import functions as F
 
 from .. import schemas
 from ..functions import (
-    AMOUNT_TYPE, amount_units, avg_round2, date_id, grams_units, nutrient_units, round_exact, round_half_away,
-    threshold_flag, units_to_grams,
+    AMOUNT_TYPE, avg_round2, date_id, per_gram, round_exact, round_half_away, scaled_grams, threshold_flag,
 )
 from ..sources import seeds
 
@@ -45,30 +47,38 @@ def food_nutrients(stg_foods: DataFrame, latest_only: bool = False) -> DataFrame
     """One row per food (and load) with the five macro nutrients per 100 g.
 
     Foods whose nutrient list is empty or missing disappear (inner lateral
-    semantics); duplicated numbers keep the max; unparsable amounts count as 0.
-    ``latest_only`` keeps only the newest load of each fdc_id (§2.10 item 5).
+    semantics); a nutrient number that occurs several times, in one document
+    or in several of one food and load, keeps its max; unparsable amounts
+    count as 0. ``latest_only`` keeps only the newest load of each fdc_id
+    (§2.10 item 5).
+
+    Uses the parsed ``food_nutrients`` column of B1 where it is there, else
+    parses ``raw_json``.
     """
-    foods = stg_foods
+    items = F.col("food_nutrients") if "food_nutrients" in stg_foods.columns else F.from_json(
+        "raw_json", f"struct<foodNutrients:{schemas.FOOD_NUTRIENTS_JSON}>")["foodNutrients"]
+    keys = ["fdc_id", "description", "publication_date", "loaded_at"]
+    with_items = stg_foods.select(*keys, items.alias("_n")).where(F.size("_n") > 0)
+    per_document = with_items.select(*keys, *[_nutrient_amount(F.col("_n"), num).alias(name)
+                                              for num, name in seeds.NUTRIENT_COLUMNS])
+    merged = per_document.groupBy(*keys).agg(*[
+        F.coalesce(F.max(name), F.lit(0).cast(AMOUNT_TYPE)).alias(name) for _, name in seeds.NUTRIENT_COLUMNS])
     if latest_only:
-        foods = latest_load(foods)
-    items = F.from_json("raw_json", f"struct<foodNutrients:{schemas.FOOD_NUTRIENTS_JSON}>")["foodNutrients"]
-    with_items = foods.select("fdc_id", "description", "publication_date", "loaded_at", items.alias("_n"))
-    return with_items.where(F.size("_n") > 0).select(
+        merged = latest_load(merged)
+    return merged.select(
         "fdc_id",
         "description",
         date_id("publication_date").alias("publication_date_id"),
         date_id(F.to_date("loaded_at")).alias("loaded_date_id"),
-        *[F.coalesce(_nutrient_amount(F.col("_n"), num), F.lit(0).cast(AMOUNT_TYPE)).alias(name)
-          for num, name in seeds.NUTRIENT_COLUMNS],
+        *NUTRIENTS,
     )
 
 
-def latest_load(stg_foods: DataFrame) -> DataFrame:
+def latest_load(foods: DataFrame) -> DataFrame:
     """Keep the newest ``loaded_at`` row per fdc_id (partial aggregate, skew safe)."""
-    cols = [c for c in stg_foods.columns if c != "fdc_id"]
-    order = F.struct("loaded_at", "raw_json") if "raw_json" in cols else F.col("loaded_at")  # deterministic ties
-    latest = (stg_foods.groupBy("fdc_id")
-              .agg(F.max_by(F.struct(*cols), order).alias("_r")))
+    cols = [c for c in foods.columns if c != "fdc_id"]
+    order = F.struct("loaded_at", *[c for c in cols if c != "loaded_at"])  # deterministic ties
+    latest = foods.groupBy("fdc_id").agg(F.max_by(F.struct(*cols), order).alias("_r"))
     return latest.select("fdc_id", *[F.col("_r")[c].alias(c) for c in cols])
 
 
@@ -99,35 +109,24 @@ def meal_items(stg_meal_logs: DataFrame, meals: DataFrame | None = None) -> Data
 
 
 # ------------------------------------------------------------------------ C3
-def scaled_units(items: DataFrame, foods: DataFrame) -> DataFrame:
-    """C3, exact fixed-point form: item ⋈ food, each nutrient scaled by grams/100,
-    in whole 1e-10 g (integer-valued DOUBLE, see ``functions.nutrient_units``).
-
-    This is what the aggregating operators consume: one long multiply per
-    nutrient inside codegen instead of a DECIMAL multiply. Unknown foods drop
-    the item (inner join). Unit factors are computed once per food (the small
-    side of the join).
+def scaled_nutrients(items: DataFrame, foods: DataFrame) -> DataFrame:
+    """Item ⋈ food, each nutrient scaled by grams/100, as exact DECIMAL grams.
+
+    Unknown foods drop the item (inner join). The per-gram factors are
+    computed once per food (the small side of the join).
     """
-    f = foods.select("fdc_id", *[amount_units(n).alias(n) for n in NUTRIENTS])
-    i = items.select("user_id", "meal_id", "fdc_id", grams_units("grams").alias("_gu"), "logged_date",
-                     "logged_date_id")
+    f = foods.select("fdc_id", *[per_gram(n).alias(n) for n in NUTRIENTS])
+    i = items.select("user_id", "meal_id", "fdc_id", "grams", "logged_date", "logged_date_id")
     return i.join(f, "fdc_id", "inner").select(
         "user_id", "meal_id", "logged_date", "logged_date_id",
-        *[nutrient_units(n, "_gu").alias(n) for n in NUTRIENTS],
+        *[scaled_grams(n, "grams").alias(n) for n in NUTRIENTS],
     )
 
 
-def scaled_nutrients(items: DataFrame, foods: DataFrame) -> DataFrame:
-    """Item ⋈ food, each nutrient scaled by grams/100, as exact DECIMAL grams."""
-    return units_in_grams(scaled_units(items, foods))
-
-
-def units_in_grams(df: DataFrame) -> DataFrame:
-    """Replace the nutrient unit columns of ``df`` by exact DECIMAL grams."""
-    return df.select(*[units_to_grams(c).alias(c) if c in NUTRIENTS else F.col(c) for c in df.columns])
+# ------------------------------------------------------------------------ C4
+DAY_KEYS = ["user_id", "logged_date", "logged_date_id"]
 
 
-# ------------------------------------------------------------------------ C4
 def to_long(df: DataFrame, keys: list[str], value_name: str) -> DataFrame:
     """Wide five-nutrient row -> five (nutrient_id, value) rows, in one Generate."""
     pairs = [F.struct(F.lit(i + 1).alias("nutrient_id"), F.col(n).alias(value_name))
@@ -135,37 +134,49 @@ def to_long(df: DataFrame, keys: list[str], value_name: str) -> DataFrame:
     return df.select(*keys, F.inline(F.array(*pairs)))
 
 
-def daily_intake(scaled_u: DataFrame, as_of: Column | str, history_days: int = 365) -> DataFrame:
-    """C4: per user, nutrient and day: total grams, over the trailing window.
+def to_wide(long: DataFrame, value: str) -> DataFrame:
+    """(user, nutrient, day, value) rows -> one row per user-day with five exact sums (one map-side combined pass)."""
+    return long.groupBy(*DAY_KEYS).agg(*[
+        F.sum(F.when(F.col("nutrient_id") == i + 1, F.col(value))).alias(n) for i, n in enumerate(NUTRIENTS)])
 
-    Takes the unit form of C3 (``scaled_units``). ``as_of`` replaces the
-    warehouse's ``current_date``: a date literal, or a Column such as a scalar
-    subquery over the data.
-    """
+
+def since_days(df: DataFrame, as_of: Column | str, days: int, column: str = "logged_date") -> DataFrame:
+    """Rows from ``days`` before ``as_of`` on; ``as_of`` is a date literal or a Column (e.g. a scalar subquery)."""
     as_of_col = F.lit(as_of).cast("date") if isinstance(as_of, str) else as_of
-    return daily_totals(scaled_u.where(F.col("logged_date") >= F.date_sub(as_of_col, history_days)))
+    return df.where(F.col(column) >= F.date_sub(as_of_col, days))
 
 
-def grouped_grams(scaled_u: DataFrame, keys: list[str]) -> DataFrame:
-    """Per-group exact grams of the five nutrients (wide), from unit rows.
+def grouped_grams(scaled: DataFrame, keys: list[str]) -> DataFrame:
+    """Per-group exact grams of the five nutrients (wide); map-side combined."""
+    return scaled.groupBy(*keys).agg(*[F.sum(n).alias(n) for n in NUTRIENTS])
 
-    The sums are map-side combined on primitive doubles; the conversion to
-    DECIMAL grams runs once per group after the exchange.
+
+def daily_wide(scaled: DataFrame, as_of: Column | str, history_days: int = 365) -> DataFrame:
+    """One row per user-day with the five exact sums, over the trailing window."""
+    return grouped_grams(since_days(scaled, as_of, history_days), DAY_KEYS)
+
+
+def daily_intake(scaled: DataFrame, as_of: Column | str, history_days: int = 365) -> DataFrame:
+    """C4: per user, nutrient and day: total grams, over the trailing window.
+
+    ``as_of`` replaces the warehouse's ``current_date``.
     """
-    wide = scaled_u.groupBy(*keys).agg(*[F.sum(n).alias(n) for n in NUTRIENTS])
-    return units_in_grams(wide)
+    return daily_long(daily_wide(scaled, as_of, history_days))
 
 
-def daily_totals(scaled_u: DataFrame) -> DataFrame:
+def daily_long(wide: DataFrame) -> DataFrame:
+    return to_long(wide, DAY_KEYS, "daily_value_g").select(
+        "user_id", "nutrient_id", "logged_date", "logged_date_id", "daily_value_g")
+
+
+def daily_totals(scaled: DataFrame) -> DataFrame:
     """Exact daily grams per user and nutrient, straight from scaled items.
 
     Five sums per user-day are aggregated (map-side combined) before one
     Generate emits the nutrient rows. Equal to summing the per-meal fact over
     meals, with one shuffle less.
     """
-    keys = ["user_id", "logged_date", "logged_date_id"]
-    return to_long(grouped_grams(scaled_u, keys), keys, "daily_value_g").select(
-        "user_id", "nutrient_id", "logged_date", "logged_date_id", "daily_value_g")
+    return daily_long(grouped_grams(scaled, DAY_KEYS))
 
 
 # ------------------------------------------------------------------------ C5
@@ -229,13 +240,15 @@ def nutrient_segments(daily: DataFrame, users_bmi: DataFrame, targets: DataFrame
                       personal_targets: dict[int, float] | None = None) -> DataFrame:
     """Per user, nutrient and day, flag intake outside the target.
 
-    The value is rounded to 2 decimals *before* the comparison.
+    ``daily`` has one wide row per user-day (``daily_wide``, ``to_wide``). The
+    value is rounded to 2 decimals *before* the comparison.
     """
     spark = daily.sparkSession
     tg = segment_targets(targets if targets is not None else seeds.nutrient_daily_targets(spark))
     personal = seeds.PERSONAL_TARGETS if personal_targets is None else personal_targets
-    u = users_bmi.select("user_id", "weight_kg")
-    j = daily.join(u, "user_id", "inner").join(tg, "nutrient_id", "inner")
+    known = daily.join(users_bmi.select("user_id", "weight_kg"), "user_id", "inner")
+    j = to_long(known, [*DAY_KEYS, "weight_kg"], "daily_value_g").where(F.col("daily_value_g").isNotNull()) \
+        .join(tg, "nutrient_id", "inner")
     value = round_exact(F.col("daily_value_g"), 2).cast("double")
     out = j.select(
         "user_id", "nutrient_id", "logged_date", "logged_date_id",
@@ -252,25 +265,31 @@ def segments_windowed(daily: DataFrame, users_bmi: DataFrame, as_of: Column | st
                       prefilter_days: int = 30, short_days: int = 7, long_days: int = 30) -> DataFrame:
     """Per user and nutrient, last-day / 7-day / 30-day intake vs target.
 
-    Windows are anchored at each user's last logged day inside the prefilter
-    (``as_of - prefilter_days``); averages skip unlogged days.
+    ``daily`` has one wide row per user-day. Windows are anchored at each
+    user's last logged day inside the prefilter (``as_of - prefilter_days``);
+    averages skip unlogged days.
     """
     spark = daily.sparkSession
     tg = segment_targets(targets if targets is not None else seeds.nutrient_daily_targets(spark))
     personal = seeds.PERSONAL_TARGETS if personal_targets is None else personal_targets
-    as_of_col = F.lit(as_of).cast("date") if isinstance(as_of, str) else as_of
-    recent = daily.where(F.col("logged_date") >= F.date_sub(as_of_col, prefilter_days)).select(
-        "user_id", "nutrient_id", "logged_date", "daily_value_g",
+    recent = since_days(daily, as_of, prefilter_days).select(
+        "user_id", "logged_date", *NUTRIENTS,
         F.max("logged_date").over(Window.partitionBy("user_id")).alias("reference_date"))
-    v, d, ref = F.col("daily_value_g"), F.col("logged_date"), F.col("reference_date")
-    windowed = recent.groupBy("user_id", "nutrient_id", "reference_date").agg(
-        F.max(F.when(d == ref, v)).cast("double").alias("last_day_g"),
-        avg_round2(F.when(d >= F.date_sub(ref, short_days - 1), v)).alias("last_7d_avg_g"),
-        avg_round2(F.when(d >= F.date_sub(ref, long_days - 1), v)).alias("last_30d_avg_g"),
-    )
-    u = users_bmi.select("user_id", "weight_kg")
-    j = windowed.join(u, "user_id", "inner").join(tg, "nutrient_id", "inner").select(
-        "user_id", "nutrient_id", "reference_date", "last_day_g", "last_7d_avg_g", "last_30d_avg_g",
+    d, ref = F.col("logged_date"), F.col("reference_date")
+
+    def measures(n: str) -> Column:
+        v = F.col(n)
+        return F.struct(
+            F.max(F.when(d == ref, v)).cast("double").alias("last_day_g"),
+            avg_round2(F.when(d >= F.date_sub(ref, short_days - 1), v)).alias("last_7d_avg_g"),
+            avg_round2(F.when(d >= F.date_sub(ref, long_days - 1), v)).alias("last_30d_avg_g")).alias(n)
+
+    windowed = recent.groupBy("user_id", "reference_date").agg(*[measures(n) for n in NUTRIENTS])
+    known = windowed.join(users_bmi.select("user_id", "weight_kg"), "user_id", "inner")
+    # a nutrient without any value in the user's window has no row (as in the long form)
+    long = to_long(known, ["user_id", "reference_date", "weight_kg"], "m").where(F.col("m.last_30d_avg_g").isNotNull())
+    j = long.join(tg, "nutrient_id", "inner").select(
+        "user_id", "nutrient_id", "reference_date", "m.last_day_g", "m.last_7d_avg_g", "m.last_30d_avg_g",
         threshold_column(personal).alias("threshold_g"), "threshold_type", "segment_label")
     t = F.col("threshold_g")
     return j.select(

@@ -4,23 +4,27 @@ SCD2 snapshots (I4) and point-in-time reads (I5).
 Tables are parquet folders under the shared storage root (see
 ``platewise.session.storage_root``). A write never overwrites a path that
 the same plan reads: merges and snapshots are first written complete to a
-sibling staging folder, then copied over; partitioned targets use *dynamic*
-partition overwrite, so only the touched partitions are replaced. Each step
-is a plain Spark write, so lost executors are handled by task retry, and the
-staged folder cuts the lineage of long incremental chains. Plain parquet
-folders have no atomic swap: if the final copy itself fails, the staged copy
-(kept under ``<table>__staging/``) is the complete new version to copy back.
+sibling staging folder, then copied over. A full refresh overwrites the whole
+table (*static* mode, whatever the session's default), so no stale partition
+stays behind; merges use *dynamic* overwrite, so only the touched partitions
+are replaced. Each step is a plain Spark write, so lost executors are handled
+by task retry, and the staged folder cuts the lineage of long incremental
+chains. The staged copy is removed after a good write. Plain parquet folders
+have no atomic swap: if the final copy itself fails, the staged copy (kept
+under ``<table>__staging/``) is the complete new version to copy back.
 """
 
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions import surrogate_key
+from ..session import remove_path
 
 
 # ------------------------------------------------------------------ helpers
@@ -43,23 +47,30 @@ def table_exists(spark: SparkSession, path: str) -> bool:
         raise
 
 
-def _writer(df: DataFrame, mode: str, partition_by: list[str] | None):
+def _writer(df: DataFrame, mode: str, partition_by: list[str] | None, overwrite: str = "static"):
     if not partition_by:
         return df.write.mode(mode)
     # REBALANCE: AQE clusters rows by the partition columns (few files per
     # partition) but splits a hot partition value over several tasks
-    return df.hint("rebalance", *partition_by).write.mode(mode).partitionBy(*partition_by)
+    return (df.hint("rebalance", *partition_by).write.mode(mode).option("partitionOverwriteMode", overwrite)
+            .partitionBy(*partition_by))
 
 
-def _stage_path(path: str) -> str:
-    return f"{path.rstrip('/')}__staging/{uuid.uuid4().hex}"
+@contextmanager
+def staged(df: DataFrame, path: str, partition_by: list[str] | None = None) -> Iterator[DataFrame]:
+    """Materialise ``df`` beside ``path`` and give a frame reading it back.
 
-
-def stage(df: DataFrame, path: str, partition_by: list[str] | None = None) -> DataFrame:
-    """Materialise ``df`` beside ``path`` and return a frame reading it back."""
-    tmp = _stage_path(path)
+    The copy is removed when the block ends well, and kept when it fails."""
+    spark = df.sparkSession
+    tmp = f"{path.rstrip('/')}__staging/{uuid.uuid4().hex}"
     _writer(df, "overwrite", partition_by).parquet(tmp)
-    return df.sparkSession.read.schema(df.schema).parquet(tmp)
+    yield spark.read.schema(df.schema).parquet(tmp)
+    remove_path(spark, tmp)
+
+
+def _swap_partitions(new: DataFrame, path: str, partition_by: list[str]) -> None:
+    """Replace the partitions present in ``new`` (dynamic overwrite); others stay."""
+    _writer(new, "overwrite", partition_by, overwrite="dynamic").parquet(path)
 
 
 # ------------------------------------------------------------ A1 - A3, A8
@@ -99,15 +110,14 @@ def high_water_mark(spark: SparkSession, path: str, col: str) -> Column:
     return spark.read.parquet(path).select(F.max(col)).scalar()
 
 
-def incremental_append(batch: DataFrame, path: str, watermark_col: str, unique_key: list[str] | None = None,
+def incremental_append(batch: DataFrame, path: str, watermark_col: str,
                        partition_by: list[str] | None = None) -> None:
     """I1 (reference mode): keep batch rows strictly above the target's
     high-water mark; an absent target gets the whole batch (first build).
 
     Rows at or below the mark are dropped (late data is lost, like the
     warehouse). Because kept rows are newer than every target row, a key
-    can only collide inside the batch, so the write is a plain append; the
-    ``unique_key`` is honoured by ``merge_by_key`` in reprocess mode.
+    can only collide inside the batch, so the write is a plain append.
     """
     spark = batch.sparkSession
     if not table_exists(spark, path):
@@ -117,80 +127,104 @@ def incremental_append(batch: DataFrame, path: str, watermark_col: str, unique_k
     append_table(batch.where(F.col(watermark_col) > mark), path, partition_by)
 
 
+def touched_partitions(target: DataFrame, batch: DataFrame, partition_by: list[str]) -> DataFrame:
+    """The target's rows in the partitions that ``batch`` touches.
+
+    The range between the batch's smallest and largest value of each partition
+    column (scalar subqueries) is a partition filter, so other folders are not
+    read; the semi-join then leaves the exact set."""
+    for c in partition_by:
+        span = batch.select(F.struct(F.min(c).alias("lo"), F.max(c).alias("hi"))).scalar()
+        target = target.where((F.col(c) >= span["lo"]) & (F.col(c) <= span["hi"]))
+    return target.join(batch.select(*partition_by).distinct(), partition_by, "left_semi")
+
+
 def merge_by_key(batch: DataFrame, path: str, unique_key: list[str], partition_by: list[str] | None = None) -> None:
     """I2 (reprocess mode): delete target rows whose key is in the batch, insert the batch.
 
     Duplicates inside the batch are kept (delete+insert semantics). With a
-    partitioned target only the partitions the batch touches are read,
-    rewritten via a staged copy and swapped in with dynamic overwrite.
+    partitioned target only the partitions from the batch's first to its last
+    are read; those it touches are rewritten via a staged copy and swapped in
+    with dynamic overwrite.
     """
     spark = batch.sparkSession
     if not table_exists(spark, path):
         replace_table(batch, path, partition_by)
         return
-    # the batch is used three times below: materialise it once (shared storage,
+    # the batch is used several times below: materialise it once (shared storage,
     # survives executor loss, cuts the batch's lineage)
-    batch = stage(batch, path)
-    if batch.isEmpty():
-        return
-    target = spark.read.parquet(path)
-    if partition_by:
-        touched = batch.select(*partition_by).distinct()
-        target = target.join(touched, partition_by, "left_semi")
-    keys = batch.select(*unique_key).distinct()
-    kept = target.join(keys, unique_key, "left_anti")
-    merged = kept.unionByName(batch.select(*target.columns))
-    staged = stage(merged, path, partition_by)
-    if partition_by:
-        (staged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-         .partitionBy(*partition_by).parquet(path))
-    else:
-        staged.write.mode("overwrite").parquet(path)
-
-
-def replace_partitions(batch: DataFrame, path: str, partition_by: list[str]) -> None:
+    with staged(batch, path) as fresh:
+        if fresh.isEmpty():
+            return
+        target = spark.read.parquet(path)
+        if partition_by:
+            target = touched_partitions(target, fresh, partition_by)
+        keys = fresh.select(*unique_key).distinct()
+        merged = target.join(keys, unique_key, "left_anti").unionByName(fresh.select(*target.columns))
+        with staged(merged, path, partition_by) as new:
+            if partition_by:
+                _swap_partitions(new, path, partition_by)
+            else:
+                new.write.mode("overwrite").parquet(path)
+
+
+def replace_partitions(batch: DataFrame, path: str, partition_by: list[str],
+                       values: list[str] | None = None) -> None:
     """Reprocess mode by date: the partitions present in ``batch`` are replaced
     whole (staged first, then dynamic partition overwrite); others untouched.
 
-    Recomputing given days from raw this way also recovers rows that the
-    strict high-water mark dropped as late.
+    ``values`` names all partitions (of the one partition column, as written in
+    folder names) that the batch stands for: those of them that the batch has
+    no rows for are cleared. Recomputing given days from raw this way also
+    recovers rows that the strict high-water mark dropped as late.
     """
     spark = batch.sparkSession
     if not table_exists(spark, path):
         replace_table(batch, path, partition_by)
         return
-    staged = stage(batch, path, partition_by)
-    if staged.isEmpty():
-        return
-    (staged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .partitionBy(*partition_by).parquet(path))
+    with staged(batch, path, partition_by) as new:
+        if not new.isEmpty():
+            _swap_partitions(new, path, partition_by)
+        if values:
+            column, = partition_by
+            # at most one row per named partition reaches the driver
+            there = {str(r[0]) for r in new.select(F.col(column).cast("string")).distinct().collect()}
+            for v in set(values) - there:
+                remove_path(spark, f"{path.rstrip('/')}/{column}={v}")
 
 
 # ------------------------------------------------------------------ I4 / I5
 SCD_COLS = ["dbt_scd_id", "dbt_updated_at", "dbt_valid_from", "dbt_valid_to"]
 
 
+# The physical partition of a snapshot row: "open", or the run that closed it.
+SCD_PART, OPEN = "dbt_closed_run", "open"
+
+
 def _scd_new(rows: DataFrame, key: str, run_ts: Column) -> DataFrame:
     return rows.select(
         "*",
-        surrogate_key(F.col(key), run_ts).alias("dbt_scd_id"),
+        snapshot_key(F.col(key), run_ts).alias("dbt_scd_id"),
         run_ts.alias("dbt_updated_at"),
         run_ts.alias("dbt_valid_from"),
         F.lit(None).cast("timestamp_ntz").alias("dbt_valid_to"),
     )
 
 
-def snapshot_changes(snapshot: DataFrame, source: DataFrame, unique_key: str, check_cols: list[str],
+def snapshot_key(*cols: Column) -> Column:
+    """md5 of the '|'-joined string forms, NULL as empty text (the public snapshot macro's hash)."""
+    return F.md5(F.concat_ws("|", *[F.coalesce(c.cast("string"), F.lit("")) for c in cols]))
+
+
+def snapshot_changes(current: DataFrame, source: DataFrame, unique_key: str, check_cols: list[str],
                      run_ts: Column) -> DataFrame:
-    """I4 core: the whole new snapshot (history + current) after one check run.
+    """I4 core: what one check run makes of the open rows.
 
     Open rows whose check columns differ (NULL-safe) from the source are
     closed at ``run_ts`` and a new open version is added; new keys are added;
     keys missing from the source stay open (hard deletes are ignored).
     """
     src_cols = source.columns
-    closed_hist = snapshot.where(F.col("dbt_valid_to").isNotNull())
-    current = snapshot.where(F.col("dbt_valid_to").isNull())
     s = source.select(*[F.col(c).alias(f"_s_{c}") for c in src_cols])
     j = current.join(s, current[unique_key] == s[f"_s_{unique_key}"], "full_outer")
     in_cur, in_src = F.col(unique_key).isNotNull(), F.col(f"_s_{unique_key}").isNotNull()
@@ -202,7 +236,7 @@ def snapshot_changes(snapshot: DataFrame, source: DataFrame, unique_key: str, ch
         *src_cols, "dbt_scd_id", "dbt_updated_at", "dbt_valid_from",
         F.when(F.col("_changed"), run_ts).otherwise(F.col("dbt_valid_to")).alias("dbt_valid_to"))
     inserts = j.where((~in_cur) | F.col("_changed")).select(*[F.col(f"_s_{c}").alias(c) for c in src_cols])
-    return closed_hist.unionByName(kept_current).unionByName(_scd_new(inserts, unique_key, run_ts))
+    return kept_current.unionByName(_scd_new(inserts, unique_key, run_ts))
 
 
 def snapshot_check(source: DataFrame, path: str, unique_key: str, check_cols: list[str],
@@ -210,15 +244,32 @@ def snapshot_check(source: DataFrame, path: str, unique_key: str, check_cols: li
     """I4: SCD2 'check' snapshot of ``source`` into ``path`` at ``run_ts``.
 
     First run: every row open from ``run_ts``. Later runs: see
-    ``snapshot_changes``. The new snapshot is staged, then swapped in.
+    ``snapshot_changes``. Open rows live in one partition and the rows that a
+    run closed in another, so a run reads and rewrites the open rows only and
+    adds its closed ones; earlier history stays in place. A run that is
+    repeated after a failure writes the same two partitions again. The source
+    must have one row per key: repeated keys are refused.
     """
     spark = source.sparkSession
     ts = F.lit(run_ts).cast("timestamp_ntz") if isinstance(run_ts, str) else run_ts
+    twice = source.groupBy(unique_key).agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    if not twice.isEmpty():
+        raise ValueError(f"several source rows of one {unique_key}: a snapshot needs one row per key")
     if not table_exists(spark, path):
-        replace_table(_scd_new(source, unique_key, ts), path)
+        first = _scd_new(source, unique_key, ts).withColumn(SCD_PART, F.lit(OPEN))
+        replace_table(first, path, [SCD_PART])
         return
-    new = snapshot_changes(spark.read.parquet(path), source, unique_key, check_cols, ts)
-    replace_table(stage(new, path), path)
+    current = spark.read.parquet(path).where(F.col(SCD_PART) == OPEN).drop(SCD_PART)
+    run = F.date_format(ts, "yyyyMMddHHmmssSSSSSS")
+    new = snapshot_changes(current, source, unique_key, check_cols, ts).withColumn(
+        SCD_PART, F.when(F.col("dbt_valid_to").isNull(), OPEN).otherwise(run))
+    with staged(new, path, [SCD_PART]) as rows:
+        _swap_partitions(rows, path, [SCD_PART])
+
+
+def read_snapshot(spark: SparkSession, path: str) -> DataFrame:
+    """All versions, without the physical partition column."""
+    return spark.read.parquet(path).drop(SCD_PART)
 
 
 def as_of(snapshot: DataFrame, t: str | Column) -> DataFrame:

@@ -7,18 +7,19 @@ subquery over one pruned column), never the wall clock.
 
 Model -> inventory ID:
   stg_foods B1, stg_users B2, stg_weights B3, stg_meal_logs B4,
-  food_nutrients C1, items C2, scaled C3 (fixed-point units; scaled_grams in grams),
-  daily_intake C4, users_bmi C5, bmi_history C6, segments C7, windowed C8,
+  food_nutrients C1, items C2, scaled C3,
+  daily_intake C4 (daily_wide: one row per user-day), users_bmi C5, bmi_history C6, segments C7, windowed C8,
   dim_date M1, dim_users M2, dim_meals M3, dim_nutrients M4, dim_foods M5,
   fct_meal_logs M6, fct_meal_log_nutrients M7, fct_bmi_evolution M8,
   fct_user_segments M9, fct_user_segments_windowed M10,
   daily_totals: the reports' first level (R1-R4, D4-D6), register_views A7,
-  materialize: checkpoint shared models (used by plans.jobs, A9).
+  materialize: write shared models once (used by plans.jobs, A9), after: the
+  same warehouse over newer logs only (A9).
 """
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 from functools import cached_property
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -27,6 +28,7 @@ from pyspark.sql import functions as F
 from ..operators import marts as M
 from ..operators import staging as S
 from ..operators import transforms as T
+from ..session import scratch_dir
 from ..sources import fixtures, seeds
 
 
@@ -42,7 +44,8 @@ class Warehouse:
     as_of_value: Column | str | None = None
     feed_dates: DataFrame | None = None
     latest_food_load: bool = False
-    windowed_from_fact: bool = False
+    nutrient_fact: DataFrame | None = None
+    newer_than: Column | None = None
     personal_targets: dict[int, float] = field(default_factory=lambda: dict(seeds.PERSONAL_TARGETS))
 
     # ---------------------------------------------------------------- inputs
@@ -86,9 +89,14 @@ class Warehouse:
         return seeds.bmi_categories(self.spark)
 
     # -------------------------------------------------------------- staging
+    @cached_property
+    def _parsed_foods(self) -> DataFrame:
+        """B1 with the nutrient list: the document is parsed once for B1 and C1."""
+        return S.stg_foods(self.raw_foods, self.tz, with_nutrients=True)
+
     @cached_property
     def stg_foods(self) -> DataFrame:
-        return S.stg_foods(self.raw_foods, self.tz)
+        return self._parsed_foods.drop("food_nutrients")
 
     @cached_property
     def stg_users(self) -> DataFrame:
@@ -102,28 +110,24 @@ class Warehouse:
     def stg_meal_logs(self) -> DataFrame:
         if self.raw_meal_logs is None:
             raise ValueError("no nested meal logs in this warehouse")
-        return S.stg_meal_logs(self.raw_meal_logs, self.tz)
+        logs = S.stg_meal_logs(self.raw_meal_logs, self.tz)
+        return logs if self.newer_than is None else logs.where(F.to_date("logged_at") > self.newer_than)
 
     # --------------------------------------------------------- intermediate
     @cached_property
     def food_nutrients(self) -> DataFrame:
-        return T.food_nutrients(self.stg_foods, latest_only=self.latest_food_load)
+        return T.food_nutrients(self._parsed_foods, latest_only=self.latest_food_load)
 
     @cached_property
     def items(self) -> DataFrame:
         if self.items_override is not None:
-            return self.items_override
+            items = self.items_override
+            return items if self.newer_than is None else items.where(F.col("logged_date") > self.newer_than)
         return T.meal_items(self.stg_meal_logs, self.meals)
 
     @cached_property
     def scaled(self) -> DataFrame:
-        """C3 in exact fixed-point units (what the aggregates consume)."""
-        return T.scaled_units(self.items, self.food_nutrients)
-
-    @cached_property
-    def scaled_grams(self) -> DataFrame:
-        """C3 as exact DECIMAL grams (presentation form)."""
-        return T.units_in_grams(self.scaled)
+        return T.scaled_nutrients(self.items, self.food_nutrients)
 
     @property
     def as_of(self) -> Column:
@@ -137,13 +141,19 @@ class Warehouse:
         return self.items.select(F.max("logged_date")).scalar()
 
     def feed_span(self) -> tuple[Column, Column]:
-        """(first, last) day of the raw feed as scalar subqueries."""
+        """(first, last) day of the raw feed: one scalar subquery over one pruned column."""
         src = self.feed_dates if self.feed_dates is not None else self.items.select(F.col("logged_date").alias("day"))
-        return src.select(F.min("day")).scalar(), src.select(F.max("day")).scalar()
+        span = src.select(F.struct(F.min("day").alias("lo"), F.max("day").alias("hi"))).scalar()
+        return span["lo"], span["hi"]
+
+    @cached_property
+    def daily_wide(self) -> DataFrame:
+        """C4 before its last step: one row per user-day with the five sums."""
+        return T.daily_wide(self.scaled, self.as_of)
 
     @cached_property
     def daily_intake(self) -> DataFrame:
-        return T.daily_intake(self.scaled, self.as_of)
+        return T.daily_long(self.daily_wide)
 
     @cached_property
     def daily_totals(self) -> DataFrame:
@@ -160,21 +170,17 @@ class Warehouse:
 
     @cached_property
     def segments(self) -> DataFrame:
-        return T.nutrient_segments(self.daily_intake, self.users_bmi, self.targets, self.personal_targets)
+        return T.nutrient_segments(self.daily_wide, self.users_bmi, self.targets, self.personal_targets)
 
     @cached_property
     def windowed(self) -> DataFrame:
-        daily = self.daily_intake_all if self.windowed_from_fact else self.daily_intake
-        return T.segments_windowed(daily, self.users_bmi, self.as_of, self.targets, self.personal_targets)
-
-    @cached_property
-    def daily_intake_all(self) -> DataFrame:
-        """Daily totals from the accumulated nutrient fact (no 365-day cut).
+        """C8 over the accumulated nutrient fact where one is given, else over the raw chain.
 
-        With ``windowed_from_fact`` C8 reads this instead of the raw-chain
-        intake, so daily runs over a truncated raw feed still see 30 days."""
-        keys = ["user_id", "nutrient_id", "logged_date", "logged_date_id"]
-        return self.fct_meal_log_nutrients.groupBy(*keys).agg(F.sum("value_g").alias("daily_value_g"))
+        The fact on disk holds days that a truncated daily feed no longer
+        has, so a daily run still sees 30 days (SURVEY §2.10 item 3)."""
+        daily = self.daily_wide if self.nutrient_fact is None else T.to_wide(
+            T.since_days(self.nutrient_fact, self.as_of, 30), "value_g")
+        return T.segments_windowed(daily, self.users_bmi, self.as_of, self.targets, self.personal_targets)
 
     # ---------------------------------------------------------------- marts
     @cached_property
@@ -219,21 +225,26 @@ class Warehouse:
 
     # ------------------------------------------------------- materialising
     def materialize(self, *names: str) -> "Warehouse":
-        """Compute the named models once and keep them in the shared
-        checkpoint folder (``DataFrame.checkpoint``: reliable, lineage cut).
+        """Compute the named models once, as parquet tables in shared storage.
 
-        Models derived later read the checkpoint instead of recomputing the
-        chain from raw; call this before touching their dependants.
+        Models derived later read the table (columns pruned, filters pushed)
+        instead of recomputing the chain from raw; call this before touching
+        their dependants. The folders go when the run ends.
         """
-        from ..session import storage_root
-        storage_root(self.spark)  # make sure a checkpoint folder is set
         for n in names:
-            self.__dict__[n] = getattr(self, n).checkpoint(eager=True)
+            df = getattr(self, n)
+            path = scratch_dir(self.spark, n)
+            df.write.parquet(path)
+            self.__dict__[n] = self.spark.read.schema(df.schema).parquet(path)
         return self
 
+    def after(self, day: Column) -> "Warehouse":
+        """The same warehouse over meal logs of later days only; as_of stays that of the whole feed."""
+        return replace(self, newer_than=day, as_of_value=self.as_of)
+
     # ---------------------------------------------------------------- views
     MODEL_VIEWS = (
-        "stg_foods", "stg_users", "stg_weights", "food_nutrients", "items", "scaled_grams", "daily_intake",
+        "stg_foods", "stg_users", "stg_weights", "food_nutrients", "items", "scaled", "daily_intake",
         "users_bmi", "bmi_history", "segments", "windowed", "dim_date", "dim_users", "dim_meals",
         "dim_nutrients", "dim_foods", "fct_meal_logs", "fct_meal_log_nutrients", "fct_bmi_evolution",
         "fct_user_segments", "fct_user_segments_windowed",

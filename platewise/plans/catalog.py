@@ -13,13 +13,14 @@ from pyspark.sql import functions as F
 
 from . import dashboard as D
 from . import reports as R
-from ..functions import instant_to_utc, units_to_double
+from ..functions import instant_to_utc
+from ..functions import windows as FW
 from ..operators import marts as M
 from ..operators import quality as Q
 from ..operators import staging as S
 from ..operators import transforms as T
 from ..operators import writes as W
-from ..session import storage_root
+from ..session import scratch_dir
 from ..sources import fixtures, seeds
 from .build import Warehouse
 
@@ -71,8 +72,7 @@ def c2_meal_unpivot(spark, sf):
 
 @query("c3_scaled")
 def c3_scaled(spark, sf):
-    s = orders_wh(spark, sf).scaled
-    return s.select(*[units_to_double(c).alias(c) if c in T.NUTRIENTS else F.col(c) for c in s.columns])
+    return M.as_double(orders_wh(spark, sf).scaled)
 
 
 @query("c4_daily_intake")
@@ -297,7 +297,7 @@ def d12_month_labels(spark, sf):
 def d13_day_meals(spark, sf):
     w = events_wh(spark, sf)
     s, e = _range(w)
-    return D.day_meal_split(w.fct_meal_logs, w.dim_meals, start=s, end=e)
+    return D.day_meals(w.fct_meal_logs, w.dim_foods, w.dim_meals, start=s, end=e)
 
 
 # ----------------------------------------------------------------- quality
@@ -369,11 +369,6 @@ FACT_COLS = {"user_id": "long", "meal_id": "int", "fdc_id": "long", "grams": "do
              "logged_date": "date", "logged_date_id": "int"}
 
 
-def _run_dir(spark, name: str) -> str:
-    import uuid
-    return f"{storage_root(spark)}/platewise/{name}/{uuid.uuid4().hex}"
-
-
 def _fact(df):
     return df.select(*[F.col(c).cast(t).alias(c) for c, t in FACT_COLS.items()])
 
@@ -388,45 +383,111 @@ def i1_high_water(spark, sf):
     overlapping batch filtered above the high-water mark."""
     w = events_wh(spark, sf)
     items = w.fct_meal_logs
-    path = _run_dir(spark, "i1") + "/fct_meal_logs"
-    W.incremental_append(items.where(F.col("logged_date") <= _day(w, 14)), path, "logged_date",
-                         FACT_KEY, ["logged_date"])
-    W.incremental_append(items.where(F.col("logged_date") >= _day(w, 10)), path, "logged_date",
-                         FACT_KEY, ["logged_date"])
+    path = scratch_dir(spark, "i1") + "/fct_meal_logs"
+    W.incremental_append(items.where(F.col("logged_date") <= _day(w, 14)), path, "logged_date", ["logged_date"])
+    W.incremental_append(items.where(F.col("logged_date") >= _day(w, 10)), path, "logged_date", ["logged_date"])
     return _fact(spark.read.parquet(path))
 
 
 @query("i2_replace")
 def i2_replace(spark, sf):
-    """Reprocess mode: a corrected batch replaces matching keys in touched days."""
+    """Reprocess mode: a corrected batch from the 11th day on replaces matching
+    keys in touched days and adds the later days."""
     w = events_wh(spark, sf)
     items = w.fct_meal_logs
-    path = _run_dir(spark, "i2") + "/fct_meal_logs"
+    path = scratch_dir(spark, "i2") + "/fct_meal_logs"
     W.merge_by_key(items.where(F.col("logged_date") <= _day(w, 14)), path, FACT_KEY, ["logged_date"])
-    fix = items.where(F.col("logged_date").between(_day(w, 10), _day(w, 20))).withColumn(
-        "grams", F.col("grams") + F.lit(1.0))
+    fix = items.where(F.col("logged_date") >= _day(w, 10)).withColumn("grams", F.col("grams") + F.lit(1.0))
     W.merge_by_key(fix, path, FACT_KEY, ["logged_date"])
     return _fact(spark.read.parquet(path))
 
 
+@query("i3_full_refresh")
+def i3_full_refresh(spark, sf):
+    """Two full refreshes, first with the whole history, then with the last
+    days only: nothing of the first stays behind."""
+    w = events_wh(spark, sf)
+    items = w.fct_meal_logs
+    path = scratch_dir(spark, "i3") + "/fct_meal_logs"
+    W.replace_table(items, path, ["logged_date"])
+    W.replace_table(items.where(F.col("logged_date") >= _day(w, 14)), path, ["logged_date"])
+    return _fact(spark.read.parquet(path))
+
+
 def _snapshot(spark, sf) -> str:
-    path = _run_dir(spark, "i4") + "/dim_foods_snapshot"
-    first = M.dim_foods(T.food_nutrients(S.stg_foods(fixtures.raw_foods(spark, sf))))
-    W.snapshot_check(first, path, "fdc_id", T.NUTRIENTS, fixtures.DEFAULT_LOADED_AT)
-    second = M.dim_foods(T.food_nutrients(S.stg_foods(_two_loads(spark, sf)), latest_only=True))
-    W.snapshot_check(second, path, "fdc_id", T.NUTRIENTS, fixtures.REFETCH_LOADED_AT)
+    path = scratch_dir(spark, "i4") + "/dim_foods_snapshot"
+    for loads, at in ((fixtures.raw_foods(spark, sf), fixtures.DEFAULT_LOADED_AT),
+                      (_two_loads(spark, sf), fixtures.REFETCH_LOADED_AT)):
+        foods = M.dim_foods(T.food_nutrients(S.stg_foods(loads, with_nutrients=True), latest_only=True))
+        W.snapshot_check(foods, path, "fdc_id", T.NUTRIENTS, at)
     return path
 
 
 @query("i4_scd2")
 def i4_scd2(spark, sf):
-    return M.as_double(spark.read.parquet(_snapshot(spark, sf)))
+    return M.as_double(W.read_snapshot(spark, _snapshot(spark, sf)))
 
 
 @query("i5_point_in_time")
 def i5_point_in_time(spark, sf):
-    snap = spark.read.parquet(_snapshot(spark, sf))
-    return M.as_double(W.as_of(snap, fixtures.REFETCH_LOADED_AT))
+    return M.as_double(W.as_of(W.read_snapshot(spark, _snapshot(spark, sf)), fixtures.REFETCH_LOADED_AT))
+
+
+# --------------------------------------------------------------- raw loads
+def _raw_rows(logs):
+    """Raw log rows as comparable columns."""
+    return logs.select("user_id", "logged_at", F.coalesce(F.size("breakfast"), F.lit(0)).alias("n_breakfast"),
+                       F.size("lunch").alias("n_lunch"), F.size("dinner").alias("n_dinner"))
+
+
+@query("a2_daily_load")
+def a2_daily_load(spark, sf):
+    """The raw log table after two daily loads: the second replaces the first."""
+    from ..sources import raw
+    w = events_wh(spark, sf)
+    path = scratch_dir(spark, "a2") + "/raw_meal_logs"
+    raw.load_daily_meal_logs(w.raw_meal_logs, path)
+    raw.load_daily_meal_logs(w.raw_meal_logs.where(F.to_date("logged_at") >= _day(w, 14)), path)
+    return _raw_rows(raw.read_raw(spark, path, "raw_meal_logs"))
+
+
+@query("a3_historic_load")
+def a3_historic_load(spark, sf):
+    """The raw log table after a daily load and an append of the days before it."""
+    from ..sources import raw
+    w = events_wh(spark, sf)
+    path = scratch_dir(spark, "a3") + "/raw_meal_logs"
+    raw.load_daily_meal_logs(w.raw_meal_logs.where(F.to_date("logged_at") >= _day(w, 14)), path)
+    raw.load_historic_meal_logs(w.raw_meal_logs.where(F.to_date("logged_at") < _day(w, 14)), path)
+    return _raw_rows(raw.read_raw(spark, path, "raw_meal_logs"))
+
+
+@query("a7_views")
+def a7_views(spark, sf):
+    """SQL over the registered model views: flagged users per segment and day."""
+    events_wh(spark, sf).register_views("a7_")
+    return spark.sql("""SELECT s.segment_label, s.logged_date, u.country, count(*) AS users
+        FROM a7_fct_user_segments s JOIN a7_dim_users u ON s.user_id = u.user_id
+        WHERE s.is_flagged GROUP BY s.segment_label, s.logged_date, u.country""")
+
+
+@query("w4_windows")
+def w4_windows(spark, sf):
+    """The documented window idioms over each user's weigh-ins."""
+    h = events_wh(spark, sf).bmi_history
+    part, order = ["user_id"], ["recorded_date_id", "weight_log_id"]
+    return h.select("user_id", "weight_log_id", "recorded_date_id", "bmi",
+                    FW.running_total((F.col("bmi") * 10).cast("long"), part, order).alias("running_bmi"),
+                    FW.next_value("bmi", part, order).alias("next_bmi"),
+                    FW.previous_value("bmi", part, order).alias("previous_bmi"),
+                    FW.first_value("bmi", part, order).alias("first_bmi"))
+
+
+@query("w4_dedup")
+def w4_dedup(spark, sf):
+    """The newest weigh-in of each user, by the skew-safe de-duplication."""
+    h = events_wh(spark, sf).bmi_history
+    return FW.dedup_latest(h, ["user_id"], ["recorded_date_id", "weight_log_id"])
 
 
 # ----------------------------------------------------------------- landing
@@ -444,17 +505,23 @@ def a1_land_foods(spark, sf):
 # --------------------------------------------------------------- streaming
 @query("x1_stream_daily")
 def x1_stream_daily(spark, sf):
-    """Land the raw meal-log feed as files, run the streaming daily-intake job
-    to completion (availableNow) and read its sink."""
-    from ..streaming.meal_stream import run_daily_intake_stream
-    root = _run_dir(spark, "x1")
-    fixtures.raw_meal_logs(spark, sf).write.parquet(f"{root}/landing")
-    foods = events_wh(spark, sf).dim_foods
-    run_daily_intake_stream(spark, f"{root}/landing", foods, f"{root}/daily", f"{root}/_checkpoint")
-    out = spark.read.parquet(f"{root}/daily")
-    return out.select(F.col("user_id").cast("long"), F.col("nutrient_id").cast("int"),
-                      F.col("logged_date").cast("date"), F.col("logged_date_id").cast("int"),
-                      F.col("daily_value_g").cast("double"))
+    """Land the raw meal-log feed as files in three loads, the middle days first
+    and the oldest last, run the streaming job to completion after each load
+    with one file per trigger, and read its sink."""
+    from ..streaming.meal_stream import read_daily, run_daily_intake_stream
+    root = scratch_dir(spark, "x1")
+    w = events_wh(spark, sf)
+    w.dim_foods.write.parquet(f"{root}/foods")
+    foods = spark.read.parquet(f"{root}/foods")
+    day = F.to_date("logged_at")
+    for lo, hi in ((10, 19), (20, None), (None, 9)):
+        part = w.raw_meal_logs
+        part = part if lo is None else part.where(day >= _day(w, lo))
+        part = part if hi is None else part.where(day <= _day(w, hi))
+        part.coalesce(2).write.mode("append").parquet(f"{root}/landing")
+        run_daily_intake_stream(spark, f"{root}/landing", foods, f"{root}/daily", f"{root}/_checkpoint",
+                                max_files_per_trigger=1)
+    return M.as_double(read_daily(spark, f"{root}/daily"))
 
 
 @query("a6_food_ids")
@@ -476,7 +543,7 @@ def a9_incremental_segments(spark, sf):
     15th day, then with the full feed. The incrementally grown segment fact
     equals a full refresh (no late data in this feed)."""
     from .jobs import build_marts
-    root = _run_dir(spark, "a9")
+    root = scratch_dir(spark, "a9")
     full = events_wh(spark, sf)
     cut = _day(full, 14)
     first_logs = full.raw_meal_logs.where(F.to_date("logged_at") <= cut)
@@ -488,7 +555,20 @@ def a9_incremental_segments(spark, sf):
     return seg.select(*[F.col(c).cast(t).alias(c) for c, t in SEG_COLS.items()])
 
 
-MATERIALIZE_FOR_TESTS: tuple[str, ...] = ()
+@query("c8_accumulated")
+def c8_accumulated(spark, sf):
+    """The windowed mart of a daily run whose feed holds the last day only: the
+    averages come from the nutrient fact that the first, full build left."""
+    from .jobs import build_marts
+    root = scratch_dir(spark, "c8")
+    full = events_wh(spark, sf)
+    marts = ["fct_meal_log_nutrients", "fct_user_segments_windowed"]
+    build_marts(full, root, "2024-01-31 06:00:00", select=marts)
+    last = full.feed_span()[1]
+    daily = events_wh(spark, sf, raw_meal_logs=full.raw_meal_logs.where(F.to_date("logged_at") == last),
+                      feed_dates=full.feed_dates.where(F.col("day") == last))
+    build_marts(daily, root, "2024-01-31 07:00:00", select=marts)
+    return spark.read.parquet(f"{root}/fct_user_segments_windowed")
 
 
 @query("q9_mart_tests")
@@ -497,25 +577,22 @@ def q9_mart_tests(spark, sf):
     w = events_wh(spark, sf)
     names = sorted({m for m, *_ in Q.MART_TESTS} | {a[0] for *_, a in Q.MART_TESTS if isinstance(a, tuple)
                                                      and isinstance(a[0], str)})
-    w.materialize(*MATERIALIZE_FOR_TESTS)
+    w.materialize("food_nutrients", "users_bmi", "stg_users", "stg_weights").materialize("items").materialize("scaled")
+    w.materialize("daily_wide").materialize(*[n for n in names if n.startswith("fct_")])
     return Q.mart_tests({n: getattr(w, n) for n in names})
 
 
-
 @query("q10_model_tests")
 def q10_model_tests(spark, sf):
     """Every declared data test of the staging and intermediate models."""
     w = events_wh(spark, sf)
-    w.materialize("items", "food_nutrients", "stg_users", "stg_weights")
-    w.materialize("scaled", "users_bmi")
-    w.materialize("daily_intake")
+    w.materialize("food_nutrients", "stg_users", "stg_weights", "stg_foods", "stg_meal_logs", "users_bmi")
+    w.materialize("items").materialize("scaled").materialize("daily_wide").materialize("daily_intake")
     names = sorted({m for m, *_ in Q.MODEL_TESTS})
     return Q.mart_tests({n: getattr(w, n) for n in names}, Q.MODEL_TESTS)
 
 
-
 @query("q11_snapshot_tests")
 def q11_snapshot_tests(spark, sf):
     """The declared tests of the SCD2 food snapshot, after two snapshot runs."""
-    snap = spark.read.parquet(_snapshot(spark, sf))
-    return Q.mart_tests({"dim_foods_snapshot": snap}, Q.SNAPSHOT_TESTS)
+    return Q.mart_tests({"dim_foods_snapshot": W.read_snapshot(spark, _snapshot(spark, sf))}, Q.SNAPSHOT_TESTS)

@@ -112,7 +112,7 @@ def food_log_range(fct_meal_logs: DataFrame, dim_foods: DataFrame, dim_meals: Da
 def bmi_range(fct_bmi: DataFrame, dim_date: DataFrame, users=None, start: DateArg = None,
               end: DateArg = None) -> DataFrame:
     """Weigh-ins inside the range (filter on the calendar date)."""
-    dd = dim_date.select(F.col("date_id").alias("recorded_date_id"), F.col("full_date").alias("recorded_date"))
+    dd = lookup(dim_date.select(F.col("date_id").alias("recorded_date_id"), F.col("full_date").alias("recorded_date")))
     j = _filter(fct_bmi.join(dd, "recorded_date_id", "inner"), users, "recorded_date", start, end)
     return j.select("user_id", "recorded_date", "weight_kg", "bmi").orderBy("user_id", "recorded_date")
 
@@ -144,7 +144,7 @@ def first_last_delta(fct_bmi: DataFrame, dim_date: DataFrame, users=None, start:
     Computed with max_by/min_by (partial aggregates) instead of pulling the
     series to the driver; same-day ties are broken by weight_log_id.
     """
-    dd = dim_date.select(F.col("date_id").alias("recorded_date_id"), F.col("full_date").alias("recorded_date"))
+    dd = lookup(dim_date.select(F.col("date_id").alias("recorded_date_id"), F.col("full_date").alias("recorded_date")))
     j = _filter(fct_bmi.join(dd, "recorded_date_id", "inner"), users, "recorded_date", start, end)
     k = F.struct("recorded_date", "weight_log_id")
     g = j.groupBy("user_id").agg(
@@ -166,24 +166,17 @@ def with_month_label(monthly: DataFrame) -> DataFrame:
     return monthly.withColumn("month_label", month_label("month_start"))
 
 
-MEAL_NAMES = ["breakfast", "lunch", "dinner"]
+def day_meals(fct_meal_logs: DataFrame, dim_foods: DataFrame, dim_meals: DataFrame, users=None,
+              start: DateArg = None, end: DateArg = None) -> DataFrame:
+    """What was eaten, per user, day and meal: one row per item, newest day first.
 
-
-def day_meal_split(fct_meal_logs: DataFrame, dim_meals: DataFrame, users=None, start: DateArg = None,
-                   end: DateArg = None) -> DataFrame:
-    """One row per user-day, items and grams per meal side by side.
-
-    A conditional aggregate (map-side combined) rather than collecting each
-    day's item list, so a very busy user-day never becomes one big group.
-    """
-    f = _filter(fct_meal_logs, users, "logged_date", start, end).join(
-        lookup(dim_meals.select("meal_id", "meal_name")), "meal_id")
-    aggs = []
-    for m in MEAL_NAMES:
-        hit = F.col("meal_name") == m
-        aggs.append(F.count_if(hit).alias(f"{m}_items"))
-        aggs.append(F.sum(F.when(hit, F.col("grams").cast("decimal(12,4)"))).cast("double").alias(f"{m}_grams"))
-    return f.groupBy("user_id", "logged_date").agg(*aggs).orderBy("user_id", F.col("logged_date").desc())
+    The page shows one day's rows in three lists; choosing the day and laying
+    the meals side by side is left to the caller, so that a busy user-day is
+    never gathered into one row."""
+    f = _filter(fct_meal_logs, users, "logged_date", start, end)
+    return food_log_join(f, dim_foods, dim_meals).select(
+        "user_id", "logged_date", "meal_name", F.col("food_name").alias("description"), "grams"
+    ).orderBy("user_id", F.col("logged_date").desc(), "meal_name", "description")
 
 
 def date_labels(daily: DataFrame, start: DateArg = None, end: DateArg = None) -> DataFrame:

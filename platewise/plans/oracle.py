@@ -3,10 +3,9 @@
 Each oracle recomputes a query's answer straight from the driver's tables
 with flat SQL (no JSON, no nesting): the fixture rules of FIXTURES.md §C are
 restated as CTEs below and each operator's semantics is restated over them.
-Exact-arithmetic conventions shared with the Spark side: nutrient amounts
-and grams are DECIMAL(12,4), scaled values are amount * grams * 0.01, sums
-are exact; averages are double(sum)/count; DOUBLE rounding is DuckDB's own
-``round(x, n)``.
+Amounts and grams are read as decimals wide enough to keep every digit, so
+that scaled values (amount * grams / 100) and their sums are exact; averages
+are double(sum)/count; DOUBLE rounding is DuckDB's own ``round(x, n)``.
 """
 
 from __future__ import annotations
@@ -70,24 +69,37 @@ FROM (SELECT CAST(user_id AS BIGINT) AS user_id, CAST(450 + (event_id * 7) % 750
 
 
 def _amt(expr: str) -> str:
-    return f"CAST(CAST(CAST({expr} AS DECIMAL(9,0)) * 0.1 AS DECIMAL(9,1)) AS DECIMAL(12,4))"
+    return f"CAST(CAST(CAST({expr} AS DECIMAL(9,0)) * 0.1 AS DECIMAL(9,1)) AS DECIMAL(20,10))"
 
 
+def _protein(mult: str, again: str = "0") -> str:
+    """Five decimals where p_partkey % 101 = 0; a second document of the food may add a gram."""
+    return (f"{_amt(mult)} + CASE WHEN p_partkey % 101 = 0 THEN 0.00004 ELSE 0 END"
+            f" + CASE WHEN {again} THEN 1 ELSE 0 END")
+
+
+_FAT = "CASE WHEN p_partkey % 173 = 0 THEN CAST(250000000 AS DECIMAL(20,10)) ELSE " + _amt("(p_partkey * 17) % 1000") + " END"
+#: foods of the first load that come in two documents
+TWICE = "(p_partkey % 107 = 0 AND p_partkey % 97 <> 0)"
+# raw documents: nutrients listed in each
+cte("fx_documents", f"""SELECT *, CASE WHEN p_partkey % 97 = 0 THEN 0
+  ELSE 5 + (CASE WHEN p_partkey % 5 <> 0 THEN 1 ELSE 0 END) + (CASE WHEN p_partkey % 13 = 0 THEN 1 ELSE 0 END) END AS n_nutrients
+FROM part UNION ALL SELECT *, 1 FROM part WHERE {TWICE}""")
 # fixture rule: a food whose nutrient list is empty (p_partkey % 97 = 0) is dropped by the pivot
 cte("fx_food_src", """SELECT *, CASE WHEN p_partkey % 97 = 0 THEN 0 ELSE 1 END AS n_nutrient_lists FROM part""")
 cte("fx_foods", f"""SELECT CAST(p_partkey AS BIGINT) AS fdc_id,
   CASE WHEN p_partkey % 89 = 0 THEN 'Unknown' ELSE p_name || ' #' || CAST(p_partkey AS VARCHAR) END AS description,
   DATE '2019-04-01' + CAST(p_partkey % 1000 AS INTEGER) AS publication_date,
-  {_amt('(p_partkey * 13) % 1000')} AS protein_g,
-  {_amt('(p_partkey * 17) % 1000')} AS fat_g,
+  {_protein('(p_partkey * 13) % 1000', TWICE)} AS protein_g,
+  {_FAT} AS fat_g,
   {_amt('(p_partkey * 19) % 1000')} AS carbohydrate_g,
-  CASE WHEN p_partkey % 5 = 0 THEN CAST(0 AS DECIMAL(12,4)) ELSE {_amt('(p_partkey * 23) % 300')} END AS fiber_g,
-  CASE WHEN p_partkey % 7 = 0 THEN CAST(0 AS DECIMAL(12,4)) ELSE {_amt('(p_partkey * 29) % 1000')} END AS total_sugar_g
+  CASE WHEN p_partkey % 5 = 0 THEN CAST(0 AS DECIMAL(20,10)) ELSE {_amt('(p_partkey * 23) % 300')} END AS fiber_g,
+  CASE WHEN p_partkey % 7 = 0 THEN CAST(0 AS DECIMAL(20,10)) ELSE {_amt('(p_partkey * 29) % 1000')} END AS total_sugar_g
 FROM fx_food_src WHERE n_nutrient_lists > 0""", ["fx_food_src"])
 
 cte("fx_items_e", f"""SELECT * FROM (SELECT CAST(user_id AS BIGINT) AS user_id,
   CASE event_type WHEN 'view' THEN 1 WHEN 'click' THEN 2 ELSE 3 END AS meal_id,
-  CAST((event_id * 31) % 200 AS BIGINT) AS fdc_id,
+  CAST((event_id * 31) % (SELECT max(p_partkey) FROM part) AS BIGINT) AS fdc_id,
   80 + CAST(json_extract_string(props, '$.k') AS DOUBLE) AS grams,
   CAST(ts AS DATE) AS logged_date, {_did('CAST(ts AS DATE)')} AS logged_date_id
 FROM events WHERE event_type IN ('view', 'click', 'purchase')) i WHERE grams IS NOT NULL""")
@@ -102,7 +114,7 @@ NUTS = ["protein_g", "fat_g", "carbohydrate_g", "fiber_g", "total_sugar_g"]
 FEED = {"e": ("events", "ts"), "o": ("orders", "o_orderdate")}
 
 for h in ("e", "o"):
-    cols = ",\n  ".join(f"CAST(f.{n} AS DECIMAL(12,4)) * CAST(i.grams AS DECIMAL(12,4)) * 0.01 AS {n}" for n in NUTS)
+    cols = ",\n  ".join(f"CAST(CAST(f.{n} AS DECIMAL(20,10)) * 0.01 AS DECIMAL(22,12)) * CAST(i.grams AS DECIMAL(15,6)) AS {n}" for n in NUTS)
     cte(f"fx_scaled_{h}", f"""SELECT i.user_id, i.meal_id, i.logged_date, i.logged_date_id,
   {cols}
 FROM fx_items_{h} i JOIN fx_foods f ON i.fdc_id = f.fdc_id""", [f"fx_items_{h}", "fx_foods"])
@@ -152,26 +164,23 @@ for h in ("e", "o"):
   FROM fx_daily_{h} x JOIN fx_users_bmi u ON x.user_id = u.user_id
   JOIN s_targets t ON x.nutrient_id = t.nutrient_id WHERE t.segment_label IS NOT NULL) s""",
         [f"fx_daily_{h}", "fx_users_bmi", "s_targets"])
+    cte(f"fx_recent_{h}", f"""SELECT *, max(logged_date) OVER (PARTITION BY user_id) AS reference_date
+FROM fx_daily_{h} WHERE logged_date >= (SELECT as_of FROM fx_asof_{h}) - INTERVAL 30 DAY""", [f"fx_daily_{h}", f"fx_asof_{h}"])
+    cte(f"fx_frames_{h}", f"""SELECT r.user_id, r.nutrient_id, r.reference_date, k.days,
+  CAST(sum(r.daily_value_g) AS DOUBLE) AS total, count(*) AS logged
+FROM fx_recent_{h} r JOIN (VALUES (1), (7), (30)) k(days) ON r.reference_date - r.logged_date < k.days
+GROUP BY r.user_id, r.nutrient_id, r.reference_date, k.days""", [f"fx_recent_{h}"])
     cte(f"fx_win_{h}", f"""SELECT *, {flag('last_day_g')} AS is_flagged_last_day,
   {flag('last_7d_avg_g')} AS is_flagged_last_7d, {flag('last_30d_avg_g')} AS is_flagged_last_30d FROM (
-  SELECT x.user_id, x.nutrient_id, x.reference_date, x.last_day_g, x.last_7d_avg_g, x.last_30d_avg_g,
+  SELECT x.user_id, x.nutrient_id, x.reference_date, x.total AS last_day_g,
+    round(w.total / w.logged, 2) AS last_7d_avg_g, round(m.total / m.logged, 2) AS last_30d_avg_g,
     {THRESH} AS threshold_g, t.threshold_type, t.segment_label
-  FROM (
-    SELECT d.user_id, d.nutrient_id, m.max_date AS reference_date,
-      CAST(max(CASE WHEN d.logged_date = m.max_date THEN d.daily_value_g END) AS DOUBLE) AS last_day_g,
-      round(CAST(sum(CASE WHEN d.logged_date >= m.max_date - INTERVAL 6 DAY THEN d.daily_value_g END) AS DOUBLE)
-            / count(CASE WHEN d.logged_date >= m.max_date - INTERVAL 6 DAY THEN d.daily_value_g END), 2) AS last_7d_avg_g,
-      round(CAST(sum(CASE WHEN d.logged_date >= m.max_date - INTERVAL 29 DAY THEN d.daily_value_g END) AS DOUBLE)
-            / count(CASE WHEN d.logged_date >= m.max_date - INTERVAL 29 DAY THEN d.daily_value_g END), 2) AS last_30d_avg_g
-    FROM fx_daily_{h} d
-    JOIN (SELECT user_id, max(logged_date) AS max_date FROM fx_daily_{h}
-          WHERE logged_date >= (SELECT as_of FROM fx_asof_{h}) - INTERVAL 30 DAY GROUP BY user_id) m
-      ON d.user_id = m.user_id
-    WHERE d.logged_date >= (SELECT as_of FROM fx_asof_{h}) - INTERVAL 30 DAY
-    GROUP BY d.user_id, d.nutrient_id, m.max_date) x
+  FROM fx_frames_{h} x
+  JOIN fx_frames_{h} w ON w.user_id = x.user_id AND w.nutrient_id = x.nutrient_id AND w.days = 7
+  JOIN fx_frames_{h} m ON m.user_id = x.user_id AND m.nutrient_id = x.nutrient_id AND m.days = 30
   JOIN fx_users_bmi u ON x.user_id = u.user_id
-  JOIN s_targets t ON x.nutrient_id = t.nutrient_id WHERE t.segment_label IS NOT NULL) s""",
-        [f"fx_daily_{h}", f"fx_asof_{h}", "fx_users_bmi", "s_targets"])
+  JOIN s_targets t ON x.nutrient_id = t.nutrient_id WHERE x.days = 1 AND t.segment_label IS NOT NULL) s""",
+        [f"fx_frames_{h}", "fx_users_bmi", "s_targets"])
 
 DBL = ", ".join(f"CAST({n} AS DOUBLE) AS {n}" for n in NUTS)
 
@@ -181,7 +190,7 @@ ORACLE["b1_stg_foods"] = build(
     "SELECT CAST(p_partkey AS BIGINT) AS fdc_id, CASE WHEN p_partkey % 89 = 0 THEN 'Unknown' "
     "ELSE p_name || ' #' || CAST(p_partkey AS VARCHAR) END AS description, "
     "DATE '2019-04-01' + CAST(p_partkey % 1000 AS INTEGER) AS publication_date, "
-    "TIMESTAMP '2024-02-01 00:00:00' AS loaded_at FROM part")
+    "TIMESTAMP '2024-02-01 00:00:00' AS loaded_at FROM fx_documents", "fx_documents")
 ORACLE["b2_stg_users"] = build("SELECT * FROM fx_users", "fx_users")
 ORACLE["b3_stg_weights"] = build("SELECT * FROM fx_weights", "fx_weights")
 ORACLE["c1_food_pivot"] = build(
@@ -213,13 +222,14 @@ cte("dim_date", f"""SELECT {_did('full_date')} AS date_id, full_date, CAST(year(
   dayname(full_date) AS day_name, dayofweek(full_date) IN (0, 6) AS is_weekend
 FROM (SELECT CAST(d AS DATE) AS full_date FROM range(DATE '2019-01-01', DATE '2027-12-31', INTERVAL 1 DAY) t(d)) s""")
 
-ORACLE["b4_stg_meal_logs"] = build("""SELECT user_id, CAST(day AS TIMESTAMP) + INTERVAL 12 HOUR AS logged_at,
-  CAST(count(*) FILTER (WHERE event_type = 'view') AS INTEGER) AS n_breakfast,
-  CAST(count(*) FILTER (WHERE event_type = 'click') AS INTEGER) AS n_lunch,
-  CAST(count(*) FILTER (WHERE event_type = 'purchase') AS INTEGER) AS n_dinner
-FROM (SELECT CAST(user_id AS BIGINT) AS user_id, CAST(ts AS DATE) AS day, event_type,
-             event_id // 1024 AS part FROM events) e
-GROUP BY user_id, day, part""")
+# ---------------------------------------------------------------- raw logs
+cte("fx_logs_e", """SELECT CAST(user_id AS BIGINT) AS user_id, ts AS logged_at,
+  CAST(count(*) FILTER (WHERE event_type = 'view') AS INTEGER) AS nb,
+  CAST(count(*) FILTER (WHERE event_type = 'click') AS INTEGER) AS nl,
+  CAST(count(*) FILTER (WHERE event_type = 'purchase') AS INTEGER) AS nd
+FROM events GROUP BY CAST(user_id AS BIGINT), ts""")
+_LOGS = "SELECT user_id, logged_at, nb AS n_breakfast, nl AS n_lunch, nd AS n_dinner FROM fx_logs_e"
+ORACLE["b4_stg_meal_logs"] = build(_LOGS, "fx_logs_e")
 
 ORACLE["m1_dim_date"] = build(f"""SELECT {_did('full_date')} AS date_id, full_date, CAST(year(full_date) AS INTEGER) AS year,
   CAST(quarter(full_date) AS INTEGER) AS quarter, CAST(month(full_date) AS INTEGER) AS month,
@@ -281,7 +291,7 @@ ORACLE["r8_food_log"] = build("""SELECT user_id, logged_date, meal_name, food_na
 WHERE logged_date = (SELECT as_of FROM fx_asof_e)""", "fx_foodlog_e", "fx_asof_e")
 ORACLE["r9_weekly_food"] = build("""SELECT user_id, CAST(date_trunc('week', logged_date) AS DATE) AS week_start, meal_name,
   food_name, count(*) AS times_logged,
-  round(CAST(sum(CAST(grams AS DECIMAL(12,4))) AS DOUBLE) / count(grams), 1) AS avg_grams
+  round(CAST(sum(CAST(grams AS DECIMAL(15,6))) AS DOUBLE) / count(grams), 1) AS avg_grams
 FROM fx_foodlog_o GROUP BY user_id, date_trunc('week', logged_date), meal_name, food_name""", "fx_foodlog_o")
 ORACLE["r10_bmi"] = build("""SELECT b.user_id, d.full_date AS recorded_date, b.weight_kg, b.height_cm, b.bmi
 FROM fx_bmi_hist b JOIN dim_date d ON b.recorded_date_id = d.date_id""", "fx_bmi_hist", "dim_date")
@@ -332,27 +342,19 @@ GROUP BY user_id""", "fx_bmi_hist", "dim_date", "fx_range_e")
 ORACLE["d12_week_labels"] = build(f"SELECT *, strftime(week_start, '%Y-W%W') AS week_label FROM ({D5}) q", "fx_dnr_o")
 ORACLE["d12_month_labels"] = build(f"SELECT *, strftime(month_start, '%b %Y') AS month_label FROM ({D6}) q", "fx_dnr_o")
 ORACLE["d13_day_meals"] = build("""SELECT i.user_id, i.logged_date,
-  count(*) FILTER (WHERE m.meal_name = 'breakfast') AS breakfast_items,
-  CAST(sum(CASE WHEN m.meal_name = 'breakfast' THEN CAST(i.grams AS DECIMAL(12,4)) END) AS DOUBLE) AS breakfast_grams,
-  count(*) FILTER (WHERE m.meal_name = 'lunch') AS lunch_items,
-  CAST(sum(CASE WHEN m.meal_name = 'lunch' THEN CAST(i.grams AS DECIMAL(12,4)) END) AS DOUBLE) AS lunch_grams,
-  count(*) FILTER (WHERE m.meal_name = 'dinner') AS dinner_items,
-  CAST(sum(CASE WHEN m.meal_name = 'dinner' THEN CAST(i.grams AS DECIMAL(12,4)) END) AS DOUBLE) AS dinner_grams
-FROM fx_items_e i JOIN s_meals m ON i.meal_id = m.meal_id
-WHERE i.logged_date BETWEEN (SELECT s FROM fx_range_e) AND (SELECT e FROM fx_range_e)
-GROUP BY i.user_id, i.logged_date""", "fx_items_e", "s_meals", "fx_range_e")
+  CASE i.meal_id WHEN 1 THEN 'breakfast' WHEN 2 THEN 'lunch' WHEN 3 THEN 'dinner' END AS meal_name,
+  (SELECT f.description FROM fx_foods f WHERE f.fdc_id = i.fdc_id) AS description, i.grams
+FROM fx_items_e i WHERE i.fdc_id IN (SELECT fdc_id FROM fx_foods)
+  AND i.logged_date >= (SELECT s FROM fx_range_e) AND i.logged_date <= (SELECT e FROM fx_range_e)""",
+                                "fx_items_e", "fx_foods", "fx_range_e")
 
 # ----------------------------------------------------------------- quality
-cte("fx_logs_e", """SELECT CAST(user_id AS BIGINT) AS user_id, CAST(ts AS DATE) AS day, event_id // 1024 AS part,
-  count(*) FILTER (WHERE event_type = 'view') AS nb, count(*) FILTER (WHERE event_type = 'click') AS nl,
-  count(*) FILTER (WHERE event_type = 'purchase') AS nd
-FROM events GROUP BY CAST(user_id AS BIGINT), CAST(ts AS DATE), event_id // 1024""")
-
 ORACLE["q1_not_null"] = build("""SELECT 'user_id' AS column_name, count(*) FILTER (WHERE user_id IS NULL) AS failures FROM fx_logs_e
 UNION ALL SELECT 'breakfast', count(*) FILTER (WHERE nb = 0) FROM fx_logs_e
 UNION ALL SELECT 'lunch', CAST(0 AS BIGINT) UNION ALL SELECT 'dinner', CAST(0 AS BIGINT)
-UNION ALL SELECT 'logged_at', count(*) FILTER (WHERE day IS NULL) FROM fx_logs_e""", "fx_logs_e")
-ORACLE["q2_unique"] = "SELECT CAST(p_partkey AS BIGINT) AS fdc_id, CAST(2 AS BIGINT) AS n_records FROM part WHERE p_size > 40"
+UNION ALL SELECT 'logged_at', count(*) FILTER (WHERE logged_at IS NULL) FROM fx_logs_e""", "fx_logs_e")
+ORACLE["q2_unique"] = f"""SELECT * FROM (SELECT CAST(p_partkey AS BIGINT) AS fdc_id, CAST(1 + CASE WHEN {TWICE} THEN 1 ELSE 0 END
+  + CASE WHEN p_size > 40 THEN 1 ELSE 0 END AS BIGINT) AS n_records FROM part) q WHERE n_records > 1"""
 ORACLE["q3_accepted_values"] = build("""SELECT country AS value_field, count(*) AS n_records FROM fx_users
 WHERE country NOT IN ('Spain') GROUP BY country""", "fx_users")
 ORACLE["q4_relationships"] = build("""SELECT i.fdc_id AS from_field FROM fx_items_o i
@@ -362,16 +364,17 @@ ORACLE["q5_range"] = build(" UNION ALL ".join(
     f"'dim_foods' AS table_name FROM fx_foods" for n in NUTS) +
     " UNION ALL SELECT 'grams', count(*) FILTER (WHERE NOT (grams >= 0 AND grams <= 1000)), 'fct_meal_logs' FROM fx_items_o",
     "fx_foods", "fx_items_o")
-ORACLE["q6_one_meal"] = build("""SELECT user_id, CAST(day AS TIMESTAMP) + INTERVAL 12 HOUR AS logged_at FROM fx_logs_e
+ORACLE["q6_one_meal"] = build("""SELECT user_id, logged_at FROM fx_logs_e
 WHERE nb = 0 AND nl = 0 AND nd = 0""", "fx_logs_e")
 _AS_OF = "TIMESTAMP '2024-02-01 06:00:00'"
 ORACLE["q7_freshness"] = build(f"""SELECT source_name, max_loaded_at, age_hours,
   CASE WHEN max_loaded_at IS NULL THEN 'error' WHEN age_hours > err THEN 'error' WHEN age_hours > warn THEN 'warn'
        ELSE 'pass' END AS status
-FROM (SELECT 'app_events.raw_meal_logs' AS source_name, max(CAST(day AS TIMESTAMP) + INTERVAL 12 HOUR) AS max_loaded_at,
+FROM (SELECT 'app_events.raw_meal_logs' AS source_name, max(logged_at) AS max_loaded_at,
         12.0 AS warn, 25.0 AS err FROM fx_logs_e
       UNION ALL SELECT 'usda.raw_foods', TIMESTAMP '2024-02-01 00:00:00', 720.0, 1440.0) s,
-LATERAL (SELECT CAST(date_diff('second', s.max_loaded_at, {_AS_OF}) AS DOUBLE) / 3600.0 AS age_hours) a""", "fx_logs_e")
+LATERAL (SELECT CAST((epoch_us({_AS_OF}) - epoch_us(s.max_loaded_at)) // 1000000 AS DOUBLE) / 3600.0 AS age_hours) a""",
+                              "fx_logs_e")
 ORACLE["q8_grain"] = build("""SELECT user_id, meal_id, fdc_id, logged_date, count(*) AS n_records FROM fx_items_o
 GROUP BY user_id, meal_id, fdc_id, logged_date HAVING count(*) > 1""", "fx_items_o")
 
@@ -383,8 +386,7 @@ ORACLE["i1_high_water"] = build("""SELECT * FROM fx_b1_e UNION ALL
 SELECT * FROM fx_items_e WHERE logged_date >= (SELECT d0 FROM fx_feed0_e) + INTERVAL 10 DAY
   AND logged_date > (SELECT max(logged_date) FROM fx_b1_e)""", "fx_b1_e", "fx_items_e", "fx_feed0_e")
 cte("fx_b2_e", """SELECT user_id, meal_id, fdc_id, grams + 1.0 AS grams, logged_date, logged_date_id FROM fx_items_e
-WHERE logged_date BETWEEN (SELECT d0 FROM fx_feed0_e) + INTERVAL 10 DAY
-                      AND (SELECT d0 FROM fx_feed0_e) + INTERVAL 20 DAY""", ["fx_items_e", "fx_feed0_e"])
+WHERE logged_date >= (SELECT d0 FROM fx_feed0_e) + INTERVAL 10 DAY""", ["fx_items_e", "fx_feed0_e"])
 ORACLE["i2_replace"] = build("""SELECT * FROM fx_b1_e b WHERE NOT EXISTS (SELECT 1 FROM fx_b2_e x WHERE x.user_id = b.user_id
   AND x.meal_id = b.meal_id AND x.fdc_id = b.fdc_id AND x.logged_date = b.logged_date)
 UNION ALL SELECT * FROM fx_b2_e""", "fx_b1_e", "fx_b2_e")
@@ -393,11 +395,11 @@ cte("fx_foods2", f"""SELECT CAST(p_partkey AS BIGINT) AS fdc_id,
   CASE WHEN p_partkey % 89 = 0 THEN 'Unknown' ELSE p_name || ' #' || CAST(p_partkey AS VARCHAR) END AS description,
   {_did("DATE '2019-04-01' + CAST(p_partkey % 1000 AS INTEGER)")} AS publication_date_id,
   20240301 AS loaded_date_id,
-  {_amt('(p_partkey * 13 + 7) % 1000')} AS protein_g,
-  {_amt('(p_partkey * 17) % 1000')} AS fat_g,
+  {_protein('(p_partkey * 13 + 7) % 1000', 'false')} AS protein_g,
+  {_FAT} AS fat_g,
   {_amt('(p_partkey * 19) % 1000')} AS carbohydrate_g,
-  CASE WHEN p_partkey % 5 = 0 THEN CAST(0 AS DECIMAL(12,4)) ELSE {_amt('(p_partkey * 23) % 300')} END AS fiber_g,
-  CASE WHEN p_partkey % 7 = 0 THEN CAST(0 AS DECIMAL(12,4)) ELSE {_amt('(p_partkey * 29) % 1000')} END AS total_sugar_g
+  CASE WHEN p_partkey % 5 = 0 THEN CAST(0 AS DECIMAL(20,10)) ELSE {_amt('(p_partkey * 23) % 300')} END AS fiber_g,
+  CASE WHEN p_partkey % 7 = 0 THEN CAST(0 AS DECIMAL(20,10)) ELSE {_amt('(p_partkey * 29) % 1000')} END AS total_sugar_g
 FROM part WHERE p_size > 40""")
 cte("fx_foods1", f"""SELECT fdc_id, description, {_did('publication_date')} AS publication_date_id, 20240201 AS loaded_date_id,
   {', '.join(NUTS)} FROM fx_foods""", ["fx_foods"])
@@ -406,7 +408,7 @@ _SCD = ", ".join(["fdc_id", "description", "publication_date_id", "loaded_date_i
 
 
 def _scd_row(src: str, frm: str, to: str, where: str) -> str:
-    return (f"SELECT {_SCD}, md5(concat_ws('-', CAST(fdc_id AS VARCHAR), CAST({frm} AS VARCHAR))) AS dbt_scd_id, "
+    return (f"SELECT {_SCD}, md5(CAST(fdc_id AS VARCHAR) || '|' || CAST({frm} AS VARCHAR)) AS dbt_scd_id, "
             f"{frm} AS dbt_updated_at, {frm} AS dbt_valid_from, {to} AS dbt_valid_to FROM {src} {where}")
 
 
@@ -420,12 +422,9 @@ ORACLE["i4_scd2"] = build("SELECT * FROM fx_snap", "fx_snap")
 ORACLE["i5_point_in_time"] = build(f"""SELECT * FROM fx_snap WHERE dbt_valid_from <= {_T2}
   AND (dbt_valid_to IS NULL OR {_T2} < dbt_valid_to)""", "fx_snap")
 
-ORACLE["a1_land_foods"] = """SELECT CAST(p_partkey AS BIGINT) AS fdc_id, TIMESTAMP '2024-02-01 00:00:00' AS loaded_at,
+ORACLE["a1_land_foods"] = build("""SELECT CAST(p_partkey AS BIGINT) AS fdc_id, TIMESTAMP '2024-02-01 00:00:00' AS loaded_at,
   CASE WHEN p_partkey % 89 = 0 THEN NULL ELSE p_name || ' #' || CAST(p_partkey AS VARCHAR) END AS description,
-  CAST(CASE WHEN p_partkey % 97 = 0 THEN 0
-       ELSE 5 + (CASE WHEN p_partkey % 5 <> 0 THEN 1 ELSE 0 END) + (CASE WHEN p_partkey % 13 = 0 THEN 1 ELSE 0 END) END
-       AS INTEGER) AS n_nutrients
-FROM part"""
+  CAST(n_nutrients AS INTEGER) AS n_nutrients FROM fx_documents""", "fx_documents")
 
 ORACLE["x1_stream_daily"] = build("""SELECT user_id, nutrient_id, logged_date, logged_date_id, CAST(sum(v) AS DOUBLE) AS daily_value_g
 FROM (""" + "\n  UNION ALL ".join(
@@ -435,6 +434,22 @@ GROUP BY user_id, nutrient_id, logged_date, logged_date_id""", "fx_scaled_e")
 
 ORACLE["a6_food_ids"] = "SELECT DISTINCT CAST(p_partkey AS BIGINT) AS fdc_id FROM part"
 ORACLE["a9_incremental_segments"] = ORACLE["c7_segments"]
+ORACLE["c8_accumulated"] = ORACLE["c8_windowed"]
+ORACLE["i3_full_refresh"] = build("SELECT * FROM fx_items_e WHERE logged_date >= (SELECT d0 FROM fx_feed0_e) + INTERVAL 14 DAY",
+                                  "fx_items_e", "fx_feed0_e")
+ORACLE["a2_daily_load"] = build(f"SELECT * FROM ({_LOGS}) q WHERE logged_at >= (SELECT d0 FROM fx_feed0_e) + INTERVAL 14 DAY",
+                                "fx_logs_e", "fx_feed0_e")
+ORACLE["a3_historic_load"] = build(_LOGS, "fx_logs_e")
+ORACLE["a7_views"] = build("""SELECT s.segment_label, s.logged_date, u.country, count(*) AS users
+FROM fx_seg_e s JOIN fx_users_bmi u ON s.user_id = u.user_id WHERE s.is_flagged
+GROUP BY s.segment_label, s.logged_date, u.country""", "fx_seg_e", "fx_users_bmi")
+ORACLE["w4_windows"] = build("""SELECT h.user_id, h.weight_log_id, h.recorded_date_id, h.bmi,
+  CAST((SELECT sum(CAST(p.bmi * 10 AS BIGINT)) FROM fx_bmi_hist p WHERE p.user_id = h.user_id
+        AND (p.recorded_date_id, p.weight_log_id) <= (h.recorded_date_id, h.weight_log_id)) AS BIGINT) AS running_bmi,
+  lead(h.bmi) OVER w AS next_bmi, lag(h.bmi) OVER w AS previous_bmi, first_value(h.bmi) OVER w AS first_bmi
+FROM fx_bmi_hist h WINDOW w AS (PARTITION BY h.user_id ORDER BY h.recorded_date_id, h.weight_log_id)""", "fx_bmi_hist")
+ORACLE["w4_dedup"] = build("""SELECT * EXCLUDE (rn) FROM (SELECT *, row_number() OVER (
+  PARTITION BY user_id ORDER BY recorded_date_id DESC, weight_log_id DESC) AS rn FROM fx_bmi_hist) q WHERE rn = 1""", "fx_bmi_hist")
 
 # -------------------------------------------------------------- mart tests
 def _tests_sql(tests, src: dict[str, str], ctes: list[str]) -> str:
@@ -497,10 +512,10 @@ FROM fx_items_o WHERE logged_date BETWEEN (SELECT s FROM fx_range_o) AND (SELECT
 cte("fx_stg_foods", """SELECT CAST(p_partkey AS BIGINT) AS fdc_id,
   CASE WHEN p_partkey % 89 = 0 THEN 'Unknown' ELSE p_name || ' #' || CAST(p_partkey AS VARCHAR) END AS description,
   DATE '2019-04-01' + CAST(p_partkey % 1000 AS INTEGER) AS publication_date, 'json' AS raw_json,
-  TIMESTAMP '2024-02-01 00:00:00' AS loaded_at FROM part""")
+  TIMESTAMP '2024-02-01 00:00:00' AS loaded_at FROM fx_documents""", ["fx_documents"])
 cte("fx_raw_users", """SELECT u.*, c.c_name AS user_name FROM fx_users u JOIN customer c ON u.user_id = c.c_custkey""",
     ["fx_users"])
-cte("fx_stg_logs", "SELECT user_id, CAST(day AS TIMESTAMP) + INTERVAL 12 HOUR AS logged_at FROM fx_logs_e", ["fx_logs_e"])
+cte("fx_stg_logs", "SELECT user_id, logged_at FROM fx_logs_e", ["fx_logs_e"])
 
 
 def _model_tests_sql() -> str:

@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions import avg_round2, month_start, round_half_away, week_start
+from ..functions import GRAMS_TYPE, avg_round2, month_start, round_half_away, week_start
 from ..sources.seeds import lookup
 
 
@@ -83,7 +83,7 @@ def rolling_report(fct_mln: DataFrame | None, dim_nutrients: DataFrame, dim_date
 
     Days outside the date dimension drop out (inner join), as in the report.
     """
-    dd = dim_date.select(F.col("date_id").alias("logged_date_id"), "week_of_year", "month_name")
+    dd = lookup(dim_date.select(F.col("date_id").alias("logged_date_id"), "week_of_year", "month_name"))
     d = (daily_totals(fct_mln, daily).join(_names(dim_nutrients), "nutrient_id")
          .join(dd, "logged_date_id", "inner").withColumnRenamed("daily_value_g", "dv"))
     out = d.select(
@@ -153,14 +153,14 @@ def weekly_food_log_report(fct_meal_logs: DataFrame, dim_foods: DataFrame, dim_m
     j = food_log_join(fct_meal_logs, dim_foods, dim_meals)
     out = j.groupBy("user_id", week_start("logged_date").alias("week_start"), "meal_name", "food_name").agg(
         F.count(F.lit(1)).alias("times_logged"),
-        round_half_away(F.try_divide(F.sum(F.col("grams").cast("decimal(12,4)")).cast("double"),
+        round_half_away(F.try_divide(F.sum(F.col("grams").cast(GRAMS_TYPE)).cast("double"),
                                      F.count("grams").cast("double")), 1).alias("avg_grams"))
     return _sorted(out, ordered, "user_id", "week_start", "meal_name", F.col("times_logged").desc())
 
 
 def bmi_evolution_report(fct_bmi: DataFrame, dim_date: DataFrame, ordered: bool = True) -> DataFrame:
     """BMI at each weigh-in, with its calendar date."""
-    dd = dim_date.select(F.col("date_id").alias("recorded_date_id"), F.col("full_date").alias("recorded_date"))
+    dd = lookup(dim_date.select(F.col("date_id").alias("recorded_date_id"), F.col("full_date").alias("recorded_date")))
     out = fct_bmi.join(dd, "recorded_date_id", "inner").select(
         "user_id", "recorded_date", "weight_kg", "height_cm", "bmi")
     return _sorted(out, ordered, "user_id", "recorded_date")

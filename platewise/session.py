@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import atexit
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import SparkSession
 
@@ -14,7 +16,6 @@ RECOMMENDED_CONF = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.localShuffleReader.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
-    "spark.sql.sources.partitionOverwriteMode": "dynamic",
     "spark.sql.parquet.filterPushdown": "true",
     "spark.ui.enabled": "false",
 }
@@ -84,3 +85,28 @@ def storage_root(spark: SparkSession) -> str:
     spark.conf.set("spark.checkpoint.dir", root)
     spark.sparkContext.setCheckpointDir(root)
     return root
+
+
+def remove_path(spark: SparkSession, path: str) -> None:
+    """Delete a file or folder through the file system that Spark uses for it."""
+    jvm = spark.sparkContext._jvm
+    where = jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
+
+
+def scratch_dir(spark: SparkSession, name: str) -> str:
+    """A new folder in shared storage for one run's intermediate tables.
+
+    Lazy results may still read it after the call that made it, so it is
+    removed when the driver's Python ends; ``remove_path`` does so earlier.
+    """
+    path = f"{storage_root(spark)}/platewise/{name}/{uuid.uuid4().hex}"
+
+    def remove() -> None:
+        try:
+            remove_path(spark, path)
+        except Exception:  # the session may be gone; the folder then stays for the cluster's own clean-up
+            pass
+
+    atexit.register(remove)
+    return path

@@ -17,10 +17,6 @@ from ..functions import date_id
 
 DEFAULT_LOADED_AT = "2024-02-01 00:00:00"
 REFETCH_LOADED_AT = "2024-03-01 00:00:00"
-# A raw meal-log row holds the events of one user-day inside one block of
-# this many consecutive event ids, so a nested row (and the collect that
-# builds it) never holds more than this many events, however hot the user-day.
-DEFAULT_LOG_CHUNK = 1024
 
 
 # Declared schemas of the driver's tables (FIXTURES.md §D): reading with a
@@ -101,7 +97,10 @@ def raw_foods(spark: SparkSession, sf_dir: str, loaded_at: str = DEFAULT_LOADED_
     Edge rows by rule: fiber element absent when key % 5 = 0; sugar amount
     "n/a" when key % 7 = 0; a duplicate, smaller protein element when
     key % 13 = 0; an irrelevant nutrient 301 always; description missing when
-    key % 89 = 0; empty nutrient list when key % 97 = 0.
+    key % 89 = 0; empty nutrient list when key % 97 = 0; five decimals of
+    protein when key % 101 = 0; a fat amount of "2.5e8" when key % 173 = 0; a
+    second document of the same food and load with one more gram of protein
+    and nothing else when key % 107 = 0 (first load only).
 
     ``refetch=True`` models a later monthly load: only parts with
     p_size > 40 are fetched again, their protein value changed, and foods
@@ -118,24 +117,30 @@ def raw_foods(spark: SparkSession, sf_dir: str, loaded_at: str = DEFAULT_LOADED_
     def elem(number: str, amount: Column) -> Column:
         return F.struct(F.lit(number).alias("number"), amount.cast("string").alias("amount"))
 
+    protein = F.col("protein").cast("decimal(12,5)") + F.when(k % 101 == 0, F.lit(Decimal("0.00004"))).otherwise(
+        F.lit(Decimal("0.00000")))
     elems = F.array(
-        elem("203", F.col("protein")),
-        elem("204", F.col("fat")),
+        elem("203", protein),
+        elem("204", F.when(k % 173 == 0, F.lit("2.5e8")).otherwise(F.col("fat").cast("string"))),
         elem("205", F.col("carbohydrate")),
         F.when(k % 5 != 0, elem("291", F.col("fiber"))),
         elem("269", F.when(k % 7 == 0, F.lit("n/a")).otherwise(F.col("sugar").cast("string"))),
         elem("301", F.lit("1.5")),
         F.when(k % 13 == 0, elem("203", (F.col("protein") / 2).cast("decimal(9,2)"))),
     )
+    again = F.array(elem("203", protein + F.lit(Decimal("1"))))
     present = F.filter(elems, lambda x: x.isNotNull())
     nutrients = present if refetch else F.when(
         k % 97 == 0, F.array().cast(schemas.FOOD_NUTRIENTS_JSON)).otherwise(present)
+    lists = F.array(nutrients) if refetch else F.when(
+        (k % 107 == 0) & (k % 97 != 0), F.array(nutrients, again)).otherwise(F.array(nutrients))
+    v = v.select("*", F.explode(lists).alias("_nutrients"))
     doc = F.struct(
         k.alias("fdcId"),
         F.when(k % 89 != 0, F.concat(F.col("p_name"), F.lit(" #"), k.cast("string"))).alias("description"),
         F.date_format(F.date_add(F.lit("2019-04-01").cast("date"), (k % 1000).cast("int")), "yyyy-MM-dd")
         .alias("publicationDate"),
-        nutrients.alias("foodNutrients"),
+        F.col("_nutrients").alias("foodNutrients"),
     )
     return v.select(
         k.alias("fdc_id"),
@@ -162,6 +167,12 @@ def _event_meal_id() -> Column:
     return (F.when(t == "view", 1).when(t == "click", 2).when(t == "purchase", 3)).cast("int")
 
 
+def _event_food(spark: SparkSession, sf_dir: str) -> Column:
+    """The food of an event: any key up to the largest part key (0 is an unknown food)."""
+    foods = table(spark, sf_dir, "part").select(F.max("p_partkey")).scalar()
+    return ((F.col("event_id") * 31) % foods).cast("long")
+
+
 def items_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Dense 30-day history: view/click/purchase events -> meal items."""
     e = table(spark, sf_dir, "events").where(F.col("event_type").isin(*EVENT_MEALS))
@@ -169,7 +180,7 @@ def items_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return e.select(
         F.col("user_id").cast("long").alias("user_id"),
         _event_meal_id().alias("meal_id"),
-        ((F.col("event_id") * 31) % 200).cast("long").alias("fdc_id"),
+        _event_food(spark, sf_dir).alias("fdc_id"),
         (F.lit(80) + F.get_json_object("props", "$.k").cast("double")).alias("grams"),
         d.alias("logged_date"),
         date_id(d).alias("logged_date_id"),
@@ -192,35 +203,31 @@ def items_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
             ))
 
 
-def raw_meal_logs(spark: SparkSession, sf_dir: str, chunk: int = DEFAULT_LOG_CHUNK,
-                  hour: int = 12) -> DataFrame:
-    """Nested daily meal logs from *all* events of a user-day.
+def raw_meal_logs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Nested meal logs, one record per user and event time, from *all* events.
 
-    breakfast/lunch/dinner come from view/click/purchase events; user-days
-    with only other events give rows with no meal (caught by Q6). Empty
-    breakfast lists are stored as NULL, empty lunch/dinner lists as [] (both
-    occur in the raw feed). A user-day's events are grouped per block of
-    ``chunk`` consecutive event ids, so every group is bounded by ``chunk``
-    events and a hot user-day is spread over many rows and tasks.
+    breakfast/lunch/dinner come from view/click/purchase events; records with
+    only other events have no meal (caught by Q6). Empty breakfast lists are
+    stored as NULL, empty lunch/dinner lists as [] (both occur in the raw
+    feed). The grain (user_id, logged_at) holds what a user logs at one
+    instant, so no group grows with the feed, however busy a user is.
     """
     e = table(spark, sf_dir, "events")
-    d = F.to_date(F.col("ts"))
     item = F.struct(
-        ((F.col("event_id") * 31) % 200).cast("long").alias("fdc_id"),
+        _event_food(spark, sf_dir).alias("fdc_id"),
         (F.lit(80) + F.get_json_object("props", "$.k").cast("double")).alias("grams"),
     )
     meal = _event_meal_id()
-    block = F.floor(F.col("event_id") / F.lit(chunk))
 
     def items(mid: int) -> Column:
         return F.collect_list(F.when(meal == mid, item))
 
-    g = (e.groupBy(F.col("user_id").cast("long").alias("user_id"), d.alias("day"), block.alias("part"))
+    g = (e.groupBy(F.col("user_id").cast("long").alias("user_id"), F.col("ts").alias("logged_at"))
          .agg(items(1).alias("b"), items(2).alias("l"), items(3).alias("d")))
     return g.select(
         "user_id",
         F.when(F.size("b") > 0, F.col("b")).cast(schemas.MEAL_ITEMS).alias("breakfast"),
         F.col("l").cast(schemas.MEAL_ITEMS).alias("lunch"),
         F.col("d").cast(schemas.MEAL_ITEMS).alias("dinner"),
-        (F.col("day").cast("timestamp_ntz") + F.make_dt_interval(hours=F.lit(hour))).alias("logged_at"),
+        F.col("logged_at").cast("timestamp_ntz").alias("logged_at"),
     )

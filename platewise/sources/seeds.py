@@ -109,7 +109,10 @@ def read_seed_csv(spark: SparkSession, path: str, name: str) -> DataFrame:
             .csv(path))
 
 
-LOOKUP_MAX_ROWS = 100_000
+# A lookup side is broadcast up to this many bytes (rows times row width).
+LOOKUP_MAX_BYTES = 16 << 20
+# Width assumed of a string, binary or nested value.
+WIDE_VALUE_BYTES = 128
 
 
 # size proofs of lookup frames built from literals only (no input files):
@@ -117,19 +120,27 @@ LOOKUP_MAX_ROWS = 100_000
 _PROVEN: dict[tuple[int, int], bool] = {}
 
 
-def lookup(df: DataFrame, max_rows: int = LOOKUP_MAX_ROWS) -> DataFrame:
+def row_bytes(df: DataFrame) -> int:
+    """Estimated width of a row: 16 bytes per fixed-size value, more for others."""
+    fixed = {"int", "bigint", "smallint", "tinyint", "double", "float", "boolean", "date", "timestamp", "timestamp_ntz"}
+    return sum(16 if t in fixed or t.startswith("decimal") else WIDE_VALUE_BYTES for _, t in df.dtypes)
+
+
+def lookup(df: DataFrame, max_bytes: int = LOOKUP_MAX_BYTES) -> DataFrame:
     """Broadcast a lookup side only behind a size check.
 
-    A bounded count (it reads at most ``max_rows + 1`` rows) proves the bound;
-    a larger table is returned as is, so the planner picks a shuffle join for
-    it. Frames that read no files (literal seeds) are counted once per
-    distinct plan; file-backed lookups are counted on every call.
+    A bounded count (it reads one row more than fit ``max_bytes``) proves the
+    bound; a larger table is returned as is, so the planner picks a shuffle
+    join for it, with the same answer. Frames that read no files (literal
+    seeds, the date spine) are counted once per distinct plan; file-backed
+    lookups are counted on every call.
     """
+    most = max(1, max_bytes // row_bytes(df))
     if df.inputFiles():
-        small = df.limit(max_rows + 1).count() <= max_rows
+        small = df.limit(most + 1).count() <= most
     else:
-        key = (df.semanticHash(), max_rows)
+        key = (df.semanticHash(), most)
         if key not in _PROVEN:
-            _PROVEN[key] = df.limit(max_rows + 1).count() <= max_rows
+            _PROVEN[key] = df.limit(most + 1).count() <= most
         small = _PROVEN[key]
     return F.broadcast(df) if small else df

@@ -4,21 +4,21 @@ The warehouse only runs in batch (its README notes production would need
 event streaming). This is the Structured Streaming form of the same chain:
 
   landed raw meal-log files (readStream, declared schema)
-  -> B4 staging -> C2 unpivot -> C3 stream-static join with the food dimension
-  -> watermark on logged_at -> 1-day event-time window per user: 5 exact sums
-  -> foreachBatch: unpivot to nutrient rows and upsert by key into a
-     date-partitioned parquet table (dynamic partition overwrite).
-
-``update`` output mode emits the *full current total* of every window that
-changed in a micro-batch, so the upsert is idempotent: a micro-batch that is
-replayed after a failure rewrites the same totals. State is bounded by the
-watermark; rows later than the allowed lateness are dropped, which matches
-the batch model's "late data is lost" rule but with a grace period.
+  -> B4 staging -> C2 unpivot -> C3 stream-static join with a food table
+  -> foreachBatch: each micro-batch's exact sums per user and day, written to
+     the batch's own partition of the sink.
+
+Files may come in any order and days late: a micro-batch adds what it holds to
+whichever days it holds, and the answer is the sum over all batches. So there
+is no state to keep, no watermark, and no row is dropped. A micro-batch that is
+replayed after a failure overwrites its own partition with the same rows. Rows
+of days before the newest day seen in earlier batches are counted as late.
+``compact`` folds the batches of a finished run into one.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .. import schemas
@@ -26,47 +26,52 @@ from ..operators import staging as S
 from ..operators import transforms as T
 from ..operators import writes as W
 
-DAILY_KEY = ["user_id", "nutrient_id", "logged_date"]
-
-
-def daily_window_sums(items_stream: DataFrame, foods: DataFrame, lateness: str = "2 days") -> DataFrame:
-    """Streaming aggregate: per user and day, the five exact nutrient sums.
+BATCH = "batch_id"
 
-    The event-time window only drives the watermark (state eviction); rows
-    are keyed by their own ``logged_date``, so session time zones cannot
-    shift a row to another day."""
-    scaled = T.scaled_units(items_stream, foods)
-    ts = F.col("logged_date").cast("timestamp")
-    return (scaled.withColumn("event_time", ts)
-            .withWatermark("event_time", lateness)
-            .groupBy(F.window("event_time", "1 day").alias("w"), "user_id", "logged_date", "logged_date_id")
-            .agg(*[F.sum(n).alias(n) for n in T.NUTRIENTS]))
 
-
-def _upsert_daily(sink: str):
-    def write_batch(batch: DataFrame, batch_id: int) -> None:  # noqa: ARG001 - idempotent by key
-        wide = T.units_in_grams(batch.select("user_id", "logged_date", "logged_date_id", *T.NUTRIENTS))
-        long = T.to_long(wide, ["user_id", "logged_date", "logged_date_id"], "daily_value_g").select(
-            "user_id", "nutrient_id", "logged_date", "logged_date_id", "daily_value_g")
-        W.merge_by_key(long, sink, DAILY_KEY, ["logged_date"])
+def _write_sums(sink: str):
+    def write_batch(batch: DataFrame, batch_id: int) -> None:
+        sums = T.grouped_grams(batch, T.DAY_KEYS).withColumn(BATCH, F.lit(batch_id).cast("long"))
+        W._swap_partitions(sums, sink, [BATCH])
     return write_batch
 
 
 def run_daily_intake_stream(spark: SparkSession, landing: str, foods: DataFrame, sink: str, checkpoint: str,
-                            tz: str = "UTC", lateness: str = "2 days", max_files_per_trigger: int | None = None,
-                            available_now: bool = True):
-    """Start (and, with ``available_now``, finish) the stream; returns the query."""
+                            tz: str = "UTC", max_files_per_trigger: int | None = None, available_now: bool = True):
+    """Start (and, with ``available_now``, finish) the stream; returns the query.
+
+    ``foods`` is read in every micro-batch: give a table, not a chain from raw."""
     reader = spark.readStream.schema(schemas.RAW_MEAL_LOGS)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    raw = reader.parquet(landing)
-    items = T.meal_items(S.stg_meal_logs(raw, tz))
-    agg = daily_window_sums(items, foods, lateness)
-    writer = (agg.writeStream.outputMode("update")
+    items = T.meal_items(S.stg_meal_logs(reader.parquet(landing), tz))
+    writer = (T.scaled_nutrients(items, foods).writeStream.outputMode("append")
               .option("checkpointLocation", checkpoint)
-              .foreachBatch(_upsert_daily(sink)))
+              .foreachBatch(_write_sums(sink)))
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="1 minute")
     q = writer.start()
     if available_now:
         q.awaitTermination()
     return q
+
+
+def read_daily(spark: SparkSession, sink: str) -> DataFrame:
+    """Daily grams per user and nutrient over all micro-batches so far (C4 without its window)."""
+    return T.daily_totals(spark.read.parquet(sink))
+
+
+def late_rows(spark: SparkSession, sink: str) -> DataFrame:
+    """(batch_id, late): user-days of a batch that lie before the newest day of the batches before it."""
+    days = spark.read.parquet(sink).select(BATCH, "logged_date")
+    newest = days.groupBy(BATCH).agg(F.max("logged_date").alias("newest"))
+    earlier = Window.orderBy(BATCH).rowsBetween(Window.unboundedPreceding, -1)  # one row per batch
+    before = newest.select(BATCH, F.max("newest").over(earlier).alias("before"))
+    return days.join(before, BATCH).groupBy(BATCH).agg(F.count_if(F.col("logged_date") < F.col("before")).alias("late"))
+
+
+def compact(spark: SparkSession, sink: str) -> None:
+    """Fold all batches of a stopped stream into the newest one's partition."""
+    rows = spark.read.parquet(sink)
+    last = rows.agg(F.max(BATCH)).first()[0]
+    with W.staged(T.grouped_grams(rows, T.DAY_KEYS).withColumn(BATCH, F.lit(last).cast("long")), sink, [BATCH]) as new:
+        W.replace_table(new, sink, [BATCH])

@@ -13,16 +13,9 @@ SF_SMALL = "/root/testdata/sf0.001"
 
 @pytest.fixture(scope="session")
 def spark():
-    from pyspark.sql import SparkSession
+    from platewise.session import build_session
     ckpt = tempfile.mkdtemp(prefix="platewise-tests-")
-    s = (SparkSession.builder.master("local[*]")
-         .config("spark.sql.shuffle.partitions", "8")
-         .config("spark.ui.enabled", "false")
-         .config("spark.sql.session.timeZone", "UTC")
-         .config("spark.sql.adaptive.enabled", "true")
-         .config("spark.checkpoint.dir", ckpt)
-         .getOrCreate())
-    s.sparkContext.setLogLevel("ERROR")
+    s = build_session("local[*]", 8, "platewise-tests", {"spark.checkpoint.dir": ckpt, "spark.driver.memory": "8g"})
     yield s
 
 

@@ -3,13 +3,13 @@ wrote from them), never literal input alone."""
 
 import pytest
 
-import __spark_entry__ as E
+from platewise.plans import catalog
 from conftest import SF_SMALL
 
 
-@pytest.mark.parametrize("key", list(E.queries()))
+@pytest.mark.parametrize("key", list(catalog.QUERIES))
 def test_query_reads_files(spark, key):
-    df = E.queries()[key](spark, SF_SMALL)
+    df = catalog.QUERIES[key](spark, SF_SMALL)
     files = df.inputFiles()
     if not files:  # reads only inside scalar subqueries (e.g. data-derived bounds)
         assert "FileScan parquet" in df._jdf.queryExecution().executedPlan().toString(), key

@@ -79,15 +79,15 @@ def test_threshold_flag_target_type_is_null(spark):
     assert one(spark, PF.threshold_flag(F.lit("max"), F.lit(1.0), F.lit(2.0))) is False
 
 
-def test_fixed_point_units_are_exact(spark):
+def test_scaled_grams_are_exact(spark):
     from decimal import Decimal
     # 13.7 g per 100 g x 95 g = 13.015 g exactly (a rounding tie at 2 decimals)
-    u = PF.nutrient_units(PF.amount_units(F.lit(Decimal("13.7"))), PF.grams_units(F.lit(95.0)))
-    assert one(spark, u) == 130150000000.0
-    assert one(spark, PF.units_to_grams(u)) == Decimal("13.0150000000")
-    assert one(spark, PF.round_exact(PF.units_to_grams(u), 2)) == Decimal("13.02")
-    # grams are taken to 1e-4 g, half up, like a DECIMAL(12,4) cast
-    assert one(spark, PF.grams_units(F.lit(123.45))) == 1234500
+    g = PF.scaled_grams(PF.per_gram(F.lit(Decimal("13.7"))), F.lit(95.0))
+    assert one(spark, g) == Decimal("13.015")
+    assert one(spark, PF.round_exact(g, 2)) == Decimal("13.02")
+    for amount, grams, want in (("0.00004", 50.0, "0.00002"), ("1.23456789", 123.45, "1.5240740602050"),
+                                ("2.5E8", 200.0, "500000000"), ("9999999999.9999999999", 100.0, "9999999999.9999999999")):
+        assert one(spark, PF.scaled_grams(PF.per_gram(F.lit(amount)), F.lit(grams))) == Decimal(want)
 
 
 def test_window_idioms_and_dedup(spark):

@@ -90,20 +90,40 @@ def test_b4_time_zone_parameter_moves_day(spark):
     assert items[0].logged_date == D(2024, 1, 14)
 
 
+def test_c1_merges_documents_of_one_food_and_load(spark):
+    def doc(nutrients, description="x"):
+        import json
+        return json.dumps({"fdcId": 1, "description": description, "publicationDate": "2020-01-01", "foodNutrients": [
+            {"number": n, "amount": a} for n, a in nutrients]})
+    first, later = TS(2024, 2, 1), TS(2024, 3, 1)
+    raw = spark.createDataFrame([
+        (1, first, doc([("203", "5"), ("204", 1.23456789)])), (1, first, doc([("203", 9), ("205", "n/a"), ("291", "2.5e8")])),
+        (2, first, doc([("203", "0.00004")])), (2, first, doc([("203", "0.00003")], "y")), (2, later, doc([("203", "7")]))],
+        "fdc_id long, loaded_at timestamp_ntz, raw_json string")
+    for with_nutrients in (False, True):
+        foods = S.stg_foods(raw, with_nutrients=with_nutrients)
+        got = sorted((r.fdc_id, r.description, r.loaded_date_id, float(r.protein_g), float(r.fat_g), float(r.carbohydrate_g),
+                      float(r.fiber_g)) for r in T.food_nutrients(foods).collect())
+        assert got == [(1, "x", 20240201, 9.0, 1.23456789, 0.0, 2.5e8), (2, "x", 20240201, 0.00004, 0, 0, 0),
+                       (2, "x", 20240301, 7.0, 0, 0, 0), (2, "y", 20240201, 0.00003, 0, 0, 0)]
+        newest = T.food_nutrients(foods, latest_only=True).collect()
+        assert sorted((r.fdc_id, float(r.protein_g)) for r in newest) == [(1, 9.0), (2, 7.0)]
+
+
 # --------------------------------------------------------------- C3 / C4
 def test_c3_c4_scaling_unknown_food_and_window(spark):
     foods = spark.createDataFrame([(10, Decimal("10"), Decimal("5"), Decimal("0"), Decimal("1"), Decimal("2"))],
-                                  "fdc_id long, protein_g decimal(12,4), fat_g decimal(12,4), "
-                                  "carbohydrate_g decimal(12,4), fiber_g decimal(12,4), total_sugar_g decimal(12,4)")
+                                  "fdc_id long, protein_g decimal(20,10), fat_g decimal(20,10), "
+                                  "carbohydrate_g decimal(20,10), fiber_g decimal(20,10), total_sugar_g decimal(20,10)")
     items = spark.createDataFrame([
         (1, 1, 10, 150.0, D(2024, 1, 10), 20240110),
         (1, 2, 10, 50.0, D(2024, 1, 10), 20240110),
         (1, 2, 99, 50.0, D(2024, 1, 10), 20240110),      # unknown food: dropped
         (1, 1, 10, 100.0, D(2022, 1, 10), 20220110),     # older than 365 days: outside C4
     ], "user_id long, meal_id int, fdc_id long, grams double, logged_date date, logged_date_id int")
-    sc = T.scaled_units(items, foods)
+    sc = T.scaled_nutrients(items, foods)
     assert sc.count() == 3
-    grams = sorted(r.protein_g for r in T.scaled_nutrients(items, foods).collect())
+    grams = sorted(r.protein_g for r in sc.collect())
     assert grams == [Decimal("5"), Decimal("10"), Decimal("15")]
     daily = {(r.nutrient_id, r.logged_date): r.daily_value_g
              for r in T.daily_intake(sc, "2024-01-10").collect()}
@@ -168,7 +188,7 @@ def test_c7_rounds_before_compare_and_target_type_is_null(spark):
     targets = seeds.nutrient_daily_targets(spark).withColumn(
         "threshold_type", F.when(F.col("nutrient_id") == 4, "target").otherwise(F.col("threshold_type")))
     daily = daily.unionByName(daily_df(spark, [(1, 4, D(2024, 1, 1), 20240101, Decimal("1"))]))
-    got = {r.nutrient_id: r for r in T.nutrient_segments(daily, ub, targets).collect()}
+    got = {r.nutrient_id: r for r in T.nutrient_segments(T.to_wide(daily, "daily_value_g"), ub, targets).collect()}
     assert 3 not in got                                         # carbohydrate has no segment
     assert got[1].threshold_g == 50.0 and got[1].daily_value_g == 50.0 and got[1].is_flagged is False
     assert got[2].daily_value_g == 78.0 and got[2].is_flagged is False
@@ -181,7 +201,7 @@ def test_c8_windows_skip_unlogged_days_and_idle_users(spark):
             (1, 2, D(2024, 1, 26), 20240126, Decimal("50")),     # inside 7 days
             (1, 2, D(2024, 1, 10), 20240110, Decimal("30")),     # inside 30 days only
             (2, 2, D(2023, 11, 1), 20231101, Decimal("500"))]    # idle > 30 days: gone
-    got = T.segments_windowed(daily_df(spark, rows), ub, "2024-01-30").collect()
+    got = T.segments_windowed(T.to_wide(daily_df(spark, rows), "daily_value_g"), ub, "2024-01-30").collect()
     assert len(got) == 1
     r = got[0]
     assert r.reference_date == D(2024, 1, 30) and r.last_day_g == 100.0

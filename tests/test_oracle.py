@@ -3,10 +3,11 @@
 import pytest
 
 import __spark_entry__ as E
+from platewise.plans import catalog
 from compare import compare, duck
 from conftest import SF_SMALL
 
-KEYS = list(E.queries())
+KEYS = list(catalog.QUERIES)
 
 
 @pytest.fixture(scope="module")

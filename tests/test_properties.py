@@ -1,4 +1,4 @@
-"""Property checks: exact fixed-point scaling/summing equals Decimal arithmetic."""
+"""Property checks: exact scaling and summing equals Decimal arithmetic, for small and very large amounts."""
 
 import datetime as dt
 from collections import defaultdict
@@ -9,11 +9,12 @@ from hypothesis import strategies as st
 
 from platewise.operators import transforms as T
 
-FOODS = "fdc_id long, protein_g decimal(12,4), fat_g decimal(12,4), carbohydrate_g decimal(12,4), " \
-        "fiber_g decimal(12,4), total_sugar_g decimal(12,4)"
+FOODS = "fdc_id long, protein_g decimal(20,10), fat_g decimal(20,10), carbohydrate_g decimal(20,10), " \
+        "fiber_g decimal(20,10), total_sugar_g decimal(20,10)"
 ITEMS = "user_id long, meal_id int, fdc_id long, grams double, logged_date date, logged_date_id int"
 
-amount = st.decimals(min_value=0, max_value=100, places=4, allow_nan=False, allow_infinity=False)
+amount = st.one_of(st.decimals(min_value=0, max_value=100, places=10, allow_nan=False, allow_infinity=False),
+                   st.decimals(min_value=10**8, max_value=9 * 10**9, places=6, allow_nan=False, allow_infinity=False))
 grams = st.decimals(min_value=0, max_value=1000, places=4, allow_nan=False, allow_infinity=False)
 item = st.tuples(st.integers(1, 3), st.integers(1, 3), st.integers(1, 4), grams, st.integers(1, 3))
 
@@ -25,7 +26,7 @@ def test_daily_totals_are_exact(spark, food_vals, items):
                                    for i, (p, f) in enumerate(food_vals)], FOODS)
     rows = [(u, m, fid, float(g), dt.date(2024, 1, d), 20240100 + d) for u, m, fid, g, d in items]
     got = {(r.user_id, r.nutrient_id, r.logged_date): r.daily_value_g
-           for r in T.daily_totals(T.scaled_units(spark.createDataFrame(rows, ITEMS), foods)).collect()}
+           for r in T.daily_totals(T.scaled_nutrients(spark.createDataFrame(rows, ITEMS), foods)).collect()}
     want = defaultdict(Decimal)
     for u, m, fid, g, d in items:
         p, f = food_vals[fid - 1]

@@ -37,7 +37,8 @@ def test_user_filter_is_a_predicate(wh):
 
 def test_windowed_from_fact_equals_default_on_a_full_feed(spark):
     a = Warehouse.from_testdata(spark, SF_SMALL, "events").fct_user_segments_windowed
-    b = Warehouse.from_testdata(spark, SF_SMALL, "events", windowed_from_fact=True).fct_user_segments_windowed
+    fact = Warehouse.from_testdata(spark, SF_SMALL, "events").fct_meal_log_nutrients
+    b = Warehouse.from_testdata(spark, SF_SMALL, "events", nutrient_fact=fact).fct_user_segments_windowed
     same(a, b)
 
 
