@@ -19,6 +19,7 @@ Model -> inventory ID:
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field, replace
 from functools import cached_property
 
@@ -229,12 +230,14 @@ class Warehouse:
 
         Models derived later read the table (columns pruned, filters pushed)
         instead of recomputing the chain from raw; call this before touching
-        their dependants. The folders go when the run ends.
+        their dependants. The names of one call are written side by side, each
+        computed from what was written before it. The folders go when the run
+        ends.
         """
-        for n in names:
-            df = getattr(self, n)
-            path = scratch_dir(self.spark, n)
-            df.write.parquet(path)
+        frames = {n: (getattr(self, n), scratch_dir(self.spark, n)) for n in names}
+        with ThreadPoolExecutor(max_workers=min(4, len(frames))) as pool:
+            list(pool.map(lambda f: f[0].write.parquet(f[1]), frames.values()))
+        for n, (df, path) in frames.items():
             self.__dict__[n] = self.spark.read.schema(df.schema).parquet(path)
         return self
 

@@ -577,8 +577,7 @@ def q9_mart_tests(spark, sf):
     w = events_wh(spark, sf)
     names = sorted({m for m, *_ in Q.MART_TESTS} | {a[0] for *_, a in Q.MART_TESTS if isinstance(a, tuple)
                                                      and isinstance(a[0], str)})
-    w.materialize("food_nutrients", "users_bmi", "stg_users", "stg_weights").materialize("items").materialize("scaled")
-    w.materialize("daily_wide").materialize(*[n for n in names if n.startswith("fct_")])
+    w.materialize("food_nutrients", "users_bmi", "bmi_history", "items").materialize("scaled").materialize("daily_wide")
     return Q.mart_tests({n: getattr(w, n) for n in names})
 
 
@@ -586,8 +585,7 @@ def q9_mart_tests(spark, sf):
 def q10_model_tests(spark, sf):
     """Every declared data test of the staging and intermediate models."""
     w = events_wh(spark, sf)
-    w.materialize("food_nutrients", "stg_users", "stg_weights", "stg_foods", "stg_meal_logs", "users_bmi")
-    w.materialize("items").materialize("scaled").materialize("daily_wide").materialize("daily_intake")
+    w.materialize("food_nutrients", "users_bmi", "bmi_history", "items").materialize("scaled").materialize("daily_wide")
     names = sorted({m for m, *_ in Q.MODEL_TESTS})
     return Q.mart_tests({n: getattr(w, n) for n in names}, Q.MODEL_TESTS)
 
