@@ -110,10 +110,15 @@ def high_water_mark(spark: SparkSession, path: str, col: str) -> Column:
     return spark.read.parquet(path).select(F.max(col)).scalar()
 
 
+def above(value: Column, mark: Column) -> Column:
+    """Whether a row is newer than the mark; a target without rows has no mark, and everything is newer."""
+    return mark.isNull() | (value > mark)
+
+
 def incremental_append(batch: DataFrame, path: str, watermark_col: str,
                        partition_by: list[str] | None = None) -> None:
     """I1 (reference mode): keep batch rows strictly above the target's
-    high-water mark; an absent target gets the whole batch (first build).
+    high-water mark; an absent or empty target gets the whole batch.
 
     Rows at or below the mark are dropped (late data is lost, like the
     warehouse). Because kept rows are newer than every target row, a key
@@ -124,7 +129,7 @@ def incremental_append(batch: DataFrame, path: str, watermark_col: str,
         replace_table(batch, path, partition_by)
         return
     mark = high_water_mark(spark, path, watermark_col)
-    append_table(batch.where(F.col(watermark_col) > mark), path, partition_by)
+    append_table(batch.where(above(F.col(watermark_col), mark)), path, partition_by)
 
 
 def touched_partitions(target: DataFrame, batch: DataFrame, partition_by: list[str]) -> DataFrame:

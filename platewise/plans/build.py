@@ -29,6 +29,7 @@ from pyspark.sql import functions as F
 from ..operators import marts as M
 from ..operators import staging as S
 from ..operators import transforms as T
+from ..operators import writes as W
 from ..session import scratch_dir
 from ..sources import fixtures, seeds
 
@@ -112,7 +113,7 @@ class Warehouse:
         if self.raw_meal_logs is None:
             raise ValueError("no nested meal logs in this warehouse")
         logs = S.stg_meal_logs(self.raw_meal_logs, self.tz)
-        return logs if self.newer_than is None else logs.where(F.to_date("logged_at") > self.newer_than)
+        return logs if self.newer_than is None else logs.where(W.above(F.to_date("logged_at"), self.newer_than))
 
     # --------------------------------------------------------- intermediate
     @cached_property
@@ -123,7 +124,7 @@ class Warehouse:
     def items(self) -> DataFrame:
         if self.items_override is not None:
             items = self.items_override
-            return items if self.newer_than is None else items.where(F.col("logged_date") > self.newer_than)
+            return items if self.newer_than is None else items.where(W.above(F.col("logged_date"), self.newer_than))
         return T.meal_items(self.stg_meal_logs, self.meals)
 
     @cached_property

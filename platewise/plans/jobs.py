@@ -56,7 +56,10 @@ def lowest_mark(spark: SparkSession, root: str, names: list[str]) -> Column | No
     if not paths or not all(W.table_exists(spark, p) for p, _ in paths):
         return None
     marks = [W.high_water_mark(spark, p, c) for p, c in paths]
-    return marks[0] if len(marks) == 1 else F.least(*marks)
+    lowest = marks[0]
+    for m in marks[1:]:  # NULL, a fact without rows, is the lowest of all
+        lowest = F.when(lowest.isNotNull() & m.isNotNull(), F.least(lowest, m))
+    return lowest
 
 
 def build_marts(w: Warehouse, root: str, run_ts: str, full_refresh: bool = False,

@@ -42,6 +42,14 @@ def test_late_rows_are_dropped_in_reference_mode(spark, scratch):
     assert [r[2] for r in rows_of(spark.read.parquet(path))] == [10, 13]
 
 
+def test_an_empty_target_gets_the_whole_batch(spark, scratch):
+    path = f"{scratch}/fct"
+    row = items(spark, [(1, 1, 10, 100.0, day(5), 20240105)])
+    for df in (row.limit(0), row, row):
+        W.incremental_append(df, path, "logged_date")
+    assert rows_of(spark.read.parquet(path)) == rows_of(row)
+
+
 def test_merge_by_key_replaces_only_touched_partitions(spark, scratch):
     path = f"{scratch}/fct"
     base = items(spark, [(1, 1, 10, 100.0, day(1), 20240101), (1, 1, 10, 100.0, day(2), 20240102),
