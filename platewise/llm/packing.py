@@ -45,7 +45,7 @@ def pieces(docs: DataFrame, capacity: int = CAPACITY, vocabulary: str = VOCABULA
         tokenizer, made, task = None, 0, TaskContext.get().partitionId()
         for whole in batches:
             tokenizer = tokenizer or FastTokenizer(vocabulary)
-            for batch in slices(whole, "text", 16 << 20):
+            for batch in slices(whole, "text", 8 << 20):
                 ids, at = tokenizer.flat(batch.column("text"))
                 row, piece, start, length, crc, data = [], [], [], [], [], []
                 for i, (a, b) in enumerate(zip(at[:-1].tolist(), at[1:].tolist())):

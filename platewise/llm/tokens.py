@@ -22,7 +22,7 @@ from tokenizers import Tokenizer
 VOCABULARY = "word_bpe_49k.json"
 END_ID = 1
 #: Chunks that a worker remembers (about 200 bytes each).
-REMEMBERED = 400_000
+REMEMBERED = 250_000
 _MARK, _CUT = "\x01", "\x02"
 _CUT_ID = 1_000_000
 #: Chunks of printable ASCII and Latin-1 letters: lower-casing is all that normalisation does to them.
@@ -117,8 +117,9 @@ class FastTokenizer:
         at = coded.indices.to_numpy(zero_copy_only=False)
         sizes = size[at]
         ends = np.cumsum(sizes)
-        where = np.repeat(start[at] - (ends - sizes), sizes)
-        where += np.arange(len(where))
+        small = np.int32 if len(ids) < 1 << 31 and (not len(ends) or ends[-1] < 1 << 31) else np.int64
+        where = np.repeat((start[at] - (ends - sizes)).astype(small), sizes)
+        where += np.arange(len(where), dtype=small)
         first = np.concatenate([[0], ends])[np.asarray(parts.offsets, dtype=np.int64) - parts.offsets[0].as_py()]
         return ids[where], first
 
