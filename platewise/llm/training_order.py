@@ -25,6 +25,7 @@ from collections.abc import Iterator
 import numpy as np
 import public_tokenizers
 import pyarrow as pa
+import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -36,8 +37,12 @@ from platewise.llm.common import (
 from platewise.llm.tokens import END_ID, VOCABULARY, FastTokenizer
 
 SEQUENCE = 512
-SHARD_BYTES = 16 << 20
-BLOCK_BYTES = 8 << 20
+SHARD_BYTES = 8 << 20
+BLOCK_BYTES = 4 << 20
+#: Bytes of ids that a task groups by shard at once.
+GROUPED_BYTES = 32 << 20
+#: Compression of ids on their way to the shards.
+LEVEL = 6
 KEY = 20240229
 PAD = 0
 ROUNDS = 6
@@ -68,6 +73,22 @@ def permute(index: np.ndarray, n: int, key: int = KEY, rounds: int = ROUNDS, inv
     return out.astype(np.int64)
 
 
+def _squeeze(ids: np.ndarray, kind: np.dtype) -> bytes:
+    """Token ids compressed as ranks by frequency (small numbers repeat more), with the ranking."""
+    often = np.bincount(ids)
+    order = np.argsort(-often, kind="stable")[:np.count_nonzero(often)]
+    rank = np.zeros(len(often), kind)
+    rank[order] = np.arange(len(order))
+    head = pack(order.astype(np.uint32))
+    return len(head).to_bytes(8, "little") + head + zstandard.ZstdCompressor(level=LEVEL).compress(rank[ids].tobytes())
+
+
+def _unsqueeze(data: bytes, kind: np.dtype) -> np.ndarray:
+    size = int.from_bytes(data[:8], "little")
+    order = unpack(data[8:8 + size], np.uint32)
+    return order[np.frombuffer(zstandard.ZstdDecompressor().decompress(data[8 + size:]), kind)].astype(kind)
+
+
 def _width(vocabulary: str) -> int:
     return 2 if Tokenizer.from_file(public_tokenizers.path(vocabulary)).get_vocab_size() <= 1 << 16 else 4
 
@@ -101,7 +122,7 @@ def blocks_of(docs: DataFrame, sequence: int = SEQUENCE, vocabulary: str = VOCAB
                 sizes = np.array([len(h) for h in heads], "<i8").tobytes()
                 yield pa.RecordBatch.from_arrays([
                     pa.array([split], pa.int32()), pa.array([before], pa.int64()), pa.array([len(doc)], pa.int64()),
-                    pa.array([sizes + b"".join(heads)], pa.binary()), pa.array([pack(ids)], pa.binary())], names=schema.names)
+                    pa.array([sizes + b"".join(heads)], pa.binary()), pa.array([_squeeze(ids, kind)], pa.binary())], names=schema.names)
                 before += len(doc)
 
     return source.mapInArrow(tokenise, schema)
@@ -136,24 +157,34 @@ def write_shards(docs: DataFrame, path: str, sequence: int = SEQUENCE, key: int
     moved = fields(shard=INT, data=BINARY)
 
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, size_held = [], 0
         for batch in batches:
             for i in range(batch.num_rows):
                 split, before, n = (batch.column(c)[i].as_py() for c in range(3))
                 slot = permute(first[split] + before + np.arange(n), total, key)
-                name, piece, length = _heads(batch.column(3)[i].as_py())
-                ids = unpack(batch.column(4)[i].as_py(), kind)
-                start = np.cumsum(length.astype(np.int64)) - length
-                # records grouped by shard, so that they travel and compress together
-                order = np.argsort(slot)
-                shard = slot[order] // per_shard
-                edge = np.flatnonzero(np.diff(shard, prepend=-1))
-                for a, b in zip(edge.tolist(), [*edge[1:].tolist(), n]):
-                    own = order[a:b]
-                    where = np.repeat(start[own] - (np.cumsum(length[own], dtype=np.int64) - length[own]), length[own])
-                    parts = [pack(x) for x in (slot[own], name[own], piece[own], length[own], ids[where + np.arange(len(where))])]
-                    data = np.array([len(p) for p in parts], "<i8").tobytes() + b"".join(parts)
-                    yield pa.RecordBatch.from_arrays([pa.array([shard[a]], pa.int32()), pa.array([data], pa.binary())],
-                                                     names=moved.names)
+                held.append((slot, *_heads(batch.column(3)[i].as_py()), _unsqueeze(batch.column(4)[i].as_py(), kind)))
+                size_held += held[-1][-1].nbytes
+                if size_held >= GROUPED_BYTES:
+                    yield from grouped(held)
+                    held, size_held = [], 0
+        if held:
+            yield from grouped(held)
+
+    def grouped(held: list) -> Iterator[pa.RecordBatch]:
+        """Records grouped by shard, so that they travel and compress together."""
+        slot, name, piece, length, ids = (np.concatenate(x) for x in zip(*held))
+        start = np.cumsum(length, dtype=np.int64) - length
+        order = np.argsort(slot)
+        shard = slot[order] // per_shard
+        edge = np.flatnonzero(np.diff(shard, prepend=-1))
+        for a, b in zip(edge.tolist(), [*edge[1:].tolist(), len(slot)]):
+            own = order[a:b]
+            where = np.repeat(start[own] - (np.cumsum(length[own], dtype=np.int64) - length[own]), length[own])
+            parts = [pack(x) for x in (slot[own], name[own], piece[own], length[own])]
+            parts.append(zstandard.ZstdCompressor(level=LEVEL).compress(ids[where + np.arange(len(where))].tobytes()))
+            data = np.array([len(p) for p in parts], "<i8").tobytes() + b"".join(parts)
+            yield pa.RecordBatch.from_arrays([pa.array([shard[a]], pa.int32()), pa.array([data], pa.binary())],
+                                             names=moved.names)
 
     def assemble(got: pa.Table) -> pa.Table:
         k = got.column("shard")[0].as_py()
@@ -165,10 +196,11 @@ def write_shards(docs: DataFrame, path: str, sequence: int = SEQUENCE, key: int
         for data in got.column("data"):
             data = data.as_py()
             at, parts = 40, []
-            for n, d in zip(np.frombuffer(data, "<i8", 5).tolist(), (np.int64, np.int64, np.uint32, np.uint32, kind)):
+            for n, d in zip(np.frombuffer(data, "<i8", 4).tolist(), (np.int64, np.int64, np.uint32, np.uint32)):
                 parts.append(unpack(data[at:at + n], d))
                 at += n
-            slot, name, piece, length, ids = parts
+            slot, name, piece, length = parts
+            ids = np.frombuffer(zstandard.ZstdDecompressor().decompress(data[at:]), kind)
             row = slot - base
             out[row, 0:8] = name.astype("<i8").view(np.uint8).reshape(-1, 8)
             out[row, 8:12] = piece.astype("<u4").view(np.uint8).reshape(-1, 4)
@@ -212,11 +244,12 @@ def read_slots(spark: SparkSession, path: str, layout: dict, start: int = 0, sto
                 piece = own[:, 8:12].copy().view("<u4").reshape(-1)
                 length = own[:, 12:16].copy().view("<u4").reshape(-1)
                 body = own[:, _HEAD:].copy().view(kind)
-                ids = [body[j, :m].astype("<u4").tobytes() for j, m in enumerate(length.tolist())]
+                ids = [body[j, :m].astype("<u4").tobytes() for j, m in enumerate(length.tolist())] if with_ids else None
+                crc = [zlib.crc32(body[j, :m].astype("<u4").tobytes()) for j, m in enumerate(length.tolist())]
                 columns = [pa.array(base + rows, pa.int64()), pa.array(np.full(len(rows), k), pa.int32()),
                            pa.array(rows * stride, pa.int64()), pa.array(name, pa.int64(), mask=piece >= _NULL),
                            pa.array((piece & (_NULL - 1)).astype(np.int32)), pa.array(length.astype(np.int32)),
-                           pa.array([zlib.crc32(x) for x in ids], pa.int64())]
+                           pa.array(crc, pa.int64())]
                 yield pa.RecordBatch.from_arrays(columns + ([pa.array(ids, pa.binary())] if with_ids else []), names=schema.names)
 
     return files.mapInArrow(read, schema)
