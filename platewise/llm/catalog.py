@@ -81,3 +81,7 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op3_vantage_point_trees")
 def op3_vantage_point_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op3.nearest(table(spark, sf_dir, "embeddings"))
+
+
+ORACLE["op5_decontaminate"] = op5.oracle_sql()
+ORACLE["op10_warc"] = op10.oracle_sql()

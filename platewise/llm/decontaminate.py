@@ -146,3 +146,23 @@ def digest(found: DataFrame) -> DataFrame:
         "doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
         F.sha2(F.concat_ws(",", "items").cast("binary"), 256).alias("items_sha256"),
         (F.col("n_hit") > 0).alias("contaminated"))
+
+
+def oracle_sql(window: int = WINDOW) -> str:
+    """The registered query in SQL: every run of words joined with every benchmark window."""
+    words = ("regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), "
+             r"'[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')")
+    return f"""
+WITH d AS (SELECT row_number() OVER () AS k, doc_id, {words} AS ws FROM documents),
+b AS (SELECT coalesce(CAST(item_id AS VARCHAR), '') AS item, {words} AS ws FROM benchmark),
+bw AS (SELECT DISTINCT item, least({window}, len(ws)) AS size, array_to_string(ws[i:i + least({window}, len(ws)) - 1], ' ') AS gram
+       FROM (SELECT item, ws, unnest(range(1, greatest(2, len(ws) - {window - 2}))) AS i FROM b WHERE len(ws) > 0) x),
+g AS (SELECT k, i, size, array_to_string(ws[i:i + size - 1], ' ') AS gram
+      FROM (SELECT k, ws, size, unnest(range(1, len(ws) - size + 2)) AS i
+            FROM d JOIN (SELECT DISTINCT size FROM bw) s ON len(ws) >= size) x),
+h AS (SELECT DISTINCT g.k, g.i, g.size, bw.item FROM g JOIN bw ON g.gram = bw.gram),
+n AS (SELECT k, count(DISTINCT p) AS n_hit FROM (SELECT k, unnest(range(i, i + size)) AS p FROM h) x GROUP BY k),
+s AS (SELECT k, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS ids FROM (SELECT DISTINCT k, item FROM h) x GROUP BY k)
+SELECT doc_id, CAST(len(ws) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+       sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN n ON d.k = n.k LEFT JOIN s ON d.k = s.k"""

@@ -234,3 +234,13 @@ def round_trip(spark: SparkSession, pages: DataFrame) -> DataFrame:
     path = run_dir(spark, "warc") + "/archive"
     write_archive(pages, path)
     return digest(read_archive(spark, path))
+
+
+def oracle_sql(min_revisit: int = MIN_REVISIT) -> str:
+    """The registered query in SQL."""
+    return f"""
+SELECT page_id, CAST(strlen(h) AS BIGINT) AS payload_bytes, sha1(h) AS payload_digest,
+       CASE WHEN first IS NULL THEN 'response' ELSE 'revisit' END AS record_type, first AS refers_to
+FROM (SELECT page_id, h, CASE WHEN strlen(h) >= {min_revisit} AND page_id IS DISTINCT FROM last THEN last END AS first
+      FROM (SELECT page_id, h, max(page_id) OVER (PARTITION BY h) AS last
+            FROM (SELECT page_id, coalesce(html, '') AS h FROM pages) p) q) r"""
