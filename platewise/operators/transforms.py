@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 
 from .. import schemas
 from ..functions import (
-    AMOUNT_TYPE, avg_round2, date_id, per_gram, round_exact, round_half_away, scaled_grams, threshold_flag,
+    AMOUNT_TYPE, GRAMS_TYPE, avg_round2, date_id, per_gram, round_exact, round_half_away, scaled_grams, threshold_flag,
 )
 from ..sources import seeds
 
@@ -113,13 +113,15 @@ def scaled_nutrients(items: DataFrame, foods: DataFrame) -> DataFrame:
     """Item ⋈ food, each nutrient scaled by grams/100, as exact DECIMAL grams.
 
     Unknown foods drop the item (inner join). The per-gram factors are
-    computed once per food (the small side of the join).
+    computed once per food (the small side of the join), the exact serving
+    once per item below it.
     """
     f = foods.select("fdc_id", *[per_gram(n).alias(n) for n in NUTRIENTS])
-    i = items.select("user_id", "meal_id", "fdc_id", "grams", "logged_date", "logged_date_id")
+    i = items.select("user_id", "meal_id", "fdc_id", F.col("grams").cast(GRAMS_TYPE).alias("_g"), "logged_date",
+                     "logged_date_id")
     return i.join(f, "fdc_id", "inner").select(
         "user_id", "meal_id", "logged_date", "logged_date_id",
-        *[scaled_grams(n, "grams").alias(n) for n in NUTRIENTS],
+        *[scaled_grams(n, "_g").alias(n) for n in NUTRIENTS],
     )
 
 
