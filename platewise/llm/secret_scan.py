@@ -1,10 +1,11 @@
 """Secret scan by dictionary-primed zstandard novelty (9).
 
 Three kinds of base patterns are always reported: assignments to a credential name, access keys, long hexadecimal
-runs. Beyond them, strings near a sensitive word are candidates. A candidate's novelty is the number of bytes that
-it adds to the compressed size of the code around it, per character, where the compressor starts from a dictionary
-of common identifiers: words, identifiers and copies of the surroundings cost few bytes, random strings cost nearly
-all of theirs. Candidates at or over ``NOVELTY`` are reported as kind ``novel``.
+runs. Beyond them, strings near a sensitive word, on either side of it, are candidates; the word may be part of an
+identifier or of the string itself. A candidate's novelty is the number of bytes that it adds to the compressed size
+of the code around it, per character, where the compressor starts from a dictionary of common identifiers: words,
+identifiers and copies of the surroundings cost few bytes, random strings cost nearly all of theirs. Candidates at
+or over ``NOVELTY`` are reported as kind ``novel``.
 
 Offsets are code points of the original text, end exclusive. Results for special input: a null or empty text has
 no spans; repeated rows are scanned each; texts of any length are scanned whole; an empty table gives no rows.
@@ -13,6 +14,7 @@ no spans; repeated rows are scanned each; texts of any length are scanned whole;
 from __future__ import annotations
 
 import re
+from bisect import bisect_left, bisect_right
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -28,14 +30,19 @@ _HEX = re.compile(r"[0-9a-f]+")
 MIN_ASSIGNED, MIN_ACCESS, MIN_HEX = 6, 20, 24
 _HINTS = ("password", "passwd", "secret", "token", "api_key", "apikey")
 
-#: Words beside which a string is looked at, and how many characters behind them.
-_SENSITIVE = re.compile(r"(?<![A-Za-z])(?:pass(?:word|wd|phrase)?|pwd|secret|token|api[_ -]?key|private[_ -]?key|access[_ -]?key|"
-                        r"credentials?|authorization|bearer|client[_ -]?id|signature|connection[_ -]?string)(?![a-z])", re.I | re.A)
+#: Words beside which a string is looked at, also inside identifiers ("pass" only at the end of a part: no passenger),
+#: and how many characters may lie between.
+_SENSITIVE = re.compile(r"(?:pass(?:word|wd|phrase)|(?-i:[Pp]ass(?![a-z])|PASS(?![A-Za-z]))|pwd|secret|token|api[_ -]?key|"
+                        r"private[_ -]?key|access[_ -]?key|credential|authorization|bearer|client[_ -]?id|signature|"
+                        r"connection[_ -]?string)s?", re.I | re.A)
 _SENSITIVE_HINTS = ("pass", "pwd", "secret", "token", "key", "credential", "authorization", "bearer", "client",
                     "signature", "connection")
 REACH = 80
 AROUND = 240
+MIN_CANDIDATE = 16
 _CANDIDATE = re.compile(r"[A-Za-z0-9+/_=.~!@#$%^&*-]{16,}")
+_EQUALS = re.compile("=+")
+_NAME = re.compile(r"[A-Za-z_./-]+").fullmatch
 NOVELTY = 0.85
 #: Identifiers and words of code, configuration and prose that a credential is often confused with.
 IDENTIFIERS = " ".join("""
@@ -78,29 +85,50 @@ class Scanner:
             found += [(m.start(), 2, m.end(), None) for m in _HEX.finditer(text) if len(m[0]) >= MIN_HEX]
         return found
 
+    def novel(self, text: str, start: int, end: int, words: list[tuple[int, int]]) -> list[tuple[int, int, float]]:
+        """(start, end, novelty) of the novel parts of a string with the sensitive ``words`` in it.
+
+        Without words: the string, else its parts between equals signs. With words: the value behind the first word's
+        equals sign and what stands around the word, else the parts between words and equals signs, else all of it;
+        there letters alone are the rest of the word's own identifier."""
+        cuts = sorted(words + [m.span() for m in _EQUALS.finditer(text, start, end)])
+        parts = list(zip([start, *(b for _, b in cuts)], [*(a for a, _ in cuts), end]))
+        if words:
+            first, behind = words[0]
+            sign = _EQUALS.search(text, behind, end)
+            name, value = sign.span() if sign else (end, end)
+            loose = len(words) == 1 or words[-1][1] <= value  # no word in the value
+            own = end - start - sum(b - a for a, b in words)
+            tries = [[(value, end), (behind, name), (start, first)], parts, [(start, end)] if own >= MIN_CANDIDATE else []]
+        else:
+            value, loose = start, True
+            tries = [[(start, end)], parts if cuts else []]
+        for spans in tries:
+            found = []
+            for a, b in spans:
+                if b - a >= MIN_CANDIDATE and (loose and a >= value or not _NAME(text, a, b)) and \
+                        (new := self.novelty(text, a, b)) >= self.least:
+                    found.append((a, b, new))
+            if found:
+                return found
+        return []
+
     def scan(self, text: str) -> list[tuple[int, int, int, float | None]]:
         """(start, kind number, end, novelty) in order."""
-        found = self.base(text)
-        low = text.lower()
-        if any(h in low for h in _SENSITIVE_HINTS):
-            seen = set()
-            for word in _SENSITIVE.finditer(text):
-                for m in _CANDIDATE.finditer(text, word.end(), min(len(text), word.end() + REACH)):
-                    a, b = m.span()
-                    while b < len(text) and _PART(text[b]):  # the whole string, beyond the reach
-                        b += 1
-                    if a in seen or any(s < b and a < e for s, _, e, _ in found):
-                        continue
-                    seen.add(a)
-                    own = text[a:b]
-                    if any(c.isdigit() for c in own) and any(c.isalpha() for c in own):
-                        new = self.novelty(text, a, b)
-                        if new >= self.least:
-                            found.append((a, 3, b, new))
+        base = self.base(text)
+        found, low = list(base), text.lower()
+        if any(h in low for h in _SENSITIVE_HINTS) and (words := [m.span() for m in _SENSITIVE.finditer(text)]):
+            starts, ends = [a for a, _ in words], [b for _, b in words]
+            for m in _CANDIDATE.finditer(text):
+                a, b = m.span()
+                # the words that end at most REACH before the string or start at most REACH behind it
+                near = range(bisect_left(ends, a - REACH), bisect_right(starts, b + REACH))
+                if near and not any(s < b and a < e for s, _, e, _ in base):
+                    inside = words[bisect_right(ends, a):bisect_left(starts, b)]
+                    found += [(c, 3, d, new) for c, d, new in self.novel(text, a, b, inside)]
         return sorted(found, key=lambda x: x[:3])
 
 
-_PART = re.compile(r"[A-Za-z0-9+/_=.~!@#$%^&*-]").match
 OUT = T.StructType([T.StructField("secrets", T.ArrayType(fields(kind=STRING, start=LONG, end=LONG, novelty=DOUBLE)))])
 
 

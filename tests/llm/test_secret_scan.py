@@ -48,6 +48,23 @@ def test_novel_strings_in_sensitive_context():
     assert kinds("the token 2024-01-01T00:00:00 of localhost") == []
 
 
+def test_candidates_on_both_sides_of_words_within_identifiers():
+    s = M.Scanner()
+    novel = lambda t: [t[a:b] for a, k, b, _ in s.scan(t) if M.KINDS[k] == "novel"]
+    x, letters = "vT8bN5wR1cQ9J4mZ7xK2uYp3hD6gLs0aEiWfXo4T", "GyKwILALovRbrMQSkSuIKKgTPnOKrshe"
+    for t in ('secretAccessKey: "{}"', 'secretKey = "{}"', 'tokenValue = "{}"', 'dbpass = "{}"', "tokens {}", "my secrets: {}",
+              "USER_CREDENTIALS {}", "{} is the password", "credential " + "of the user " * 6 + "{}"):
+        assert novel(t.format(x)) == [x], t
+    assert novel('dbPassword = "#Zx8kQ2pLw9vRt5yBn3m"') == ["#Zx8kQ2pLw9vRt5yBn3m"]
+    assert novel(f"credential {letters}") == [letters] and novel("credential 7715#1620#4661-99067") != []  # letters only, none
+    assert novel("signature=" + x) == [x] and novel("see kQ2pLw9vpwdRt5yBn3mZ8") == ["kQ2pLw9vpwdRt5yBn3mZ8"]
+    assert novel("PRODUCTION_DATABASE_PASSWORD = getCredentialsForAuthenticatedUser(request)") == []  # the word's own names
+    assert novel("credential " + "x, " * 30 + x) == novel(x + " x," * 30 + " credential") == []  # out of reach
+    assert novel(f"a passenger {x} of the compassion") == [] and novel("the token " + "-" * 40) == []
+    long = "token_" * 20_000 + x
+    assert [len(t) for t in novel(long)] and len(s.scan("token=k#" * 20_000)) < 20_000
+
+
 def test_novelty_orders_random_before_known():
     s = M.Scanner()
     t = "credential authorization_signature_1 here; credential vT8bN5wR1cQ9J4mZ7xK2uYp3 there"
