@@ -5,7 +5,8 @@ runs. Beyond them, strings near a sensitive word, on either side of it, are cand
 identifier or of the string itself. A candidate's novelty is the number of bytes that it adds to the compressed size
 of the code around it, per character, where the compressor starts from a dictionary of common identifiers: words,
 identifiers and copies of the surroundings cost few bytes, random strings cost nearly all of theirs. Candidates at
-or over ``NOVELTY`` are reported as kind ``novel``.
+or over ``NOVELTY`` are reported as kind ``novel``, unless base spans cover them whole: a base span may end within a
+secret, which is then reported beside it.
 
 Offsets are code points of the original text, end exclusive. Results for special input: a null or empty text has
 no spans; repeated rows are scanned each; texts of any length are scanned whole; an empty table gives no rows.
@@ -58,6 +59,28 @@ IDENTIFIERS = " ".join("""
 _HEXADECIMAL = bytes(104 if c in b"0123456789abcdef" else 32 for c in range(256))
 
 
+class Cover:
+    """The union of spans, in order of start."""
+
+    def __init__(self, spans: list[tuple]):
+        self.starts, self.ends = [], []
+        for a, _, b, _ in sorted(spans, key=lambda x: x[0]):
+            if self.ends and a <= self.ends[-1]:
+                self.ends[-1] = max(self.ends[-1], b)
+            else:
+                self.starts.append(a), self.ends.append(b)
+
+    def holds(self, start: int, end: int) -> bool:
+        k = bisect_right(self.starts, start) - 1
+        return k >= 0 and end <= self.ends[k]
+
+    def rest(self, start: int, end: int) -> list[tuple[int, int]]:
+        """What the union leaves of a span that it meets; nothing of other spans."""
+        a, b = bisect_right(self.ends, start), bisect_left(self.starts, end)
+        cuts = zip([start, *self.ends[a:b]], [*self.starts[a:b], end])
+        return [(c, d) for c, d in cuts if c < d] if a < b else []
+
+
 class Scanner:
     """Built once per task: the compressor with its dictionary."""
 
@@ -119,13 +142,19 @@ class Scanner:
         found, low = list(base), text.lower()
         if any(h in low for h in _SENSITIVE_HINTS) and (words := [m.span() for m in _SENSITIVE.finditer(text)]):
             starts, ends = [a for a, _ in words], [b for _, b in words]
+            known = Cover(base)
             for m in _CANDIDATE.finditer(text):
                 a, b = m.span()
                 # the words that end at most REACH before the string or start at most REACH behind it
                 near = range(bisect_left(ends, a - REACH), bisect_right(starts, b + REACH))
-                if near and not any(s < b and a < e for s, _, e, _ in base):
-                    inside = words[bisect_right(ends, a):bisect_left(starts, b)]
-                    found += [(c, 3, d, new) for c, d, new in self.novel(text, a, b, inside)]
+                if near and not known.holds(a, b):
+                    # where the base spans dilute the whole: what they leave, except names
+                    for spans in ([(a, b)], [r for r in known.rest(a, b) if not _NAME(text, *r)]):
+                        new = [x for c, d in spans
+                               for x in self.novel(text, c, d, words[bisect_right(ends, c):bisect_left(starts, d)])]
+                        if new := [(c, 3, d, x) for c, d, x in new if not known.holds(c, d)]:
+                            found += new
+                            break
         return sorted(found, key=lambda x: x[:3])
 
 

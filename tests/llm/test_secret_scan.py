@@ -65,6 +65,17 @@ def test_candidates_on_both_sides_of_words_within_identifiers():
     assert [len(t) for t in novel(long)] and len(s.scan("token=k#" * 20_000)) < 20_000
 
 
+def test_a_secret_that_goes_beyond_a_base_span_is_masked_whole(spark):
+    secrets = ["Zx8kQ2p#Lw9vRt5yBn3mQq", "q9J4mZ7xK2vT8bN5wR1c~y3H!d6Gs", "ab" * 13 + "!Lw9vRt5yBn3mQq7Kz2Xp8"]
+    texts = [f"{a}{x}{b} end" for x in secrets for a, b in (("password: ", ""), ("password=", ""), ("dbSecret = \"", "\""), ("the token ", ""))]
+    kinds = [[M.KINDS[k] for _, k, _, _ in M.Scanner().scan(t)] for t in texts]
+    assert kinds[0] == ["assign", "novel"] and kinds[-1] == ["hex", "novel"]
+    assert [M.KINDS[x[1]] for x in M.Scanner().scan("password: Zx8kQ2pLw9vRt5yBn3mQq")] == ["assign"]  # covered whole
+    got = [r.text for r in M.redact(spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string")).orderBy("doc_id").collect()]
+    for new, secret in zip(got, [x for x in secrets for _ in range(4)]):
+        assert "[SECRET]" in new and new.endswith(" end") and not any(secret[k:k + 4] in new for k in range(len(secret) - 3)), new
+
+
 def test_novelty_orders_random_before_known():
     s = M.Scanner()
     t = "credential authorization_signature_1 here; credential vT8bN5wR1cQ9J4mZ7xK2uYp3 there"
