@@ -35,6 +35,10 @@ _MAGIC, _VERSION = b"\x1f\x8b\x08", b"WARC/1."
 _CHUNK = 1 << 16
 #: Header fields that every record has.
 _NEEDED = ("warc-type", "warc-record-id", "warc-date", "content-length")
+#: Digest algorithms that are checked; others are taken as they are.
+_ALGORITHMS = ("md5", "sha1", "sha224", "sha256", "sha384", "sha512")
+_CHUNKED = re.compile(rb"(?im)^transfer-encoding:.*chunked").search
+_CHUNK_SIZE = re.compile(rb"([0-9A-Fa-f]{1,8})[^\r\n]*\r\n").match
 
 
 def _member(data: bytes) -> bytes:
@@ -67,6 +71,53 @@ class Bad(ValueError):
     """A record or member that fails its checks."""
 
 
+def digest_of(value: str) -> tuple[str, bytes]:
+    """Algorithm and bytes of a labelled digest, in base 32 or hexadecimal digits of either case; raises ``Bad``. The
+    bytes are empty where the algorithm is not known."""
+    label, colon, digits = value.partition(":")
+    label = label.strip().lower().replace("-", "")
+    if not colon or not label:
+        raise Bad("digest without algorithm")
+    if label not in _ALGORITHMS:
+        return label, b""
+    size, digits = hashlib.new(label).digest_size, digits.strip()
+    try:
+        own = bytes.fromhex(digits) if len(digits) == 2 * size else \
+            base64.b32decode(digits.rstrip("=").upper() + "=" * (-len(digits.rstrip("=")) % 8))
+    except ValueError:
+        own = b""
+    if len(own) != size:
+        raise Bad("malformed digest")
+    return label, own
+
+
+def _dechunked(body: bytes) -> bytes | None:
+    """The content of a body in chunked transfer encoding; None if it is not in that encoding."""
+    out, at = [], 0
+    while (line := _CHUNK_SIZE(body, at)) and int(line[1], 16):
+        at = line.end() + int(line[1], 16)
+        out.append(body[line.end():at])
+        if body[at:at + 2] != b"\r\n":
+            return None
+        at += 2
+    return b"".join(out) if line else None
+
+
+def _check_payload(headers: dict, block: bytes) -> None:
+    """Raises ``Bad`` where the payload digest is malformed or differs from the payload. The payload of a revisit, of a
+    segment and of a truncated record is not in the block."""
+    label, want = digest_of(headers["warc-payload-digest"])
+    if not want or headers["warc-type"].lower() == "revisit" or "warc-segment-number" in headers or "warc-truncated" in headers:
+        return
+    payload = block
+    if headers.get("content-type", "").lower().startswith("application/http"):
+        http, _, payload = block.partition(b"\r\n\r\n")
+        if hashlib.new(label, payload).digest() != want and _CHUNKED(http):
+            payload = _dechunked(payload) or payload
+    if hashlib.new(label, payload).digest() != want:
+        raise Bad("payload digest differs")
+
+
 def parse(data, start: int = 0) -> tuple[dict, bytes, int]:
     """Headers, block and end of the record at ``start``; raises ``Bad`` if it fails a check."""
     if bytes(data[start:start + len(_VERSION)]) != _VERSION:
@@ -86,7 +137,7 @@ def parse(data, start: int = 0) -> tuple[dict, bytes, int]:
         headers[name] = value.strip()
     if missing := [h for h in _NEEDED if h not in headers]:
         raise Bad(f"no {missing[0]}")
-    if not headers["content-length"].isdigit():
+    if not re.fullmatch("[0-9]{1,18}", headers["content-length"]):
         raise Bad("no valid content length")
     first = end + 4
     last = first + int(headers["content-length"])
@@ -95,9 +146,12 @@ def parse(data, start: int = 0) -> tuple[dict, bytes, int]:
     if data[last:last + 4] != b"\r\n\r\n":
         raise Bad("no end of record")
     block = bytes(data[first:last])
-    want = headers.get("warc-block-digest", "")
-    if want.startswith("sha1:") and want[5:] != base64.b32encode(hashlib.sha1(block).digest()).decode():
-        raise Bad("block digest differs")
+    if "warc-block-digest" in headers:
+        label, want = digest_of(headers["warc-block-digest"])
+        if want and hashlib.new(label, block).digest() != want:
+            raise Bad("block digest differs")
+    if "warc-payload-digest" in headers:
+        _check_payload(headers, block)
     return headers, block, last + 4
 
 
@@ -192,13 +246,13 @@ def read_archive(spark: SparkSession, path: str) -> DataFrame:
                     else:
                         headers, block = what
                         http, blank, payload = block.partition(b"\r\n\r\n")
-                        length = re.search(rb"(?im)^content-length:\s*(\d+)", http)
-                        digest = headers.get("warc-payload-digest", "")
+                        length = re.search(rb"(?im)^content-length:\s*(\d{1,18})(?!\d)", http)
+                        label, own = digest_of(headers.get("warc-payload-digest", "none:"))
                         revisit = headers.get("warc-type") == "revisit"
                         held.append((kind, file, a, b, None, headers.get("warc-type"), headers.get("warc-record-id"),
                                      headers.get("warc-refers-to"), headers.get("warc-target-uri"),
                                      int(length[1]) if length else None,
-                                     base64.b32decode(digest[5:]).hex() if digest.startswith("sha1:") else None,
+                                     own.hex() if label == "sha1" else None,
                                      None if revisit or not blank else payload))
                         size += len(block)
                     if size > 8 << 20:

@@ -115,3 +115,46 @@ def test_gaps_are_logged_by_the_reader(spark, tmp_path):
 def test_empty_table(spark):
     df = spark.createDataFrame([], "page_id long, url string, html string")
     assert M.round_trip(spark, df).count() == 0
+
+
+def read(spark, folder, data, name="a.warc"):
+    folder.mkdir(exist_ok=True)
+    (folder / name).write_bytes(data)
+    got = M.read_archive(spark, str(folder)).orderBy("start", "kind").collect()
+    return [r for r in got if r.kind == "record"], [r for r in got if r.kind == "gap"]
+
+
+def test_the_reader_quarantines_damaged_headers(spark, tmp_path):
+    data, parts = archive("none")
+    hurt = bytearray(data)
+    places = [data.index(b, parts[k][0]) + n for k, b, n in (
+        (1, b"WARC-Payload-Digest: sha1:", 30), (3, b"WARC-Payload-Digest: sha1:", 33), (5, b"Payload-Digest: sha1:", 20),
+        (7, b"WARC-Type", 2), (9, b"Content-Length", 17))]
+    for at, byte in zip(places, b"!A1Z\xb2"):
+        hurt[at] = byte if hurt[at] != byte else byte + 1
+    records, gaps = read(spark, tmp_path / "x", bytes(hurt))
+    assert [r.record_id for r in records] == [f"<urn:x-page:{i}>" for i in (0, 2, 4, 6, 8, 10, 11)]
+    assert [(g.start, g.end) for g in gaps] == [parts[k] for k in (1, 3, 5, 7, 9)] and all(g.reason for g in gaps)
+
+
+def test_digests_in_other_spellings_are_read_and_compared(spark, tmp_path):
+    payload = b"<p>" * 500
+    raw = M.record(1, "u", payload, None) + b"\r\n\r\n"
+    line = raw[raw.index(b"WARC-Payload-Digest: "):raw.index(b"\r\nWARC-Block")]
+    sha1, sha256 = hashlib.sha1(payload).hexdigest(), hashlib.sha256(payload).hexdigest()
+    good = [line, line[:26] + line[26:].lower(), b"WARC-Payload-Digest: sha1:" + sha1.encode(), b"WARC-Payload-Digest: SHA-1:" + sha1.upper().encode(),
+            b"WARC-Payload-Digest: sha256:" + sha256.encode(), b"WARC-Payload-Digest: tiger:xyz"]
+    bad = [b"WARC-Payload-Digest: sha1:" + b"0" * 40, line[:-1], b"WARC-Payload-Digest: sha1:", b"WARC-Payload-Digest: " + sha1.encode(),
+           b"WARC-Payload-Digest: sha256:" + sha256.encode()[:-1] + b"g", "WARC-Payload-Digest: sha1:\u00e9".encode() * 2]
+    records, gaps = read(spark, tmp_path / "x", b"".join(raw.replace(line, x) for x in good))
+    assert [r.payload_digest for r in records] == [sha1] * 4 + [None] * 2 and gaps == []
+    for x in bad:
+        with pytest.raises(M.Bad):
+            M.parse(raw.replace(line, x))
+    records, gaps = read(spark, tmp_path / "y", b"".join(raw.replace(line, x) + raw for x in bad))
+    assert len(records) == len(gaps) == len(bad)
+    chunked = b"HTTP/1.1 200 OK\r\nTransfer-Encoding: chunked\r\n\r\n" + b"5dc\r\n" + payload + b"\r\n0\r\n\r\n"
+    head = b"WARC/1.1\r\nWARC-Type: response\r\nWARC-Record-ID: <x>\r\nWARC-Date: d\r\nContent-Type: application/http\r\nContent-Length: %d\r\n"
+    assert M.parse(head % len(chunked) + line + b"\r\n\r\n" + chunked + b"\r\n\r\n")
+    with pytest.raises(M.Bad):
+        M.parse(head % len(chunked) + line + b"\r\n\r\n" + chunked.replace(b"<p>", b"<q>", 1) + b"\r\n\r\n")
