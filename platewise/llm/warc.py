@@ -7,7 +7,10 @@ needs between rows is an empty gzip member, or the empty lines that end a plain
 
 Reader: each file is read from its start. Where a member or record fails its checks (deflate and its CRC, version
 line, lengths, digests), the reader searches for the next valid member or version line, goes on there, and reports
-the bytes between as a quarantined gap with the reason.
+the bytes between as a quarantined gap with the reason. The content of a member that holds several records is searched
+in the same way, and so is what a damaged member of several records gives before the damage: records there count if the
+member is merely cut short, or if a digest shows that their content is whole (headers have no digest). Such gaps have
+the member's place and, in the reason, their own.
 
 Results for special input: a null html is an empty payload, a null url an empty target; a null page_id is kept and
 comes last when the response of a group is chosen; repeated rows of the largest page_id are all responses; an empty
@@ -32,7 +35,8 @@ RECORDS_PER_FILE = 20_000
 _DATE = "2024-01-01T00:00:00Z"
 _PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 _MAGIC, _VERSION = b"\x1f\x8b\x08", b"WARC/1."
-_CHUNK = 1 << 16
+_CHUNK, _PIECE = 1 << 16, 512
+_CUT = "member cut short"
 #: Header fields that every record has.
 _NEEDED = ("warc-type", "warc-record-id", "warc-date", "content-length")
 #: Digest algorithms that are checked; others are taken as they are.
@@ -162,7 +166,7 @@ def member(data: bytes, start: int) -> tuple[bytes, int]:
         while not z.eof:
             chunk = data[at:at + _CHUNK]
             if not chunk:
-                raise Bad("member cut short")
+                raise Bad(_CUT)
             out.append(z.decompress(chunk))
             at += len(chunk)
     except zlib.error as e:
@@ -170,21 +174,94 @@ def member(data: bytes, start: int) -> tuple[bytes, int]:
     return b"".join(out), at - len(z.unused_data)
 
 
+def beginning(data: bytes, start: int, least: int | None = None) -> tuple[bytes, int]:
+    """What the damaged gzip member at ``start`` gives before the damage, or its first ``least`` bytes and perhaps a few
+    more; and the place up to which it was read."""
+    z, out, size, at = zlib.decompressobj(31), [], 0, start
+    step = _PIECE
+    while at < len(data) and (least is None or size < least):
+        before = z.copy()
+        try:
+            got = z.decompress(data[at:at + step])
+        except zlib.error:
+            if step == 1:
+                break
+            z, step = before, 1  # byte by byte up to the damage
+            continue
+        if step > 1 and least is not None and size + len(got) >= least:
+            z, step = before, 1
+            continue
+        out.append(got)
+        size += len(got)
+        at += step
+        if z.eof:
+            break
+    return b"".join(out), min(at, len(data))
+
+
+def inner_salvage(content: bytes) -> Iterator[tuple[str, int, int, object]]:
+    """As ``salvage`` for the records within a member's content."""
+    at, gap, why, n = 0, None, "", len(content)
+    while at < n:
+        try:
+            headers, block, end = parse(content, at)
+        except Bad as e:
+            if gap is None:
+                gap, why = at, str(e)
+            at = content.find(_VERSION, at + 1)
+            at = n if at < 0 else at
+            continue
+        if gap is not None:
+            yield "gap", gap, at, why
+            gap = None
+        yield "record", at, end, (headers, block)
+        at = end
+    if gap is not None:
+        yield "gap", gap, n, why
+
+
+def _inside(start: int, end: int, why: str) -> str:
+    return f"bytes {start} to {end} of the member's content: {why}"
+
+
+def _verified(headers: dict) -> bool:
+    """Whether a digest of the record's content was compared."""
+    own = [headers[h] for h in ("warc-block-digest", "warc-payload-digest") if h in headers
+           and (h == "warc-block-digest" or headers["warc-type"].lower() != "revisit")]
+    return any(digest_of(x)[1] for x in own)
+
+
 def salvage(data: bytes) -> Iterator[tuple[str, int, int, object]]:
-    """("record", start, end, (headers, block)) and ("gap", start, end, reason) over a whole file, in order."""
+    """("record", start, end, (headers, block)) and ("gap", start, end, reason) over a whole file, in order.
+
+    Records and gaps within a gzip member have the member's place; the reason of such a gap has its place in the
+    member's content."""
     at, gap, why, n = 0, None, "", len(data)
     while at < n:
-        found, end = [], at
+        found, end, broken = [], at, None
         try:
             if data.startswith(_MAGIC[:2], at):
-                content, end = member(data, at)
-                inner = 0
-                while inner < len(content):
-                    headers, block, inner = parse(content, inner)
-                    found.append((headers, block))
+                try:
+                    content, end = member(data, at)
+                except Bad as e:
+                    broken = str(e)
+                    content, _ = beginning(data, at)
+                found = list(inner_salvage(content))
+                if broken and content.count(_VERSION) < 2:
+                    raise Bad(broken)  # the checksum is that of this one record
+                if broken and broken != _CUT:  # a cut leaves what is before it as it was; other damage shows late
+                    found = [("gap", a, b, "no digest in a damaged member") if kind == "record" and not _verified(what[0])
+                             else (kind, a, b, what) for kind, a, b, what in found]
+                if good := [b for kind, _, b, _ in found if kind == "record"]:
+                    if broken:  # all bytes up to the last good record are the member's own
+                        end = beginning(data, at, good[-1])[1]
+                        found = [x for x in found if x[1] < good[-1]]
+                        broken = _inside(good[-1], len(content), broken)
+                elif broken or found:
+                    raise Bad(broken or found[0][3])
             else:
                 headers, block, end = parse(data, at)
-                found.append((headers, block))
+                found.append(("record", at, end, (headers, block)))
         except Bad as e:
             if gap is None:
                 gap, why = at, str(e)
@@ -194,9 +271,13 @@ def salvage(data: bytes) -> Iterator[tuple[str, int, int, object]]:
         if gap is not None:
             yield "gap", gap, at, why
             gap = None
-        for got in found:
-            yield "record", at, end, got
+        for kind, a, b, what in found:
+            yield kind, at, end, what if kind == "record" else _inside(a, b, what)
         at = end
+        if broken:
+            gap, why = at, broken
+            marks = [x for x in (data.find(_MAGIC, at), data.find(_VERSION, at)) if x >= 0]
+            at = min(marks, default=n)
     if gap is not None:
         yield "gap", gap, n, why
 

@@ -1,6 +1,7 @@
 import gzip
 import hashlib
 import random
+import zlib
 from collections import defaultdict
 
 import pytest
@@ -158,3 +159,49 @@ def test_digests_in_other_spellings_are_read_and_compared(spark, tmp_path):
     assert M.parse(head % len(chunked) + line + b"\r\n\r\n" + chunked + b"\r\n\r\n")
     with pytest.raises(M.Bad):
         M.parse(head % len(chunked) + line + b"\r\n\r\n" + chunked.replace(b"<p>", b"<q>", 1) + b"\r\n\r\n")
+
+
+def whole(n=12):
+    """A plain archive, the places of its records, and what makes one gzip member of it."""
+    return *archive("none", n), M._member
+
+
+def ids(records):
+    return [int(r.record_id.split(":")[-1][:-1]) for r in records]
+
+
+def test_a_bad_record_among_others_of_its_member(spark, tmp_path):
+    data, parts, packed = whole()
+    hurt = bytearray(data)
+    for k in (0, 4, 5, 11):
+        hurt[data.index(b"<p>", parts[k][0])] ^= 1
+    first, other = archive("gzip", 2)[0], packed(bytes(hurt))
+    records, gaps = read(spark, tmp_path / "x", first + other + first)
+    assert sorted(ids(records)) == sorted([0, 1, 1, 2, 3, 6, 7, 8, 9, 10, 0, 1])
+    assert {(g.start, g.end) for g in gaps} == {(len(first), len(first + other))}
+    assert sorted(g.reason.split(":")[0] for g in gaps) == sorted(
+        f"bytes {a} to {b} of the member's content" for a, b in ((0, parts[0][1]), (parts[4][0], parts[5][1]), parts[11]))
+
+
+@pytest.mark.parametrize("level", [0, 6])
+def test_what_precedes_the_damage_of_a_member(spark, tmp_path, level):
+    rng = random.Random(7)
+    pages = [bytes(rng.randrange(32, 127) for _ in range(700)) for _ in range(12)]
+    raws = [M.record(i, "u", p, None) + b"\r\n\r\n" for i, p in enumerate(pages)]
+    z = zlib.compressobj(level, zlib.DEFLATED, 31)
+    raw = z.compress(b"".join(raws)) + z.flush()
+    single = archive("gzip", 2)[0]
+    at = len(raw) * 2 // 3
+    for name, hurt, least in (("cut", raw[:at], 7), ("flip", raw[:at] + bytes([raw[at] ^ 0x55]) + raw[at + 1:], 7),
+                              ("crc", raw[:-8] + b"abcd" + raw[-4:], 12), ("end", raw[:-3], 12)):
+        records, gaps = read(spark, tmp_path / name, single + hurt + single)
+        own = [r for r in records if len(single) <= r.start < len(single + hurt)]
+        assert len(own) >= least and len(set(ids(own))) == len(own), name
+        assert all(bytes(r.payload) == pages[i] for r, i in zip(own, ids(own)))
+        assert sorted(ids([r for r in records if r not in own])) == [0, 0, 1, 1]
+        assert gaps and "member" in gaps[0].reason and gaps[-1].end == len(single + hurt)
+    plain = b"".join(b"WARC/1.1\r\nWARC-Type: resource\r\nWARC-Record-ID: <urn:x-page:%d>\r\nWARC-Date: d\r\nContent-Length: 4\r\n\r\nabcd\r\n\r\n" % i for i in range(3))
+    member = M._member(plain)
+    assert [x[0] for x in M.salvage(member)] == ["record"] * 3
+    assert [x[0] for x in M.salvage(member[:-8] + b"abcd" + member[-4:])] == ["gap"]  # nothing shows that they are whole
+    assert [x[0] for x in M.salvage(member[:-8])] == ["record"] * 3 + ["gap"] * (len(member) > 8)
