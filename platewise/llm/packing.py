@@ -17,6 +17,7 @@ from __future__ import annotations
 import zlib
 from bisect import bisect_left, insort
 from collections.abc import Iterator
+from itertools import count
 
 import numpy as np
 import pyarrow as pa
@@ -28,7 +29,6 @@ from platewise.llm.tokens import END_ID, VOCABULARY, FastTokenizer
 
 CAPACITY = 4096
 PER_PARTITION = 100_000
-ROUNDS = 4
 _PLACED = fields(part=INT, bin=INT, offset=LONG, bins=LONG, bound=LONG, open=BOOL)
 
 
@@ -142,17 +142,18 @@ def _bins(df: DataFrame) -> DataFrame:
 
 
 def pack(cut: DataFrame, capacity: int = CAPACITY, per_partition: int = PER_PARTITION,
-         rounds: int = ROUNDS) -> DataFrame:
+         rounds: int | None = None) -> DataFrame:
     """Places the rows of ``pieces``; adds sequence_id and offset, and round, bins and bound of the partition that
-    packed them. ``cut`` must be a written table (its pids are read several times)."""
+    packed them. ``cut`` must be a written table (its pids are read several times). Exchanges go on while they save
+    bins and there are several partitions, whose number falls each time; ``rounds`` sets a limit beside that."""
     done = cut.where(F.col("length") == capacity).select(
         "*", (-F.col("pid") - 1).alias("sequence_id"), F.lit(0).cast("long").alias("offset"),
         F.lit(-1).alias("round"), F.lit(1).cast("long").alias("bins"), F.lit(1).cast("long").alias("bound"))
     pool = cut.where(F.col("length") < capacity)
     left = pool.count()
     parts = max(1, -(-left // per_partition))
-    before = None
-    for k in range(rounds):
+    before, first = None, 0
+    for k in count() if rounds is None else range(rounds):
         if not left:
             break
         new = materialise(_pack_partitions(pool, parts, k, capacity), f"packed{k}")
@@ -160,15 +161,16 @@ def pack(cut: DataFrame, capacity: int = CAPACITY, per_partition: int = PER_PART
         if before is not None and after >= before[1]:
             new, last = before[0], True  # the exchange saved nothing: the earlier places stand
         else:
-            last = parts == 1 or k == rounds - 1
+            last = parts == 1 or k + 1 == rounds
         pool = new.where("open")
         left = 0 if last else pool.count()
         stay = new if not left else new.where("not open")
         done = done.unionByName(stay.select(*cut.columns, (
-            F.lit(k).cast("long") * (1 << 56) + F.col("part").cast("long") * (1 << 32) + F.col("bin")
+            (F.lit(first).cast("long") + F.col("part")) * (1 << 32) + F.col("bin")
         ).alias("sequence_id"), "offset", F.lit(k).alias("round"), "bins", "bound"))
         if left:
             before = (pool, _bins(pool).count())
+            first += parts
             parts = max(1, min(parts - 1, -(-left // per_partition)))
     return done
 

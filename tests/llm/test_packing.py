@@ -91,3 +91,15 @@ def test_odd_rows_and_ids(spark, odd, odd_rows, none):
     whole(odd_rows, placed, 128)
     assert all(zlib.crc32(bytes(r.ids)) == r.ids_crc32 for r in placed)
     assert M.digest(M.pack_documents(none)).count() == 0
+
+
+def test_exchanges_go_on_while_they_save_bins(spark):
+    rng = random.Random(4)
+    rows = [(i, 0, 0, rng.randint(25, 55), 0, i) for i in range(800)]
+    cut = spark.createDataFrame(rows, "doc_id long, piece int, start long, length long, ids_crc32 long, pid long")
+    few, placed = M.pack(cut, capacity=100, per_partition=10, rounds=4).collect(), M.pack(cut, capacity=100, per_partition=10).collect()
+    assert len({r.sequence_id for r in placed}) < len({r.sequence_id for r in few}) and max(r["round"] for r in placed) > 3
+    held = defaultdict(int)
+    for r in placed:
+        held[r.sequence_id] += r.length
+    assert len(placed) == 800 and max(held.values()) <= 100 and len({(r.sequence_id, r.offset) for r in placed}) == 800
