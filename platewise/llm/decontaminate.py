@@ -8,7 +8,8 @@ matches are mapped back to word numbers and, on request, to character offsets in
 Results for special input: a null or empty text has no words and is clean; a null or empty item has no window;
 repeated items each count; an empty benchmark leaves every document clean; very long texts are scanned whole.
 The benchmark is small by nature. Its size is checked: one automaton holds at most ``AUTOMATON_BYTES`` of
-patterns, and a larger benchmark is scanned by several automata, one after the other, with the same result.
+patterns, and a larger benchmark is scanned by several automata with the same result. A task builds them one after the
+other for each group of texts, from the benchmark's normalised text, and holds one at a time.
 """
 
 from __future__ import annotations
@@ -26,7 +27,9 @@ from platewise.llm.common import LONG, STRING, carry, fields, pick, restore, sli
 WINDOW = 10
 #: Bytes of patterns in one automaton (about 50 times as much memory).
 AUTOMATON_BYTES = 4 << 20
-#: Bytes of benchmark text that may go to the driver and the executors.
+#: Bytes of text that each of several automata scans before the next one is built.
+GROUP_BYTES = 64 << 20
+#: Bytes of benchmark text that may go to the driver and the executors; a task holds it and one automaton.
 BENCHMARK_BYTES = 256 << 20
 _FOLD = bytes(c if 48 <= c <= 57 or 97 <= c <= 122 or c >= 128 else c + 32 if 65 <= c <= 90 else 32
               for c in range(256))
@@ -49,39 +52,79 @@ def windows(items: list[tuple[str, bytes]], window: int = WINDOW) -> dict[str, s
     return found
 
 
-def automata(patterns: dict[str, set[str]], most: int = AUTOMATON_BYTES) -> list:
-    """Aho-Corasick automata over the patterns; one unless they exceed ``most`` bytes."""
+def portions(items: list[tuple[str, bytes]], window: int = WINDOW, most: int = AUTOMATON_BYTES) -> list[list[tuple[str, bytes]]]:
+    """The items' normalised texts in portions whose windows take at most about ``most`` bytes; long texts are cut, with
+    the overlap that keeps all their windows."""
     out, size = [], most + 1
+    step = max(1, most // (16 * window))
+    for item, text in items:
+        words = normalise(text)
+        for k in range(0, max(1, len(words) - window + 1), step) if words else ():
+            own = b" ".join(words[k:k + step + window - 1])
+            if size + window * len(own) > most:
+                out.append([])
+                size = 0
+            out[-1].append((item, own))
+            size += window * len(own)
+    return out
+
+
+def automaton(patterns: dict[str, set[str]]):
+    out = ahocorasick.Automaton()
     for key in sorted(patterns):
-        if size + len(key) > most:
-            out.append(ahocorasick.Automaton())
-            size = 0
-        out[-1].add_word(key, (len(key), tuple(sorted(patterns[key]))))
-        size += len(key)
-    for a in out:
-        a.make_automaton()
+        out.add_word(key, (len(key), tuple(sorted(patterns[key]))))
+    out.make_automaton()
     return out
 
 
 class Scanner:
-    """Scans texts in a Python worker; the automaton is built once per task."""
-
-    def __init__(self, patterns: dict[str, set[str]], most: int = AUTOMATON_BYTES):
-        self.automata = automata(patterns, most)
+    """Scans texts in a Python worker with one automaton at a time: the only one is built once, of several each is built
+    for every group of texts and given up before the next. Takes ``windows``, or ``portions`` of items."""
+
+    def __init__(self, patterns: dict[str, set[str]] | list[list[tuple[str, bytes]]], most: int = AUTOMATON_BYTES,
+                 window: int = WINDOW):
+        self.window, self.built = window, None
+        self.automata = patterns if isinstance(patterns, list) else []
+        if isinstance(patterns, dict):
+            size = most + 1
+            for key in sorted(patterns):
+                if size + len(key) > most:
+                    self.automata.append({})
+                    size = 0
+                self.automata[-1][key] = patterns[key]
+                size += len(key)
+
+    def each(self) -> Iterator:
+        for part in self.automata:
+            if self.built is None:
+                self.built = automaton(part if isinstance(part, dict) else windows(part, self.window))
+            yield self.built
+            if len(self.automata) > 1:
+                self.built = None
 
     def scan(self, text: bytes) -> tuple[int, list[tuple[int, int]], list[str]]:
         """Number of words, hit word ranges [first, last), ids of the items found."""
-        words = normalise(text)
-        if not words or not self.automata:
-            return len(words), [], []
-        line = (b" " + b" ".join(words) + b" ").decode("latin-1")
-        found, items = [], set()
-        for a in self.automata:
-            for end, (size, ids) in a.iter(line):
-                found.append((end - size + 1, end))
-                items.update(ids)
+        return self.scan_all([text])[0]
+
+    def scan_all(self, texts: list[bytes]) -> list[tuple[int, list[tuple[int, int]], list[str]]]:
+        """``scan`` of each text."""
+        lines = [(b" " + b" ".join(normalise(t)) + b" ").decode("latin-1") for t in texts]
+        found: dict[int, tuple[set, set]] = {}
+        for a in self.each():
+            for i, line in enumerate(lines):
+                for end, (size, ids) in a.iter(line):
+                    spans, items = found.setdefault(i, (set(), set()))
+                    spans.add((end - size + 1, end))
+                    items.update(ids)
+            del a
+        return [self._merged(line, *found.get(i, ((), ()))) for i, line in enumerate(lines)]
+
+    @staticmethod
+    def _merged(line: str, found, items) -> tuple[int, list[tuple[int, int]], list[str]]:
+        n = line.count(" ") - 1 if len(line) > 2 else 0
         if not found:
-            return len(words), [], []
+            return n, [], []
+        words = line.split(" ")[1:-1]
         at = np.cumsum([0] + [len(w) + 1 for w in words])  # the space before each word
         spans = np.searchsorted(at, np.array(sorted(found)))
         merged: list[list[int]] = []
@@ -119,15 +162,30 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, w
     """``docs`` with n_words, n_hit, items (ids found, sorted as strings) and spans (character ranges of the
     original text that lie in benchmark windows); columns of these names are replaced."""
     spark = docs.sparkSession
-    patterns = spark.sparkContext.broadcast(windows(benchmark_items(benchmark), window))
+    patterns = spark.sparkContext.broadcast(portions(benchmark_items(benchmark), window))
     source = carry(docs, "text").withColumn("text", F.col("text").cast("string"))
     schema = T.StructType([source.schema["row"], *OUT.fields])
 
+    def groups(batches: Iterator[pa.RecordBatch]) -> Iterator[list[pa.RecordBatch]]:
+        least = GROUP_BYTES if len(patterns.value) > 1 else 0
+        held, size = [], 0
+        for batch in batches:
+            held.append(batch)
+            size += batch.column("text").nbytes
+            if size >= least:
+                yield held
+                held, size = [], 0
+        if held:
+            yield held
+
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        scanner = Scanner(patterns.value)
-        for whole in batches:
-            for batch in slices(whole, "text"):
-                got = [scanner.scan(t) for t in texts_of(batch.column("text"))]
+        scanner = Scanner(patterns.value, window=window)
+        for group in groups(x for whole in batches for x in slices(whole, "text")):
+            texts = [t for batch in group for t in texts_of(batch.column("text"))]
+            hits, at = scanner.scan_all(texts), 0
+            for batch in group:
+                got = hits[at:at + batch.num_rows]
+                at += batch.num_rows
                 span = [[{"start": a, "end": b} for a, b in offsets(batch.column("text")[i].as_py(), s)]
                         if s and with_spans else [] for i, (_, s, _) in enumerate(got)]
                 yield pa.RecordBatch.from_arrays([

@@ -69,3 +69,30 @@ def test_large_benchmarks_take_several_automata():
     assert len(one.automata) == 1 and len(many.automata) > 5
     text = b"x ".join(t for _, t in items[::7])
     assert one.scan(text) == many.scan(text) and one.scan(text)[2]
+
+
+def test_one_automaton_is_held_at_a_time(monkeypatch):
+    items = [(str(k % 9), f"w{k} of item {k} and more words than ten are in it {k} ".encode() * (1 + k)) for k in range(20)] + [("s", b"w3 of")]
+    alive, most = set(), []
+
+    class Counted:
+        def __init__(self, patterns):
+            self.own, self.size = make(patterns), sum(map(len, patterns))
+            alive.add(id(self))
+            most.append((len(alive), self.size))
+
+        def __del__(self):
+            alive.discard(id(self))
+
+        def iter(self, line):
+            return self.own.iter(line)
+
+    make = M.automaton
+    one = M.Scanner(M.windows(items))
+    texts = [b"x ".join(t for _, t in items[k::7]) for k in range(7)] + [b"", b"a w3 OF b", b"clean"]
+    want = [one.scan(t) for t in texts]
+    monkeypatch.setattr(M, "automaton", Counted)
+    parts = M.portions(items, most=3000)
+    assert len(parts) > 5 and M.Scanner(parts).scan_all(texts) == want and want[0][2] and want[-2][2] == ["s"]
+    assert len(most) == len(parts) and max(n for n, _ in most) == 1 and max(s for _, s in most) <= 4500
+    assert M.portions([("a", b""), ("b", b"..")]) == []
