@@ -8,7 +8,8 @@ pigeonhole, two fingerprints within tau bits differ in at most t(i) bits in some
 the t(i) is tau - m + 1 (t = -1 leaves a partition out). Each fingerprint gets its own thresholds from a dynamic
 programme over the estimated number of candidates in each partition, then probes the partition's index with all
 keys within t(i) bits. Candidates are verified on all 64 bits, so the links are exact. m itself is the number of
-partitions with the least estimated work, so keys get longer as the table grows.
+partitions with the least estimated work, so keys get longer as the table grows. Correlations, counts and work are
+added up over all distinct fingerprints in the tasks.
 
 Results for special input: null and empty texts have fingerprint zero and link like any other; fewer words than a
 shingle are one shingle; repeated rows each get a row; a null doc_id takes part, and a component's id is its
@@ -25,14 +26,12 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F, types as T
 
-from platewise.llm.common import INT, LONG, carry, fields, materialise, pick, restore, slices, texts_of
+from platewise.llm.common import DOUBLE, INT, LONG, carry, fields, materialise, pick, restore, slices, texts_of
 from platewise.llm.components import components
 
 SHINGLE = 3
 MAX_BITS = 3
 SEED = 42
-#: Distinct fingerprints from which bit correlations and the number of partitions are taken (the smallest by hash).
-SAMPLE = 10_000
 #: Estimated work of one probe and of one candidate, relative to each other.
 PROBE_COST, CANDIDATE_COST = 1.0, 0.5
 _BLOCK = 8
@@ -77,13 +76,25 @@ def with_fingerprint(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
     return restore(source.mapInArrow(run, schema), docs, "fp")
 
 
+def unpacked(fp: np.ndarray) -> np.ndarray:
+    """The 64 bits of each fingerprint, highest first."""
+    return np.unpackbits(fp.astype(">u8").view(np.uint8).reshape(-1, 8), axis=1).astype(np.float64)
+
+
 def group_bits(bits: np.ndarray, parts: int) -> list[list[int]]:
-    """Bit positions (0: highest) in ``parts`` groups of nearly equal size, correlated ones together."""
-    width = bits.shape[1]
-    x = bits - bits.mean(axis=0) if len(bits) else np.zeros((1, width))
-    scale = np.sqrt((x * x).sum(axis=0))
+    """``group_tied`` by the correlations of the columns of ``bits``."""
+    return group_tied(bits.T @ bits, len(bits), parts)
+
+
+def group_tied(both: np.ndarray, n: int, parts: int) -> list[list[int]]:
+    """Bit positions (0: highest) in ``parts`` groups of nearly equal size, correlated ones together; of ``n``
+    fingerprints ``both[i, j]`` have bits i and j."""
+    width = len(both)
+    share = np.diag(both) / max(1, n)
+    apart = both / max(1, n) - np.outer(share, share)
+    scale = np.sqrt(np.maximum(0, share - share * share))
     scale[scale == 0] = 1
-    tied = np.abs((x.T @ x) / np.outer(scale, scale))
+    tied = np.abs(apart / np.outer(scale, scale))
     np.fill_diagonal(tied, 0)
     left, groups = set(range(width)), []
     for k in range(parts):
@@ -176,11 +187,27 @@ def _choose(n: int, k: int) -> int:
     return out
 
 
-def plan(fps: DataFrame, tau: int, sample: int = SAMPLE) -> tuple[list[list[int]], list[np.ndarray]]:
-    """Bit groups and their block counts over all fingerprints, for the cheapest number of partitions."""
-    some = np.array([r[0] for r in fps.orderBy(F.xxhash64("fp")).limit(sample).collect()], dtype=np.int64).view(np.uint64)
-    bits = np.unpackbits(some.astype(">u8").view(np.uint8).reshape(-1, 8), axis=1).astype(np.float64)
-    ways = [group_bits(bits, m) for m in range(2, tau + 2)] if tau else [group_bits(bits, 1)]
+def plan(fps: DataFrame, tau: int, sample: int | None = None) -> tuple[list[list[int]], list[np.ndarray]]:
+    """Bit groups and their block counts over all fingerprints, for the cheapest number of partitions: that of the least
+    work over all of them, or over ``sample`` of them (the smallest by hash)."""
+    def together(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        n, both = 0, np.zeros((64, 64))
+        for batch in batches:
+            for a in range(0, batch.num_rows, 1 << 16):
+                bits = unpacked(batch.slice(a, 1 << 16).column("fp").to_numpy().view(np.uint64))
+                n, both = n + len(bits), both + bits.T @ bits
+        i, j = np.divmod(np.arange(64 * 64), 64)
+        yield pa.RecordBatch.from_arrays([pa.array(x.astype(np.int32)) for x in (i, j)] +
+                                         [pa.array(both.reshape(-1).astype(np.int64)), pa.array(np.full(64 * 64, n))],
+                                         names=["i", "j", "both", "n"])
+
+    # 64 x 64 rows, whatever the input
+    rows = fps.mapInArrow(together, fields(i=INT, j=INT, both=LONG, n=LONG)).groupBy("i", "j").agg(
+        F.sum("both").alias("both"), F.sum("n").alias("n")).collect()
+    both = np.zeros((64, 64))
+    for r in rows:
+        both[r.i, r.j] = r.both
+    ways = [group_tied(both, rows[0].n if rows else 0, m) for m in (range(2, tau + 2) if tau else [1])]
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums = None
@@ -200,12 +227,22 @@ def plan(fps: DataFrame, tau: int, sample: int = SAMPLE) -> tuple[list[list[int]
     counts = [[np.zeros((len(_blocks(g)), 256)) for g in way] for way in ways]
     for r in rows:
         counts[r.way][r.g][r.block, r.value] = r.n
-    work = [allocate(some, way, c, tau)[1].mean() for way, c in zip(ways, counts)]
-    k = int(np.argmin(work))
+
+    def effort(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        work = np.zeros(len(ways))
+        for batch in batches:
+            for a in range(0, batch.num_rows, 4096):
+                fp = batch.slice(a, 4096).column("fp").to_numpy().view(np.uint64)
+                work += [allocate(fp, way, c, tau)[1].sum() for way, c in zip(ways, counts)]
+        yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(ways), dtype=np.int32)), pa.array(work)], names=["way", "work"])
+
+    some = fps if sample is None else fps.orderBy(F.xxhash64("fp")).limit(sample)
+    work = some.mapInArrow(effort, fields(way=INT, work=DOUBLE)).groupBy("way").agg(F.sum("work").alias("work")).collect()
+    k = min(work, key=lambda r: (r.work, r.way)).way if work else 0
     return ways[k], counts[k]
 
 
-def links(fps: DataFrame, tau: int = MAX_BITS, sample: int = SAMPLE) -> DataFrame:
+def links(fps: DataFrame, tau: int = MAX_BITS, sample: int | None = None) -> DataFrame:
     """(a, b): all pairs of distinct fingerprints (column fp) within ``tau`` bits, a < b."""
     groups, counts = plan(fps, tau, sample)
     schema = fields(part=INT, key=LONG, fp=LONG)
@@ -242,7 +279,7 @@ def links(fps: DataFrame, tau: int = MAX_BITS, sample: int = SAMPLE) -> DataFram
         .select(F.least("q", "fp").alias("a"), F.greatest("q", "fp").alias("b")).distinct()
 
 
-def near_duplicates(hashed: DataFrame, tau: int = MAX_BITS, sample: int = SAMPLE) -> DataFrame:
+def near_duplicates(hashed: DataFrame, tau: int = MAX_BITS, sample: int | None = None) -> DataFrame:
     """(fp, label, component_id) of every distinct fingerprint in ``hashed`` (doc_id, fp): the smallest fingerprint and
     the smallest doc_id reachable."""
     least = materialise(hashed.groupBy("fp").agg(F.min("doc_id").alias("least")), "fingerprints")
