@@ -4,7 +4,7 @@ wrote from them), never literal input alone."""
 import pytest
 
 from platewise.plans import catalog
-from conftest import SF_SMALL
+from paths import SF_SMALL
 
 
 @pytest.mark.parametrize("key", list(catalog.QUERIES))

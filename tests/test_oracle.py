@@ -5,7 +5,7 @@ import pytest
 import __spark_entry__ as E
 from platewise.plans import catalog
 from compare import compare, duck
-from conftest import SF_SMALL
+from paths import SF_SMALL
 
 KEYS = list(catalog.QUERIES)
 

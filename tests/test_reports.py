@@ -2,7 +2,7 @@
 
 import pytest
 
-from conftest import SF_SMALL
+from paths import SF_SMALL
 from platewise.plans import dashboard as D
 from platewise.plans import reports as R
 from platewise.plans.build import Warehouse

@@ -3,7 +3,7 @@
 import pytest
 
 import __spark_entry__ as E
-from conftest import SF_SMALL
+from paths import SF_SMALL
 
 KEYS = ["b1_stg_foods", "b2_stg_users", "b3_stg_weights", "b4_stg_meal_logs", "c1_food_pivot", "c5_user_bmi",
         "c7_segments", "c8_windowed", "q7_freshness", "a1_land_foods", "r10_bmi", "i4_scd2", "d12_week_labels"]

@@ -2,7 +2,7 @@
 
 import datetime as dt
 
-from conftest import SF_SMALL
+from paths import SF_SMALL
 from platewise import schemas
 from platewise.plans import reports as R
 from platewise.plans.build import Warehouse
