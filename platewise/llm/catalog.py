@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from platewise.llm import decontaminate as op5
 from platewise.llm import lm_scoring as op1
 from platewise.llm import packing as op4
+from platewise.llm import periodic_runs as op11
 from platewise.llm import secret_scan as op9
 from platewise.llm import simhash as op7
 from platewise.llm import toxicity as op8
@@ -83,5 +84,10 @@ def op3_vantage_point_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op3.nearest(table(spark, sf_dir, "embeddings"))
 
 
+@query("op11_periodic_runs")
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op11.document_runs(table(spark, sf_dir, "documents"))
+
+
 ORACLE["op5_decontaminate"] = op5.oracle_sql()
 ORACLE["op10_warc"] = op10.oracle_sql()
