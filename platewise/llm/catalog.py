@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from platewise.llm import decontaminate as op5
 from platewise.llm import lm_scoring as op1
+from platewise.llm import minhash as op13
 from platewise.llm import packing as op4
 from platewise.llm import periodic_runs as op11
 from platewise.llm import secret_scan as op9
@@ -89,5 +90,10 @@ def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op11.document_runs(table(spark, sf_dir, "documents"))
 
 
+@query("op13_minhash")
+def op13_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op13.digest(table(spark, sf_dir, "documents"))
+
+
 ORACLE["op5_decontaminate"] = op5.oracle_sql()
 ORACLE["op10_warc"] = op10.oracle_sql()
