@@ -15,6 +15,7 @@ from platewise.llm import secret_scan as op9
 from platewise.llm import simhash as op7
 from platewise.llm import toxicity as op8
 from platewise.llm import training_order as op2
+from platewise.llm import turn_repair as op12
 from platewise.llm import url_filter as op6
 from platewise.llm import vptree as op3
 from platewise.llm import warc as op10
@@ -95,5 +96,10 @@ def op13_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op13.digest(table(spark, sf_dir, "documents"))
 
 
+@query("op12_turn_repair")
+def op12_turn_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op12.digest(table(spark, sf_dir, "conversations"))
+
+
 ORACLE["op5_decontaminate"] = op5.oracle_sql()
 ORACLE["op10_warc"] = op10.oracle_sql()
