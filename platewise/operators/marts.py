@@ -9,9 +9,10 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import DecimalType
+from pyspark.sql.types import DecimalType, StructType
 
 from ..functions import date_id, round_half_away
+from ..functions import grams as G
 from ..sources import seeds
 from . import transforms as T
 
@@ -20,8 +21,9 @@ DIM_DATE_END = "2027-12-31"
 
 
 def as_double(df: DataFrame) -> DataFrame:
-    """Cast every DECIMAL column to DOUBLE (presentation / exchange form)."""
+    """Cast every DECIMAL or gram column to DOUBLE (presentation / exchange form)."""
     return df.select(*[F.col(f.name).cast("double").alias(f.name) if isinstance(f.dataType, DecimalType)
+                       else G.to_double(f.name).alias(f.name) if isinstance(f.dataType, StructType)
                        else F.col(f.name) for f in df.schema.fields])
 
 
@@ -98,6 +100,7 @@ def fct_meal_log_nutrients(scaled: DataFrame) -> DataFrame:
     """M7: per user, meal and day, each nutrient's grams, in long form.
 
     Five sums are aggregated first, then one Generate emits the five rows.
+    ``value_g`` is exact, in the form of ``scaled``.
     """
     keys = ["user_id", "meal_id", "logged_date", "logged_date_id"]
     return T.to_long(T.grouped_grams(scaled, keys), keys, "value_g").select(

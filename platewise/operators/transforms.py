@@ -28,9 +28,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .. import schemas
-from ..functions import (
-    AMOUNT_TYPE, GRAMS_TYPE, avg_round2, date_id, per_gram, round_exact, round_half_away, scaled_grams, threshold_flag,
-)
+from ..functions import AMOUNT_TYPE, avg_round2, date_id, round_exact, round_half_away, threshold_flag
+from ..functions import grams as G
 from ..sources import seeds
 
 NUTRIENTS = seeds.NUTRIENT_VALUE_COLUMNS
@@ -110,19 +109,22 @@ def meal_items(stg_meal_logs: DataFrame, meals: DataFrame | None = None) -> Data
 
 # ------------------------------------------------------------------------ C3
 def scaled_nutrients(items: DataFrame, foods: DataFrame) -> DataFrame:
-    """Item ⋈ food, each nutrient scaled by grams/100, as exact DECIMAL grams.
+    """C3 with DECIMAL(38,18) columns: ``scaled_exact`` for SQL users, files and streams."""
+    return G.as_decimals(scaled_exact(items, foods))
+
+
+def scaled_exact(items: DataFrame, foods: DataFrame) -> DataFrame:
+    """Item ⋈ food, each nutrient scaled by grams/100, as exact gram amounts (``functions.grams``).
 
     Unknown foods drop the item (inner join). The per-gram factors are
-    computed once per food (the small side of the join), the exact serving
-    once per item below it.
+    computed once per food (the small side of the join). Any double is a valid
+    serving: whole grams, and servings of up to six decimals of foods given to
+    four, are one multiplication of long integers; others are exact decimals
+    (twelve decimals of a serving count), and what no decimal holds is a double.
     """
-    f = foods.select("fdc_id", *[per_gram(n).alias(n) for n in NUTRIENTS])
-    i = items.select("user_id", "meal_id", "fdc_id", F.col("grams").cast(GRAMS_TYPE).alias("_g"), "logged_date",
-                     "logged_date_id")
-    return i.join(f, "fdc_id", "inner").select(
-        "user_id", "meal_id", "logged_date", "logged_date_id",
-        *[scaled_grams(n, "_g").alias(n) for n in NUTRIENTS],
-    )
+    i = items.select("user_id", "meal_id", "fdc_id", "grams", "logged_date", "logged_date_id")
+    scaled = G.servings(i.join(G.factors(foods, "fdc_id", NUTRIENTS), "fdc_id", "inner"), "grams", NUTRIENTS)
+    return scaled.select("user_id", "meal_id", "logged_date", "logged_date_id", *NUTRIENTS)
 
 
 # ------------------------------------------------------------------------ C4
@@ -149,8 +151,9 @@ def since_days(df: DataFrame, as_of: Column | str, days: int, column: str = "log
 
 
 def grouped_grams(scaled: DataFrame, keys: list[str]) -> DataFrame:
-    """Per-group exact grams of the five nutrients (wide); map-side combined."""
-    return scaled.groupBy(*keys).agg(*[F.sum(n).alias(n) for n in NUTRIENTS])
+    """Per-group exact grams of the five nutrients (wide), in the form of ``scaled``; map-side combined."""
+    add = G.total if G.is_grams(scaled, NUTRIENTS[0]) else F.sum
+    return scaled.groupBy(*keys).agg(*[add(n).alias(n) for n in NUTRIENTS])
 
 
 def daily_wide(scaled: DataFrame, as_of: Column | str, history_days: int = 365) -> DataFrame:
@@ -249,9 +252,10 @@ def nutrient_segments(daily: DataFrame, users_bmi: DataFrame, targets: DataFrame
     tg = segment_targets(targets if targets is not None else seeds.nutrient_daily_targets(spark))
     personal = seeds.PERSONAL_TARGETS if personal_targets is None else personal_targets
     known = daily.join(users_bmi.select("user_id", "weight_kg"), "user_id", "inner")
-    j = to_long(known, [*DAY_KEYS, "weight_kg"], "daily_value_g").where(F.col("daily_value_g").isNotNull()) \
-        .join(tg, "nutrient_id", "inner")
-    value = round_exact(F.col("daily_value_g"), 2).cast("double")
+    exact = G.is_grams(daily, NUTRIENTS[0])
+    there = G.known("daily_value_g") if exact else F.col("daily_value_g").isNotNull()
+    j = to_long(known, [*DAY_KEYS, "weight_kg"], "daily_value_g").where(there).join(tg, "nutrient_id", "inner")
+    value = G.round2("daily_value_g") if exact else round_exact(F.col("daily_value_g"), 2).cast("double")
     out = j.select(
         "user_id", "nutrient_id", "logged_date", "logged_date_id",
         value.alias("daily_value_g"),
@@ -278,13 +282,20 @@ def segments_windowed(daily: DataFrame, users_bmi: DataFrame, as_of: Column | st
         "user_id", "logged_date", *NUTRIENTS,
         F.max("logged_date").over(Window.partitionBy("user_id")).alias("reference_date"))
     d, ref = F.col("logged_date"), F.col("reference_date")
+    frames = {"_1": d == ref, "_s": d >= F.date_sub(ref, short_days - 1), "_l": d >= F.date_sub(ref, long_days - 1)}
+    exact = G.is_grams(daily, NUTRIENTS[0])
+    if exact:  # each frame's amounts as columns of their own, to be added by name
+        recent = recent.select("user_id", "reference_date", *[F.when(inside, F.col(n)).alias(n + f)
+                                                              for n in NUTRIENTS for f, inside in frames.items()])
 
     def measures(n: str) -> Column:
-        v = F.col(n)
-        return F.struct(
-            F.max(F.when(d == ref, v)).cast("double").alias("last_day_g"),
-            avg_round2(F.when(d >= F.date_sub(ref, short_days - 1), v)).alias("last_7d_avg_g"),
-            avg_round2(F.when(d >= F.date_sub(ref, long_days - 1), v)).alias("last_30d_avg_g")).alias(n)
+        if exact:
+            mean = lambda f: G.average2(G.total(n + f), F.count_if(G.known(n + f)))
+            return F.struct(G.to_double(G.total(n + "_1")).alias("last_day_g"), mean("_s").alias("last_7d_avg_g"),
+                            mean("_l").alias("last_30d_avg_g")).alias(n)
+        one, short, long = (F.when(inside, F.col(n)) for inside in frames.values())
+        return F.struct(F.max(one).cast("double").alias("last_day_g"), avg_round2(short).alias("last_7d_avg_g"),
+                        avg_round2(long).alias("last_30d_avg_g")).alias(n)
 
     windowed = recent.groupBy("user_id", "reference_date").agg(*[measures(n) for n in NUTRIENTS])
     known = windowed.join(users_bmi.select("user_id", "weight_kg"), "user_id", "inner")

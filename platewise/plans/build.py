@@ -26,6 +26,7 @@ from functools import cached_property
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions import grams as G
 from ..operators import marts as M
 from ..operators import staging as S
 from ..operators import transforms as T
@@ -127,9 +128,14 @@ class Warehouse:
             return items if self.newer_than is None else items.where(W.above(F.col("logged_date"), self.newer_than))
         return T.meal_items(self.stg_meal_logs, self.meals)
 
+    @cached_property
+    def scaled_exact(self) -> DataFrame:
+        """C3 in exact gram amounts, which everything below adds up."""
+        return T.scaled_exact(self.items, self.food_nutrients)
+
     @cached_property
     def scaled(self) -> DataFrame:
-        return T.scaled_nutrients(self.items, self.food_nutrients)
+        return G.as_decimals(self.scaled_exact)
 
     @property
     def as_of(self) -> Column:
@@ -151,16 +157,20 @@ class Warehouse:
     @cached_property
     def daily_wide(self) -> DataFrame:
         """C4 before its last step: one row per user-day with the five sums."""
-        return T.daily_wide(self.scaled, self.as_of)
+        return T.daily_wide(self.scaled_exact, self.as_of)
 
     @cached_property
-    def daily_intake(self) -> DataFrame:
+    def daily_exact(self) -> DataFrame:
         return T.daily_long(self.daily_wide)
 
+    @cached_property
+    def daily_intake(self) -> DataFrame:
+        return G.as_decimals(self.daily_exact)
+
     @cached_property
     def daily_totals(self) -> DataFrame:
         """All-history daily totals (the reports' first level), from scaled items."""
-        return T.daily_totals(self.scaled)
+        return T.daily_totals(self.scaled_exact)
 
     @cached_property
     def users_bmi(self) -> DataFrame:
@@ -209,9 +219,13 @@ class Warehouse:
     def fct_meal_logs(self) -> DataFrame:
         return M.fct_meal_logs(self.items)
 
+    @cached_property
+    def meal_nutrients_exact(self) -> DataFrame:
+        return M.fct_meal_log_nutrients(self.scaled_exact)
+
     @cached_property
     def fct_meal_log_nutrients(self) -> DataFrame:
-        return M.fct_meal_log_nutrients(self.scaled)
+        return G.as_decimals(self.meal_nutrients_exact)
 
     @cached_property
     def fct_bmi_evolution(self) -> DataFrame:

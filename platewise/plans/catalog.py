@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from . import dashboard as D
 from . import reports as R
+from ..functions import grams as G
 from ..functions import instant_to_utc
 from ..functions import windows as FW
 from ..operators import marts as M
@@ -72,12 +73,20 @@ def c2_meal_unpivot(spark, sf):
 
 @query("c3_scaled")
 def c3_scaled(spark, sf):
-    return M.as_double(orders_wh(spark, sf).scaled)
+    return M.as_double(orders_wh(spark, sf).scaled_exact)
+
+
+@query("g1_exact_sums")
+def g1_exact_sums(spark, sf):
+    """G1: each user's grams over all days, to twelve decimals, of long, tiny and huge servings."""
+    w = orders_wh(spark, sf, items_override=fixtures.items_odd_servings(spark, sf))
+    sums = T.grouped_grams(w.scaled_exact, ["user_id"])
+    return sums.select("user_id", *[G.to_decimal(n).cast("decimal(38,12)").cast("string").alias(n) for n in T.NUTRIENTS])
 
 
 @query("c4_daily_intake")
 def c4_daily_intake(spark, sf):
-    return M.as_double(orders_wh(spark, sf).daily_intake)
+    return M.as_double(orders_wh(spark, sf).daily_exact)
 
 
 @query("c5_user_bmi")
@@ -113,7 +122,7 @@ def m5_dim_foods(spark, sf):
 
 @query("m7_meal_nutrients")
 def m7_meal_nutrients(spark, sf):
-    return M.as_double(orders_wh(spark, sf).fct_meal_log_nutrients)
+    return M.as_double(orders_wh(spark, sf).meal_nutrients_exact)
 
 
 # ----------------------------------------------------------- more staging
@@ -577,7 +586,7 @@ def q9_mart_tests(spark, sf):
     w = events_wh(spark, sf)
     names = sorted({m for m, *_ in Q.MART_TESTS} | {a[0] for *_, a in Q.MART_TESTS if isinstance(a, tuple)
                                                      and isinstance(a[0], str)})
-    w.materialize("food_nutrients", "users_bmi", "bmi_history", "items").materialize("scaled").materialize("daily_wide")
+    w.materialize("food_nutrients", "users_bmi", "bmi_history", "items").materialize("scaled_exact").materialize("daily_wide")
     return Q.mart_tests({n: getattr(w, n) for n in names})
 
 
@@ -585,7 +594,7 @@ def q9_mart_tests(spark, sf):
 def q10_model_tests(spark, sf):
     """Every declared data test of the staging and intermediate models."""
     w = events_wh(spark, sf)
-    w.materialize("food_nutrients", "users_bmi", "bmi_history", "items").materialize("scaled").materialize("daily_wide")
+    w.materialize("food_nutrients", "users_bmi", "bmi_history", "items").materialize("scaled_exact").materialize("daily_wide")
     names = sorted({m for m, *_ in Q.MODEL_TESTS})
     return Q.mart_tests({n: getattr(w, n) for n in names}, Q.MODEL_TESTS)
 

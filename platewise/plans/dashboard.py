@@ -13,9 +13,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions import avg_round2, month_label, month_start, round_half_away, week_label, week_start
+from ..functions import grams as G
+from ..functions import month_label, month_start, round_half_away, week_label, week_start
 from ..sources.seeds import lookup
-from .reports import food_log_join, rolling_average
+from .reports import as_double, food_log_join, mean2, rolling_average
 
 DateArg = Column | str | None
 
@@ -74,8 +75,8 @@ def nutrient_rolling(fct_mln: DataFrame | None, dim_nutrients: DataFrame, users=
                      end: DateArg = None, daily: DataFrame | None = None) -> DataFrame:
     """Daily intake and 7-row rolling average inside the date range."""
     d = _daily_named(fct_mln, dim_nutrients, users, start, end, daily)
-    return d.select("user_id", "nutrient_name", "logged_date", F.col("dv").cast("double").alias("daily_value_g"),
-                    rolling_average("dv", ["user_id", "nutrient_id"], "logged_date").alias("rolling_7d_avg_g")
+    return d.select("user_id", "nutrient_name", "logged_date", as_double(d, "dv").alias("daily_value_g"),
+                    rolling_average("dv", ["user_id", "nutrient_id"], "logged_date", exact=G.is_grams(d, "dv")).alias("rolling_7d_avg_g")
                     ).orderBy("user_id", "nutrient_name", "logged_date")
 
 
@@ -84,7 +85,7 @@ def weekly_user(fct_mln: DataFrame | None, dim_nutrients: DataFrame, users=None,
     """Weekly average daily intake inside the range."""
     d = _daily_named(fct_mln, dim_nutrients, users, start, end, daily)
     return d.groupBy("user_id", "nutrient_id", "nutrient_name", week_start("logged_date").alias("week_start")).agg(
-        avg_round2("dv").alias("weekly_avg_g")).select(
+        mean2(d, "dv").alias("weekly_avg_g")).select(
         "user_id", "nutrient_name", "week_start", "weekly_avg_g").orderBy("user_id", "nutrient_name", "week_start")
 
 
@@ -93,7 +94,7 @@ def monthly_user(fct_mln: DataFrame | None, dim_nutrients: DataFrame, users=None
     """Monthly average and month-over-month delta inside the range."""
     d = _daily_named(fct_mln, dim_nutrients, users, start, end, daily)
     m = d.groupBy("user_id", "nutrient_id", "nutrient_name", month_start("logged_date").alias("month_start")).agg(
-        avg_round2("dv").alias("monthly_avg_g"))
+        mean2(d, "dv").alias("monthly_avg_g"))
     prev = F.lag("monthly_avg_g").over(Window.partitionBy("user_id", "nutrient_id").orderBy("month_start"))
     return m.select("user_id", "nutrient_name", "month_start", "monthly_avg_g",
                     round_half_away(F.col("monthly_avg_g") - prev, 2).alias("mom_delta_g")

@@ -82,7 +82,7 @@ def build_marts(w: Warehouse, root: str, run_ts: str, full_refresh: bool = False
         for shared in ("food_nutrients", "stg_users", "stg_weights", "users_bmi"):
             new.__dict__[shared] = w.__dict__[shared]
         if len(logs) > 1:
-            new.materialize("items").materialize("scaled")
+            new.materialize("items").materialize("scaled_exact")
     paths = {name: f"{root}/{name}" for name in chosen}
     for name in [*[m for m in chosen if m in DIMENSIONS], *[m for m in chosen if m in FACTS]]:
         source = getattr(new if name in logs else w, name)

@@ -200,6 +200,15 @@ ORACLE["m5_dim_foods"] = ORACLE["c1_food_pivot"]
 ORACLE["c2_meal_unpivot"] = build("SELECT * FROM fx_items_e", "fx_items_e")
 ORACLE["c3_scaled"] = build(
     f"SELECT user_id, meal_id, logged_date, logged_date_id, {DBL} FROM fx_scaled_o", "fx_scaled_o")
+# the shortest decimal of each serving, exact products and sums
+cte("fx_items_odd", """SELECT CAST(o.o_custkey AS BIGINT) AS user_id, CAST(l.l_partkey AS BIGINT) AS fdc_id,
+  CAST(CAST(CASE WHEN l.l_orderkey % 7 = 0 THEN l.l_quantity + 0.12345678::DOUBLE
+    WHEN l.l_orderkey % 11 = 0 THEN 2e9::DOUBLE + l.l_quantity + 0.5::DOUBLE WHEN l.l_orderkey % 13 = 0 THEN 1e-9::DOUBLE
+    ELSE 80.0::DOUBLE + 3.0::DOUBLE * l.l_quantity END AS VARCHAR) AS DECIMAL(22,11)) AS grams
+FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey""")
+ORACLE["g1_exact_sums"] = build("SELECT i.user_id, " + ", ".join(
+    f"CAST(CAST(sum(CAST(f.{n} * 0.01 AS DECIMAL(14,7)) * i.grams) AS DECIMAL(38,12)) AS VARCHAR) AS {n}" for n in NUTS) +
+    " FROM fx_items_odd i JOIN fx_foods f ON i.fdc_id = f.fdc_id GROUP BY i.user_id", "fx_items_odd", "fx_foods")
 ORACLE["c4_daily_intake"] = build(
     "SELECT user_id, nutrient_id, logged_date, logged_date_id, CAST(daily_value_g AS DOUBLE) AS daily_value_g "
     "FROM fx_daily_o", "fx_daily_o")

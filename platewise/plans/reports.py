@@ -12,7 +12,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions import GRAMS_TYPE, avg_round2, month_start, round_half_away, week_start
+from ..functions import avg_round2, month_start, round_half_away, week_start
+from ..functions import grams as G
 from ..sources.seeds import lookup
 
 
@@ -35,11 +36,21 @@ def _names(dim_nutrients: DataFrame) -> DataFrame:
     return lookup(dim_nutrients.select("nutrient_id", "nutrient_name"))
 
 
+def mean2(df: DataFrame, value: str) -> Column:
+    """Aggregate: the average of an exact column, rounded to two decimals."""
+    return G.average2(G.total(value), F.count_if(G.known(value))) if G.is_grams(df, value) else avg_round2(value)
+
+
+def as_double(df: DataFrame, value: str) -> Column:
+    return G.to_double(value) if G.is_grams(df, value) else F.col(value).cast("double")
+
+
 def daily_intake_report(fct_mln: DataFrame | None, dim_nutrients: DataFrame, ordered: bool = True,
                         daily: DataFrame | None = None) -> DataFrame:
     """Grams per nutrient per user per day, summed across meals."""
-    out = daily_totals(fct_mln, daily).join(_names(dim_nutrients), "nutrient_id", "inner").select(
-        "user_id", "nutrient_name", "logged_date", F.col("daily_value_g").cast("double").alias("daily_value_g"))
+    d = daily_totals(fct_mln, daily)
+    out = d.join(_names(dim_nutrients), "nutrient_id", "inner").select(
+        "user_id", "nutrient_name", "logged_date", as_double(d, "daily_value_g").alias("daily_value_g"))
     return _sorted(out, ordered, "logged_date", "user_id", "nutrient_name")
 
 
@@ -48,14 +59,14 @@ def weekly_average_report(fct_mln: DataFrame | None, dim_nutrients: DataFrame, o
     """R2: average daily intake per ISO week (Monday start)."""
     d = daily_totals(fct_mln, daily).join(_names(dim_nutrients), "nutrient_id")
     out = d.groupBy("user_id", "nutrient_id", "nutrient_name", week_start("logged_date").alias("week_start")).agg(
-        avg_round2("daily_value_g").alias("weekly_avg_g")).select(
+        mean2(d, "daily_value_g").alias("weekly_avg_g")).select(
         "user_id", "nutrient_name", "week_start", "weekly_avg_g")
     return _sorted(out, ordered, "week_start", "user_id", "nutrient_name")
 
 
 def monthly_rollup(daily: DataFrame, keys: list[str]) -> DataFrame:
     return daily.groupBy(*keys, month_start("logged_date").alias("month_start")).agg(
-        avg_round2("daily_value_g").alias("monthly_avg_g"))
+        mean2(daily, "daily_value_g").alias("monthly_avg_g"))
 
 
 def monthly_mom_report(fct_mln: DataFrame | None, dim_nutrients: DataFrame, ordered: bool = True,
@@ -70,9 +81,11 @@ def monthly_mom_report(fct_mln: DataFrame | None, dim_nutrients: DataFrame, orde
     return _sorted(out, ordered, "user_id", "nutrient_name", "month_start")
 
 
-def rolling_average(value: str, partition: list[str], order: str, rows: int = 7) -> Column:
-    """Average over the last ``rows`` logged rows (ROWS frame, not calendar days)."""
+def rolling_average(value: str, partition: list[str], order: str, rows: int = 7, exact: bool = False) -> Column:
+    """Average over the last ``rows`` logged rows (ROWS frame, not calendar days); ``exact`` for a gram column."""
     w = Window.partitionBy(*partition).orderBy(order).rowsBetween(-(rows - 1), 0)
+    if exact:
+        return G.average2(G.running(value, w), F.count(F.when(G.known(value), 1)).over(w))
     return round_half_away(F.try_divide(F.sum(value).over(w).cast("double"),
                                         F.count(value).over(w).cast("double")), 2)
 
@@ -88,8 +101,8 @@ def rolling_report(fct_mln: DataFrame | None, dim_nutrients: DataFrame, dim_date
          .join(dd, "logged_date_id", "inner").withColumnRenamed("daily_value_g", "dv"))
     out = d.select(
         "user_id", "nutrient_name", "logged_date", "week_of_year", "month_name",
-        F.col("dv").cast("double").alias("daily_value_g"),
-        rolling_average("dv", ["user_id", "nutrient_id"], "logged_date").alias("rolling_7d_avg_g"))
+        as_double(d, "dv").alias("daily_value_g"),
+        rolling_average("dv", ["user_id", "nutrient_id"], "logged_date", exact=G.is_grams(d, "dv")).alias("rolling_7d_avg_g"))
     return _sorted(out, ordered, "user_id", "nutrient_name", "logged_date")
 
 
@@ -150,11 +163,10 @@ def daily_food_log_report(fct_meal_logs: DataFrame, dim_foods: DataFrame, dim_me
 def weekly_food_log_report(fct_meal_logs: DataFrame, dim_foods: DataFrame, dim_meals: DataFrame,
                            ordered: bool = True) -> DataFrame:
     """Per user, week, meal and food: times logged and average serving."""
-    j = food_log_join(fct_meal_logs, dim_foods, dim_meals)
+    j = food_log_join(fct_meal_logs, dim_foods, dim_meals).withColumn("serving", G.amount("grams"))
     out = j.groupBy("user_id", week_start("logged_date").alias("week_start"), "meal_name", "food_name").agg(
         F.count(F.lit(1)).alias("times_logged"),
-        round_half_away(F.try_divide(F.sum(F.col("grams").cast(GRAMS_TYPE)).cast("double"),
-                                     F.count("grams").cast("double")), 1).alias("avg_grams"))
+        round_half_away(F.try_divide(G.to_double(G.total("serving")), F.count("grams").cast("double")), 1).alias("avg_grams"))
     return _sorted(out, ordered, "user_id", "week_start", "meal_name", F.col("times_logged").desc())
 
 

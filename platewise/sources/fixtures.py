@@ -203,6 +203,21 @@ def items_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
             ))
 
 
+def items_odd_servings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``items_orders`` with servings that take more than plain numbers: eight more decimals where the order key % 7 = 0,
+    over 2 * 10^9 g where % 11 = 0, a thousandth of a millionth of a gram where % 13 = 0 (the first rule that fits)."""
+    k = F.col("l_orderkey")
+    li = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey", "l_linenumber", F.col("l_quantity").alias("q"))
+    o = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
+    d = F.to_date(F.col("o_orderdate"))
+    return li.join(o, li.l_orderkey == o.o_orderkey, "inner").select(
+        F.col("o_custkey").cast("long").alias("user_id"), (F.col("l_linenumber") % 3 + 1).cast("int").alias("meal_id"),
+        F.col("l_partkey").cast("long").alias("fdc_id"),
+        F.when(k % 7 == 0, F.col("q") + F.lit(0.12345678)).when(k % 11 == 0, F.lit(2e9) + F.col("q") + F.lit(0.5))
+        .when(k % 13 == 0, F.lit(1e-9)).otherwise(F.lit(80.0) + F.lit(3.0) * F.col("q")).alias("grams"),
+        d.alias("logged_date"), date_id(d).alias("logged_date_id"))
+
+
 def raw_meal_logs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Nested meal logs, one record per user and event time, from *all* events.
 
