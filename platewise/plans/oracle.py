@@ -232,11 +232,11 @@ cte("dim_date", f"""SELECT {_did('full_date')} AS date_id, full_date, CAST(year(
 FROM (SELECT CAST(d AS DATE) AS full_date FROM range(DATE '2019-01-01', DATE '2027-12-31', INTERVAL 1 DAY) t(d)) s""")
 
 # ---------------------------------------------------------------- raw logs
-cte("fx_logs_e", """SELECT CAST(user_id AS BIGINT) AS user_id, ts AS logged_at,
+cte("fx_logs_e", """SELECT CAST(user_id AS BIGINT) AS user_id, min(ts) AS logged_at,
   CAST(count(*) FILTER (WHERE event_type = 'view') AS INTEGER) AS nb,
   CAST(count(*) FILTER (WHERE event_type = 'click') AS INTEGER) AS nl,
-  CAST(count(*) FILTER (WHERE event_type = 'purchase') AS INTEGER) AS nd
-FROM events GROUP BY CAST(user_id AS BIGINT), ts""")
+  CAST(count(*) FILTER (WHERE event_type = 'purchase' OR (event_type NOT IN ('view', 'click') AND event_id % 5 = 0)) AS INTEGER) AS nd
+FROM events GROUP BY CAST(user_id AS BIGINT), CAST(ts AS DATE), event_id // 100000""")
 _LOGS = "SELECT user_id, logged_at, nb AS n_breakfast, nl AS n_lunch, nd AS n_dinner FROM fx_logs_e"
 ORACLE["b4_stg_meal_logs"] = build(_LOGS, "fx_logs_e")
 

@@ -159,6 +159,7 @@ def food_pages(spark: SparkSession, sf_dir: str, page_size: int = 200) -> DataFr
 
 
 # ---------------------------------------------------------------- meal items
+LOG_BLOCK = 100_000
 EVENT_MEALS = {"view": 1, "click": 2, "purchase": 3}
 
 
@@ -219,13 +220,15 @@ def items_odd_servings(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def raw_meal_logs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Nested meal logs, one record per user and event time, from *all* events.
-
-    breakfast/lunch/dinner come from view/click/purchase events; records with
-    only other events have no meal (caught by Q6). Empty breakfast lists are
-    stored as NULL, empty lunch/dinner lists as [] (both occur in the raw
-    feed). The grain (user_id, logged_at) holds what a user logs at one
-    instant, so no group grows with the feed, however busy a user is.
+    """Nested meal logs, one record per user and day, from *all* events.
+
+    breakfast/lunch/dinner come from view/click/purchase events, several items
+    a list; every fifth other event leaves an item without food and grams in
+    the dinner (dropped by C2), and records with only other events have no meal
+    (caught by Q6). Empty breakfast lists are stored as NULL, empty lunch and
+    dinner lists as [] (both occur in the raw feed). A record is logged at its
+    first event. A day of one user is split by blocks of ``LOG_BLOCK`` event
+    ids, so that no record grows with the feed, however busy a user is.
     """
     e = table(spark, sf_dir, "events")
     item = F.struct(
@@ -233,12 +236,13 @@ def raw_meal_logs(spark: SparkSession, sf_dir: str) -> DataFrame:
         (F.lit(80) + F.get_json_object("props", "$.k").cast("double")).alias("grams"),
     )
     meal = _event_meal_id()
+    blank = F.struct(F.lit(None).cast("long").alias("fdc_id"), F.lit(None).cast("double").alias("grams"))
 
-    def items(mid: int) -> Column:
-        return F.collect_list(F.when(meal == mid, item))
-
-    g = (e.groupBy(F.col("user_id").cast("long").alias("user_id"), F.col("ts").alias("logged_at"))
-         .agg(items(1).alias("b"), items(2).alias("l"), items(3).alias("d")))
+    g = (e.groupBy(F.col("user_id").cast("long").alias("user_id"), F.to_date("ts").alias("day"),
+                   F.floor(F.col("event_id") / LOG_BLOCK).alias("block"))
+         .agg(F.min("ts").alias("logged_at"), F.collect_list(F.when(meal == 1, item)).alias("b"),
+              F.collect_list(F.when(meal == 2, item)).alias("l"),
+              F.collect_list(F.when(meal == 3, item).when(meal.isNull() & (F.col("event_id") % 5 == 0), blank)).alias("d")))
     return g.select(
         "user_id",
         F.when(F.size("b") > 0, F.col("b")).cast(schemas.MEAL_ITEMS).alias("breakfast"),
