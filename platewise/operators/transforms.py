@@ -12,8 +12,8 @@ Shape of the plans (checked with ``explain``):
   C7 and C8 work on those wide rows up to their last step: the user join, the
   anchor window and the trailing averages see one row per user-day.
 * C5 picks the latest weight with ``max_by`` (a partial aggregate, safe for a
-  user with a huge number of weigh-ins) and joins the 4-row BMI band seed by
-  broadcast nested loop.
+  user with a huge number of weigh-ins) and joins the BMI bands by an
+  equi-join on bins (``bands.band_join``), however many there are.
 * C8 gets each user's anchor date from a window over the already aggregated
   daily rows (at most 31 days per user), avoiding a self-join.
 
@@ -31,6 +31,7 @@ from .. import schemas
 from ..functions import AMOUNT_TYPE, avg_round2, date_id, round_exact, round_half_away, threshold_flag
 from ..functions import grams as G
 from ..sources import seeds
+from .bands import band_join
 
 NUTRIENTS = seeds.NUTRIENT_VALUE_COLUMNS
 
@@ -205,8 +206,8 @@ def users_with_bmi(stg_users: DataFrame, stg_weights: DataFrame,
         bmi("weight_kg", "height_cm").alias("bmi"),
         date_id(F.to_date("registered_at")).alias("registered_date_id"),
     )
-    band = seeds.lookup(cats.select("min_bmi", "max_bmi", F.col("category").alias("bmi_category")))
-    return calc.join(band, (calc.bmi >= band.min_bmi) & (calc.bmi < band.max_bmi), "inner").select(
+    bands = cats.select("min_bmi", "max_bmi", F.col("category").alias("bmi_category"))
+    return band_join(calc, "bmi", bands, "min_bmi", "max_bmi").select(
         "user_id", "country", "birth_date", "weight_kg", "height_cm", "bmi",
         "registered_date_id", "bmi_category")
 

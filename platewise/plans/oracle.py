@@ -213,6 +213,13 @@ ORACLE["c4_daily_intake"] = build(
     "SELECT user_id, nutrient_id, logged_date, logged_date_id, CAST(daily_value_g AS DOUBLE) AS daily_value_g "
     "FROM fx_daily_o", "fx_daily_o")
 ORACLE["c5_user_bmi"] = build("SELECT * FROM fx_users_bmi", "fx_users_bmi")
+ORACLE["j3_weight_bands"] = build("""SELECT b.band_id, count(*) AS weigh_ins, min(w.weight_kg) AS min_kg, max(w.weight_kg) AS max_kg
+FROM fx_weights w JOIN (SELECT p_partkey AS band_id,
+    CASE WHEN p_partkey % 700 = 1 THEN 122.0::DOUBLE ELSE 45.0::DOUBLE + ((p_partkey * 7919) % 80000) / 1000.0::DOUBLE END AS low_kg,
+    CASE WHEN p_partkey % 700 <> 1 THEN 45.0::DOUBLE + ((p_partkey * 7919) % 80000) / 1000.0::DOUBLE
+      + CASE WHEN p_partkey % 500 = 0 THEN 5.0::DOUBLE ELSE (p_partkey % 50) / 1000.0::DOUBLE END END AS high_kg FROM part) b
+  ON w.weight_kg >= b.low_kg AND (b.high_kg IS NULL OR w.weight_kg < b.high_kg)
+GROUP BY b.band_id""", "fx_weights")
 ORACLE["c6_bmi_history"] = build("SELECT * FROM fx_bmi_hist", "fx_bmi_hist")
 ORACLE["c7_segments"] = build("SELECT * FROM fx_seg_e", "fx_seg_e")
 ORACLE["c8_windowed"] = build("SELECT * FROM fx_win_e", "fx_win_e")

@@ -204,6 +204,16 @@ def items_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
             ))
 
 
+def weight_bands(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One weight band per part: from 45 to 125 kg, up to 49 g wide (some empty); 5 kg where the key % 500 = 0, open above
+    122 kg where % 700 = 1."""
+    k = F.col("p_partkey")
+    low = F.lit(45.0) + ((k * 7919) % 80000) / F.lit(1000.0)
+    return table(spark, sf_dir, "part").select(
+        k.alias("band_id"), F.when(k % 700 == 1, F.lit(122.0)).otherwise(low).alias("low_kg"),
+        F.when(k % 700 != 1, low + F.when(k % 500 == 0, F.lit(5.0)).otherwise((k % 50) / F.lit(1000.0))).alias("high_kg"))
+
+
 def items_odd_servings(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``items_orders`` with servings that take more than plain numbers: eight more decimals where the order key % 7 = 0,
     over 2 * 10^9 g where % 11 = 0, a thousandth of a millionth of a gram where % 13 = 0 (the first rule that fits)."""
