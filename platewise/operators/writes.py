@@ -9,9 +9,11 @@ table (*static* mode, whatever the session's default), so no stale partition
 stays behind; merges use *dynamic* overwrite, so only the touched partitions
 are replaced. Each step is a plain Spark write, so lost executors are handled
 by task retry, and the staged folder cuts the lineage of long incremental
-chains. The staged copy is removed after a good write. Plain parquet folders
-have no atomic swap: if the final copy itself fails, the staged copy (kept
-under ``<table>__staging/``) is the complete new version to copy back.
+chains. The staged copy is removed after a good write; if the final copy itself
+fails, the staged copy (kept under ``<table>__staging/``) is the complete new
+version to copy back. Tables that are replaced whole, and the open rows of
+snapshots, are versions with a pointer instead (``operators.versions``): their
+replacement is atomic.
 """
 
 from __future__ import annotations
@@ -23,8 +25,10 @@ from contextlib import contextmanager
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
-from ..session import remove_path
+from ..session import remove_path, scratch_dir
+from . import versions as V
 
 
 # ------------------------------------------------------------------ helpers
@@ -202,7 +206,7 @@ def replace_partitions(batch: DataFrame, path: str, partition_by: list[str],
 SCD_COLS = ["dbt_scd_id", "dbt_updated_at", "dbt_valid_from", "dbt_valid_to"]
 
 
-# The physical partition of a snapshot row: "open", or the run that closed it.
+# The physical partition of a closed snapshot row: the run that closed it.
 SCD_PART, OPEN = "dbt_closed_run", "open"
 
 
@@ -221,60 +225,96 @@ def snapshot_key(*cols: Column) -> Column:
     return F.md5(F.concat_ws("|", *[F.coalesce(c.cast("string"), F.lit("")) for c in cols]))
 
 
-def snapshot_changes(current: DataFrame, source: DataFrame, unique_key: str, check_cols: list[str],
-                     run_ts: Column) -> DataFrame:
-    """I4 core: what one check run makes of the open rows.
-
-    Open rows whose check columns differ (NULL-safe) from the source are
-    closed at ``run_ts`` and a new open version is added; new keys are added;
-    keys missing from the source stay open (hard deletes are ignored).
-    """
-    src_cols = source.columns
-    s = source.select(*[F.col(c).alias(f"_s_{c}") for c in src_cols])
-    j = current.join(s, current[unique_key] == s[f"_s_{unique_key}"], "full_outer")
-    in_cur, in_src = F.col(unique_key).isNotNull(), F.col(f"_s_{unique_key}").isNotNull()
+def snapshot_joined(current: DataFrame, source: DataFrame, unique_key: str, check_cols: list[str]) -> DataFrame:
+    """I4 core: open rows beside the source's row of their key (``_s_`` columns, full outer join), with ``_here`` (there is
+    an open row) and ``_new`` (it has no successor in the source that differs in a check column, NULL-safe)."""
+    s = source.select(*[F.col(c).alias(f"_s_{c}") for c in source.columns], F.lit(True).alias("_there"))
+    j = current.withColumn("_here", F.lit(True)).join(s, current[unique_key] == s[f"_s_{unique_key}"], "full_outer")
     changed = F.lit(False)
     for c in check_cols:
         changed = changed | ~F.col(c).eqNullSafe(F.col(f"_s_{c}"))
-    j = j.withColumn("_changed", in_cur & in_src & changed)
-    kept_current = j.where(in_cur).select(
-        *src_cols, "dbt_scd_id", "dbt_updated_at", "dbt_valid_from",
-        F.when(F.col("_changed"), run_ts).otherwise(F.col("dbt_valid_to")).alias("dbt_valid_to"))
-    inserts = j.where((~in_cur) | F.col("_changed")).select(*[F.col(f"_s_{c}").alias(c) for c in src_cols])
-    return kept_current.unionByName(_scd_new(inserts, unique_key, run_ts))
+    here = F.coalesce("_here", F.lit(False))
+    return j.withColumn("_here", here).withColumn("_changed", here & F.coalesce("_there", F.lit(False)) & changed)
+
+
+def snapshot_rows(joined: DataFrame, columns: list[str], unique_key: str, run_ts: Column) -> tuple[DataFrame, DataFrame]:
+    """(open rows, rows closed by this run): open rows whose check columns differ are closed at ``run_ts`` and a new open
+    version takes their place; new keys are added; keys missing from the source stay open (hard deletes are ignored)."""
+    stays = F.col("_here") & ~F.col("_changed")
+    fresh = {"dbt_scd_id": snapshot_key(F.col(f"_s_{unique_key}"), run_ts), "dbt_updated_at": run_ts, "dbt_valid_from": run_ts,
+             "dbt_valid_to": F.lit(None).cast("timestamp_ntz")}
+    opened = joined.select(*[F.when(stays, F.col(c)).otherwise(F.col(f"_s_{c}")).alias(c) for c in columns],
+                           *[F.when(stays, F.col(c)).otherwise(v).alias(c) for c, v in fresh.items()])
+    closed = joined.where("_changed").select(*columns, "dbt_scd_id", "dbt_updated_at", "dbt_valid_from", run_ts.alias("dbt_valid_to"))
+    return opened, closed
 
 
 def snapshot_check(source: DataFrame, path: str, unique_key: str, check_cols: list[str],
                    run_ts: str | Column) -> None:
     """I4: SCD2 'check' snapshot of ``source`` into ``path`` at ``run_ts``.
 
-    First run: every row open from ``run_ts``. Later runs: see
-    ``snapshot_changes``. Open rows live in one partition and the rows that a
-    run closed in another, so a run reads and rewrites the open rows only and
-    adds its closed ones; earlier history stays in place. A run that is
-    repeated after a failure writes the same two partitions again. The source
-    must have one row per key: repeated keys are refused.
+    First run: every row open from ``run_ts``. Later runs: see ``snapshot_rows``. The open rows are a version
+    (``operators.versions``) bucketed by key; the source is computed once, into the same buckets, so that neither the
+    test for repeated keys (refused) nor the join with the open rows moves a row of either. The rows that a run closes
+    go to a partition of their own; the pointer to the new open rows, written last, names the run, and readers leave out
+    closed rows of later ones: a run that ends early changes nothing, and is repeated as if it had not been.
     """
     spark = source.sparkSession
     ts = F.lit(run_ts).cast("timestamp_ntz") if isinstance(run_ts, str) else run_ts
-    twice = source.groupBy(unique_key).agg(F.count(F.lit(1)).alias("n")).where("n > 1")
-    if not twice.isEmpty():
-        raise ValueError(f"several source rows of one {unique_key}: a snapshot needs one row per key")
-    if not table_exists(spark, path):
-        first = _scd_new(source, unique_key, ts).withColumn(SCD_PART, F.lit(OPEN))
-        replace_table(first, path, [SCD_PART])
-        return
-    current = spark.read.parquet(path).where(F.col(SCD_PART) == OPEN).drop(SCD_PART)
-    run = F.date_format(ts, "yyyyMMddHHmmssSSSSSS")
-    new = snapshot_changes(current, source, unique_key, check_cols, ts).withColumn(
-        SCD_PART, F.when(F.col("dbt_valid_to").isNull(), OPEN).otherwise(run))
-    with staged(new, path, [SCD_PART]) as rows:
-        _swap_partitions(rows, path, [SCD_PART])
+    run = spark.range(1).select(F.date_format(ts, "yyyyMMddHHmmssSSSSSS")).first()[0]
+    last = V.current(spark, path)
+    buckets = int(last.note.split("x")[1]) if last else int(spark.conf.get("spark.sql.shuffle.partitions"))
+    loaded = scratch_dir(spark, "snapshot-source")
+    write_buckets(source.repartition(buckets, unique_key), loaded, unique_key, buckets)
+    with bucket_table(spark, loaded, source.schema, unique_key, buckets) as src:
+        if not src.groupBy(unique_key).agg(F.count(F.lit(1)).alias("n")).where("n > 1").isEmpty():
+            raise ValueError(f"several source rows of one {unique_key}: a snapshot needs one row per key")
+        version = V.planned(spark, path, f"{run}x{buckets}")
+        if last is None:
+            write_buckets(_scd_new(src, unique_key, ts), V.folder_of(path, version), unique_key, buckets)
+        else:
+            folder = V.folder_of(path, last)
+            with bucket_table(spark, folder, spark.read.parquet(folder).schema, unique_key, buckets) as current:
+                joined = snapshot_joined(current, src, unique_key, check_cols)
+                opened, closed = snapshot_rows(joined, source.columns, unique_key, ts)
+                # rows left by a run that ended early are written over; those of a finished one are kept
+                mode = "append" if last.note.split("x")[0] == run else "overwrite"
+                if not closed.isEmpty():
+                    closed.write.mode(mode).parquet(f"{path.rstrip('/')}/{SCD_PART}={run}")
+                write_buckets(opened, V.folder_of(path, version), unique_key, buckets)
+        V.point_to(spark, path, version)
+    remove_path(spark, loaded)
+
+
+def write_buckets(df: DataFrame, folder: str, key: str, buckets: int) -> None:
+    """Write a frame that is dealt by the hash of ``key`` to ``buckets`` files."""
+    name = f"platewise_{uuid.uuid4().hex}"
+    df.write.format("parquet").bucketBy(buckets, key).sortBy(key).option("path", folder).saveAsTable(name)
+    df.sparkSession.sql(f"DROP TABLE {name}")  # the files of a table with a path stay
+
+
+@contextmanager
+def bucket_table(spark: SparkSession, folder: str, schema: StructType, key: str, buckets: int) -> Iterator[DataFrame]:
+    """A folder of buckets as a table whose layout the planner knows, until the block ends."""
+    name = f"platewise_{uuid.uuid4().hex}"
+    columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
+    spark.sql(f"CREATE TABLE {name} ({columns}) USING parquet CLUSTERED BY ({key}) SORTED BY ({key}) INTO {buckets} BUCKETS "
+              f"LOCATION '{folder}'")
+    try:
+        yield spark.table(name)
+    finally:
+        spark.sql(f"DROP TABLE {name}")
 
 
 def read_snapshot(spark: SparkSession, path: str) -> DataFrame:
-    """All versions, without the physical partition column."""
-    return spark.read.parquet(path).drop(SCD_PART)
+    """All versions of all keys: the open rows of the last finished run and what runs up to it closed."""
+    last = V.current(spark, path)
+    opened = spark.read.parquet(V.folder_of(path, last))
+    if not table_exists(spark, path):
+        return opened
+    columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in opened.schema.fields)
+    closed = spark.read.schema(f"{columns}, {SCD_PART} string").parquet(path).where(F.col(SCD_PART) <= last.note.split("x")[0])
+    return opened.unionByName(closed.drop(SCD_PART))
 
 
 def as_of(snapshot: DataFrame, t: str | Column) -> DataFrame:

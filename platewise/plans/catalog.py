@@ -21,6 +21,7 @@ from ..operators.bands import band_join
 from ..operators import quality as Q
 from ..operators import staging as S
 from ..operators import transforms as T
+from ..operators import versions as V
 from ..operators import writes as W
 from ..session import scratch_dir
 from ..sources import fixtures, seeds
@@ -428,9 +429,9 @@ def i3_full_refresh(spark, sf):
     w = events_wh(spark, sf)
     items = w.fct_meal_logs
     path = scratch_dir(spark, "i3") + "/fct_meal_logs"
-    W.replace_table(items, path, ["logged_date"])
-    W.replace_table(items.where(F.col("logged_date") >= _day(w, 14)), path, ["logged_date"])
-    return _fact(spark.read.parquet(path))
+    V.publish(items, path, ["logged_date"])
+    V.publish(items.where(F.col("logged_date") >= _day(w, 14)), path, ["logged_date"])
+    return _fact(V.read(spark, path))
 
 
 def _snapshot(spark, sf) -> str:
@@ -587,7 +588,7 @@ def c8_accumulated(spark, sf):
     daily = events_wh(spark, sf, raw_meal_logs=full.raw_meal_logs.where(F.to_date("logged_at") == last),
                       feed_dates=full.feed_dates.where(F.col("day") == last))
     build_marts(daily, root, "2024-01-31 07:00:00", select=marts)
-    return spark.read.parquet(f"{root}/fct_user_segments_windowed")
+    return V.read(spark, f"{root}/fct_user_segments_windowed")
 
 
 @query("q9_mart_tests")

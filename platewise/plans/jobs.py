@@ -1,7 +1,7 @@
 """The daily build as a Spark job: materialise the star schema under a root folder.
 
 What the warehouse's daily build does, as plain writes (no scheduler): the
-dimensions are rebuilt (full refresh), the four facts are appended above their
+dimensions are rebuilt (full refresh, swapped by a pointer), the four facts are appended above their
 high-water marks (A9/I1), then the windowed snapshot is rebuilt from the
 nutrient fact on disk, and the food dimension is snapshotted (SCD2, I4). The
 lowest high-water mark of the facts is applied to the raw logs before anything
@@ -19,6 +19,7 @@ from dataclasses import replace
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..operators import versions as V
 from ..operators import writes as W
 from ..operators.transforms import NUTRIENTS
 from .build import Warehouse
@@ -87,7 +88,7 @@ def build_marts(w: Warehouse, root: str, run_ts: str, full_refresh: bool = False
     for name in [*[m for m in chosen if m in DIMENSIONS], *[m for m in chosen if m in FACTS]]:
         source = getattr(new if name in logs else w, name)
         if name in DIMENSIONS:
-            W.replace_table(source, paths[name])
+            V.publish(source, paths[name])
             continue
         column, parts = FACTS[name]
         if reprocess_dates:
@@ -101,7 +102,7 @@ def build_marts(w: Warehouse, root: str, run_ts: str, full_refresh: bool = False
         fact = f"{root}/fct_meal_log_nutrients"
         over = replace(w, nutrient_fact=spark.read.parquet(fact)) if W.table_exists(spark, fact) else w
         over.__dict__["users_bmi"] = w.users_bmi
-        W.replace_table(getattr(over, name), paths[name])
+        V.publish(getattr(over, name), paths[name])
     if "dim_foods_snapshot" in chosen:
         newest = w if w.latest_food_load else replace(w, latest_food_load=True)  # one row per food
         W.snapshot_check(newest.dim_foods, paths["dim_foods_snapshot"], "fdc_id", NUTRIENTS, run_ts)
@@ -111,7 +112,7 @@ def build_marts(w: Warehouse, root: str, run_ts: str, full_refresh: bool = False
 def read_marts(spark: SparkSession, root: str) -> dict[str, DataFrame]:
     """The persisted marts as DataFrames (partition columns restored)."""
     root = root.rstrip("/")
-    names = [n for n in list(FACTS) + DIMENSIONS + REBUILT if W.table_exists(spark, f"{root}/{n}")]
-    found = {n: spark.read.parquet(f"{root}/{n}") for n in names}
+    found = {n: spark.read.parquet(f"{root}/{n}") for n in FACTS if W.table_exists(spark, f"{root}/{n}")}
+    found |= {n: V.read(spark, f"{root}/{n}") for n in DIMENSIONS + REBUILT if V.current(spark, f"{root}/{n}")}
     snapshot = f"{root}/dim_foods_snapshot"
-    return {**found, "dim_foods_snapshot": W.read_snapshot(spark, snapshot)} if W.table_exists(spark, snapshot) else found
+    return {**found, "dim_foods_snapshot": W.read_snapshot(spark, snapshot)} if V.current(spark, snapshot) else found
