@@ -409,6 +409,27 @@ def i1_high_water(spark, sf):
     return _fact(spark.read.parquet(path))
 
 
+@query("i1_late_days")
+def i1_late_days(spark, sf):
+    """fct_meal_logs kept up to date by day sums: a first load with wrong and missing records, then newer days, late
+    records and the corrected first load. Equals a full refresh."""
+    from ..operators import late as L
+    from .jobs import build_changed_days
+    root = scratch_dir(spark, "i1-late")
+    w = events_wh(spark, sf)
+    day, logs = F.to_date("logged_at"), w.raw_meal_logs
+    late = (F.col("user_id") % 17 == 0) & (F.dayofmonth("logged_at") % 3 == 0)
+    first = logs.where((day <= _day(w, 14)) & ~late)
+    wrong = (F.col("user_id") % 50 == 3) & (F.dayofmonth("logged_at") % 5 == 0)
+    L.land_load(first.withColumn("lunch", F.when(~wrong, F.col("lunch"))), f"{root}/raw", "1")
+    build_changed_days(w, f"{root}/raw", f"{root}/marts", "2024-01-15 06:00:00", select=["fct_meal_logs"])
+    L.land_load(logs.where((day > _day(w, 14)) & ~late), f"{root}/raw", "2")
+    L.land_load(logs.where(late), f"{root}/raw", "3")
+    L.land_load(first, f"{root}/raw", "1")
+    build_changed_days(w, f"{root}/raw", f"{root}/marts", "2024-01-31 06:00:00", select=["fct_meal_logs"])
+    return _fact(spark.read.parquet(f"{root}/marts/fct_meal_logs"))
+
+
 @query("i2_replace")
 def i2_replace(spark, sf):
     """Reprocess mode: a corrected batch from the 11th day on replaces matching

@@ -7,7 +7,8 @@ nutrient fact on disk, and the food dimension is snapshotted (SCD2, I4). The
 lowest high-water mark of the facts is applied to the raw logs before anything
 else is computed, so a daily run computes the new days only. Facts are
 partitioned by their date, so reports reading the persisted marts prune
-partitions, and high-water marks are partition-column maxima. Every step is an
+partitions, and high-water marks are partition-column maxima. ``build_changed_days`` is the other mode: it finds late
+and corrected days by their sums and rebuilds those only. Every step is an
 ordinary Spark write to the shared root: a lost executor only re-runs tasks,
 and a re-run of the whole job skips what the high-water marks already hold.
 """
@@ -19,6 +20,7 @@ from dataclasses import replace
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..operators import late as L
 from ..operators import versions as V
 from ..operators import writes as W
 from ..operators.transforms import NUTRIENTS
@@ -109,6 +111,23 @@ def build_marts(w: Warehouse, root: str, run_ts: str, full_refresh: bool = False
     return paths
 
 
+def build_changed_days(w: Warehouse, logs_root: str, root: str, run_ts: str, select: list[str] | None = None) -> list[str]:
+    """Bring the facts of the meal logs up to date with all loads under ``logs_root``, late rows and corrections included.
+
+    Only the days whose sums differ from those that the facts were last built from are read and replaced
+    (``operators.late``); returns them. ``w`` gives the other inputs."""
+    spark, root = w.spark, root.rstrip("/")
+    facts = [m for m in FROM_LOGS if select is None or m in select]
+    kept = f"{root}/days_of_{'_'.join(facts)}"
+    sums = L.raw_sums(spark, logs_root)
+    days = L.changed_days(sums, L.kept_sums(spark, kept))
+    if days:
+        changed = replace(w, raw_meal_logs=L.read_logs(spark, logs_root, days), items_override=None)
+        build_marts(changed, root, run_ts, select=facts, reprocess_dates=days)
+        V.publish(sums, kept)
+    return days
+
+
 def read_marts(spark: SparkSession, root: str) -> dict[str, DataFrame]:
     """The persisted marts as DataFrames (partition columns restored)."""
     root = root.rstrip("/")

@@ -398,6 +398,7 @@ GROUP BY user_id, meal_id, fdc_id, logged_date HAVING count(*) > 1""", "fx_items
 cte("fx_feed0_e", "SELECT min(CAST(ts AS DATE)) AS d0 FROM events")
 cte("fx_b1_e", """SELECT * FROM fx_items_e WHERE logged_date <= (SELECT d0 FROM fx_feed0_e) + INTERVAL 14 DAY""",
     ["fx_items_e", "fx_feed0_e"])
+ORACLE["i1_late_days"] = ORACLE["c2_meal_unpivot"]
 ORACLE["i1_high_water"] = build("""SELECT * FROM fx_b1_e UNION ALL
 SELECT * FROM fx_items_e WHERE logged_date >= (SELECT d0 FROM fx_feed0_e) + INTERVAL 10 DAY
   AND logged_date > (SELECT max(logged_date) FROM fx_b1_e)""", "fx_b1_e", "fx_items_e", "fx_feed0_e")
