@@ -83,7 +83,8 @@ def land_food_pages(pages: DataFrame, loaded_at: Column | str | None = None,
     """A1: API pages (a JSON array of food objects per row) -> raw_foods rows.
 
     Each object is kept as received (JSON text); ``fdc_id`` is read from it;
-    ``loaded_at`` defaults to the load time.
+    ``loaded_at`` defaults to the load time. Pages that are no arrays give no
+    rows here; ``landing.load_food_pages`` keeps them in a quarantine.
     """
     ts = F.current_timestamp() if loaded_at is None else (
         F.to_timestamp(F.lit(loaded_at)) if isinstance(loaded_at, str) else loaded_at)
@@ -93,8 +94,8 @@ def land_food_pages(pages: DataFrame, loaded_at: Column | str | None = None,
 
 
 def read_food_pages(spark: SparkSession, path: str) -> DataFrame:
-    """A1 source: one landed page file per row (whole-file text)."""
-    return spark.read.option("wholetext", True).text(path).withColumnRenamed("value", "payload")
+    """A1 source: one landed page file per row (whole-file text), with the file's path."""
+    return spark.read.text(path, wholetext=True).select(F.col("value").alias("payload"), F.col("_metadata.file_path").alias("file"))
 
 
 def append_table(df: DataFrame, path: str, partition_by: list[str] | None = None) -> None:

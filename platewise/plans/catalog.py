@@ -543,6 +543,18 @@ def a1_land_foods(spark, sf):
         F.json_array_length(F.get_json_object(j, "$.foodNutrients")).alias("n_nutrients"))
 
 
+@query("a1_quarantine")
+def a1_quarantine(spark, sf):
+    """Faulty pages landed: rows per page in the raw table (no reason) and in the quarantine, by reason."""
+    from ..operators import landing as L
+    root = scratch_dir(spark, "a1")
+    L.load_food_pages(fixtures.faulty_pages(spark, sf), f"{root}/raw_foods", f"{root}/quarantine", fixtures.DEFAULT_LOADED_AT + "+00:00")
+    page = F.concat(F.lit("page-"), F.floor(F.col("fdc_id") / 200).cast("string")).alias("file")
+    good = spark.read.parquet(f"{root}/raw_foods").select(page, F.lit(None).cast("string").alias("reason"))
+    bad = spark.read.parquet(f"{root}/quarantine").select("file", "reason")
+    return good.unionByName(bad).groupBy("file", "reason").agg(F.count(F.lit(1)).alias("n"))
+
+
 # --------------------------------------------------------------- streaming
 @query("x1_stream_daily")
 def x1_stream_daily(spark, sf):

@@ -443,6 +443,13 @@ ORACLE["a1_land_foods"] = build("""SELECT CAST(p_partkey AS BIGINT) AS fdc_id, T
   CASE WHEN p_partkey % 89 = 0 THEN NULL ELSE p_name || ' #' || CAST(p_partkey AS VARCHAR) END AS description,
   CAST(n_nutrients AS INTEGER) AS n_nutrients FROM fx_documents""", "fx_documents")
 
+ORACLE["a1_quarantine"] = build("""SELECT file, reason, count(*) AS n FROM (
+  SELECT 'page-' || CAST(p_partkey // 200 AS VARCHAR) AS file, CASE WHEN p_partkey % 151 = 0 THEN 'fdcId is missing or not a whole number'
+    WHEN p_partkey % 163 = 0 THEN 'publicationDate is not a date' WHEN p_partkey % 167 = 0 THEN 'foodNutrients is not a list'
+    WHEN p_partkey % 173 = 0 THEN 'the document is not a JSON object' END AS reason
+  FROM fx_documents WHERE (p_partkey // 200) % 5 <> 3
+  UNION ALL SELECT DISTINCT 'page-' || CAST(p_partkey // 200 AS VARCHAR), 'the page is not a JSON array'
+  FROM fx_documents WHERE (p_partkey // 200) % 5 = 3) d GROUP BY file, reason""", "fx_documents")
 ORACLE["x1_stream_daily"] = build("""SELECT user_id, nutrient_id, logged_date, logged_date_id, CAST(sum(v) AS DOUBLE) AS daily_value_g
 FROM (""" + "\n  UNION ALL ".join(
     f"SELECT user_id, logged_date, logged_date_id, {k + 1} AS nutrient_id, {n} AS v FROM fx_scaled_e"

@@ -159,6 +159,21 @@ def food_pages(spark: SparkSession, sf_dir: str, page_size: int = 200) -> DataFr
 
 
 # ---------------------------------------------------------------- meal items
+def faulty_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``food_pages`` with faults: pages with number % 5 = 3 are cut short; documents have a wrong fdcId (key % 151 = 0), date
+    (% 163 = 0) or nutrient list (% 167 = 0), or are text instead of an object (% 173 = 0); the first rule counts."""
+    docs = raw_foods(spark, sf_dir).select("fdc_id", "raw_json")
+    k, j = F.col("fdc_id"), F.col("raw_json")
+    doc = (F.when(k % 151 == 0, F.regexp_replace(j, '"fdcId":', '"fdcId":"x",  "was":'))
+           .when(k % 163 == 0, F.regexp_replace(j, '"publicationDate":"[0-9]{4}', '"publicationDate":"20x4'))
+           .when(k % 167 == 0, F.regexp_replace(j, '"foodNutrients":', '"foodNutrients":"none","were":'))
+           .when(k % 173 == 0, F.lit('"no document"')).otherwise(j))
+    page = (docs.select(F.floor(k / 200).alias("page_no"), doc.alias("raw_json")).groupBy("page_no")
+            .agg(F.concat(F.lit("["), F.array_join(F.collect_list("raw_json"), ","), F.lit("]")).alias("payload")))
+    cut = F.when(F.col("page_no") % 5 == 3, F.expr("left(payload, length(payload) - 9)")).otherwise(F.col("payload"))
+    return page.select(F.concat(F.lit("page-"), F.col("page_no").cast("string")).alias("file"), cut.alias("payload"))
+
+
 LOG_BLOCK = 100_000
 EVENT_MEALS = {"view": 1, "click": 2, "purchase": 3}
 
