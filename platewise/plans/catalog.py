@@ -577,6 +577,23 @@ def x1_stream_daily(spark, sf):
     return M.as_double(read_daily(spark, f"{root}/daily"))
 
 
+@query("x1_stateful_daily")
+def x1_stateful_daily(spark, sf):
+    """As x1_stream_daily, with state: a watermark of two days, the oldest days late, the stream restarted twice."""
+    from ..streaming.stateful_stream import read_daily, run_daily_intake
+    root = scratch_dir(spark, "x1-state")
+    w = events_wh(spark, sf)
+    w.dim_foods.write.parquet(f"{root}/foods")
+    foods, day = spark.read.parquet(f"{root}/foods"), F.to_date("logged_at")
+    for lo, hi in ((8, 17), (18, None), (None, 7)):
+        part = w.raw_meal_logs
+        part = part if lo is None else part.where(day >= _day(w, lo))
+        part = part if hi is None else part.where(day <= _day(w, hi))
+        part.coalesce(1).write.mode("append").parquet(f"{root}/landing")
+        run_daily_intake(spark, f"{root}/landing", foods, f"{root}/daily", f"{root}/_checkpoint", max_files_per_trigger=1)
+    return M.as_double(read_daily(spark, f"{root}/daily"))
+
+
 @query("a6_food_ids")
 def a6_food_ids(spark, sf):
     """Valid food keys of the raw table after two monthly loads."""

@@ -456,6 +456,7 @@ FROM (""" + "\n  UNION ALL ".join(
     for k, n in enumerate(NUTS)) + """) lf
 GROUP BY user_id, nutrient_id, logged_date, logged_date_id""", "fx_scaled_e")
 
+ORACLE["x1_stateful_daily"] = ORACLE["x1_stream_daily"]
 ORACLE["a6_food_ids"] = "SELECT DISTINCT CAST(p_partkey AS BIGINT) AS fdc_id FROM part"
 ORACLE["a9_incremental_segments"] = ORACLE["c7_segments"]
 ORACLE["c8_accumulated"] = ORACLE["c8_windowed"]
