@@ -220,6 +220,18 @@ def r10_bmi(spark, sf):
     return R.bmi_evolution_report(w.fct_bmi_evolution, w.dim_date)
 
 
+@query("t1_order")
+def t1_order(spark, sf):
+    """Every logged item with its place in the food log's order: newest day first, then meal, food name (unknown foods
+    last), largest serving first, user; ties by item."""
+    from ..operators.ordering import with_position
+    w = events_wh(spark, sf)
+    foods = w.dim_foods.select("fdc_id", F.when(F.col("description") != "Unknown", F.col("description")).alias("food_name"))
+    log = w.fct_meal_logs.join(foods, "fdc_id", "left").select("user_id", "logged_date", "meal_id", "fdc_id", "food_name", "grams")
+    return with_position(log, F.col("logged_date").desc(), F.col("meal_id"), F.col("food_name").asc_nulls_last(),
+                         F.col("grams").desc(), F.col("user_id"), F.col("fdc_id"))
+
+
 # --------------------------------------------------------------- dashboard
 @query("d1_max_date")
 def d1_max_date(spark, sf):

@@ -312,6 +312,10 @@ FROM fx_foodlog_o GROUP BY user_id, date_trunc('week', logged_date), meal_name,
 ORACLE["r10_bmi"] = build("""SELECT b.user_id, d.full_date AS recorded_date, b.weight_kg, b.height_cm, b.bmi
 FROM fx_bmi_hist b JOIN dim_date d ON b.recorded_date_id = d.date_id""", "fx_bmi_hist", "dim_date")
 
+ORACLE["t1_order"] = build("""SELECT *, row_number() OVER (ORDER BY logged_date DESC, meal_id, food_name NULLS LAST,
+    grams DESC, user_id, fdc_id) AS position
+FROM (SELECT i.user_id, i.logged_date, i.meal_id, i.fdc_id, nullif(f.description, 'Unknown') AS food_name, i.grams
+  FROM fx_items_e i LEFT JOIN fx_foods f ON i.fdc_id = f.fdc_id) x""", "fx_items_e", "fx_foods")
 ORACLE["d1_max_date"] = build("SELECT max(logged_date) AS max_date FROM fx_items_o", "fx_items_o")
 ORACLE["d2_users"] = build("SELECT user_id FROM fx_users_bmi", "fx_users_bmi")
 ORACLE["d3_overview"] = build("""SELECT u.user_id, u.country, u.birth_date, u.weight_kg, u.height_cm, u.bmi, u.bmi_category,
