@@ -353,6 +353,23 @@ def q2_unique(spark, sf):
     return Q.unique(S.stg_foods(_two_loads(spark, sf)), "fdc_id")
 
 
+@query("q2_new_duplicates")
+def q2_new_duplicates(spark, sf):
+    """Order lines stored by month; a new load brings new lines and, of two old months, some again: found by the filters."""
+    from ..operators import key_filters as K
+    root = scratch_dir(spark, "q2")
+    li = fixtures.table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber")
+    o = fixtures.table(spark, sf, "orders").select("o_orderkey", F.date_format("o_orderdate", "yyyy-MM").alias("month"))
+    lines = li.join(o, li.l_orderkey == o.o_orderkey).select((F.col("l_orderkey") * 8 + F.col("l_linenumber")).alias("line_id"), "month")
+    lines.hint("rebalance", "month").write.partitionBy("month").parquet(f"{root}/lines")
+    stored = spark.read.schema("line_id long, month string").parquet(f"{root}/lines")
+    K.write_filters(stored, f"{root}/filters", "month", "line_id")
+    again = stored.where(F.col("month").isin("1996-03", "1998-11") & (F.col("line_id") % 3 == 0))
+    load = again.unionByName(stored.withColumn("line_id", -F.col("line_id") - 1))
+    found = K.stored_duplicates(spark, load, f"{root}/lines", f"{root}/filters", "month", "line_id")
+    return found.select(F.col("key").alias("line_id"), F.col("part").cast("string").alias("month"), "stored")
+
+
 @query("q3_accepted_values")
 def q3_accepted_values(spark, sf):
     """The declared accepted_values test on the staged users' country (values from the data;

@@ -375,6 +375,11 @@ UNION ALL SELECT 'lunch', CAST(0 AS BIGINT) UNION ALL SELECT 'dinner', CAST(0 AS
 UNION ALL SELECT 'logged_at', count(*) FILTER (WHERE logged_at IS NULL) FROM fx_logs_e""", "fx_logs_e")
 ORACLE["q2_unique"] = f"""SELECT * FROM (SELECT CAST(p_partkey AS BIGINT) AS fdc_id, CAST(1 + CASE WHEN {TWICE} THEN 1 ELSE 0 END
   + CASE WHEN p_size > 40 THEN 1 ELSE 0 END AS BIGINT) AS n_records FROM part) q WHERE n_records > 1"""
+ORACLE["q2_new_duplicates"] = build("""SELECT l.l_orderkey * 8 + l.l_linenumber AS line_id, strftime(o.o_orderdate, '%Y-%m') AS month,
+  count(*) AS stored
+FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey
+WHERE strftime(o.o_orderdate, '%Y-%m') IN ('1996-03', '1998-11') AND (l.l_orderkey * 8 + l.l_linenumber) % 3 = 0
+GROUP BY 1, 2""")
 ORACLE["q3_accepted_values"] = build("""SELECT country AS value_field, count(*) AS n_records FROM fx_users
 WHERE country NOT IN ('Spain') GROUP BY country""", "fx_users")
 ORACLE["q4_relationships"] = build("""SELECT i.fdc_id AS from_field FROM fx_items_o i
