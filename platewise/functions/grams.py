@@ -116,6 +116,17 @@ def total(name: str) -> Column:
     return _folded(*_sums(name))
 
 
+def totals(df: DataFrame, keys: list[str], names: list[str], *others: Column) -> DataFrame:
+    """``keys``, the ``others`` aggregated, and ``_totals``, an array of the exact sums of the gram columns ``names``.
+
+    Carries are folded behind the aggregate by one higher-order function, however many columns there are: as part of the
+    aggregate they would be repeated in its compiled code for each."""
+    raw = df.groupBy(*keys).agg(*[c.alias(f"_{i}_{k}") for i, n in enumerate(names) for k, c in enumerate(_sums(n))], *others)
+    parts = [F.struct(*[F.col(f"_{i}_{k}").alias(p) for k, p in enumerate(("hi", "lo", "d", "x"))]) for i in range(len(names))]
+    kept = [c for c in raw.columns if not (c.startswith("_") and c[1].isdigit())]
+    return raw.select(*kept, F.transform(F.array(*parts), lambda s: _folded(s["hi"], s["lo"], s["d"], s["x"])).alias("_totals"))
+
+
 def running(name: str, over: Window) -> Column:
     """The exact sum over a window frame."""
     v, d, x = _parts(name)

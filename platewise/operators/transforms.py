@@ -153,8 +153,9 @@ def since_days(df: DataFrame, as_of: Column | str, days: int, column: str = "log
 
 def grouped_grams(scaled: DataFrame, keys: list[str]) -> DataFrame:
     """Per-group exact grams of the five nutrients (wide), in the form of ``scaled``; map-side combined."""
-    add = G.total if G.is_grams(scaled, NUTRIENTS[0]) else F.sum
-    return scaled.groupBy(*keys).agg(*[add(n).alias(n) for n in NUTRIENTS])
+    if G.is_grams(scaled, NUTRIENTS[0]):
+        return G.totals(scaled, keys, NUTRIENTS).select(*keys, *[F.get("_totals", F.lit(k)).alias(n) for k, n in enumerate(NUTRIENTS)])
+    return scaled.groupBy(*keys).agg(*[F.sum(n).alias(n) for n in NUTRIENTS])
 
 
 def daily_wide(scaled: DataFrame, as_of: Column | str, history_days: int = 365) -> DataFrame:
@@ -290,15 +291,21 @@ def segments_windowed(daily: DataFrame, users_bmi: DataFrame, as_of: Column | st
                                                               for n in NUTRIENTS for f, inside in frames.items()])
 
     def measures(n: str) -> Column:
-        if exact:
-            mean = lambda f: G.average2(G.total(n + f), F.count_if(G.known(n + f)))
-            return F.struct(G.to_double(G.total(n + "_1")).alias("last_day_g"), mean("_s").alias("last_7d_avg_g"),
-                            mean("_l").alias("last_30d_avg_g")).alias(n)
         one, short, long = (F.when(inside, F.col(n)) for inside in frames.values())
         return F.struct(F.max(one).cast("double").alias("last_day_g"), avg_round2(short).alias("last_7d_avg_g"),
                         avg_round2(long).alias("last_30d_avg_g")).alias(n)
 
-    windowed = recent.groupBy("user_id", "reference_date").agg(*[measures(n) for n in NUTRIENTS])
+    keys = ["user_id", "reference_date"]
+    if exact:
+        sums = G.totals(recent, keys, [n + f for n in NUTRIENTS for f in frames],
+                        *[F.count_if(G.known(n + f)).alias(f"n{n}{f}") for n in NUTRIENTS for f in frames])
+        grams = sums.select("*", F.transform("_totals", G.to_double).alias("_g"))
+        at = lambda k, f: F.get("_g", F.lit(3 * k + list(frames).index(f)))
+        mean = lambda k, n, f: round_half_away(F.try_divide(at(k, f), F.col(f"n{n}{f}").cast("double")), 2)
+        windowed = grams.select(*keys, *[F.struct(at(k, "_1").alias("last_day_g"), mean(k, n, "_s").alias("last_7d_avg_g"),
+                                                  mean(k, n, "_l").alias("last_30d_avg_g")).alias(n) for k, n in enumerate(NUTRIENTS)])
+    else:
+        windowed = recent.groupBy(*keys).agg(*[measures(n) for n in NUTRIENTS])
     known = windowed.join(users_bmi.select("user_id", "weight_kg"), "user_id", "inner")
     # a nutrient without any value in the user's window has no row (as in the long form)
     long = to_long(known, ["user_id", "reference_date", "weight_kg"], "m").where(F.col("m.last_30d_avg_g").isNotNull())
