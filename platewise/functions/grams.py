@@ -127,11 +127,20 @@ def totals(df: DataFrame, keys: list[str], names: list[str], *others: Column) ->
     return raw.select(*kept, F.transform(F.array(*parts), lambda s: _folded(s["hi"], s["lo"], s["d"], s["x"])).alias("_totals"))
 
 
+def running_parts(name: str, over: Window) -> Column:
+    """Limbs and other parts of the sum over a window frame, to be ``folded``."""
+    v, d, x = _parts(name)
+    return F.struct(F.sum(F.shiftright(v, _LIMB)).over(over).alias("hi"), F.sum(v.bitwiseAND(F.lit(_MASK))).over(over).alias("lo"),
+                    F.sum(d).over(over).alias("d"), F.sum(x).over(over).alias("x"))
+
+
+def folded(parts: Column) -> Column:
+    return _folded(parts["hi"], parts["lo"], parts["d"], parts["x"])
+
+
 def running(name: str, over: Window) -> Column:
     """The exact sum over a window frame."""
-    v, d, x = _parts(name)
-    return _folded(F.sum(F.shiftright(v, _LIMB)).over(over), F.sum(v.bitwiseAND(F.lit(_MASK))).over(over),
-                   F.sum(d).over(over), F.sum(x).over(over))
+    return folded(running_parts(name, over))
 
 
 # ----------------------------------------------------------------- other forms

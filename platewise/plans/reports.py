@@ -85,7 +85,8 @@ def rolling_average(value: str, partition: list[str], order: str, rows: int = 7,
     """Average over the last ``rows`` logged rows (ROWS frame, not calendar days); ``exact`` for a gram column."""
     w = Window.partitionBy(*partition).orderBy(order).rowsBetween(-(rows - 1), 0)
     if exact:
-        return G.average2(G.running(value, w), F.count(F.when(G.known(value), 1)).over(w))
+        return G.average2(F.get(F.transform(F.array(G.running_parts(value, w)), G.folded), F.lit(0)),
+                          F.count(F.when(G.known(value), 1)).over(w))
     return round_half_away(F.try_divide(F.sum(value).over(w).cast("double"),
                                         F.count(value).over(w).cast("double")), 2)
 
