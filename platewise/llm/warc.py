@@ -231,12 +231,28 @@ def _verified(headers: dict) -> bool:
     return any(digest_of(x)[1] for x in own)
 
 
+class Marks:
+    """Where the next member or version line starts. Each kind is looked for again only when the last find is passed, so
+    every byte is searched once a kind, however many gaps there are."""
+
+    def __init__(self, data: bytes):
+        self.data, self.found = data, {_MAGIC: -1, _VERSION: -1}
+
+    def after(self, at: int) -> int:
+        """The first mark at ``at`` or behind it; the end of the data if there is none."""
+        for mark, place in self.found.items():
+            if place < at:
+                place = self.data.find(mark, at)
+                self.found[mark] = len(self.data) if place < 0 else place
+        return min(self.found.values())
+
+
 def salvage(data: bytes) -> Iterator[tuple[str, int, int, object]]:
     """("record", start, end, (headers, block)) and ("gap", start, end, reason) over a whole file, in order.
 
     Records and gaps within a gzip member have the member's place; the reason of such a gap has its place in the
     member's content."""
-    at, gap, why, n = 0, None, "", len(data)
+    at, gap, why, n, marks = 0, None, "", len(data), Marks(data)
     while at < n:
         found, end, broken = [], at, None
         try:
@@ -265,8 +281,7 @@ def salvage(data: bytes) -> Iterator[tuple[str, int, int, object]]:
         except Bad as e:
             if gap is None:
                 gap, why = at, str(e)
-            marks = [x for x in (data.find(_MAGIC, at + 1), data.find(_VERSION, at + 1)) if x >= 0]
-            at = min(marks, default=n)
+            at = marks.after(at + 1)
             continue
         if gap is not None:
             yield "gap", gap, at, why
@@ -276,8 +291,7 @@ def salvage(data: bytes) -> Iterator[tuple[str, int, int, object]]:
         at = end
         if broken:
             gap, why = at, broken
-            marks = [x for x in (data.find(_MAGIC, at), data.find(_VERSION, at)) if x >= 0]
-            at = min(marks, default=n)
+            at = marks.after(at)
     if gap is not None:
         yield "gap", gap, n, why
 

@@ -205,3 +205,33 @@ def test_what_precedes_the_damage_of_a_member(spark, tmp_path, level):
     assert [x[0] for x in M.salvage(member)] == ["record"] * 3
     assert [x[0] for x in M.salvage(member[:-8] + b"abcd" + member[-4:])] == ["gap"]  # nothing shows that they are whole
     assert [x[0] for x in M.salvage(member[:-8])] == ["record"] * 3 + ["gap"] * (len(member) > 8)
+
+
+def test_salvage_takes_time_in_proportion_to_the_damage():
+    import time
+    import zlib as z
+    rng = random.Random(3)
+
+    def damaged(n):
+        out = []
+        for k in range(n):
+            raw = M.record(k, f"https://example.org/{k}", rng.randbytes(700), None) + b"\r\n\r\n"
+            c = z.compressobj(6, z.DEFLATED, 31)
+            m = bytearray(c.compress(raw) + c.flush())
+            m[len(m) // 2] ^= 1
+            out.append(bytes(m))
+        return b"".join(out)
+
+    def seconds(data):
+        best = []
+        for _ in range(3):
+            t = time.perf_counter()
+            gaps = [x for x in M.salvage(data)]
+            best.append(time.perf_counter() - t)
+        assert all(kind == "gap" for kind, *_ in gaps)
+        return min(best)
+
+    assert seconds(damaged(8000)) < 3 * seconds(damaged(4000)) + 0.2
+    marks = M.Marks(b"xx" + M._VERSION + b"yy" + M._MAGIC + b"zz" + M._VERSION)
+    assert [marks.after(0), marks.after(3)] == [2, 2 + len(M._VERSION) + 2]
+    assert marks.after(len(marks.data) - len(M._VERSION)) == len(marks.data) - len(M._VERSION) and marks.after(len(marks.data) - 1) == len(marks.data)
