@@ -115,7 +115,7 @@ def test_next_over_any_blocks(spark, blocks):
 def test_likeness_estimates_the_share_of_common_shingles(spark):
     rng = random.Random(3)
     rows, truth = [], []
-    for k in range(300):
+    for k in range(150):
         own = [str(rng.randint(0, 10 ** 6)) for _ in range(rng.choice([8, 30, 200, 900]))]
         cut = rng.randint(0, len(own))
         other = own[:cut] + [str(rng.randint(0, 10 ** 6)) for _ in range(len(own) - cut)]
