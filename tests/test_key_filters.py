@@ -37,6 +37,27 @@ def test_no_key_is_missed_and_filters_of_large_partitions_span_bitmaps(spark):
     assert K.candidates(other, "id", f).count() <= 2
 
 
+def test_a_key_is_asked_of_one_block_of_each_partition(spark):
+    rows = spark.range(3000).select((F.col("id") * 7919).alias("id"), F.lit("a").alias("part"))
+    f = K.filters_of(rows.unionByName(rows.withColumn("part", F.lit("b"))), "part", "id").cache()
+    found = [K.candidates(rows, "id", f.where(F.col("block") == k)).count() for k in range(8)]
+    assert sum(found) == 6000 and min(found) > 400
+    plan = K.candidates(rows, "id", f)._jdf.queryExecution().executedPlan().toString()
+    assert "FlatMapCoGroupsInArrow" in plan and "SortMergeJoin" not in plan
+
+
+def test_packs_hold_all_keys_and_repeated_rows(spark, monkeypatch):
+    monkeypatch.setattr(K, "PACK", 100)
+    monkeypatch.setattr(K, "HELD", 1000)
+    monkeypatch.setattr(K, "_SLAB", 3)
+    rows = spark.range(4000).select(F.when(F.col("id") < 2000, F.col("id")).otherwise(7).alias("id"), (F.col("id") % 3).alias("part"))
+    f = K.filters_of(rows.repartition(4), "part", "id").cache()
+    assert f.count() == f.select("part", "block").distinct().count()
+    got = K.candidates(rows.select(F.col("id").cast("long")), "id", f)
+    want = {(r.id, r.part) for r in rows.distinct().collect()}
+    assert sorted(map(tuple, got.collect())) == sorted(want)
+
+
 def test_empty_table(spark):
     none = spark.createDataFrame([], "id long, part string")
     assert K.filters_of(none, "part", "id").count() == 0
