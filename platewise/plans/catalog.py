@@ -17,7 +17,7 @@ from ..functions import grams as G
 from ..functions import instant_to_utc
 from ..functions import windows as FW
 from ..operators import marts as M
-from ..operators.bands import band_join
+from ..operators.bands import band_extremes
 from ..operators import quality as Q
 from ..operators import staging as S
 from ..operators import transforms as T
@@ -100,9 +100,8 @@ def c5_user_bmi(spark, sf):
 def j3_weight_bands(spark, sf):
     """Weigh-ins in bands of many widths (one per part; gaps, overlaps, empty and open ones): number and extremes."""
     w = events_wh(spark, sf)
-    met = band_join(w.stg_weights.select("weight_kg"), "weight_kg", fixtures.weight_bands(spark, sf), "low_kg", "high_kg")
-    return met.groupBy("band_id").agg(F.count(F.lit(1)).alias("weigh_ins"), F.min("weight_kg").alias("min_kg"),
-                                      F.max("weight_kg").alias("max_kg"))
+    met = band_extremes(w.stg_weights.select("weight_kg"), "weight_kg", fixtures.weight_bands(spark, sf), "band_id", "low_kg", "high_kg")
+    return met.select("band_id", F.col("n").alias("weigh_ins"), F.col("least").alias("min_kg"), F.col("most").alias("max_kg"))
 
 
 @query("c6_bmi_history")

@@ -4,6 +4,9 @@ import math
 import random
 from decimal import Decimal
 
+from pyspark.sql import functions as F
+
+from platewise.operators import bands as B
 from platewise.operators.bands import band_join
 from platewise.plans import catalog
 from paths import SF_SMALL
@@ -44,3 +47,47 @@ def test_no_nested_loop(spark):
     for key in ("j3_weight_bands", "c5_user_bmi"):
         plan = catalog.QUERIES[key](spark, SF_SMALL)._jdf.queryExecution().executedPlan().toString()
         assert "NestedLoop" not in plan and "Cartesian" not in plan
+
+
+def extremes(spark, values, bands):
+    v = spark.createDataFrame([(x,) for x in values], "v double").repartition(5)
+    b = spark.createDataFrame(bands, "band int, lo double, hi double")
+    want = {}
+    for k, lo, hi in bands:
+        held = [x for x in values if x is not None and x == x and (lo is None or x >= lo) and (hi is None or x < hi)]
+        want.setdefault(k, []).extend(held)
+    got = {r[0]: tuple(r)[1:] for r in B.band_extremes(v, "v", b, "band", "lo", "hi").collect()}
+    assert got == {k: (len(x), min(x), max(x)) for k, x in want.items() if x}
+
+
+def test_extremes_are_those_of_all_pairs(spark):
+    rng = random.Random(4)
+    odd = [0.0, 18.5, 25.0, -1e-9, 1e300, -1e300, 5e-324, 2.0 ** 60, math.inf, -math.inf]
+    values = [None, math.nan, *odd, *odd, *[rng.choice([rng.uniform(-50, 50), float(rng.randrange(9))]) for _ in range(300)]]
+    ends = [*odd, None, 7.0, 8.0, math.nan, *[rng.uniform(-60, 60) for _ in range(20)]]
+    bands = [(rng.choice([None, *range(90)]), rng.choice(ends), rng.choice(ends)) for _ in range(300)]  # keys repeat
+    extremes(spark, values, bands)
+    extremes(spark, [x for x in values if x is not None and abs(x) < 40], bands)
+    extremes(spark, [7.0], bands)
+    extremes(spark, [None, math.nan], bands)
+    extremes(spark, values, [])
+
+
+def test_wide_bands_are_not_listed_pair_by_pair(spark, monkeypatch):
+    rows = []
+    join = B.band_join
+
+    def counted(*a):
+        out = join(*a)
+        rows.append(out.count())
+        return out
+
+    monkeypatch.setattr(B, "band_join", counted)
+    monkeypatch.setattr(catalog, "band_join", counted, raising=False)
+    n = catalog.QUERIES["j3_weight_bands"](spark, SF_SMALL).agg(F.sum("weigh_ins")).collect()[0][0]
+    parts = spark.read.parquet(f"{SF_SMALL}/part.parquet").count()
+    assert sum(rows) <= 2 * parts and n > 0
+    v, b = spark.range(1000).select(F.col("id").cast("double").alias("v")), spark.range(500).select("id", F.lit(0.5).alias("lo"), F.lit(999.0).alias("hi"))
+    rows.clear()
+    assert {tuple(r)[1:] for r in B.band_extremes(v, "v", b, "id", "lo", "hi").collect()} == {(998, 1.0, 998.0)}
+    assert sum(rows) <= 1000
