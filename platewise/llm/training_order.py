@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from tokenizers import Tokenizer
 
 from platewise.llm.common import (
-    BINARY, INT, LONG, fields, materialise, mix, pack, pick, run_dir, slices, unpack,
+    BINARY, INT, LONG, fields, give_back, materialise, mix, pack, pick, run_dir, slices, unpack,
 )
 from platewise.llm.tokens import END_ID, VOCABULARY, FastTokenizer
 
@@ -83,7 +83,8 @@ def _squeeze(ids: np.ndarray, kind: np.dtype) -> bytes:
     return len(head).to_bytes(8, "little") + head + zstandard.ZstdCompressor(level=LEVEL).compress(rank[ids].tobytes())
 
 
-def _unsqueeze(data: bytes, kind: np.dtype) -> np.ndarray:
+def _unsqueeze(data: bytes | pa.Buffer, kind: np.dtype) -> np.ndarray:
+    data = memoryview(data)
     size = int.from_bytes(data[:8], "little")
     order = unpack(data[8:8 + size], np.uint32)
     return order[np.frombuffer(zstandard.ZstdDecompressor().decompress(data[8 + size:]), kind)].astype(kind)
@@ -124,6 +125,9 @@ def blocks_of(docs: DataFrame, sequence: int = SEQUENCE, vocabulary: str = VOCAB
                     pa.array([split], pa.int32()), pa.array([before], pa.int64()), pa.array([len(doc)], pa.int64()),
                     pa.array([sizes + b"".join(heads)], pa.binary()), pa.array([_squeeze(ids, kind)], pa.binary())], names=schema.names)
                 before += len(doc)
+                del flat, ids, doc, piece, length, name, null, heads
+        del tokenizer
+        give_back()
 
     return source.mapInArrow(tokenise, schema)
 
@@ -157,22 +161,28 @@ def write_shards(docs: DataFrame, path: str, sequence: int = SEQUENCE, key: int
     moved = fields(shard=INT, data=BINARY)
 
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, size_held = [], 0
+        held, ids, n_ids = [], np.empty(0, kind), 0
         for batch in batches:
             for i in range(batch.num_rows):
                 split, before, n = (batch.column(c)[i].as_py() for c in range(3))
                 slot = permute(first[split] + before + np.arange(n), total, key)
-                held.append((slot, *_heads(batch.column(3)[i].as_py()), _unsqueeze(batch.column(4)[i].as_py(), kind)))
-                size_held += held[-1][-1].nbytes
-                if size_held >= GROUPED_BYTES:
-                    yield from grouped(held)
-                    held, size_held = [], 0
+                held.append((slot, *_heads(batch.column(3)[i].as_py())))
+                own = _unsqueeze(batch.column(4)[i].as_buffer(), kind)
+                if n_ids + len(own) > len(ids):  # one buffer for all groups of the task
+                    ids = np.concatenate([ids[:n_ids], np.empty(max(len(own), GROUPED_BYTES // kind.itemsize // 4), kind)])
+                ids[n_ids:n_ids + len(own)] = own
+                n_ids += len(own)
+                if n_ids * kind.itemsize >= GROUPED_BYTES:
+                    yield from grouped(held, ids[:n_ids])
+                    held, n_ids = [], 0
         if held:
-            yield from grouped(held)
+            yield from grouped(held, ids[:n_ids])
+        del held, ids
+        give_back()
 
-    def grouped(held: list) -> Iterator[pa.RecordBatch]:
+    def grouped(held: list, ids: np.ndarray) -> Iterator[pa.RecordBatch]:
         """Records grouped by shard, so that they travel and compress together."""
-        slot, name, piece, length, ids = (np.concatenate(x) for x in zip(*held))
+        slot, name, piece, length = (np.concatenate(x) for x in zip(*held))
         start = np.cumsum(length, dtype=np.int64) - length
         order = np.argsort(slot)
         shard = slot[order] // per_shard
@@ -207,7 +217,8 @@ def write_shards(docs: DataFrame, path: str, sequence: int = SEQUENCE, key: int
             out[row, 12:16] = length.astype("<u4").view(np.uint8).reshape(-1, 4)
             column = np.arange(len(ids)) - np.repeat(np.cumsum(length, dtype=np.int64) - length, length)
             body[np.repeat(row, length), column] = ids
-        return pa.table({"shard": pa.array([k], pa.int32()), "value": pa.array([out.tobytes()], pa.binary())})
+        value = pa.Array.from_buffers(pa.binary(), 1, [None, pa.py_buffer(np.array([0, out.size], np.int32)), pa.py_buffer(out)])
+        return pa.table({"shard": pa.array([k], pa.int32()), "value": value})
 
     files = blocks.mapInArrow(place, moved).repartition(min(shards, 1 << 20), "shard").groupBy("shard") \
         .applyInArrow(assemble, fields(shard=INT, value=BINARY))
@@ -228,29 +239,27 @@ def read_slots(spark: SparkSession, path: str, layout: dict, start: int = 0, sto
     if start >= stop:
         return spark.createDataFrame([], schema)
     files = spark.read.format("binaryFile").option("pathGlobFilter", "part-*").load(path) \
-        .where(F.col("shard").between(start // per_shard, (stop - 1) // per_shard)).select("shard", "content")
+        .where(F.col("shard").between(start // per_shard, (stop - 1) // per_shard)).select("content", "shard")  # as scanned: not copied
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for i in range(batch.num_rows):
-                k = batch.column(0)[i].as_py()
-                data = np.frombuffer(batch.column(1)[i].as_buffer(), np.uint8)
+                k = batch.column(1)[i].as_py()
+                data = np.frombuffer(batch.column(0)[i].as_buffer(), np.uint8)
                 base = k * per_shard
                 count = min(per_shard, n - base)
-                records = data[:count * stride].reshape(count, stride)
                 rows = np.arange(max(0, start - base), min(count, stop - base))
-                own = np.ascontiguousarray(records[rows])
+                own = data[:count * stride].reshape(count, stride)[rows[0]:rows[-1] + 1]
                 name = own[:, 0:8].copy().view("<i8").reshape(-1)
                 piece = own[:, 8:12].copy().view("<u4").reshape(-1)
                 length = own[:, 12:16].copy().view("<u4").reshape(-1)
-                body = own[:, _HEAD:].copy().view(kind)
-                ids = [body[j, :m].astype("<u4").tobytes() for j, m in enumerate(length.tolist())] if with_ids else None
-                crc = [zlib.crc32(body[j, :m].astype("<u4").tobytes()) for j, m in enumerate(length.tolist())]
+                body = [own[j, _HEAD:].view(kind)[:m].astype("<u4").tobytes() for j, m in enumerate(length.tolist())] if with_ids else None
+                crc = [zlib.crc32(own[j, _HEAD:].view(kind)[:m].astype("<u4").tobytes()) for j, m in enumerate(length.tolist())]
                 columns = [pa.array(base + rows, pa.int64()), pa.array(np.full(len(rows), k), pa.int32()),
                            pa.array(rows * stride, pa.int64()), pa.array(name, pa.int64(), mask=piece >= _NULL),
                            pa.array((piece & (_NULL - 1)).astype(np.int32)), pa.array(length.astype(np.int32)),
                            pa.array(crc, pa.int64())]
-                yield pa.RecordBatch.from_arrays(columns + ([pa.array(ids, pa.binary())] if with_ids else []), names=schema.names)
+                yield pa.RecordBatch.from_arrays(columns + ([pa.array(body, pa.binary())] if with_ids else []), names=schema.names)
 
     return files.mapInArrow(read, schema)
 

@@ -54,5 +54,20 @@ def test_same_key_same_files(spark, odd):
     assert rows[0] == rows[1]
 
 
+def test_groups_of_any_size_share_one_buffer(spark, odd, odd_rows, monkeypatch):
+    for size in (64, 4096):
+        monkeypatch.setattr(M, "GROUPED_BYTES", size)
+        path = run_dir(spark, "t") + "/s"
+        layout = M.write_shards(odd, path, sequence=64, shard_bytes=3000)
+        got = M.read_slots(spark, path, layout).collect()
+        assert sorted([(r.doc_id, r.piece, bytes(r.ids)) for r in got], key=str) == expected(odd_rows, 64)
+
+
+def test_shards_are_not_copied_between_scan_and_reader(spark, odd):
+    path = run_dir(spark, "t") + "/s"
+    layout = M.write_shards(odd, path, sequence=64)
+    assert "Project" not in M.read_slots(spark, path, layout)._jdf.queryExecution().executedPlan().toString()
+
+
 def test_empty_table(spark, none):
     assert M.materialised(none).count() == 0
