@@ -186,6 +186,11 @@ def daily_totals(scaled: DataFrame) -> DataFrame:
     return daily_long(grouped_grams(scaled, DAY_KEYS))
 
 
+def totals_wide(scaled: DataFrame) -> DataFrame:
+    """``daily_totals`` without its last step: one row per user and day (no date id) with the five sums, over all days."""
+    return grouped_grams(scaled, ["user_id", "logged_date"])
+
+
 # ------------------------------------------------------------------------ C5
 def latest_weight(stg_weights: DataFrame) -> DataFrame:
     """Most recent weigh-in per user; ties on recorded_at broken by weight_log_id."""

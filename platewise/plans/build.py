@@ -172,6 +172,11 @@ class Warehouse:
         """All-history daily totals (the reports' first level), from scaled items."""
         return T.daily_totals(self.scaled_exact)
 
+    @cached_property
+    def totals_wide(self) -> DataFrame:
+        """``daily_totals`` in wide rows, for reports that sum on before they unpivot."""
+        return T.totals_wide(self.scaled_exact)
+
     @cached_property
     def users_bmi(self) -> DataFrame:
         return T.users_with_bmi(self.stg_users, self.stg_weights, self.bmi_categories)

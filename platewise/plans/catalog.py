@@ -175,7 +175,7 @@ def r2_weekly(spark, sf):
 @query("r3_mom")
 def r3_mom(spark, sf):
     w = orders_wh(spark, sf)
-    return R.monthly_mom_report(None, w.dim_nutrients, daily=w.daily_totals)
+    return R.monthly_mom_report(None, w.dim_nutrients, wide=w.totals_wide)
 
 
 @query("r4_rolling")

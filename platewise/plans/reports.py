@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from ..functions import avg_round2, month_start, round_half_away, week_start
 from ..functions import grams as G
+from ..operators import transforms as T
 from ..sources.seeds import lookup
 
 
@@ -69,15 +70,29 @@ def monthly_rollup(daily: DataFrame, keys: list[str]) -> DataFrame:
         mean2(daily, "daily_value_g").alias("monthly_avg_g"))
 
 
+def _monthly_wide(wide: DataFrame) -> DataFrame:
+    """Long rows of every user, month and nutrient with the average and that of the user's month before, out of wide days:
+    one row per user and month is moved for all nutrients."""
+    months = wide.select("user_id", month_start("logged_date").alias("month_start"), *T.NUTRIENTS)
+    sums = G.totals(months, ["user_id", "month_start"], T.NUTRIENTS, *[F.count_if(G.known(n)).alias(f"n_{n}") for n in T.NUTRIENTS])
+    m = sums.select("user_id", "month_start", F.zip_with("_totals", F.array(*[f"n_{n}" for n in T.NUTRIENTS]), G.average2).alias("_avg"))
+    before = m.withColumn("_prev", F.lag("_avg").over(Window.partitionBy("user_id").orderBy("month_start")))
+    return before.select("user_id", "month_start", F.inline(F.array(*[
+        F.struct(F.lit(k + 1).alias("nutrient_id"), F.get("_avg", F.lit(k)).alias("monthly_avg_g"),
+                 F.get("_prev", F.lit(k)).alias("prev_month_avg_g")) for k in range(len(T.NUTRIENTS))])))
+
+
 def monthly_mom_report(fct_mln: DataFrame | None, dim_nutrients: DataFrame, ordered: bool = True,
-                       daily: DataFrame | None = None) -> DataFrame:
-    """Monthly average, previous month's average and the delta (of rounded values)."""
-    d = daily_totals(fct_mln, daily).join(_names(dim_nutrients), "nutrient_id")
-    m = monthly_rollup(d, ["user_id", "nutrient_id", "nutrient_name"])
-    prev = F.lag("monthly_avg_g").over(Window.partitionBy("user_id", "nutrient_id").orderBy("month_start"))
-    out = m.select("user_id", "nutrient_name", "month_start", "monthly_avg_g",
-                   prev.alias("prev_month_avg_g"),
-                   round_half_away(F.col("monthly_avg_g") - prev, 2).alias("mom_delta_g"))
+                       daily: DataFrame | None = None, wide: DataFrame | None = None) -> DataFrame:
+    """Monthly average, previous month's average and the delta (of rounded values). ``wide``: days in wide gram rows."""
+    if wide is not None:
+        m = _monthly_wide(wide)
+    else:
+        prev = F.lag("monthly_avg_g").over(Window.partitionBy("user_id", "nutrient_id").orderBy("month_start"))
+        m = monthly_rollup(daily_totals(fct_mln, daily), ["user_id", "nutrient_id"]).withColumn("prev_month_avg_g", prev)
+    out = m.join(_names(dim_nutrients), "nutrient_id").select(
+        "user_id", "nutrient_name", "month_start", "monthly_avg_g", "prev_month_avg_g",
+        round_half_away(F.col("monthly_avg_g") - F.col("prev_month_avg_g"), 2).alias("mom_delta_g"))
     return _sorted(out, ordered, "user_id", "nutrient_name", "month_start")
 
 

@@ -1,8 +1,14 @@
 """Reports computed from the meal-grain fact equal those from daily totals."""
 
+from datetime import date
+from decimal import Decimal
+
 import pytest
 
 from paths import SF_SMALL
+from platewise.functions import date_id
+from platewise.operators import transforms as T
+from platewise.plans import catalog
 from platewise.plans import dashboard as D
 from platewise.plans import reports as R
 from platewise.plans.build import Warehouse
@@ -29,6 +35,25 @@ def test_fact_path_equals_daily_path(wh):
     same(D.nutrient_rolling(f, n, start=s, end=e), D.nutrient_rolling(None, n, start=s, end=e, daily=wh.daily_totals))
 
 
+def test_monthly_report_of_wide_days_equals_that_of_long_days(spark, wh):
+    n = wh.dim_nutrients
+    same(R.monthly_mom_report(None, n, wide=wh.totals_wide), R.monthly_mom_report(None, n, daily=wh.daily_totals))
+    rows = [(u, 1, f, g, date(2024, m, d)) for u, f, g, m, d in [
+        (1, 10, 100.0, 1, 3), (1, 10, 0.12345678, 1, 3), (1, 11, 2e9, 1, 9), (1, 10, 1e17, 2, 1), (1, 10, None, 3, 1), (1, 11, 5.5, 4, 30),
+        (2, 11, 1e-9, 1, 1), (2, 11, 7.0, 6, 1), (None, 10, 3.0, 6, 1), (None, 10, 4.0, 7, 1)]]
+    items = spark.createDataFrame(rows, "user_id long, meal_id int, fdc_id long, grams double, logged_date date").withColumn(
+        "logged_date_id", date_id("logged_date"))
+    foods = spark.createDataFrame([(10, *map(Decimal, "12.5 0 3.1 4.00004 7".split())), (11, *map(Decimal, "1 2 3 4 5".split()))],
+                                  "fdc_id long, " + ", ".join(f"{c} decimal(18,5)" for c in T.NUTRIENTS))
+    scaled = T.scaled_exact(items, foods)
+    same(R.monthly_mom_report(None, n, wide=T.totals_wide(scaled)), R.monthly_mom_report(None, n, daily=T.daily_totals(scaled)))
+
+
+def test_months_are_moved_before_they_are_unpivoted(spark):
+    plan = catalog.QUERIES["r3_mom"](spark, SF_SMALL)._jdf.queryExecution().executedPlan().toString()
+    assert -1 < plan.index("Generate") < plan.index("Window [")
+
+
 def test_user_filter_is_a_predicate(wh):
     n = wh.dim_nutrients
     one = D.weekly_user(wh.fct_meal_log_nutrients, n, users=[1, 2]).collect()
