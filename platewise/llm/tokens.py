@@ -1,9 +1,10 @@
 """Token ids of whole texts, many times faster than one call per text, with the same ids.
 
 The vocabulary file has word-end marks, so a text's ids are the ids of its white-space separated chunks, one
-after the other. Chunks seen before come from a bounded table; the others go through the vocabulary's own
-normaliser and word pattern and then, as one long string, through a byte-pair encoder that reads the same merges.
-Chunks with characters that this route reserves go through the tokenizer itself.
+after the other. A batch's distinct chunks go through the vocabulary's own normaliser and word pattern and then, as
+one long string, through a byte-pair encoder that reads the same merges. Chunks of ASCII and Latin-1 letters never
+become strings of their own; others seen before come from a bounded table. Chunks with characters that this route
+reserves go through the tokenizer itself.
 """
 
 from __future__ import annotations
@@ -21,14 +22,14 @@ from tokenizers import Tokenizer
 
 VOCABULARY = "word_bpe_49k.json"
 END_ID = 1
-#: Chunks that a worker remembers (about 200 bytes each).
+#: Chunks of other characters that a worker remembers (about 200 bytes each).
 REMEMBERED = 250_000
 _MARK, _CUT = "\x01", "\x02"
 _CUT_ID = 1_000_000
-#: Chunks of printable ASCII and Latin-1 letters: lower-casing is all that normalisation does to them.
-_SIMPLE = re.compile(r"(?:[!-;=-~À-ÖØ-öø-ÿ]|<(?!\|))*").fullmatch
-#: The vocabulary's word pattern, restricted to those characters.
-_LATIN_WORDS = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[!-/:-@\[-`{-~]+").findall
+#: Chunks of printable ASCII and Latin-1 letters (and without "<|"): lower-casing is all that normalisation does to them.
+_PLAIN = r"\A[!-~À-ÖØ-öø-ÿ]*\z"
+#: The vocabulary's word pattern, restricted to those characters, and the cut between chunks.
+_LATIN_WORDS = re.compile(_CUT + r"|'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[!-/:-@\[-`{-~]+").findall
 
 
 def _byte_of() -> dict[str, int]:
@@ -72,28 +73,57 @@ class FastTokenizer:
     def _exact(self, chunk: str) -> bytes:
         return np.array(self.own.encode(chunk, add_special_tokens=False).ids, dtype="<u4").tobytes()
 
+    def _encode(self, marked: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Ids of marked words, with the cuts between chunks, and where each chunk's ids begin and end."""
+        ids = self.fast.encode_to_numpy(marked, disallowed_special=())
+        cuts = np.flatnonzero(ids == _CUT_ID)
+        return ids, np.concatenate([[0], cuts + 1]), np.concatenate([cuts, [len(ids)]])
+
+    def _plain(self, chunks: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """As ``_encode``, of chunks of ``_PLAIN`` characters: one pass over all of them, without a string for each."""
+        joined = pc.binary_join(pa.LargeListArray.from_arrays([0, len(chunks)], chunks), pa.scalar(_CUT, chunks.type))[0].as_py()
+        words = _MARK.join(_LATIN_WORDS(joined.lower())) + _MARK
+        return self._encode(words.replace(_CUT + _MARK, _CUT) if len(words) > 1 else "")
+
     def _learn(self, chunks: list[str]) -> None:
-        known, plain, marked, rest = self.known, [], [], []
+        rest = []
         for c in chunks:
-            if (c.isprintable() and "<|" not in c) if c.isascii() else _SIMPLE(c):
-                plain.append(c)
-                c = c.lower()
-                marked.append(c + _MARK if c.isalpha() else "".join([w + _MARK for w in _LATIN_WORDS(c)]))
-            elif _MARK in c or _CUT in c or "<|" in c:
-                known[c] = self._exact(c)
+            if _MARK in c or _CUT in c or "<|" in c:
+                self.known[c] = self._exact(c)
             else:
                 rest.append(c)
         if rest:
             text = self.own.normalizer.normalize_str(f" {_CUT} ".join(rest))
-            text = "".join([w if w == _CUT else w + _MARK for w in self.words.findall(text)])
-            plain += rest
-            marked += text.split(_CUT)
-        if not plain:
-            return
-        ids = np.array(self.fast.encode_ordinary(_CUT.join(marked)), dtype="<u4")
-        cuts = np.flatnonzero(ids == _CUT_ID) * 4
-        data = ids.tobytes()
-        known.update(zip(plain, [data[a:b] for a, b in zip([0, *(cuts + 4).tolist()], [*cuts.tolist(), len(data)])]))
+            ids, start, end = self._encode("".join([w if w == _CUT else w + _MARK for w in self.words.findall(text)]))
+            data = ids.tobytes()
+            self.known.update(zip(rest, [data[4 * a:4 * b] for a, b in zip(start.tolist(), end.tolist())]))
+
+    def _others(self, chunks: list[str]) -> list[bytes]:
+        if len(self.known) > self.remembered:
+            self.known.clear()
+        known = self.known
+        new = [c for c in chunks if c not in known]
+        if new:
+            self._learn(new)
+        return [known[c] for c in chunks]
+
+    def _chunks(self, chunks: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Ids that hold those of each chunk, where they begin, and how many they are."""
+        plain = pc.and_not(pc.match_substring_regex(chunks, _PLAIN), pc.match_substring(chunks, "<|"))
+        at = np.asarray(plain, dtype=bool)
+        if at.all():
+            ids, start, end = self._plain(chunks)
+            return ids, start, end - start
+        each = self._others(chunks.filter(pc.invert(plain)).to_pylist())
+        start, size = np.zeros(len(at), np.int64), np.zeros(len(at), np.int64)
+        size[~at] = np.fromiter(map(len, each), np.int64, len(each)) // 4
+        start[~at] = np.cumsum(size[~at]) - size[~at]
+        ids = np.frombuffer(b"".join(each), dtype="<u4")
+        if at.any():
+            more, begin, end = self._plain(chunks.filter(plain))
+            start[at], size[at] = begin + len(ids), end - begin
+            ids = np.concatenate([ids, more])
+        return ids, start, size
 
     def flat(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """All ids of a string array (null: empty), one text after the other, and where each text begins and ends."""
@@ -103,17 +133,7 @@ class FastTokenizer:
         whole = pc.replace_substring(texts.cast(pa.large_string()).fill_null(""), "\n", " ")
         parts = pc.split_pattern(whole, " ")
         coded = parts.flatten().dictionary_encode()
-        chunks = coded.dictionary.to_pylist()
-        if len(self.known) > self.remembered:
-            self.known.clear()
-        known = self.known
-        new = [c for c in chunks if c not in known]
-        if new:
-            self._learn(new)
-        each = [known[c] for c in chunks]
-        size = np.fromiter(map(len, each), np.int64, len(each)) // 4
-        start = np.cumsum(size) - size
-        ids = np.frombuffer(b"".join(each), dtype="<u4")
+        ids, start, size = self._chunks(coded.dictionary)
         at = coded.indices.to_numpy(zero_copy_only=False)
         sizes = size[at]
         ends = np.cumsum(sizes)

@@ -42,7 +42,7 @@ BLOCK_BYTES = 4 << 20
 #: Bytes of ids that a task groups by shard at once.
 GROUPED_BYTES = 32 << 20
 #: Compression of ids on their way to the shards.
-LEVEL = 6
+LEVEL = 5
 KEY = 20240229
 PAD = 0
 ROUNDS = 6

@@ -33,6 +33,18 @@ def test_ids_of_odd_strings(own):
             assert got.tolist() == own.encode(text, add_special_tokens=False).ids, ascii(text)
 
 
+def test_plain_chunks_are_encoded_at_once(own, monkeypatch):
+    """Chunks of ASCII and Latin-1 letters take one call a batch and no entry each in the table of remembered ones."""
+    fast = FastTokenizer()
+    calls, encode = [], fast._encode
+    monkeypatch.setattr(fast, "_encode", lambda marked: calls.append(marked) or encode(marked))
+    texts = ["The d\u00f6g's  <tail>, 1234\nTHE \u00c9t\u00e9 x\u00b2", "", " ", "we'll a<|b \u0130x", "plain words only"]
+    for _ in range(2):
+        for got, text in zip(fast.ids(texts), texts):
+            assert got.tolist() == own.encode(text, add_special_tokens=False).ids, ascii(text)
+    assert sorted(fast.known) == ["a<|b", "x\u00b2", "\u0130x"] and len(calls) == 3  # twice the plain, once the others
+
+
 def test_null_texts_have_no_ids():
     ids, at = FastTokenizer().flat(pa.array([None, "the dog", None]))
     assert at.tolist() == [0, 0, 2, 2] and len(ids) == 2
